@@ -69,3 +69,17 @@ supplier_nation AS (
 def with_sql(*parts: str) -> str:
     """``WITH`` + shared CTEs; the last part holds the query's own CTEs and its SELECT."""
     return "WITH " + ",\n".join(p.strip() for p in parts)
+
+
+def lines_team(spark: SparkSession, sf: str) -> DataFrame:
+    """:func:`lines` plus ``team`` (supplier nation name)."""
+    sn = supplier_nation(spark, sf)
+    return lines(spark, sf).join(sn, F.col("l_suppkey") == F.col("s_suppkey")).drop("s_suppkey")
+
+
+SQL_LINES_TEAM = """
+lines_team AS (
+  SELECT li.*, sn.team FROM lines li JOIN supplier_nation sn ON li.l_suppkey = sn.s_suppkey
+)"""
+
+SQL_BASE = (SQL_LINES, SQL_SUPPLIER_NATION, SQL_LINES_TEAM)
