@@ -83,3 +83,26 @@ lines_team AS (
 )"""
 
 SQL_BASE = (SQL_LINES, SQL_SUPPLIER_NATION, SQL_LINES_TEAM)
+
+
+def games(spark: SparkSession, sf: str) -> DataFrame:
+    """Two-sided "games": each line is a meeting of the customer's nation (home) and the
+    supplier's nation (away); home scores the quantity, away seven points per line number."""
+    c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    n = table(spark, sf, "nation", "n_nationkey", "n_name")
+    home = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", F.col("n_name").alias("home_team"))
+    li = lines_team(spark, sf).join(home, F.col("o_custkey") == F.col("c_custkey"))
+    return li.select("season", "week", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey",
+                     "home_team", F.col("team").alias("away_team"),
+                     F.col("l_quantity").cast("bigint").alias("home_score"),
+                     (F.col("l_linenumber") * 7).cast("bigint").alias("away_score"))
+
+
+SQL_GAMES = """
+games AS (
+  SELECT lt.season, lt.week, lt.l_orderkey, lt.l_linenumber, lt.l_partkey, lt.l_suppkey,
+         n.n_name AS home_team, lt.team AS away_team,
+         CAST(lt.l_quantity AS BIGINT) AS home_score, CAST(lt.l_linenumber * 7 AS BIGINT) AS away_score
+  FROM lines_team lt JOIN customer c ON lt.o_custkey = c.c_custkey
+  JOIN nation n ON c.c_nationkey = n.n_nationkey
+)"""

@@ -18,6 +18,7 @@ import time
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
 import duckdb  # noqa: E402
+import pandas as pd  # noqa: E402
 
 from gridmart.plans.registry import oracle_sql, queries  # noqa: E402
 from gridmart.session import get_session  # noqa: E402
@@ -25,11 +26,13 @@ from gridmart.sources.tables import TABLES  # noqa: E402
 
 
 def _norm(v):
-    if v is None:
+    if v is None or v is pd.NA or v is pd.NaT:
         return "NULL"
     if isinstance(v, float):
         if math.isnan(v):
-            return "NaN"
+            return "NULL"
+        if float(v).is_integer() and abs(v) < 2**53:
+            return str(int(v))
         return f"{v:.9g}"
     if hasattr(v, "item"):
         return _norm(v.item())
@@ -40,7 +43,7 @@ def _rows(df_pd):
     cols = sorted(df_pd.columns)
     out = []
     for rec in df_pd[cols].itertuples(index=False, name=None):
-        out.append("|".join(_norm(None if (isinstance(x, float) and math.isnan(x) and False) else x) for x in rec))
+        out.append("|".join(_norm(x) for x in rec))
     out.sort()
     return cols, out
 
