@@ -97,7 +97,7 @@ facts AS (
   FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
   WHERE o.o_orderpriority = '1-URGENT' GROUP BY ALL
 )
-SELECT s.season, s.c_nationkey, w.week, COALESCE(f.urgent_orders, 0) AS urgent_orders
+SELECT s.season, s.c_nationkey, CAST(w.week AS INTEGER) AS week, COALESCE(f.urgent_orders, 0) AS urgent_orders
 FROM spine s CROSS JOIN range(1, 13) w(week)
 LEFT JOIN facts f ON f.season = s.season AND f.c_nationkey = s.c_nationkey AND f.week = w.week
 """)

@@ -39,6 +39,30 @@ def _norm(v):
     return str(v)
 
 
+_SPARK_KIND = {"IntegerType": "INT32", "LongType": "INT64", "ShortType": "INT16", "ByteType": "INT8",
+               "DoubleType": "FLOAT64", "FloatType": "FLOAT32", "StringType": "STR", "BooleanType": "BOOL",
+               "DateType": "DATE", "TimestampType": "TS", "TimestampNTZType": "TS", "ArrayType": "LIST"}
+_DUCK_KIND = {"INTEGER": "INT32", "BIGINT": "INT64", "SMALLINT": "INT16", "TINYINT": "INT8", "HUGEINT": "INT128",
+              "DOUBLE": "FLOAT64", "FLOAT": "FLOAT32", "VARCHAR": "STR", "BOOLEAN": "BOOL", "DATE": "DATE",
+              "TIMESTAMP": "TS", "TIMESTAMP WITH TIME ZONE": "TS"}
+
+
+def _spark_kinds(df):
+    out = {}
+    for f in df.schema.fields:
+        t = type(f.dataType).__name__
+        out[f.name] = "DEC" if t == "DecimalType" else _SPARK_KIND.get(t, t)
+    return out
+
+
+def _duck_kinds(rel):
+    out = {}
+    for name, t in zip(rel.columns, rel.types):
+        t = str(t)
+        out[name] = "DEC" if t.startswith("DECIMAL") else ("LIST" if t.endswith("[]") else _DUCK_KIND.get(t, t))
+    return out
+
+
 def _rows(df_pd):
     cols = sorted(df_pd.columns)
     out = []
@@ -63,7 +87,9 @@ def main() -> int:
     for name in names:
         t0 = time.time()
         try:
-            sp = qs[name](spark, args.sf).toPandas()
+            sdf = qs[name](spark, args.sf)
+            skinds = _spark_kinds(sdf)
+            sp = sdf.toPandas()
         except Exception as exc:  # noqa: BLE001
             print(f"FAIL {name}: spark error {str(exc)[:800]}")
             bad += 1
@@ -73,7 +99,9 @@ def main() -> int:
             print(f"ROWS {name}: {len(sp)} rows (no oracle) spark={t1 - t0:.2f}s")
             continue
         try:
-            dk = con.sql(sqls[name]).df()
+            rel = con.sql(sqls[name])
+            dkinds = _duck_kinds(rel)
+            dk = rel.df()
         except Exception as exc:  # noqa: BLE001
             print(f"FAIL {name}: duckdb error {str(exc)[:800]}")
             bad += 1
@@ -83,6 +111,10 @@ def main() -> int:
         sh = hashlib.md5("\n".join(srows).encode()).hexdigest()
         dh = hashlib.md5("\n".join(drows).encode()).hexdigest()
         ok = scols == dcols and len(srows) == len(drows) and sh == dh
+        if skinds != dkinds:
+            ok = False
+            print("   types differ:", {k: (skinds.get(k), dkinds.get(k)) for k in set(skinds) | set(dkinds)
+                                      if skinds.get(k) != dkinds.get(k)})
         status = "OK  " if ok else "DIFF"
         print(f"{status} {name}: rows {len(srows)}/{len(drows)} spark={t1 - t0:.2f}s")
         if not ok:
