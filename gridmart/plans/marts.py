@@ -12,6 +12,10 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.functions import football as fb
+from gridmart.functions import scoring
+from gridmart.functions.columns import csum, share
+from gridmart.operators.dedupe import dedupe_first
 from gridmart.operators.grid import expand, grid_fill
 from gridmart.operators.unpivot import sides_to_long
 
@@ -78,3 +82,172 @@ def points_allowed(weekly: DataFrame, schedules: DataFrame, season: int | None =
                      F.coalesce(F.col("fantasy_points_ppr").cast("double"), F.lit(0.0)).alias("points"))
     s = _eq_filters(schedules, season=season, game_type=season_type)
     return points_allowed_from_games(facts, defense_games(s), positions)
+
+
+# --- weekly dedupe, events at player grain, team roll-up -----------------------------------
+
+WEEK_KEY = ["season", "week", "season_type", "team", "player_id"]
+TEAM_KEY = ["season", "week", "season_type", "team"]
+
+
+def dedupe_weekly(weekly: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """One weekly row per (season, week, season_type, team, player_id), the row with a
+    ``source`` first (``NULLS LAST``); ``tiebreak`` completes the order."""
+    return dedupe_first(weekly, WEEK_KEY, "source", tiebreak)
+
+
+def _pbp_keyed(pbp: DataFrame, player_col: str) -> DataFrame:
+    return pbp.withColumnsRenamed({"posteam": "team"}).withColumn("player_id", F.col(player_col))
+
+
+def receiving_events(pbp: DataFrame) -> DataFrame:
+    """X1-X7 at player grain (receiver), plus the formation/personnel target components
+    that roll up to team denominators. One scan, one partial aggregate."""
+    p = _pbp_keyed(pbp, "receiver_player_id")
+    t = fb.is_target()
+    return p.groupBy(*WEEK_KEY).agg(
+        csum(t).alias("targets"),
+        csum(fb.is_end_zone_target()).alias("end_zone_targets"),
+        csum(fb.in_red_zone(20) & t).alias("rz20_targets"),
+        csum(fb.in_red_zone(10) & t).alias("rz10_targets"),
+        csum(fb.in_red_zone(5) & t).alias("rz5_targets"),
+        csum(fb.late_down() & t).alias("third_fourth_down_targets"),
+        csum(fb.long_late_down() & t).alias("ldd_targets"),
+        csum(fb.short_yardage() & t).alias("sdd_targets"),
+        csum(fb.within_half_seconds(120) & t).alias("two_minute_targets"),
+        csum(fb.within_half_seconds(240) & t).alias("four_minute_targets"),
+        csum(fb.flag("shotgun") & t).alias("shotgun_targets"),
+        csum(fb.flag("no_huddle") & t).alias("no_huddle_targets"),
+        csum(fb.personnel("11") & t).alias("p11_targets"),
+        csum(fb.personnel("12") & t).alias("p12_targets"),
+        csum(fb.personnel("21") & t).alias("p21_targets"),
+        F.sum(F.when(fb.is_air_target(), F.col("air_yards")).otherwise(0)).alias("sum_air_yards"),
+        csum(fb.is_air_target()).alias("cnt_air_targets"),
+    )
+
+
+def team_targets(rec: DataFrame) -> DataFrame:
+    """Team denominators rolled up from the player grain (no second scan of pbp)."""
+    return rec.groupBy(*TEAM_KEY).agg(
+        F.sum("targets").alias("team_targets"),
+        F.sum("shotgun_targets").alias("team_targets_shotgun"),
+        F.sum("no_huddle_targets").alias("team_targets_no_huddle"),
+        F.sum("p11_targets").alias("team_targets_p11"),
+        F.sum("p12_targets").alias("team_targets_p12"),
+        F.sum("p21_targets").alias("team_targets_p21"))
+
+
+def receiving_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
+                          season_type: str | None = None) -> DataFrame:
+    """Receiving splits and shares for every player in the deduped weekly table."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    rec = receiving_events(p)
+    team = team_targets(rec)
+    j = (w.select(*WEEK_KEY, "player_name", "position")
+         .join(rec, WEEK_KEY, "left").join(team, TEAM_KEY, "left"))
+
+    def z(c: str) -> F.Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    def gshare0(n: str, d_: str) -> F.Column:
+        return F.when(F.col(d_) > 0, share(z(n), d_)).otherwise(F.lit(0.0))
+
+    counts = ["end_zone_targets", "rz20_targets", "rz10_targets", "rz5_targets", "third_fourth_down_targets",
+              "ldd_targets", "sdd_targets", "two_minute_targets", "four_minute_targets"]
+    return j.select(
+        *WEEK_KEY, "player_name", "position", z("targets").alias("targets"),
+        F.when(F.col("team_targets") > 0, share(z("targets"), "team_targets")).alias("target_share"),
+        *[z(c).alias(c) for c in counts],
+        gshare0("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
+        gshare0("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
+        gshare0("p11_targets", "team_targets_p11").alias("p11_target_share"),
+        gshare0("p12_targets", "team_targets_p12").alias("p12_target_share"),
+        gshare0("p21_targets", "team_targets_p21").alias("p21_target_share"),
+        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"))
+
+
+def rushing_events(pbp: DataFrame) -> DataFrame:
+    """Carries by zone at rusher grain, plus rush-attempt components for team totals."""
+    p = _pbp_keyed(pbp, "rusher_player_id")
+    r, ra = fb.flag("rush"), fb.flag("rush_attempt")
+    return p.groupBy(*WEEK_KEY).agg(
+        csum(r).alias("carries"),
+        *[csum(r & fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)],
+        csum(ra).alias("att"),
+        *[csum(ra & fb.in_red_zone(y)).alias(f"att_rz{y}") for y in (20, 10, 5)])
+
+
+def rushing_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
+                        season_type: str | None = None) -> DataFrame:
+    """Carries and red-zone carry shares against team rush-attempt totals."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
+    ev = rushing_events(_eq_filters(pbp, year=season, season_type=season_type))
+    team = ev.groupBy(*TEAM_KEY).agg(
+        F.sum("att").alias("team_carries"),
+        *[F.sum(f"att_rz{y}").alias(f"team_rz{y}_carries") for y in (20, 10, 5)])
+    j = (w.select(*WEEK_KEY, "player_name", "position")
+         .join(ev.filter(F.col("carries") > 0), WEEK_KEY, "left").join(team, TEAM_KEY, "left"))
+
+    def z(c: str) -> F.Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    return j.select(
+        *WEEK_KEY, "player_name", "position", z("carries").alias("carries"),
+        F.when(F.col("team_carries") > 0, share(z("carries"), "team_carries")).alias("carry_share"),
+        *[z(f"rz{y}_carries").alias(f"rz{y}_carries") for y in (20, 10, 5)],
+        *[F.when(F.col(f"team_rz{y}_carries") > 0, share(z(f"rz{y}_carries"), f"team_rz{y}_carries"))
+          .otherwise(F.lit(0.0)).alias(f"rz{y}_carry_share") for y in (20, 10, 5)])
+
+
+# --- D2 player-week stats -----------------------------------------------------------------------
+
+STAT_COLS = ["passing_yards", "passing_tds", "interceptions", "rushing_yards", "rushing_tds",
+             "receiving_yards", "receiving_tds", "receptions", "rushing_fumbles_lost",
+             "receiving_fumbles_lost", "sack_fumbles_lost", "special_teams_tds",
+             "passing_2pt_conversions", "rushing_2pt_conversions", "receiving_2pt_conversions"]
+
+
+def expected_points(pbp: DataFrame) -> DataFrame:
+    """Targets weighted 0.6 (deep, air >= 15) / 0.4, carries by field zone
+    0.8 / 0.5 / 0.3 / 0.15; receiver and rusher sides FULL-joined on the player key."""
+    p = pbp.withColumnRenamed("posteam", "team")
+    is_pass, is_rush = fb.flag("pass"), fb.flag("rush")
+    recv = p.groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id")).agg(
+        F.sum(F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)).alias("xfp_rec"))
+    yl = F.col("yardline_100")
+    rush = p.filter(is_rush).groupBy(*TEAM_KEY, F.col("rusher_player_id").alias("player_id")).agg(
+        F.sum(F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)).alias("xfp_rush"))
+    both = rush.join(recv, WEEK_KEY, "full")
+    return both.select(*WEEK_KEY, (F.coalesce("xfp_rush", F.lit(0.0)) + F.coalesce("xfp_rec", F.lit(0.0))).alias("xfp_lite"))
+
+
+def player_week_stats(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
+                      season_type: str | None = None) -> DataFrame:
+    """Deduped weekly stats, PPR and DK points, aDOT from play data, expected points,
+    typed NULL placeholders for route metrics."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    base = w.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STAT_COLS if c in w.columns})
+    scored = base.withColumns({"ppr_points": scoring.ppr(), "dk_ppr_points": scoring.dk_ppr()})
+    air = fb.is_air_target()
+    adot = (p.withColumnRenamed("posteam", "team")
+            .groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id"))
+            .agg(F.sum(F.when(air, F.col("air_yards")).otherwise(0)).alias("__air"), csum(air).alias("__n")))
+    out = (scored.join(adot, WEEK_KEY, "left").join(expected_points(p), WEEK_KEY, "left"))
+    return out.withColumns({
+        "routes_run": F.lit(None).cast("bigint"), "yprr": F.lit(None).cast("double"),
+        "tprr": F.lit(None).cast("double"),
+        "adot": F.when(F.col("__n") > 0, share("__air", "__n")),
+    }).drop("__air", "__n")
+
+
+def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
+    """Season roll-up of weekly DK points and counting stats."""
+    return week_stats.groupBy("season", "season_type", "player_id").agg(
+        F.max("player_name").alias("player_name"), F.max("position").alias("position"),
+        F.count(F.lit(1)).alias("games"), F.sum("dk_ppr_points").alias("dk_ppr_points"),
+        F.sum("ppr_points").alias("ppr_points"), F.sum("receptions").alias("receptions"),
+        F.sum("receiving_yards").alias("receiving_yards"), F.sum("rushing_yards").alias("rushing_yards"),
+        F.sum("passing_yards").alias("passing_yards"))
+
