@@ -138,6 +138,27 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         (F.col("l_quantity") - 5).alias("yards_gained"),
         ((F.col("l_quantity") - 25) / 10.0).alias("epa"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("touchdown"),
+        F.lit(1.0).alias("play"), F.lit(0.0).alias("aborted_play"),
+        F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "A"), 1.0).otherwise(0.0).alias("play_deleted"),
+        F.when(is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_spike"),
+        F.when(~is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_kneel"),
+        (F.col("l_orderkey") % 4 + 1).alias("qtr"),
+        (F.col("l_orderkey") % 900).alias("quarter_seconds_remaining"),
+        (F.col("l_quantity") - 25).alias("score_differential"),
+        F.col("opp").alias("home_team"), F.col("team").alias("away_team"),
+        (F.col("l_discount") * 5 + 0.25).alias("home_wp"),
+        (F.lit(1.0) - (F.col("l_discount") * 5 + 0.25)).alias("away_wp"),
+        (F.col("l_tax") * 10).alias("xpass"),
+        F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("success"),
+        (F.when(F.col("o_orderpriority") == "1-URGENT", "dome").when(F.col("o_orderpriority") == "2-HIGH", "closed")
+         .when(F.col("o_orderpriority") == "3-MEDIUM", "open").otherwise("outdoors")).alias("roof"),
+        (F.when(F.col("o_orderstatus") == "F", "grass").when(F.col("o_orderstatus") == "O", "fieldturf")
+         .otherwise("a_turf")).alias("surface"),
+        F.col("l_quantity").alias("total_home_score"), (F.col("l_linenumber") * 7).cast("double").alias("total_away_score"),
+        F.when(F.col("l_returnflag") == "A", F.col("opp")).alias("penalty_team"),
+        F.when(F.col("l_returnflag") == "A", 1.0).otherwise(0.0).alias("penalty"),
+        F.col("o_orderpriority").alias("penalty_type"),
+        F.to_date("o_orderdate").alias("game_date"),
     )
 
 
@@ -159,7 +180,22 @@ plays AS (
          CASE WHEN l_tax = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS no_huddle,
          CASE l_partkey % 4 WHEN 0 THEN '11' WHEN 1 THEN '12' WHEN 2 THEN '21' ELSE '22' END AS offense_personnel,
          l_quantity - 5 AS yards_gained, (l_quantity - 25) / 10.0 AS epa,
-         CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS touchdown
+         CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS touchdown,
+         1.0::DOUBLE AS play, 0.0::DOUBLE AS aborted_play,
+         CASE WHEN l_quantity = 50 AND l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS play_deleted,
+         CASE WHEN l_linestatus = 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_spike,
+         CASE WHEN l_linestatus <> 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_kneel,
+         l_orderkey % 4 + 1 AS qtr, l_orderkey % 900 AS quarter_seconds_remaining,
+         l_quantity - 25 AS score_differential, opp AS home_team, team AS away_team,
+         l_discount * 5 + 0.25 AS home_wp, 1.0::DOUBLE - (l_discount * 5 + 0.25) AS away_wp,
+         l_tax * 10 AS xpass, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS success,
+         CASE o_orderpriority WHEN '1-URGENT' THEN 'dome' WHEN '2-HIGH' THEN 'closed' WHEN '3-MEDIUM' THEN 'open'
+              ELSE 'outdoors' END AS roof,
+         CASE o_orderstatus WHEN 'F' THEN 'grass' WHEN 'O' THEN 'fieldturf' ELSE 'a_turf' END AS surface,
+         l_quantity AS total_home_score, CAST(l_linenumber * 7 AS DOUBLE) AS total_away_score,
+         CASE WHEN l_returnflag = 'A' THEN opp END AS penalty_team,
+         CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS penalty,
+         o_orderpriority AS penalty_type, CAST(o_orderdate AS DATE) AS game_date
   FROM enriched
 )"""
 

@@ -67,8 +67,12 @@ supplier_nation AS (
 
 
 def with_sql(*parts: str) -> str:
-    """``WITH`` + shared CTEs; the last part holds the query's own CTEs and its SELECT."""
-    return "WITH " + ",\n".join(p.strip() for p in parts)
+    """``WITH`` + shared CTEs; the last part holds the query's own CTEs and its SELECT
+    (or only the SELECT)."""
+    *ctes, last = [p.strip() for p in parts]
+    if last.upper().startswith("SELECT"):
+        return "WITH " + ",\n".join(ctes) + "\n" + last
+    return "WITH " + ",\n".join([*ctes, last])
 
 
 def lines_team(spark: SparkSession, sf: str) -> DataFrame:

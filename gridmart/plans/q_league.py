@@ -1,3 +1,232 @@
-"""Registered driver queries."""
+"""Registered driver queries: league / team trend marts on the football views."""
 
 from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from gridmart.functions.columns import r6
+from gridmart.plans import adapters as ad
+from gridmart.plans import driver as d
+from gridmart.plans import league as lg
+from gridmart.plans.registry import register
+from gridmart.sources.tables import table
+
+_Q = ("COALESCE(pass = 1, false) OR COALESCE(rush = 1, false)) AND NOT COALESCE(qb_spike = 1, false) "
+      "AND NOT COALESCE(qb_kneel = 1, false) AND NOT COALESCE(play_deleted = 1, false")
+QUAL = f"(({_Q}))"
+NEUTRAL = ("((CASE WHEN posteam = home_team THEN home_wp ELSE away_wp END) BETWEEN 0.35 AND 0.65 "
+           "AND abs(score_differential) <= 7 AND down IN (1, 2) "
+           "AND NOT COALESCE(qtr IN (2, 4) AND quarter_seconds_remaining <= 120, false))")
+EXPLOSIVE = "((pass = 1 AND yards_gained >= 20) OR (rush = 1 AND yards_gained >= 10))"
+
+
+def _sql(body: str) -> str:
+    return d.with_sql(*ad.SQL_FOOTBALL, ad.SQL_PLAYS, body)
+
+
+def _rounded(df: DataFrame) -> DataFrame:
+    return df.select(*[r6(f.name).alias(f.name) if f.dataType.typeName() == "double" else F.col(f.name)
+                       for f in df.schema.fields])
+
+
+@register("league_by_week", _sql(f"""
+q AS (SELECT * FROM plays WHERE {QUAL}),
+pl AS (SELECT season, week, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(epa) AS epa_per_play,
+              AVG(CASE WHEN {NEUTRAL} THEN pass END) AS neutral_pass_rate,
+              CAST(SUM(CASE WHEN {NEUTRAL} THEN 1 ELSE 0 END) AS BIGINT) AS neutral_plays
+       FROM q GROUP BY ALL),
+tw AS (SELECT season, week, posteam, AVG(pass) - AVG(xpass) AS proe FROM q GROUP BY ALL),
+pr AS (SELECT season, week, AVG(proe) AS proe_mean, quantile_disc(proe, 0.5) AS proe_median,
+              quantile_disc(proe, 0.75) - quantile_disc(proe, 0.25) AS proe_iqr FROM tw GROUP BY ALL),
+gp AS (SELECT season, week, game_id, MAX(total_home_score) + MAX(total_away_score) AS pts FROM plays GROUP BY ALL),
+gs AS (SELECT season, week, COUNT(*) AS games, AVG(pts) AS points_per_game FROM gp GROUP BY ALL)
+SELECT season, week, plays, round(pass_rate, 6) AS pass_rate, round(epa_per_play, 6) AS epa_per_play,
+       round(neutral_pass_rate, 6) AS neutral_pass_rate, neutral_plays, round(proe_mean, 6) AS proe_mean,
+       round(proe_median, 6) AS proe_median, round(proe_iqr, 6) AS proe_iqr, games,
+       round(points_per_game, 6) AS points_per_game
+FROM pl JOIN pr USING (season, week) JOIN gs USING (season, week)
+"""))
+def league_by_week(spark: SparkSession, sf: str) -> DataFrame:
+    """D20 (P6, P8, W5-free, A9, A12, A13, J1)."""
+    return _rounded(lg.league_by_week(ad.plays_view(spark, sf)))
+
+
+@register("league_yoy", _sql(f"""
+q AS (SELECT * FROM plays WHERE {QUAL}),
+s AS (SELECT season, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(epa) AS epa_per_play,
+             AVG(CASE WHEN {EXPLOSIVE} THEN 1.0 ELSE 0.0 END) AS explosive_rate,
+             SUM(CASE WHEN {EXPLOSIVE} THEN epa ELSE 0.0 END) / NULLIF(SUM(epa), 0) AS explosive_epa_share
+      FROM q GROUP BY ALL),
+gp AS (SELECT season, game_id, MAX(total_home_score) + MAX(total_away_score) AS pts FROM plays GROUP BY ALL),
+gs AS (SELECT season, COUNT(*) AS games, AVG(pts) AS points_per_game FROM gp GROUP BY ALL)
+SELECT season, plays, round(pass_rate, 6) AS pass_rate, round(epa_per_play, 6) AS epa_per_play,
+       round(explosive_rate, 6) AS explosive_rate, round(explosive_epa_share, 6) AS explosive_epa_share,
+       games, round(points_per_game, 6) AS points_per_game
+FROM s JOIN gs USING (season)
+"""))
+def league_yoy(spark: SparkSession, sf: str) -> DataFrame:
+    """D21 (P6, A4, A13, X13)."""
+    return _rounded(lg.league_yoy(ad.plays_view(spark, sf)))
+
+
+@register("league_by_class", _sql(f"""
+c AS (SELECT *, CASE WHEN upper(roof) IN ('DOME', 'CLOSED') THEN 'INDOOR'
+                     WHEN upper(roof) IN ('OUTDOORS', 'OPEN') THEN 'OUTDOOR' ELSE 'UNKNOWN' END AS roof_class
+      FROM plays),
+mm AS (SELECT season, week, roof_class, COUNT(*) AS plays, AVG(epa) AS epa_per_play, AVG(pass) AS pass_rate
+       FROM c WHERE {QUAL} GROUP BY ALL),
+g AS (SELECT season, week, roof_class, COUNT(DISTINCT game_id) AS games FROM c GROUP BY ALL)
+SELECT season, week, roof_class, plays, round(epa_per_play, 6) AS epa_per_play, round(pass_rate, 6) AS pass_rate, games
+FROM mm JOIN g USING (season, week, roof_class)
+"""))
+def league_by_class(spark: SparkSession, sf: str) -> DataFrame:
+    """D19 (P11 policy 'open is outdoor', P6, A12, J1)."""
+    return _rounded(lg.league_by_class(ad.plays_view(spark, sf), "open_is_outdoor"))
+
+
+@register("rate_over_expected", _sql(f"""
+dd AS (SELECT * FROM plays WHERE {QUAL} AND NOT COALESCE(half_seconds_remaining <= 120, false)),
+a AS (SELECT season, week, posteam, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(xpass) AS xpass_rate
+      FROM dd GROUP BY ALL)
+SELECT season, week, posteam, plays, round(pass_rate, 6) AS pass_rate, round(xpass_rate, 6) AS xpass_rate,
+       round(pass_rate - xpass_rate, 6) AS proe, round(1800.0 / plays, 6) AS sec_per_play_proxy
+FROM a
+"""))
+def rate_over_expected(spark: SparkSession, sf: str) -> DataFrame:
+    """D33 / D75."""
+    return _rounded(lg.rate_over_expected(ad.plays_view(spark, sf)))
+
+
+@register("opponent_adjusted", _sql(f"""
+q AS (SELECT * FROM plays WHERE {QUAL}),
+al AS (SELECT season, defteam, AVG(epa) AS opp_epa_allowed FROM q GROUP BY ALL)
+SELECT q.season, q.posteam, COUNT(*) AS plays, round(AVG(q.epa), 6) AS epa_per_play,
+       round(AVG(q.epa - al.opp_epa_allowed), 6) AS adj_epa_per_play
+FROM q JOIN al ON al.season = q.season AND al.defteam = q.defteam GROUP BY ALL
+"""))
+def opponent_adjusted(spark: SparkSession, sf: str) -> DataFrame:
+    """D37 (X17): opponent-adjusted EPA per play."""
+    return _rounded(lg.opponent_adjusted(ad.plays_view(spark, sf)))
+
+
+@register("pct_filter_counts", _sql(f"""
+q AS (SELECT * FROM plays WHERE {QUAL})
+SELECT season, posteam, COUNT(*) AS plays,
+       round(100.0 * COUNT(*) FILTER (WHERE shotgun = 1) / COUNT(*), 6) AS shotgun_pct,
+       round(100.0 * COUNT(*) FILTER (WHERE no_huddle = 1) / COUNT(*), 6) AS no_huddle_pct,
+       round(100.0 * COUNT(*) FILTER (WHERE offense_personnel = '11') / COUNT(*), 6) AS p11_pct
+FROM q GROUP BY ALL
+"""))
+def pct_filter_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """D28 (A4): percentages from FILTER counts."""
+    return _rounded(lg.pct_filter_counts(ad.plays_view(spark, sf)))
+
+
+@register("agg_coalesced_key", _sql("""
+SELECT season, COALESCE(penalty_team, posteam) AS team, penalty_type, COUNT(*) AS penalties
+FROM plays WHERE penalty = 1 GROUP BY ALL
+"""))
+def agg_coalesced_key(spark: SparkSession, sf: str) -> DataFrame:
+    """D34 (P15): grouping on a coalesced key."""
+    return lg.penalties_by_team(ad.plays_view(spark, sf))
+
+
+@register("team_context", _sql("""
+SELECT season, week, season_type, posteam AS team, COUNT(*) AS plays,
+       CAST(SUM(CASE WHEN pass_attempt = 1 AND NOT COALESCE(sack = 1, false) THEN 1 ELSE 0 END) AS BIGINT) AS team_pass_attempts,
+       CAST(SUM(CASE WHEN rush_attempt = 1 THEN 1 ELSE 0 END) AS BIGINT) AS team_rush_attempts,
+       CAST(SUM(CASE WHEN pass = 1 AND receiver_player_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS team_targets,
+       CAST(SUM(CASE WHEN pass = 1 THEN 1 ELSE 0 END) AS BIGINT) AS team_dropbacks
+FROM plays GROUP BY ALL
+"""))
+def team_context(spark: SparkSession, sf: str) -> DataFrame:
+    """D66 / D76 (X8): team denominators per week."""
+    return lg.team_context(ad.plays_view(spark, sf))
+
+
+@register("share_conditional", _sql("""
+t AS (SELECT * FROM plays WHERE pass = 1 AND receiver_player_id IS NOT NULL),
+per AS (SELECT season, week, posteam, offense_personnel, receiver_player_id, COUNT(*) AS targets FROM t GROUP BY ALL),
+tm AS (SELECT season, week, posteam, offense_personnel, COUNT(*) AS group_targets FROM t GROUP BY ALL)
+SELECT per.*, tm.group_targets, round(per.targets / tm.group_targets, 6) AS personnel_target_share
+FROM per JOIN tm USING (season, week, posteam, offense_personnel)
+"""))
+def share_conditional(spark: SparkSession, sf: str) -> DataFrame:
+    """D64 / D67 (A14): target share within the personnel group."""
+    return _rounded(lg.personnel_target_shares(ad.plays_view(spark, sf)))
+
+
+@register("status_counts", """
+SELECT CAST(year(o.o_orderdate) AS INTEGER) AS season, c.c_nationkey,
+       COUNT(*) FILTER (WHERE lower(o.o_orderpriority) LIKE '%urgent%') AS n_urgent,
+       COUNT(*) FILTER (WHERE upper(o.o_orderpriority) LIKE '%HIGH%') AS n_high,
+       COUNT(*) FILTER (WHERE o.o_orderpriority ILIKE '%low%') AS n_low
+FROM orders o JOIN customer c ON c.c_custkey = o.o_custkey GROUP BY ALL
+""")
+def status_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Status text counts via LIKE / ILIKE (injury report statuses)."""
+    o = table(spark, sf, "orders", "o_custkey", "o_orderdate", "o_orderpriority")
+    c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
+    j = o.join(c, o.o_custkey == c.c_custkey)
+    return j.groupBy(F.year("o_orderdate").alias("season"), "c_nationkey").agg(
+        F.count_if(F.lower("o_orderpriority").like("%urgent%")).alias("n_urgent"),
+        F.count_if(F.upper("o_orderpriority").like("%HIGH%")).alias("n_high"),
+        F.count_if(F.col("o_orderpriority").ilike("%low%")).alias("n_low"))
+
+
+@register("filtered_counts", _sql("""
+SELECT season, posteam, COUNT(DISTINCT game_id) AS indoor_games
+FROM plays WHERE roof IN ('dome', 'closed') AND week BETWEEN 10 AND 12 GROUP BY ALL
+"""))
+def filtered_counts(spark: SparkSession, sf: str) -> DataFrame:
+    """Indoor games per team in the late weeks (filter + distinct count)."""
+    p = ad.plays_view(spark, sf)
+    return (p.filter(F.col("roof").isin("dome", "closed") & F.col("week").between(10, 12))
+            .groupBy("season", "posteam").agg(F.countDistinct("game_id").alias("indoor_games")))
+
+
+_REC_SUMS = ["targets", "end_zone_targets", "rz20_targets", "rz10_targets", "rz5_targets"]
+_REC_MEANS = ["target_share", "shotgun_target_share", "p11_target_share", "adot"]
+
+
+def _rollup_sql() -> str:
+    from gridmart.plans.q_marts import _REC_SQL
+    sums = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {c}" for c in _REC_SUMS)
+    means = ", ".join(f"round(AVG({c}), 6) AS {c}" for c in _REC_MEANS)
+    return (f"WITH r AS ({_REC_SQL})\nSELECT season, season_type, player_id, MAX(player_name) AS player_name, "
+            f"MAX(position) AS position, MAX(team) AS primary_team, COUNT(*) AS games, {sums}, {means} "
+            "FROM r GROUP BY season, season_type, player_id")
+
+
+def _pa_summary_sql() -> str:
+    from gridmart.plans.q_marts import _D1_SQL
+    return f"""WITH pa AS ({_D1_SQL}),
+per AS (SELECT season, defense_team, COUNT(DISTINCT week) AS weeks, SUM(points_allowed_ppr) AS total,
+               AVG(points_allowed_ppr) AS mean FROM pa WHERE position = 'MEDIUM' GROUP BY ALL),
+lg AS (SELECT season, AVG(mean) AS league_mean, STDDEV_POP(mean) AS league_sd FROM per GROUP BY ALL)
+SELECT per.season, defense_team, weeks, round(total, 6) AS total, round(mean, 6) AS mean,
+       round(league_mean, 6) AS league_mean, round(league_sd, 6) AS league_sd,
+       round(mean - league_mean, 6) AS diff, round(100.0 * (mean - league_mean) / league_mean, 6) AS pct
+FROM per JOIN lg USING (season)"""
+
+
+@register("rollup_sum_mean", _rollup_sql())
+def rollup_sum_mean(spark: SparkSession, sf: str) -> DataFrame:
+    """Season roll-up of the receiving mart (sums for counts, means for shares)."""
+    from gridmart.plans.q_marts import mart_util_receiving
+    return _rounded(lg.season_rollup(mart_util_receiving(spark, sf), _REC_SUMS, _REC_MEANS))
+
+
+@register("mart_points_allowed_summary", _pa_summary_sql())
+def mart_points_allowed_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Defense summary for a filter (one position): weeks, total, mean per defense,
+    league mean and population sd of the defense means, difference and percent."""
+    from gridmart.plans.q_marts import mart_points_allowed
+    pa = mart_points_allowed(spark, sf).filter(F.col("position") == "MEDIUM")
+    per = pa.groupBy("season", "defense_team").agg(
+        F.countDistinct("week").alias("weeks"), F.sum("points_allowed_ppr").alias("total"),
+        F.avg("points_allowed_ppr").alias("mean"))
+    league = per.groupBy("season").agg(F.avg("mean").alias("league_mean"), F.stddev_pop("mean").alias("league_sd"))
+    out = per.join(league, "season").withColumn("diff", F.col("mean") - F.col("league_mean"))
+    return _rounded(out.withColumn("pct", 100.0 * F.col("diff") / F.col("league_mean")))
