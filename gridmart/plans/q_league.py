@@ -194,7 +194,8 @@ def _rollup_sql() -> str:
     from gridmart.plans.q_marts import _REC_SQL
     sums = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {c}" for c in _REC_SUMS)
     means = ", ".join(f"round(AVG({c}), 6) AS {c}" for c in _REC_MEANS)
-    return (f"WITH r AS ({_REC_SQL})\nSELECT season, season_type, player_id, MAX(player_name) AS player_name, "
+    unrounded = _REC_SQL.replace("round(CASE", "(CASE").replace("END, 6) AS", "END) AS")
+    return (f"WITH r AS ({unrounded})\nSELECT season, season_type, player_id, MAX(player_name) AS player_name, "
             f"MAX(position) AS position, MAX(team) AS primary_team, COUNT(*) AS games, {sums}, {means} "
             "FROM r GROUP BY season, season_type, player_id")
 
@@ -214,8 +215,9 @@ FROM per JOIN lg USING (season)"""
 @register("rollup_sum_mean", _rollup_sql())
 def rollup_sum_mean(spark: SparkSession, sf: str) -> DataFrame:
     """Season roll-up of the receiving mart (sums for counts, means for shares)."""
-    from gridmart.plans.q_marts import mart_util_receiving
-    return _rounded(lg.season_rollup(mart_util_receiving(spark, sf), _REC_SUMS, _REC_MEANS))
+    from gridmart.plans import marts as m
+    util = m.receiving_utilization(ad.weekly_view(spark, sf), ad.plays_view(spark, sf))
+    return _rounded(lg.season_rollup(util, _REC_SUMS, _REC_MEANS))
 
 
 @register("mart_points_allowed_summary", _pa_summary_sql())
