@@ -36,7 +36,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf, "nation", "n_nationkey", "n_name").withColumnRenamed("n_name", "opp")
     p = table(spark, sf, "part", "p_partkey", "p_name", "p_type")
-    cust = c.join(n, c.c_nationkey == n.n_nationkey).select("c_custkey", "opp")
+    cust = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
+        "c_custkey", "opp", F.col("c_nationkey").alias("opp_key"))
     return (d.lines_team(spark, sf)
             .join(cust, F.col("o_custkey") == F.col("c_custkey"))
             .join(p, F.col("l_partkey") == F.col("p_partkey")))
@@ -44,7 +45,7 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_ENRICHED = """
 enriched AS (
-  SELECT lt.*, cn.n_name AS opp, p.p_name, p.p_type, """ + _POS_SQL + """ AS position
+  SELECT lt.*, cn.n_name AS opp, c.c_nationkey AS opp_key, p.p_name, p.p_type, """ + _POS_SQL + """ AS position
   FROM lines_team lt JOIN customer c ON c.c_custkey = lt.o_custkey
   JOIN nation cn ON cn.n_nationkey = c.c_nationkey JOIN part p ON p.p_partkey = lt.l_partkey
 )"""
@@ -62,13 +63,16 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
     def cnt(cond: F.Column) -> F.Column:
         return F.count_if(cond)
 
-    return e.groupBy(
+    # Name and position depend on the part alone, so they are grouping keys (a hash
+    # aggregate; MAX over text would force a sort-based aggregate). The opponent is the
+    # nation with the largest key, named after the aggregate through the 25-row nation table.
+    agg = e.groupBy(
         "season", "week", F.lit("REG").alias("season_type"), "team",
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"),
         F.when(F.col("l_returnflag") != "R", F.lit("feed")).alias("source"),
+        F.col("p_name").alias("player_name"), _position("p_type").alias("position"),
     ).agg(
-        F.max("p_name").alias("player_name"), F.max(_position("p_type")).alias("position"),
-        F.max("opp").alias("opponent_team"),
+        F.max("opp_key").alias("__opp_key"),
         cnt(F.col("l_returnflag") == "N").alias("completions"), F.count(F.lit(1)).alias("attempts"),
         F.sum(q).alias("passing_yards"), cnt(q >= 45).alias("passing_tds"),
         cnt(q <= 3).cast("double").alias("interceptions"), cnt(q == 4).alias("sack_fumbles_lost"),
@@ -81,13 +85,17 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
         cnt(ln == 7).alias("passing_2pt_conversions"), cnt(ln == 6).alias("rushing_2pt_conversions"),
         cnt(ln == 5).alias("receiving_2pt_conversions"),
     )
+    names = table(spark, sf, "nation", "n_nationkey", "n_name")
+    out = agg.join(F.broadcast(names), agg["__opp_key"] == names["n_nationkey"], "left")
+    cols = [c for c in agg.columns if c != "__opp_key"]
+    return out.select(*cols[:8], F.col("n_name").alias("opponent_team"), *cols[8:])
 
 
 SQL_WEEKLY = """
-weekly AS (
+weekly0 AS (
   SELECT season, week, 'REG' AS season_type, team, 'P' || CAST(l_partkey AS VARCHAR) AS player_id,
          CASE WHEN l_returnflag <> 'R' THEN 'feed' END AS source,
-         MAX(p_name) AS player_name, MAX(position) AS position, MAX(opp) AS opponent_team,
+         MAX(p_name) AS player_name, MAX(position) AS position, MAX(opp_key) AS opp_key,
          COUNT(*) FILTER (WHERE l_returnflag = 'N') AS completions, COUNT(*) AS attempts,
          CAST(SUM(l_quantity) AS DOUBLE) AS passing_yards, COUNT(*) FILTER (WHERE l_quantity >= 45) AS passing_tds,
          CAST(COUNT(*) FILTER (WHERE l_quantity <= 3) AS DOUBLE) AS interceptions,
@@ -106,6 +114,10 @@ weekly AS (
          COUNT(*) FILTER (WHERE l_linenumber = 5) AS receiving_2pt_conversions
   FROM enriched
   GROUP BY season, week, team, l_partkey, CASE WHEN l_returnflag <> 'R' THEN 'feed' END
+),
+weekly AS (
+  SELECT w0.* EXCLUDE (opp_key), n.n_name AS opponent_team
+  FROM weekly0 w0 LEFT JOIN nation n ON n.n_nationkey = w0.opp_key
 )"""
 
 
