@@ -88,7 +88,9 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
     names = table(spark, sf, "nation", "n_nationkey", "n_name")
     out = agg.join(F.broadcast(names), agg["__opp_key"] == names["n_nationkey"], "left")
     cols = [c for c in agg.columns if c != "__opp_key"]
-    return out.select(*cols[:8], F.col("n_name").alias("opponent_team"), *cols[8:])
+    ays = F.col("receptions") / F.col("attempts")
+    return out.select(*cols[:8], F.col("n_name").alias("opponent_team"), *cols[8:],
+                      ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"))
 
 
 SQL_WEEKLY = """
@@ -116,7 +118,8 @@ weekly0 AS (
   GROUP BY season, week, team, l_partkey, CASE WHEN l_returnflag <> 'R' THEN 'feed' END
 ),
 weekly AS (
-  SELECT w0.* EXCLUDE (opp_key), n.n_name AS opponent_team
+  SELECT w0.* EXCLUDE (opp_key), n.n_name AS opponent_team, w0.receptions / w0.attempts AS air_yards_share,
+         w0.receptions / w0.attempts * 0.7 AS wopr
   FROM weekly0 w0 LEFT JOIN nation n ON n.n_nationkey = w0.opp_key
 )"""
 
@@ -171,6 +174,11 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", 1.0).otherwise(0.0).alias("penalty"),
         F.col("o_orderpriority").alias("penalty_type"),
         F.to_date("o_orderdate").alias("game_date"),
+        F.floor((F.col("l_linenumber") + 1) / 3).cast("bigint").alias("drive"),
+        (F.col("l_linenumber") % 3 + 2).alias("drive_play_count"),
+        F.concat((F.col("l_quantity").cast("bigint") % 10).cast("string"), F.lit(":"),
+                 F.lpad((F.col("l_orderkey") % 60).cast("string"), 2, "0")).alias("drive_time_of_possession"),
+        F.when(is_pass, 1.0).otherwise(0.0).alias("qb_dropback"),
     )
 
 
@@ -207,7 +215,11 @@ plays AS (
          l_quantity AS total_home_score, CAST(l_linenumber * 7 AS DOUBLE) AS total_away_score,
          CASE WHEN l_returnflag = 'A' THEN opp END AS penalty_team,
          CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS penalty,
-         o_orderpriority AS penalty_type, CAST(o_orderdate AS DATE) AS game_date
+         o_orderpriority AS penalty_type, CAST(o_orderdate AS DATE) AS game_date,
+         CAST((l_linenumber + 1) // 3 AS BIGINT) AS drive, l_linenumber % 3 + 2 AS drive_play_count,
+         CAST(CAST(l_quantity AS BIGINT) % 10 AS VARCHAR) || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0')
+           AS drive_time_of_possession,
+         CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_dropback
   FROM enriched
 )"""
 

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import football as fb
 from gridmart.functions import scoring
-from gridmart.functions.columns import csum, share
+from gridmart.functions.columns import csum, mmss_to_seconds, share
 from gridmart.operators.dedupe import dedupe_first
 from gridmart.operators.grid import expand, grid_fill
 from gridmart.operators.unpivot import sides_to_long
@@ -251,3 +251,98 @@ def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
         F.sum("receiving_yards").alias("receiving_yards"), F.sum("rushing_yards").alias("rushing_yards"),
         F.sum("passing_yards").alias("passing_yards"))
 
+
+
+# --- D6 / D7 wide utilization ---------------------------------------------------------------------
+
+DRIVE_KEY = [*TEAM_KEY, "game_id", "drive"]
+
+
+def team_style(pbp: DataFrame) -> DataFrame:
+    """Team PROE and play-weighted seconds per play on drives with dropbacks outside the
+    last two minutes of a half (X9, X11, J15, Q4).
+
+    Each dropback play takes its drive's facts through a key-unique join (one facts row
+    per drive), so the average is over plays, as in the reference's spine x facts x plays
+    join, without building the distinct-drive spine.
+    """
+    p = pbp.withColumnRenamed("posteam", "team")
+    base = p.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120)).select(
+        *DRIVE_KEY, F.col("pass").cast("int").alias("is_pass"), "xpass")
+    facts = p.groupBy(*DRIVE_KEY).agg(
+        F.max("drive_play_count").alias("dpc"), F.max(mmss_to_seconds("drive_time_of_possession")).alias("dts"))
+    # One row of facts per drive: a key-unique join, so each dropback play meets one row.
+    j = base.join(facts, DRIVE_KEY, "left")
+    # Seconds per play per drive at microsecond precision, summed exactly as DECIMAL and
+    # divided once: the average does not depend on summation order.
+    spp = F.when((F.col("dpc") > 0) & F.col("dts").isNotNull(),
+                 F.round(F.col("dts") / F.col("dpc"), 6).cast("decimal(18,6)"))
+    return j.groupBy(*TEAM_KEY).agg(
+        (F.avg("is_pass") - F.avg("xpass")).alias("team_proe_neutral"),
+        (F.sum(spp).cast("double") / F.count(spp)).alias("team_sec_per_play_neutral"))
+
+
+def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", variant: str = "wr",
+                     routes: DataFrame | None = None, season: int | None = None,
+                     season_type: str | None = None) -> DataFrame:
+    """D7 (``variant='wr'``) / D6 (``'te'``, without long/short/four-minute/play-action
+    shares): receiving volume, route-based rates (NULL until a routes source is given,
+    X15), situational shares against team pass attempts, formation and personnel shares,
+    aDOT and team context."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
+    w = w.filter(F.col("position") == position).select(
+        *WEEK_KEY, "player_name", "position", "receiving_yards", "air_yards_share", "wopr")
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    rec = receiving_events(p)
+    t = fb.is_target()
+    rteam = p.withColumnRenamed("posteam", "team").groupBy(*TEAM_KEY).agg(
+        csum(t).alias("team_targets"),
+        csum(t & fb.flag("shotgun")).alias("team_targets_shotgun"),
+        csum(t & fb.flag("no_huddle")).alias("team_targets_no_huddle"),
+        *[csum(t & fb.personnel(c)).alias(f"team_targets_p{c}") for c in ("11", "12", "21")],
+        *[csum(t & fb.in_red_zone(y)).alias(f"team_targets_rz{y}") for y in (20, 10, 5)],
+        csum(fb.is_end_zone_target()).alias("team_end_zone_targets"),
+        csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"))
+    if routes is None:
+        routes = w.select("season", "week", "team", "player_id", F.lit(None).cast("bigint").alias("routes_run"))
+    j = (w.join(routes, ["season", "week", "team", "player_id"], "left")
+         .join(rec, WEEK_KEY, "left").join(rteam, TEAM_KEY, "left").join(team_style(p), TEAM_KEY, "left"))
+
+    def z(c: str) -> F.Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    def pos_share(n: str, d_: str) -> F.Column:
+        return F.when(F.col(d_) > 0, share(z(n), d_))
+
+    def share_or0(n: str, d_: str) -> F.Column:
+        return F.when(F.col(d_) > 0, share(z(n), d_)).otherwise(F.lit(0.0))
+
+    cols = [
+        *WEEK_KEY, "player_name", "position", z("targets").alias("targets"),
+        pos_share("targets", "team_targets").alias("target_share"),
+        "routes_run",
+        F.when((F.col("team_pass_attempts") > 0) & F.col("routes_run").isNotNull(),
+               share("routes_run", "team_pass_attempts")).alias("route_participation"),
+        F.when(F.col("routes_run") > 0, share(z("receiving_yards"), "routes_run")).alias("yprr"),
+        F.when(F.col("routes_run") > 0, share(z("targets"), "routes_run")).alias("tprr"),
+        "air_yards_share", "wopr",
+        z("end_zone_targets").alias("end_zone_targets"),
+        share_or0("end_zone_targets", "team_end_zone_targets").alias("end_zone_target_share"),
+        *[z(f"rz{y}_targets").alias(f"rz{y}_targets") for y in (20, 10, 5)],
+        *[share_or0(f"rz{y}_targets", f"team_targets_rz{y}").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
+    ]
+    situational = ["third_fourth_down", "two_minute"]
+    if variant == "wr":
+        situational = ["ldd", "sdd", "third_fourth_down", "two_minute", "four_minute"]
+    cols += [pos_share(f"{s}_targets", "team_pass_attempts").alias(f"{s}_target_share") for s in situational]
+    if variant == "wr":
+        # No play-action source: typed NULL instead of a constant 0.
+        cols.append(F.lit(None).cast("double").alias("play_action_target_share"))
+    cols += [
+        share_or0("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
+        share_or0("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
+        *[share_or0(f"p{c}_targets", f"team_targets_p{c}").alias(f"p{c}_target_share") for c in ("11", "12", "21")],
+        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"),
+        "team_proe_neutral", "team_sec_per_play_neutral",
+    ]
+    return j.select(*cols)
