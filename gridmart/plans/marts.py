@@ -346,3 +346,47 @@ def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", va
         "team_proe_neutral", "team_sec_per_play_neutral",
     ]
     return j.select(*cols)
+
+
+# --- D3 RB utilization --------------------------------------------------------------------------
+
+def rb_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
+                   season_type: str | None = None, position: str = "RB") -> DataFrame:
+    """D3: carries and red-zone carries vs team rush attempts, targets vs team pass
+    attempts (X8), team PROE and the pace proxy ``30 / dropbacks * 60`` (X10)."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
+    w = w.filter(F.col("position") == position).select(*WEEK_KEY, "player_name", "position")
+    p = _eq_filters(pbp, year=season, season_type=season_type).withColumnRenamed("posteam", "team")
+    r = fb.flag("rush")
+    rush = p.filter(r).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
+        F.count(F.lit(1)).alias("carries"),
+        *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)],
+        csum(fb.late_down()).alias("third_fourth_down_carries"))
+    t = fb.is_target()
+    rec = p.withColumn("player_id", F.col("receiver_player_id")).groupBy(*WEEK_KEY).agg(
+        csum(t).alias("targets"), csum(t & fb.within_half_seconds(120)).alias("two_minute_targets"))
+    ctx = p.groupBy(*TEAM_KEY).agg(csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"),
+                                   csum(fb.flag("rush_attempt")).alias("team_carries"))
+    base = p.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120))
+    style = base.groupBy(*TEAM_KEY).agg(
+        (F.avg(F.col("pass").cast("int")) - F.avg("xpass")).alias("team_proe_neutral"),
+        (F.lit(30.0) / F.count(F.lit(1)) * 60.0).alias("team_sec_per_play_neutral"))
+    j = (w.join(rush, WEEK_KEY, "left").join(rec, WEEK_KEY, "left")
+         .join(ctx, TEAM_KEY, "left").join(style, TEAM_KEY, "left"))
+
+    def z(c: str) -> F.Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    def pos_share(n: str, d_: str) -> F.Column:
+        return F.when(F.col(d_) > 0, share(z(n), d_))
+
+    return j.select(
+        *WEEK_KEY, "player_name", "position", z("carries").alias("carries"),
+        pos_share("carries", "team_carries").alias("carry_share"),
+        *[z(f"rz{y}_carries").alias(f"rz{y}_carries") for y in (20, 10, 5)],
+        *[pos_share(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
+        z("third_fourth_down_carries").alias("third_fourth_down_carries"),
+        z("targets").alias("targets"), pos_share("targets", "team_pass_attempts").alias("target_share"),
+        z("two_minute_targets").alias("two_minute_targets"),
+        pos_share("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
+        "team_proe_neutral", "team_sec_per_play_neutral")
