@@ -13,6 +13,8 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from gridmart.operators.ranking import row_number_in_groups
+
 # The Best Ball line-up (QB1 RB2 WR3 TE1 FLEX1 from RB/WR/TE).
 DEFAULT_SLOTS = {"QB": 1, "RB": 2, "WR": 3, "TE": 1}
 DEFAULT_FLEX = ("RB", "WR", "TE")
@@ -56,6 +58,6 @@ def tie_break_chain(scores: DataFrame, group: Sequence[str], entry: str, period_
     per_entry = scores.groupBy(*group, entry).agg(
         F.sum(period_score).alias("total_points"),
         F.sort_array(F.collect_list(period_score), asc=False).alias("chain"))
-    w = Window.partitionBy(*group).orderBy(F.col("total_points").desc(), F.col("chain").desc(),
-                                           F.col(entry).asc())
-    return per_entry.withColumn("place", F.row_number().over(w))
+    order = [F.col("total_points").desc(), F.col("chain").desc(), F.col(entry).asc()]
+    # A whole season of entries is one group: rank it range-split, not in one task.
+    return row_number_in_groups(per_entry, list(group), order, "place", method="range")

@@ -11,7 +11,8 @@ functions here also offer ``method="range"``:
    row per slice and group) and added as offsets.
 
 The same split gives a skew-safe ``lag``: a slice's first row takes the last row of the
-previous slice of the same group. ``order`` must be a total order inside a group (end it
+previous slice of the same group. The tagged slices are checkpointed once so every
+branch of the plan sees the same slice numbers (see ``_slices``). ``order`` must be a total order inside a group (end it
 with unique columns) so the result does not depend on input order.
 """
 
@@ -29,9 +30,22 @@ _PID = "__slice"
 
 def _slices(df: DataFrame, group: Sequence[str], order: Sequence[Column],
             partitions: int | None) -> DataFrame:
+    """Range-partition and tag each row with its slice number, materialised once.
+
+    The slice number comes from ``spark_partition_id()`` after a range shuffle whose
+    bounds are sampled at run time. Two plan branches (local numbering and the per-slice
+    summary) would otherwise each run their own range shuffle and may sample different
+    bounds, so the tagged rows are checkpointed (reliably, under the shared
+    ``spark.checkpoint.dir``) and both branches read the same slices; a lost executor
+    re-reads the checkpoint instead of re-sampling.
+    """
+    from gridmart.session import checkpoint_dir
+
+    checkpoint_dir(df.sparkSession)
     n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (df.repartitionByRange(n, *[F.col(g).asc_nulls_first() for g in group], *order)
-            .withColumn(_PID, F.spark_partition_id()))
+            .withColumn(_PID, F.spark_partition_id())
+            .checkpoint(eager=True))
 
 
 def row_number_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Column],

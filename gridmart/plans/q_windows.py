@@ -113,11 +113,16 @@ def lag_gap_capped(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def customer_orders_with_rest(spark: SparkSession, sf: str) -> DataFrame:
-    """Orders with rest days since the customer's previous order and its priority."""
+    """Orders with rest days since the customer's previous order and its priority.
+
+    One range-split LAG carries both previous values (a struct), so a customer with a
+    huge order history is spread over several tasks."""
     o = table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate", "o_orderpriority", "o_totalprice")
     order = [F.col("o_orderdate").asc(), F.col("o_orderkey").asc()]
-    o = previous_in_groups(o, ["o_custkey"], order, "o_orderdate", "prev_date")
-    o = previous_in_groups(o, ["o_custkey"], order, "o_orderpriority", "prev_priority")
+    o = o.withColumn("__prev", F.struct("o_orderdate", "o_orderpriority"))
+    o = previous_in_groups(o, ["o_custkey"], order, "__prev", "__p", method="range")
+    o = o.withColumns({"prev_date": F.col("__p.o_orderdate"), "prev_priority": F.col("__p.o_orderpriority")})
+    o = o.drop("__prev", "__p")
     return o.withColumn("rest_days", F.datediff(F.to_date("o_orderdate"), F.to_date("prev_date")))
 
 
