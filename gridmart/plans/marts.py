@@ -390,3 +390,46 @@ def rb_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
         z("two_minute_targets").alias("two_minute_targets"),
         pos_share("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
         "team_proe_neutral", "team_sec_per_play_neutral")
+
+
+# --- D79 / D80 tier shares ----------------------------------------------------------------------
+
+def season_points(weekly: DataFrame, positions: Sequence[str] = SKILL_POSITIONS,
+                  season_range: tuple[int, int] | None = None) -> DataFrame:
+    """Season DK points (F3, no bonuses) per player and position. Weekly points are
+    defined to the cent, so each is fixed at two decimals and summed exactly."""
+    w = weekly.filter(F.upper("position").isin([p.upper() for p in positions]))
+    if season_range:
+        w = w.filter(F.col("season").between(*season_range))
+    cents = F.round(scoring.dk_no_bonus(), 2).cast("decimal(18,2)")
+    return w.groupBy("season", "player_id", "position").agg(F.sum(cents).alias("pts"))
+
+
+def tier_shares(weekly: DataFrame, positions: Sequence[str] = SKILL_POSITIONS, pooled: bool = False,
+                season_range: tuple[int, int] | None = None, tier_size: int = 12) -> DataFrame:
+    """D80 (per position, ``pooled=False``) / D79 (one pool, ``pooled=True``): players ranked
+    by season points (ties to the smaller id), tiers of ``tier_size`` (integer division,
+    SURVEY Q1), each tier's share of the group's points, mean / median / min / IQR and
+    top-12/24/36 flags. The rank is range-split, so one huge season-position group is not
+    ranked in a single task."""
+    from gridmart.operators.ranking import row_number_in_groups
+    from gridmart.operators.shares import with_group_totals
+
+    pts = season_points(weekly, positions, season_range)
+    group = ["season"] if pooled else ["season", "position"]
+    ranked = row_number_in_groups(pts, group, [F.col("pts").desc(), F.col("player_id").asc()], "rnk",
+                                  method="range")
+    tiers = ranked.withColumn("tier", (F.floor((F.col("rnk") - 1) / tier_size) + 1).cast("bigint"))
+    tiers = with_group_totals(tiers, group, {"group_pts": F.sum("pts")})
+    p = F.col("pts").cast("double")
+
+    def disc(q: float) -> F.Column:
+        return F.expr(f"percentile_disc({q}) WITHIN GROUP (ORDER BY pts)").cast("double")
+
+    aggs = [share(F.sum("pts").cast("double"), F.first("group_pts").cast("double")).alias("share"),
+            (F.sum("pts").cast("double") / F.count(F.lit(1))).alias("mean_pts"),
+            disc(0.5).alias("median_pts"), F.min(p).alias("min_pts")]
+    if not pooled:
+        aggs += [(disc(0.75) - disc(0.25)).alias("iqr_pts"),
+                 *[F.max(F.when(F.col("rnk") <= k, 1).otherwise(0)).alias(f"top{k}_flag") for k in (12, 24, 36)]]
+    return tiers.groupBy(*group, "tier").agg(*aggs)
