@@ -179,6 +179,8 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.concat((F.col("l_quantity").cast("bigint") % 10).cast("string"), F.lit(":"),
                  F.lpad((F.col("l_orderkey") % 60).cast("string"), 2, "0")).alias("drive_time_of_possession"),
         F.when(is_pass, 1.0).otherwise(0.0).alias("qb_dropback"),
+        F.when(F.col("l_quantity").isin(48, 49), 1.0).otherwise(0.0).alias("field_goal_attempt"),
+        F.when(F.col("l_quantity") == 49, "good").when(F.col("l_quantity") == 48, "missed").alias("field_goal_result"),
     )
 
 
@@ -219,7 +221,9 @@ plays AS (
          CAST((l_linenumber + 1) // 3 AS BIGINT) AS drive, l_linenumber % 3 + 2 AS drive_play_count,
          CAST(CAST(l_quantity AS BIGINT) % 10 AS VARCHAR) || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0')
            AS drive_time_of_possession,
-         CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_dropback
+         CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_dropback,
+         CASE WHEN l_quantity IN (48, 49) THEN 1.0 ELSE 0.0 END::DOUBLE AS field_goal_attempt,
+         CASE WHEN l_quantity = 49 THEN 'good' WHEN l_quantity = 48 THEN 'missed' END AS field_goal_result
   FROM enriched
 )"""
 

@@ -140,3 +140,14 @@ def season_rollup(util: DataFrame, sums: Sequence[str], means: Sequence[str]) ->
         F.max("player_name").alias("player_name"), F.max("position").alias("position"),
         F.max("team").alias("primary_team"), F.count(F.lit(1)).alias("games"),
         *[F.sum(c).alias(c) for c in sums], *[F.avg(c).alias(c) for c in means])
+
+
+def drive_summary(pbp: DataFrame) -> DataFrame:
+    """D30 (P7, A4, X16): per drive the offense, EPA, success rate and naive points
+    (7 per touchdown play, 3 per made field goal)."""
+    p = pbp.filter(fb.is_true_play())
+    pts = (F.when(fb.flag("touchdown"), 7)
+           .when(fb.flag("field_goal_attempt") & (F.col("field_goal_result") == "good"), 3).otherwise(0))
+    return p.groupBy("game_id", F.col("drive").alias("drive_num")).agg(
+        F.max("posteam").alias("offense"), F.sum("epa").alias("drive_epa"),
+        F.avg("success").alias("success_rate"), F.sum(pts).alias("naive_points"))

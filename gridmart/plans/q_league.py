@@ -232,3 +232,41 @@ def mart_points_allowed_summary(spark: SparkSession, sf: str) -> DataFrame:
     league = per.groupBy("season").agg(F.avg("mean").alias("league_mean"), F.stddev_pop("mean").alias("league_sd"))
     out = per.join(league, "season").withColumn("diff", F.col("mean") - F.col("league_mean"))
     return _rounded(out.withColumn("pct", 100.0 * F.col("diff") / F.col("league_mean")))
+
+
+@register("drive_summary", _sql("""
+SELECT game_id, drive AS drive_num, MAX(posteam) FILTER (WHERE posteam IS NOT NULL) AS offense,
+       round(SUM(epa), 6) AS drive_epa, round(AVG(success), 6) AS success_rate,
+       CAST(SUM(CASE WHEN touchdown = 1 THEN 7 WHEN field_goal_attempt = 1 AND field_goal_result = 'good' THEN 3
+                     ELSE 0 END) AS BIGINT) AS naive_points
+FROM plays WHERE play = 1 AND COALESCE(aborted_play, 0) = 0 GROUP BY game_id, drive
+"""))
+def drive_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """D30 (X16): drive EPA, success rate and naive drive points."""
+    return _rounded(lg.drive_summary(ad.plays_view(spark, sf)))
+
+
+@register("sql_views_params", """
+WITH s AS (
+  SELECT o.o_custkey, CAST(year(o.o_orderdate) AS INTEGER) AS season,
+         CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS spend
+  FROM lineitem l JOIN orders o ON l.l_orderkey = o.o_orderkey
+  WHERE year(o.o_orderdate) >= 1996 GROUP BY ALL),
+r AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY spend DESC, o_custkey) AS rk FROM s)
+SELECT o_custkey, season, spend, CAST(rk AS INTEGER) AS rk FROM r WHERE rk <= 10
+""")
+def sql_views_params(spark: SparkSession, sf: str, start_season: int = 1996, top: int = 10) -> DataFrame:
+    """K9 + P3 + T3 through the SQL API: temp views over the tables and a saved query run
+    with typed named parameters (no text substitution)."""
+    table(spark, sf, "lineitem", "l_orderkey", "l_extendedprice").createOrReplaceTempView("gm_lineitem")
+    table(spark, sf, "orders", "o_orderkey", "o_custkey", "o_orderdate").createOrReplaceTempView("gm_orders")
+    return spark.sql("""
+        WITH s AS (
+          SELECT o.o_custkey, year(o.o_orderdate) AS season,
+                 CAST(SUM(CAST(l.l_extendedprice AS DECIMAL(18,2))) AS DOUBLE) AS spend
+          FROM gm_lineitem l JOIN gm_orders o ON l.l_orderkey = o.o_orderkey
+          WHERE year(o.o_orderdate) >= :start_season
+          GROUP BY o.o_custkey, year(o.o_orderdate)),
+        r AS (SELECT *, row_number() OVER (PARTITION BY season ORDER BY spend DESC, o_custkey) AS rk FROM s)
+        SELECT o_custkey, season, spend, rk FROM r WHERE rk <= :top
+    """, args={"start_season": start_season, "top": top})
