@@ -70,7 +70,9 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
         "season", "week", F.lit("REG").alias("season_type"), "team",
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"),
         F.when(F.col("l_returnflag") != "R", F.lit("feed")).alias("source"),
-        F.col("p_name").alias("player_name"), _position("p_type").alias("position"),
+        # A stat line without a feed also has no player name (the gap names are filled from).
+        F.when(F.col("l_returnflag") != "R", F.col("p_name")).alias("player_name"),
+        _position("p_type").alias("position"),
     ).agg(
         F.max("opp_key").alias("__opp_key"),
         cnt(F.col("l_returnflag") == "N").alias("completions"), F.count(F.lit(1)).alias("attempts"),
@@ -97,7 +99,8 @@ SQL_WEEKLY = """
 weekly0 AS (
   SELECT season, week, 'REG' AS season_type, team, 'P' || CAST(l_partkey AS VARCHAR) AS player_id,
          CASE WHEN l_returnflag <> 'R' THEN 'feed' END AS source,
-         MAX(p_name) AS player_name, MAX(position) AS position, MAX(opp_key) AS opp_key,
+         MAX(CASE WHEN l_returnflag <> 'R' THEN p_name END) AS player_name, MAX(position) AS position,
+         MAX(opp_key) AS opp_key,
          COUNT(*) FILTER (WHERE l_returnflag = 'N') AS completions, COUNT(*) AS attempts,
          CAST(SUM(l_quantity) AS DOUBLE) AS passing_yards, COUNT(*) FILTER (WHERE l_quantity >= 45) AS passing_tds,
          CAST(COUNT(*) FILTER (WHERE l_quantity <= 3) AS DOUBLE) AS interceptions,
@@ -124,6 +127,27 @@ weekly AS (
 )"""
 
 
+def _name_variant() -> F.Column:
+    """Play-by-play spelling of the player's name: upper case on some feeds."""
+    return F.when(F.col("l_returnflag") == "A", F.upper("p_name")).otherwise(F.col("p_name"))
+
+
+def rosters_seasonal_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Seasonal roster names for part of the players (parts up to size 25)."""
+    p = table(spark, sf, "part", "p_partkey", "p_name", "p_size").filter(F.col("p_size") <= 25)
+    li = d.lines(spark, sf).select("season", "l_partkey").distinct()
+    return li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
+        "season", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"),
+        F.concat(F.upper(F.substring("p_name", 1, 1)), F.expr("substring(p_name, 2)")).alias("player_name"))
+
+
+SQL_ROSTERS_SEASONAL = """
+rosters_seasonal AS (
+  SELECT DISTINCT li.season, 'P' || CAST(li.l_partkey AS VARCHAR) AS player_id, upper(substr(p.p_name, 1, 1)) || substr(p.p_name, 2) AS player_name
+  FROM lines li JOIN part p ON p.p_partkey = li.l_partkey WHERE p.p_size <= 25
+)"""
+
+
 def plays_view(spark: SparkSession, sf: str) -> DataFrame:
     """Play-by-play rows with the pbp columns the utilization marts read."""
     e = _enriched(spark, sf)
@@ -142,6 +166,8 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.when(is_pass & (F.col("l_quantity") <= 2), 1.0).otherwise(0.0).alias("sack"),
         F.when(is_pass, pid).alias("receiver_player_id"),
         F.when(~is_pass, pid).alias("rusher_player_id"),
+        F.when(is_pass, _name_variant()).alias("receiver_player_name"),
+        F.when(~is_pass, _name_variant()).alias("rusher_player_name"),
         F.when(is_pass & (F.col("l_returnflag") != "A"), F.col("l_quantity") - 10).alias("air_yards"),
         (F.col("l_partkey") % 99 + 1).alias("yardline_100"),
         ((F.col("l_linenumber") - 1) % 4 + 1).alias("down"),
@@ -195,6 +221,10 @@ plays AS (
          CASE WHEN l_linestatus = 'O' AND l_quantity <= 2 THEN 1.0 ELSE 0.0 END::DOUBLE AS sack,
          CASE WHEN l_linestatus = 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS receiver_player_id,
          CASE WHEN l_linestatus <> 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS rusher_player_id,
+         CASE WHEN l_linestatus = 'O' THEN CASE WHEN l_returnflag = 'A' THEN upper(p_name) ELSE p_name END END
+           AS receiver_player_name,
+         CASE WHEN l_linestatus <> 'O' THEN CASE WHEN l_returnflag = 'A' THEN upper(p_name) ELSE p_name END END
+           AS rusher_player_name,
          CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' THEN l_quantity - 10 END AS air_yards,
          l_partkey % 99 + 1 AS yardline_100, (l_linenumber - 1) % 4 + 1 AS down,
          l_suppkey % 10 + 1 AS ydstogo, l_orderkey % 1800 AS half_seconds_remaining,

@@ -433,3 +433,29 @@ def tier_shares(weekly: DataFrame, positions: Sequence[str] = SKILL_POSITIONS, p
         aggs += [(disc(0.75) - disc(0.25)).alias("iqr_pts"),
                  *[F.max(F.when(F.col("rnk") <= k, 1).otherwise(0)).alias(f"top{k}_flag") for k in (12, 24, 36)]]
     return tiers.groupBy(*group, "tier").agg(*aggs)
+
+
+# --- D54 name reconciliation --------------------------------------------------------------------
+
+def reconcile_names(weekly: DataFrame, rosters_seasonal: DataFrame, pbp: DataFrame,
+                    season_range: tuple[int, int] | None = None) -> DataFrame:
+    """D54 (U3, A16, J13, Q8): best name for weekly rows without one: the seasonal roster
+    name, else the most frequent play-by-play spelling over all roles (ties to the
+    smallest). Roles are unpivoted in one pass; lookups are deduplicated before joining."""
+    from gridmart.operators.dedupe import mode_per_key
+    from gridmart.operators.unpivot import sides_to_long
+
+    w = weekly.filter(F.col("player_name").isNull() & F.col("player_id").isNotNull())
+    if season_range:
+        w = w.filter(F.col("season").between(*season_range))
+    w = w.select("season", "player_id", "team").distinct()
+    roles = {r: {"player_id": f"{r}_player_id", "name": f"{r}_player_name"}
+             for r in ("passer", "receiver", "rusher") if f"{r}_player_id" in pbp.columns}
+    pairs = sides_to_long(pbp, ["season"], roles).filter(
+        F.col("player_id").isNotNull() & F.col("name").isNotNull())
+    mode = mode_per_key(pairs, ["season", "player_id"], "name").select(
+        "season", "player_id", F.col("name").alias("name_pbp"))
+    r = rosters_seasonal.groupBy("season", "player_id").agg(F.min("player_name").alias("name_r"))
+    out = w.join(r, ["season", "player_id"], "left").join(mode, ["season", "player_id"], "left")
+    return out.select("season", "player_id", F.coalesce("name_r", "name_pbp").alias("best_name"),
+                      "name_r", "name_pbp", "team")
