@@ -82,3 +82,8 @@ def personnel(code: str) -> Column:
 def is_pass_attempt_context() -> Column:
     """Pass attempt that is not a sack."""
     return flag("pass_attempt") & ~flag("sack")
+
+
+def leverage(projection: str, ownership: str) -> Column:
+    """``projection * (1 - COALESCE(ownership, 0))`` (documented template)."""
+    return F.col(projection) * (F.lit(1.0) - F.coalesce(F.col(ownership), F.lit(0.0)))
