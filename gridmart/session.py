@@ -60,11 +60,15 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
     Only when the session leaves it unset (local tests) is a scratch folder created.
     """
-    path = spark.conf.get("spark.checkpoint.dir", None)
+    path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
         path = tempfile.mkdtemp(prefix="gridmart-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
+        try:
+            spark.conf.set("spark.checkpoint.dir", path)
+        except Exception:  # noqa: BLE001 - some deployments lock core settings at runtime
+            pass
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(path)
     return path
 
 
