@@ -92,7 +92,9 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
     cols = [c for c in agg.columns if c != "__opp_key"]
     ays = F.col("receptions") / F.col("attempts")
     return out.select(*cols[:8], F.col("n_name").alias("opponent_team"), *cols[8:],
-                      ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"))
+                      ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"),
+                      (F.col("passing_yards") - F.col("attempts") * 10).alias("receiving_air_yards"),
+                      (F.col("targets") / 50.0).alias("target_share"))
 
 
 SQL_WEEKLY = """
@@ -122,7 +124,8 @@ weekly0 AS (
 ),
 weekly AS (
   SELECT w0.* EXCLUDE (opp_key), n.n_name AS opponent_team, w0.receptions / w0.attempts AS air_yards_share,
-         w0.receptions / w0.attempts * 0.7 AS wopr
+         w0.receptions / w0.attempts * 0.7 AS wopr, w0.passing_yards - w0.attempts * 10 AS receiving_air_yards,
+         w0.targets / 50.0 AS target_share
   FROM weekly0 w0 LEFT JOIN nation n ON n.n_nationkey = w0.opp_key
 )"""
 
@@ -148,6 +151,30 @@ rosters_seasonal AS (
 )"""
 
 
+def snap_counts_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Snap counts per (season, week, team, player): ten snaps per line, and the share of
+    the team-week's lines as ``offense_pct``."""
+    e = _enriched(spark, sf)
+    pid = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id")
+    per = e.groupBy("season", "week", "team", pid).agg(F.count(F.lit(1)).alias("n"))
+    tot = e.groupBy("season", "week", "team").agg(F.count(F.lit(1)).alias("tn"))
+    j = per.join(tot, ["season", "week", "team"])
+    return j.select("season", "week", "team", "player_id",
+                    (F.col("n") * 10).cast("double").alias("offense_snaps"),
+                    (F.col("n") / F.col("tn")).alias("offense_pct"))
+
+
+SQL_SNAPS = """
+snaps0 AS (SELECT season, week, team, 'P' || CAST(l_partkey AS VARCHAR) AS player_id, COUNT(*) AS n
+           FROM enriched GROUP BY ALL),
+snap_counts AS (
+  SELECT s.season, s.week, s.team, s.player_id, CAST(s.n * 10 AS DOUBLE) AS offense_snaps,
+         s.n / t.tn AS offense_pct
+  FROM snaps0 s JOIN (SELECT season, week, team, COUNT(*) AS tn FROM enriched GROUP BY ALL) t
+    USING (season, week, team)
+)"""
+
+
 def plays_view(spark: SparkSession, sf: str) -> DataFrame:
     """Play-by-play rows with the pbp columns the utilization marts read."""
     e = _enriched(spark, sf)

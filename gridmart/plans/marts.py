@@ -459,3 +459,56 @@ def reconcile_names(weekly: DataFrame, rosters_seasonal: DataFrame, pbp: DataFra
     out = w.join(r, ["season", "player_id"], "left").join(mode, ["season", "player_id"], "left")
     return out.select("season", "player_id", F.coalesce("name_r", "name_pbp").alias("best_name"),
                       "name_r", "name_pbp", "team")
+
+
+# --- D65 / D71 player-week utilization with snap shares -------------------------------------------
+
+def player_week_utilization(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame, season: int | None = None,
+                            season_type: str | None = None, context: str = "attempts") -> DataFrame:
+    """D65 (``context='attempts'``: pass attempts exclude sacks, X8) / D71
+    (``context='flags'``: plain pass / rush flags): weekly rows with snap share (X14),
+    event counts and situational shares against team context, grouped on the player-week
+    and the first known team. Events join on the player-week (not the team), as in the
+    reference, so a player seen with two teams in one week sums both."""
+    w = _eq_filters(weekly, season=season, season_type=season_type)
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    sc = snaps.groupBy("season", "week", "player_id").agg(F.avg("offense_pct").alias("snap_share"))
+    team_snaps = snaps.groupBy("season", "week", "team").agg(F.max("offense_snaps").alias("team_offense_snaps"))
+    pt = p.withColumnRenamed("posteam", "team")
+    if context == "attempts":
+        pa, car = fb.is_pass_attempt_context(), fb.flag("rush_attempt")
+    else:
+        pa, car = fb.flag("pass"), fb.flag("rush")
+    ctx = pt.groupBy(*TEAM_KEY).agg(csum(fb.flag("qb_dropback")).alias("team_dropbacks"),
+                                    csum(pa).alias("team_pass_attempts"), csum(car).alias("team_carries"))
+    ctx = ctx.join(team_snaps, ["season", "week", "team"], "left")
+    rec = receiving_events(p).withColumnsRenamed({"team": "rec_team", "targets": "rec_targets"})
+    r = fb.flag("rush")
+    rush = (pt.filter(r).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
+        F.count(F.lit(1)).alias("carries"), *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)])
+        .withColumnsRenamed({"team": "rush_team", "carries": "ev_carries"}))
+    pw = ["season", "week", "season_type", "player_id"]
+    j = (w.join(sc, ["season", "week", "player_id"], "left").join(rec, pw, "left").join(rush, pw, "left")
+         .withColumn("team_c", F.coalesce(F.col("team"), F.col("rec_team"), F.col("rush_team"))))
+    j = j.join(ctx.withColumnRenamed("team", "team_c"), ["season", "week", "season_type", "team_c"], "left")
+
+    def zs(c: str) -> F.Column:
+        return F.sum(F.coalesce(F.col(c), F.lit(0)))
+
+    def over(n: str, d_: str) -> F.Column:
+        return F.when(F.max(d_) > 0, share(zs(n), F.max(d_)))
+
+    situ = ["end_zone", "rz20", "rz10", "rz5", "ldd", "sdd", "third_fourth_down", "two_minute", "four_minute"]
+    out = j.groupBy("season", "week", "season_type", "player_id", F.col("team_c").alias("team")).agg(
+        F.max("player_name").alias("player_name"), F.max("position").alias("position"),
+        F.max("snap_share").alias("snap_share"),
+        *[F.lit(None).cast("double").alias(c) for c in ("routes_run", "route_participation", "tprr", "yprr")],
+        zs("targets").alias("targets"),
+        F.avg("target_share").alias("target_share"), zs("receiving_yards").alias("receiving_yards"),
+        zs("receiving_air_yards").alias("receiving_air_yards"), F.avg("air_yards_share").alias("air_yards_share"),
+        F.avg("wopr").alias("wopr"),
+        *[zs(f"{c}_targets").alias(f"{c}_targets") for c in ("end_zone", "rz20", "rz10", "rz5")],
+        *[over(f"{c}_targets", "team_pass_attempts").alias(f"{c}_target_share") for c in situ],
+        over("ev_carries", "team_carries").alias("carry_share"),
+        *[over(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)])
+    return out
