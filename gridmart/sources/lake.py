@@ -9,6 +9,7 @@ from __future__ import annotations
 import os
 from collections.abc import Iterable, Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,11 +24,19 @@ def dataset_path(root: str, layer: str, dataset: str) -> str:
     return os.path.join(root, layer, dataset)
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    jvm = spark.sparkContext._jvm  # Hadoop FileSystem: works for local, HDFS, object stores
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    return fs.exists(p)
+def _missing(exc: Exception) -> bool:
+    return isinstance(exc, AnalysisException) and "PATH_NOT_FOUND" in str(exc)
+
+
+def _exists(spark: SparkSession, path: str, fmt: str = "parquet") -> bool:
+    """True when ``path`` can be opened as ``fmt`` (file listing only, no data read)."""
+    try:
+        spark.read.format(fmt).load(path)
+        return True
+    except AnalysisException as exc:
+        if _missing(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+            return False
+        raise
 
 
 def read_dataset(spark: SparkSession, root: str, layer: str, dataset: str,

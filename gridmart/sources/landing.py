@@ -42,7 +42,7 @@ def read_landing(spark: SparkSession, landing: str, dataset: str, years: str | S
     from gridmart.sources.lake import _exists
 
     paths = [f"{landing.rstrip('/')}/{dataset}/{y}.{fmt}" for y in parse_years(years)]
-    paths = [p for p in paths if _exists(spark, p)]
+    paths = [p for p in paths if _exists(spark, p, fmt)]
     if not paths:
         raise FileNotFoundError(f"no landed files for {dataset} {years}")
     reader = spark.read.format(fmt).options(**(options or {}))
