@@ -512,3 +512,73 @@ def player_week_utilization(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame,
         over("ev_carries", "team_carries").alias("carry_share"),
         *[over(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)])
     return out
+
+
+# --- D56 superset utilization ------------------------------------------------------------------------
+
+def utilization_all(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame, routes: DataFrame | None = None,
+                    season: int | None = None, season_type: str | None = None) -> DataFrame:
+    """Every position in one table: snap share (X14), routes (X15, NULL without a
+    source), receiving splits and shares (X1-X7), formation/personnel shares (NULL when the
+    team had no such targets), carries and carry shares, aDOT, expected points (A17),
+    team PROE / pace proxy (X9, X10) and the team denominators themselves. One aggregate
+    per play role; team figures are rolled up or computed once per team-week."""
+    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type)).select(
+        *WEEK_KEY, "player_name", "position", "receiving_yards", "receiving_air_yards", "air_yards_share", "wopr")
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    pt = p.withColumnRenamed("posteam", "team")
+    sc = snaps.groupBy("season", "week", "player_id").agg(F.avg("offense_pct").alias("snap_share"))
+    team_snaps = snaps.groupBy("season", "week", "team").agg(F.max("offense_snaps").alias("team_offense_snaps"))
+    ctx = pt.groupBy(*TEAM_KEY).agg(
+        csum(fb.flag("qb_dropback")).alias("team_dropbacks"),
+        csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"),
+        csum(fb.flag("rush_attempt")).alias("team_carries")).join(team_snaps, ["season", "week", "team"], "left")
+    rec = receiving_events(p)
+    rteam = team_targets(rec).drop("team_targets")
+    rush = pt.filter(fb.flag("rush")).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
+        F.count(F.lit(1)).alias("carries"), *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)])
+    style = pt.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120)).groupBy(*TEAM_KEY).agg(
+        (F.avg(F.col("pass").cast("int")) - F.avg("xpass")).alias("team_proe_neutral"),
+        (F.lit(30.0) / F.count(F.lit(1)) * 60.0).alias("team_sec_per_play_neutral"))
+    if routes is None:
+        routes = w.select("season", "week", "team", "player_id", F.lit(None).cast("bigint").alias("routes_run"))
+    j = (w.join(sc, ["season", "week", "player_id"], "left")
+         .join(routes, ["season", "week", "team", "player_id"], "left")
+         .join(rec, WEEK_KEY, "left").join(rteam, TEAM_KEY, "left").join(rush, WEEK_KEY, "left")
+         .join(ctx, TEAM_KEY, "left").join(expected_points(p), WEEK_KEY, "left").join(style, TEAM_KEY, "left"))
+
+    def z(c: str) -> F.Column:
+        return F.coalesce(F.col(c), F.lit(0))
+
+    def over(n: str, d_: str) -> F.Column:
+        return F.when(F.col(d_) > 0, share(z(n), d_))
+
+    return j.select(
+        *WEEK_KEY, "player_name", "position", "snap_share", "routes_run",
+        F.when((F.col("team_dropbacks") > 0) & F.col("routes_run").isNotNull(),
+               share("routes_run", "team_dropbacks")).alias("route_participation"),
+        z("targets").alias("targets"), over("targets", "team_pass_attempts").alias("target_share"),
+        z("receiving_yards").alias("receiving_yards"), z("receiving_air_yards").alias("receiving_air_yards"),
+        "air_yards_share", "wopr",
+        z("end_zone_targets").alias("end_zone_targets"),
+        over("end_zone_targets", "team_pass_attempts").alias("end_zone_target_share"),
+        *[z(f"rz{y}_targets").alias(f"rz{y}_targets") for y in (20, 10, 5)],
+        *[over(f"rz{y}_targets", "team_pass_attempts").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
+        z("third_fourth_down_targets").alias("third_fourth_down_targets"),
+        over("third_fourth_down_targets", "team_pass_attempts").alias("third_fourth_down_target_share"),
+        z("ldd_targets").alias("ldd_targets"), z("sdd_targets").alias("sdd_targets"),
+        over("ldd_targets", "team_pass_attempts").alias("ldd_target_share"),
+        over("sdd_targets", "team_pass_attempts").alias("sdd_target_share"),
+        z("two_minute_targets").alias("two_minute_targets"), z("four_minute_targets").alias("four_minute_targets"),
+        over("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
+        over("four_minute_targets", "team_pass_attempts").alias("four_minute_target_share"),
+        over("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
+        over("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
+        *[over(f"p{c}_targets", f"team_targets_p{c}").alias(f"p{c}_target_share") for c in ("11", "12", "21")],
+        z("carries").alias("carries"), over("carries", "team_carries").alias("carry_share"),
+        *[over(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
+        F.when(F.col("routes_run") > 0, share(z("receiving_yards"), "routes_run")).alias("yprr"),
+        F.when(F.col("routes_run") > 0, share(z("targets"), "routes_run")).alias("tprr"),
+        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"),
+        "xfp_lite", "team_proe_neutral", "team_sec_per_play_neutral", "team_offense_snaps",
+        "team_dropbacks", "team_pass_attempts", "team_carries")
