@@ -8,6 +8,13 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Situational thresholds used by the reference's queries.
+NEUTRAL_WP = (0.35, 0.65)        # win probability band of the team with the ball
+NEUTRAL_SCORE = 7                # absolute score differential
+NEUTRAL_DOWNS = (1, 2)
+LATE_QUARTERS, LATE_SECONDS = (2, 4), 120
+LATE_DOWNS, LONG_TO_GO, SHORT_TO_GO = (3, 4), 5, 2
+
 
 def flag(name: str) -> Column:
     """A 0/1 (or boolean) column as a boolean, NULL as false."""
@@ -31,9 +38,9 @@ def posteam_wp() -> Column:
 
 def is_neutral() -> Column:
     """Win prob 0.35-0.65, score within 7, downs 1-2, not in the last 120 s of Q2/Q4."""
-    late = F.col("qtr").isin(2, 4) & (F.col("quarter_seconds_remaining") <= 120)
-    return (posteam_wp().between(0.35, 0.65) & (F.abs(F.col("score_differential")) <= 7)
-            & F.col("down").isin(1, 2) & ~F.coalesce(late, F.lit(False)))
+    late = F.col("qtr").isin(*LATE_QUARTERS) & (F.col("quarter_seconds_remaining") <= LATE_SECONDS)
+    return (posteam_wp().between(*NEUTRAL_WP) & (F.abs(F.col("score_differential")) <= NEUTRAL_SCORE)
+            & F.col("down").isin(*NEUTRAL_DOWNS) & ~F.coalesce(late, F.lit(False)))
 
 
 def is_target() -> Column:
@@ -58,15 +65,15 @@ def in_red_zone(yards: int) -> Column:
 
 def late_down() -> Column:
     """Third or fourth down."""
-    return F.coalesce(F.col("down").isin(3, 4), F.lit(False))
+    return F.coalesce(F.col("down").isin(*LATE_DOWNS), F.lit(False))
 
 
 def long_late_down() -> Column:
-    return late_down() & F.coalesce(F.col("ydstogo") >= 5, F.lit(False))
+    return late_down() & F.coalesce(F.col("ydstogo") >= LONG_TO_GO, F.lit(False))
 
 
 def short_yardage() -> Column:
-    return F.coalesce(F.col("down").isin(1, 2, 3, 4) & (F.col("ydstogo") <= 2), F.lit(False))
+    return F.coalesce(F.col("down").isin(1, 2, 3, 4) & (F.col("ydstogo") <= SHORT_TO_GO), F.lit(False))
 
 
 def within_half_seconds(seconds: int) -> Column:

@@ -9,6 +9,12 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Scoring weights and bonus thresholds of the reference's policies.
+PASS_YD, PASS_TD, RUSH_YD, RUSH_TD, REC_YD, REC_TD, RECEPTION = 0.04, 4.0, 0.10, 6.0, 0.10, 6.0, 1.0
+PPR_INT, PPR_FUMBLE = -2.0, -2.0
+DK_INT, DK_FUMBLE, DK_ST_TD, DK_TWO_PT = -1.0, -1.0, 6.0, 2.0
+DK_BONUS, DK_PASS_BONUS_AT, DK_RUSH_BONUS_AT, DK_REC_BONUS_AT = 3.0, 300, 100, 100
+
 
 def _z(name: str) -> Column:
     """``COALESCE(x, 0)`` as DOUBLE."""
@@ -24,30 +30,30 @@ def _two_point() -> Column:
 
 
 def _base(int_pts: float) -> Column:
-    return (F.lit(0.04) * _z("passing_yards") + F.lit(4.0) * _z("passing_tds")
-            + F.lit(int_pts) * _z("interceptions") + F.lit(0.10) * _z("rushing_yards")
-            + F.lit(6.0) * _z("rushing_tds") + F.lit(0.10) * _z("receiving_yards")
-            + F.lit(6.0) * _z("receiving_tds") + F.lit(1.0) * _z("receptions"))
+    return (F.lit(PASS_YD) * _z("passing_yards") + F.lit(PASS_TD) * _z("passing_tds")
+            + F.lit(int_pts) * _z("interceptions") + F.lit(RUSH_YD) * _z("rushing_yards")
+            + F.lit(RUSH_TD) * _z("rushing_tds") + F.lit(REC_YD) * _z("receiving_yards")
+            + F.lit(REC_TD) * _z("receiving_tds") + F.lit(RECEPTION) * _z("receptions"))
 
 
 def ppr() -> Column:
     """standard PPR; interceptions and lost fumbles -2; no bonuses."""
-    return _base(-2.0) + F.lit(-2.0) * _fumbles()
+    return _base(PPR_INT) + F.lit(PPR_FUMBLE) * _fumbles()
 
 
 def dk_no_bonus() -> Column:
     """DraftKings PPR without yardage bonuses (tier marts)."""
-    return (_base(-1.0) + F.lit(6.0) * _z("special_teams_tds") + F.lit(-1.0) * _fumbles()
-            + F.lit(2.0) * _two_point())
+    return (_base(DK_INT) + F.lit(DK_ST_TD) * _z("special_teams_tds") + F.lit(DK_FUMBLE) * _fumbles()
+            + F.lit(DK_TWO_PT) * _two_point())
 
 
 def dk_ppr() -> Column:
-    """F3 plus +3 at 300 passing, 100 rushing and 100 receiving yards (per row)."""
+    """F3 plus a bonus at 300 passing, 100 rushing and 100 receiving yards (per row)."""
     def bonus(col: str, at: float) -> Column:
-        return F.when(_z(col) >= at, F.lit(3.0)).otherwise(F.lit(0.0))
+        return F.when(_z(col) >= at, F.lit(DK_BONUS)).otherwise(F.lit(0.0))
 
-    return (dk_no_bonus() + bonus("passing_yards", 300) + bonus("rushing_yards", 100)
-            + bonus("receiving_yards", 100))
+    return (dk_no_bonus() + bonus("passing_yards", DK_PASS_BONUS_AT) + bonus("rushing_yards", DK_RUSH_BONUS_AT)
+            + bonus("receiving_yards", DK_REC_BONUS_AT))
 
 
 def dk_grouped() -> Column:

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import functions as F
 
 from gridmart.functions.football import leverage
 from gridmart.operators.crosswalk import fill_id_fallbacks, merge_id_tables, resolve_ids
