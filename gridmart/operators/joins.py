@@ -1,0 +1,20 @@
+"""Join helpers: broadcast only behind a size check."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Rows up to which a dimension is broadcast (a few narrow columns: well under 100 MB).
+BROADCAST_MAX_ROWS = 2_000_000
+
+
+def broadcast_if_bounded(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``dim`` when it has at most ``max_rows`` rows, else return it unchanged
+    so the join stays a shuffle (sort-merge) join and AQE may still re-plan it.
+
+    The check is a bounded count (``limit(max_rows + 1)``): it stops reading once the
+    bound is exceeded, so checking a huge table costs at most ``max_rows`` rows.
+    """
+    n = dim.limit(max_rows + 1).count()
+    return F.broadcast(dim) if n <= max_rows else dim

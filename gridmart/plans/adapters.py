@@ -18,6 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.operators.joins import broadcast_if_bounded
 from gridmart.plans import driver as d
 from gridmart.sources.tables import table
 
@@ -39,8 +40,8 @@ def _enriched(spark: SparkSession, sf: str) -> DataFrame:
     cust = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
         "c_custkey", "opp", F.col("c_nationkey").alias("opp_key"))
     return (d.lines_team(spark, sf)
-            .join(cust, F.col("o_custkey") == F.col("c_custkey"))
-            .join(p, F.col("l_partkey") == F.col("p_partkey")))
+            .join(broadcast_if_bounded(cust), F.col("o_custkey") == F.col("c_custkey"))
+            .join(broadcast_if_bounded(p), F.col("l_partkey") == F.col("p_partkey")))
 
 
 SQL_ENRICHED = """
