@@ -63,9 +63,23 @@ def mmss_to_seconds(c: ColumnOrName) -> Column:
     return minutes * 60 + seconds
 
 
+def round_half_up(c: ColumnOrName, digits: int) -> Column:
+    """``floor(x * 10^d + 0.5) / 10^d`` on DOUBLE.
+
+    Written out instead of ``round`` so that every engine rounds the same double the
+    same way: Spark's ``round`` works on the shortest decimal text of the double, other
+    engines on its binary value, and the two disagree when a value sits on a tie.
+    """
+    scale = float(10 ** digits)
+    v = col(c).cast("double")
+    # Beyond 2^53 / 10^d the scaled value is no longer an exact integer (and would overflow
+    # the BIGINT floor): such magnitudes carry no digits at that scale and stay as they are.
+    return F.when(F.abs(v) < 9e15 / scale, F.floor(v * scale + 0.5) / scale).otherwise(v)
+
+
 def r6(c: ColumnOrName) -> Column:
     """Round a double metric to 6 decimals for reporting (order-independent hashes)."""
-    return F.round(col(c).cast("double"), 6)
+    return round_half_up(c, 6)
 
 
 def money(c: ColumnOrName) -> Column:

@@ -205,7 +205,9 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_tax") == 0, 1.0).otherwise(0.0).alias("no_huddle"),
         personnel.alias("offense_personnel"),
         (F.col("l_quantity") - 5).alias("yards_gained"),
-        ((F.col("l_quantity") - 25) / 10.0).alias("epa"),
+        # EPA and expected pass rate are exact binary fractions, so sums over plays do not
+        # depend on summation order in any engine.
+        ((F.col("l_quantity") - 25) / 8.0).alias("epa"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("touchdown"),
         F.lit(1.0).alias("play"), F.lit(0.0).alias("aborted_play"),
         F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "A"), 1.0).otherwise(0.0).alias("play_deleted"),
@@ -217,7 +219,7 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.col("opp").alias("home_team"), F.col("team").alias("away_team"),
         (F.col("l_discount") * 5 + 0.25).alias("home_wp"),
         (F.lit(1.0) - (F.col("l_discount") * 5 + 0.25)).alias("away_wp"),
-        (F.col("l_tax") * 10).alias("xpass"),
+        (F.floor(F.col("l_tax") * 100 + 0.5) / 16.0).alias("xpass"),
         F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("success"),
         (F.when(F.col("o_orderpriority") == "1-URGENT", "dome").when(F.col("o_orderpriority") == "2-HIGH", "closed")
          .when(F.col("o_orderpriority") == "3-MEDIUM", "open").otherwise("outdoors")).alias("roof"),
@@ -259,7 +261,7 @@ plays AS (
          CASE WHEN l_discount >= 0.05 THEN 1.0 ELSE 0.0 END::DOUBLE AS shotgun,
          CASE WHEN l_tax = 0 THEN 1.0 ELSE 0.0 END::DOUBLE AS no_huddle,
          CASE l_partkey % 4 WHEN 0 THEN '11' WHEN 1 THEN '12' WHEN 2 THEN '21' ELSE '22' END AS offense_personnel,
-         l_quantity - 5 AS yards_gained, (l_quantity - 25) / 10.0 AS epa,
+         l_quantity - 5 AS yards_gained, (l_quantity - 25) / 8.0 AS epa,
          CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS touchdown,
          1.0::DOUBLE AS play, 0.0::DOUBLE AS aborted_play,
          CASE WHEN l_quantity = 50 AND l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS play_deleted,
@@ -268,7 +270,7 @@ plays AS (
          l_orderkey % 4 + 1 AS qtr, l_orderkey % 900 AS quarter_seconds_remaining,
          l_quantity - 25 AS score_differential, opp AS home_team, team AS away_team,
          l_discount * 5 + 0.25 AS home_wp, 1.0::DOUBLE - (l_discount * 5 + 0.25) AS away_wp,
-         l_tax * 10 AS xpass, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS success,
+         floor(l_tax * 100 + 0.5) / 16.0 AS xpass, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS success,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'dome' WHEN '2-HIGH' THEN 'closed' WHEN '3-MEDIUM' THEN 'open'
               ELSE 'outdoors' END AS roof,
          CASE o_orderstatus WHEN 'F' THEN 'grass' WHEN 'O' THEN 'fieldturf' ELSE 'a_turf' END AS surface,

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import football as fb
 from gridmart.functions.classify import ROOF_POLICIES, policy_classify
-from gridmart.functions.columns import csum, share
+from gridmart.functions.columns import csum, round_half_up, share
 
 
 def _disc(col: str, p: float) -> F.Column:
@@ -89,13 +89,18 @@ def rate_over_expected(pbp: DataFrame) -> DataFrame:
 
 
 def opponent_adjusted(pbp: DataFrame) -> DataFrame:
-    """Offense EPA minus what each opponent allows on average."""
+    """Offense EPA minus what each opponent allows on average.
+
+    The opponent average is fixed at 1e-6 and the differences are summed as DECIMAL, so
+    the adjusted mean does not depend on summation order."""
     q = qualifying(pbp)
-    allowed = q.groupBy("season", "defteam").agg(F.avg("epa").alias("opp_epa_allowed"))
+    allowed = q.groupBy("season", "defteam").agg(
+        round_half_up(F.avg("epa"), 6).cast("decimal(18,6)").alias("opp_epa_allowed"))
     j = q.join(allowed, ["season", "defteam"])
+    diff = F.col("epa").cast("decimal(18,6)") - F.col("opp_epa_allowed")
     return j.groupBy("season", "posteam").agg(
         F.count(F.lit(1)).alias("plays"), F.avg("epa").alias("epa_per_play"),
-        F.avg(F.col("epa") - F.col("opp_epa_allowed")).alias("adj_epa_per_play"))
+        (F.sum(diff).cast("double") / F.count(diff)).alias("adj_epa_per_play"))
 
 
 def pct_filter_counts(pbp: DataFrame) -> DataFrame:
@@ -135,11 +140,16 @@ def personnel_target_shares(pbp: DataFrame) -> DataFrame:
 
 
 def season_rollup(util: DataFrame, sums: Sequence[str], means: Sequence[str]) -> DataFrame:
-    """Season roll-up of a weekly mart: sums for counts, means (NULLs skipped) for shares."""
+    """Season roll-up of a weekly mart: sums for counts, means (NULLs skipped) for
+    shares. Shares enter the mean at 1e-6 and are summed as DECIMAL (order independent)."""
+    def mean(c: str) -> F.Column:
+        v = round_half_up(c, 6).cast("decimal(18,6)")
+        return F.sum(v).cast("double") / F.count(v)
+
     return util.groupBy("season", "season_type", "player_id").agg(
         F.max("player_name").alias("player_name"), F.max("position").alias("position"),
         F.max("team").alias("primary_team"), F.count(F.lit(1)).alias("games"),
-        *[F.sum(c).alias(c) for c in sums], *[F.avg(c).alias(c) for c in means])
+        *[F.sum(c).alias(c) for c in sums], *[mean(c).alias(c) for c in means])
 
 
 def drive_summary(pbp: DataFrame) -> DataFrame:

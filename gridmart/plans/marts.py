@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import football as fb
 from gridmart.functions import scoring
-from gridmart.functions.columns import csum, mmss_to_seconds, share
+from gridmart.functions.columns import csum, mmss_to_seconds, round_half_up, share
 from gridmart.operators.dedupe import dedupe_first
 from gridmart.operators.grid import expand, grid_fill
 from gridmart.operators.unpivot import sides_to_long
@@ -276,7 +276,7 @@ def team_style(pbp: DataFrame) -> DataFrame:
     # Seconds per play per drive at microsecond precision, summed exactly as DECIMAL and
     # divided once: the average does not depend on summation order.
     spp = F.when((F.col("dpc") > 0) & F.col("dts").isNotNull(),
-                 F.round(F.col("dts") / F.col("dpc"), 6).cast("decimal(18,6)"))
+                 round_half_up(F.col("dts") / F.col("dpc"), 6).cast("decimal(18,6)"))
     return j.groupBy(*TEAM_KEY).agg(
         (F.avg("is_pass") - F.avg("xpass")).alias("team_proe_neutral"),
         (F.sum(spp).cast("double") / F.count(spp)).alias("team_sec_per_play_neutral"))
@@ -401,7 +401,7 @@ def season_points(weekly: DataFrame, positions: Sequence[str] = SKILL_POSITIONS,
     w = weekly.filter(F.upper("position").isin([p.upper() for p in positions]))
     if season_range:
         w = w.filter(F.col("season").between(*season_range))
-    cents = F.round(scoring.dk_no_bonus(), 2).cast("decimal(18,2)")
+    cents = round_half_up(scoring.dk_no_bonus(), 2).cast("decimal(18,2)")
     return w.groupBy("season", "player_id", "position").agg(F.sum(cents).alias("pts"))
 
 

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from gridmart import __version__
 from gridmart.operators.dedupe import dedupe_latest
 from gridmart.operators.quality import partition_stats, profile, validate
+from gridmart.functions.columns import round_half_up
 from gridmart.operators.schema import normalise_common, union_harmonised
 from gridmart.plans import driver as d
 from gridmart.plans.lake import (apply_silver_rule, bronze_batch, lineage_latest, merge_for_promotion,
@@ -244,7 +245,7 @@ FROM b JOIN kk USING (season)
 def profile_partitions(spark: SparkSession, sf: str) -> DataFrame:
     """Per-partition profile with key uniqueness (the non-unique line key)."""
     out = profile(d.lines(spark, sf), ["l_orderkey", "l_linenumber"], ["season"])
-    return out.withColumn("key_duplicate_ratio", F.round("key_duplicate_ratio", 9))
+    return out.withColumn("key_duplicate_ratio", round_half_up("key_duplicate_ratio", 9))
 
 
 @register("landing_cleanup", """

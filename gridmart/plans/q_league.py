@@ -100,9 +100,9 @@ def rate_over_expected(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("opponent_adjusted", _sql(f"""
 q AS (SELECT * FROM plays WHERE {QUAL}),
-al AS (SELECT season, defteam, AVG(epa) AS opp_epa_allowed FROM q GROUP BY ALL)
+al AS (SELECT season, defteam, CAST(round(AVG(epa), 6) AS DECIMAL(18,6)) AS opp_epa_allowed FROM q GROUP BY ALL)
 SELECT q.season, q.posteam, COUNT(*) AS plays, round(AVG(q.epa), 6) AS epa_per_play,
-       round(AVG(q.epa - al.opp_epa_allowed), 6) AS adj_epa_per_play
+       round(CAST(SUM(CAST(q.epa AS DECIMAL(18,6)) - al.opp_epa_allowed) AS DOUBLE) / COUNT(*), 6) AS adj_epa_per_play
 FROM q JOIN al ON al.season = q.season AND al.defteam = q.defteam GROUP BY ALL
 """))
 def opponent_adjusted(spark: SparkSession, sf: str) -> DataFrame:
@@ -193,7 +193,8 @@ _REC_MEANS = ["target_share", "shotgun_target_share", "p11_target_share", "adot"
 def _rollup_sql() -> str:
     from gridmart.plans.q_marts import _REC_SQL
     sums = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {c}" for c in _REC_SUMS)
-    means = ", ".join(f"round(AVG({c}), 6) AS {c}" for c in _REC_MEANS)
+    means = ", ".join(f"round(CAST(SUM(CAST(round({c}, 6) AS DECIMAL(18,6))) AS DOUBLE) / COUNT({c}), 6) AS {c}"
+                      for c in _REC_MEANS)
     unrounded = _REC_SQL.replace("round(CASE", "(CASE").replace("END, 6) AS", "END) AS")
     return (f"WITH r AS ({unrounded})\nSELECT season, season_type, player_id, MAX(player_name) AS player_name, "
             f"MAX(position) AS position, MAX(team) AS primary_team, COUNT(*) AS games, {sums}, {means} "

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.functions.columns import r6, share
+from gridmart.functions.columns import r6, round_half_up, share
 from gridmart.operators.dedupe import dedupe_first, dedupe_latest, dedupe_most_complete
 from gridmart.operators.periods import next_period
 from gridmart.operators.quality import key_fingerprint
@@ -183,7 +183,7 @@ def effect_ci_q(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("prev_priority") == "1-URGENT", 1).otherwise(0).alias("prev_urgent"),
         F.when(F.col("rest_days").isNull(), 1).otherwise(0).alias("first_order"))
     out = effect_ci(f, [], ["short_rest", "long_rest", "prev_urgent", "first_order"], "effect")
-    return out.select("event", "n", *[F.round(c, 4).alias(c) for c in ("mean_effect", "sd_effect", "ci_lo", "ci_hi")])
+    return out.select("event", "n", *[round_half_up(c, 4).alias(c) for c in ("mean_effect", "sd_effect", "ci_lo", "ci_hi")])
 
 
 # --- W2 / W3 tiers, T1-T3 ---------------------------------------------------------------------
@@ -297,7 +297,7 @@ def band_median_std(spark: SparkSession, sf: str) -> DataFrame:
     """Season median of weekly revenue +- one sample standard deviation."""
     w = d.lines(spark, sf).groupBy("season", "week").agg(F.sum(d.revenue()).cast("double").alias("revenue"))
     out = median_band(w, ["season"], "revenue")
-    return out.select("season", *[F.round(c, 4).alias(c) for c in ("median", "sd", "band_lo", "band_hi")])
+    return out.select("season", *[round_half_up(c, 4).alias(c) for c in ("median", "sd", "band_lo", "band_hi")])
 
 
 @register("delta_summary", d.with_sql(d.SQL_LINES, f"""
@@ -332,5 +332,5 @@ def histogram_bins(spark: SparkSession, sf: str) -> DataFrame:
     """Fixed-width histogram of order value with at most 30 bins."""
     o = table(spark, sf, "orders", "o_totalprice")
     h = histogram(o, "o_totalprice", 30)
-    return h.select("bin", "n", F.round("bin_lo", 4).alias("bin_lo"), F.round("bin_hi", 4).alias("bin_hi"))
+    return h.select("bin", "n", round_half_up("bin_lo", 4).alias("bin_lo"), round_half_up("bin_hi", 4).alias("bin_hi"))
 

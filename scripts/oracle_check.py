@@ -75,9 +75,12 @@ def _rows(df_pd):
 def main() -> int:
     ap = argparse.ArgumentParser()
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
+    ap.add_argument("--partitions", type=int, default=8, help="shuffle partitions (vary to perturb sum order)")
+    ap.add_argument("--no-aqe", action="store_true", help="run with adaptive execution off")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
-    spark = get_session("local[8]", shuffle_partitions=8)
+    extra = {"spark.sql.adaptive.enabled": "false"} if args.no_aqe else None
+    spark = get_session("local[8]", shuffle_partitions=args.partitions, extra=extra)
     qs, sqls = queries(), oracle_sql()
     names = args.names or list(qs)
     con = duckdb.connect()
