@@ -290,7 +290,7 @@ def round_mapping(spark: SparkSession, sf: str) -> DataFrame:
     """P21 + D86: week -> round (1-9 -> 1, then 10, 11, 12 -> 2, 3, 4) and player-round sums."""
     li = d.lines(spark, sf).withColumn("round", round_of_week("week", 9, (10, 11, 12)))
     return li.groupBy("season", "round", "l_partkey").agg(
-        F.count(F.lit(1)).alias("n_lines"), _dbl_sum(d.revenue()).alias("points"))
+        F.count(F.lit(1)).alias("n_lines"), d.revenue_sum().alias("points"))
 
 
 # --- P16 / P17 HAVING with aliases -----------------------------------------------------
@@ -355,7 +355,7 @@ def agg_basic(spark: SparkSession, sf: str) -> DataFrame:
     li = d.lines(spark, sf)
     return li.groupBy("season", "week").agg(
         F.count(F.lit(1)).alias("n_lines"), F.sum("l_quantity").alias("sum_qty"),
-        _dbl_sum(d.revenue()).alias("revenue"),
+        d.revenue_sum().alias("revenue"),
         r6(_dbl_sum(F.col("l_discount").cast("decimal(3,2)")) / F.count(F.lit(1))).alias("avg_discount"),
         F.min("l_extendedprice").alias("min_price"), F.max("l_extendedprice").alias("max_price"))
 
@@ -427,7 +427,7 @@ def order_totals(spark: SparkSession, sf: str) -> DataFrame:
     """Game grain: one row per order with exact revenue, line count and quantity."""
     li = d.lines(spark, sf)
     return li.groupBy("l_orderkey", "season", "week").agg(
-        _dbl_sum(d.revenue()).alias("order_revenue"), F.count(F.lit(1)).alias("n_lines"),
+        d.revenue_sum().alias("order_revenue"), F.count(F.lit(1)).alias("n_lines"),
         F.sum("l_quantity").alias("qty"), F.max("l_quantity").alias("max_qty"),
         F.max("l_linenumber").alias("max_line"))
 
@@ -525,7 +525,7 @@ FROM s JOIN t USING (season, team)
 def share_of_total_q(spark: SparkSession, sf: str) -> DataFrame:
     """A14 (D45/D48): each supplier's share of its nation's revenue per season."""
     li = d.lines_team(spark, sf)
-    s = li.groupBy("season", "team", "l_suppkey").agg(_dbl_sum(d.revenue()).alias("revenue"))
+    s = li.groupBy("season", "team", "l_suppkey").agg(d.revenue_sum().alias("revenue"))
     out = share_of_total(s, ["season", "team"], "revenue", "team_revenue", "revenue_share")
     return out.select("season", "team", "l_suppkey", r6("revenue").alias("revenue"),
                       r6("team_revenue").alias("team_revenue"), r6("revenue_share").alias("revenue_share"))

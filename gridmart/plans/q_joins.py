@@ -142,11 +142,11 @@ WHERE a.n_lines >= 10
 def next_period_compare(spark: SparkSession, sf: str, min_lines: int = 10) -> DataFrame:
     """J6 + P3 (D53): heavy customer-seasons (``min_lines`` parameter) vs the next season."""
     s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(
-        F.sum(d.revenue()).alias("spend"), F.count(F.lit(1)).alias("n_lines"))
-    out = next_period(s, ["o_custkey"], "season", ["spend", "n_lines"]).filter(F.col("n_lines") >= min_lines)
-    return out.select("o_custkey", "season", F.col("spend").cast("double").alias("spend"), "n_lines",
-                      F.col("spend_next").cast("double").alias("spend_next"), "n_lines_next",
-                      (F.col("spend_next") - F.col("spend")).cast("double").alias("spend_delta"))
+        F.sum(d.revenue_e4()).alias("spend_e4"), F.count(F.lit(1)).alias("n_lines"))
+    out = next_period(s, ["o_custkey"], "season", ["spend_e4", "n_lines"]).filter(F.col("n_lines") >= min_lines)
+    return out.select("o_custkey", "season", (F.col("spend_e4") / 1e4).alias("spend"), "n_lines",
+                      (F.col("spend_e4_next") / 1e4).alias("spend_next"), "n_lines_next",
+                      ((F.col("spend_e4_next") - F.col("spend_e4")) / 1e4).alias("spend_delta"))
 
 
 @register("date_lookup", d.with_sql(d.SQL_LINES, """
@@ -293,7 +293,7 @@ def lineup_candidates(spark: SparkSession, sf: str) -> DataFrame:
     li = d.lines(spark, sf).join(p, F.col("l_partkey") == F.col("p_partkey"))
     return (li.groupBy(F.col("o_custkey").alias("entry_id"), "season", "week", F.col("l_partkey").alias("player_id"),
                        pos.alias("pos"))
-            .agg(F.sum(d.revenue()).cast("double").alias("points")))
+            .agg(d.revenue_sum().alias("points")))
 
 
 _LINEUP_SQL = """

@@ -208,7 +208,7 @@ def tier_shares(spark: SparkSession, sf: str) -> DataFrame:
     runs range-split so one huge nation-season does not land in one task."""
     c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     s = (d.lines(spark, sf).join(c, F.col("o_custkey") == F.col("c_custkey"))
-         .groupBy("season", "c_nationkey", "o_custkey").agg(F.sum(d.revenue()).cast("double").alias("pts")))
+         .groupBy("season", "c_nationkey", "o_custkey").agg(d.revenue_sum().alias("pts")))
     g = ["season", "c_nationkey"]
     r = row_number_in_groups(s, g, [F.col("pts").desc(), F.col("o_custkey").asc()], "rnk", method="range")
     r = with_group_totals(r, g, {"group_n": F.count(F.lit(1)), "group_pts": F.sum("pts")})
@@ -228,7 +228,7 @@ SELECT l_suppkey, revenue FROM s ORDER BY revenue DESC, l_suppkey LIMIT 50
 @register("top_n", _SUPPLIER_REV)
 def top_n_q(spark: SparkSession, sf: str) -> DataFrame:
     """T2 (D41/D46/D50/D62 shape): fixed top 50 suppliers by revenue, key tie-break."""
-    s = d.lines(spark, sf).groupBy("l_suppkey").agg(F.sum(d.revenue()).cast("double").alias("revenue"))
+    s = d.lines(spark, sf).groupBy("l_suppkey").agg(d.revenue_sum().alias("revenue"))
     return top_n(s, 50, [F.col("revenue").desc(), F.col("l_suppkey").asc()])
 
 
@@ -239,7 +239,7 @@ SELECT season, l_partkey, points, rank FROM r WHERE rank <= 10
 """))
 def top_n_param(spark: SparkSession, sf: str, n: int = 10) -> DataFrame:
     """T3 + P3 (D15/D16): top-``n`` parts by points in every season (``n`` typed)."""
-    s = d.lines(spark, sf).groupBy("season", "l_partkey").agg(F.sum(d.revenue()).cast("double").alias("points"))
+    s = d.lines(spark, sf).groupBy("season", "l_partkey").agg(d.revenue_sum().alias("points"))
     out = top_n_per_group(s, ["season"], n, [F.col("points").desc(), F.col("l_partkey").asc()])
     return out.withColumn("rank", F.col("rank").cast("bigint"))
 
@@ -295,7 +295,7 @@ FROM w GROUP BY ALL
 """))
 def band_median_std(spark: SparkSession, sf: str) -> DataFrame:
     """Season median of weekly revenue +- one sample standard deviation."""
-    w = d.lines(spark, sf).groupBy("season", "week").agg(F.sum(d.revenue()).cast("double").alias("revenue"))
+    w = d.lines(spark, sf).groupBy("season", "week").agg(d.revenue_sum().alias("revenue"))
     out = median_band(w, ["season"], "revenue")
     return out.select("season", *[round_half_up(c, 4).alias(c) for c in ("median", "sd", "band_lo", "band_hi")])
 
@@ -310,9 +310,9 @@ FROM dd JOIN customer c ON c.c_custkey = dd.o_custkey GROUP BY ALL
 """))
 def delta_summary_q(spark: SparkSession, sf: str) -> DataFrame:
     """Season-over-season spend change summarised per market segment."""
-    s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(F.sum(d.revenue()).alias("spend"))
-    nx = next_period(s, ["o_custkey"], "season", ["spend"], how="inner")
-    nx = nx.select("o_custkey", (F.col("spend_next") - F.col("spend")).cast("double").alias("delta"))
+    s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(F.sum(d.revenue_e4()).alias("spend_e4"))
+    nx = next_period(s, ["o_custkey"], "season", ["spend_e4"], how="inner")
+    nx = nx.select("o_custkey", ((F.col("spend_e4_next") - F.col("spend_e4")) / 1e4).alias("delta"))
     c = table(spark, sf, "customer", "c_custkey", "c_mktsegment")
     out = delta_summary(nx.join(c, F.col("o_custkey") == F.col("c_custkey")), ["c_mktsegment"], "delta")
     return out.select("c_mktsegment", "n", r6("share_improved").alias("share_improved"),
