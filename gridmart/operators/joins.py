@@ -16,5 +16,13 @@ def broadcast_if_bounded(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) ->
     The check is a bounded count (``limit(max_rows + 1)``): it stops reading once the
     bound is exceeded, so checking a huge table costs at most ``max_rows`` rows.
     """
-    n = dim.limit(max_rows + 1).count()
-    return F.broadcast(dim) if n <= max_rows else dim
+    key = (dim.semanticHash(), max_rows)
+    if key not in _CHECKED:
+        _CHECKED[key] = dim.limit(max_rows + 1).count() <= max_rows
+    return F.broadcast(dim) if _CHECKED[key] else dim
+
+
+# Outcome of the size check per (plan, bound) in this process. It only steers the join
+# strategy, never the result, so a stale entry after the data grows costs speed at most
+# until the next process.
+_CHECKED: dict[tuple[int, int], bool] = {}
