@@ -32,16 +32,22 @@ def _position(col: str) -> F.Column:
     return F.coalesce(*[F.when(F.col(col) == k, F.lit(v)) for k, v in TYPE_POSITION.items()])
 
 
-def _enriched(spark: SparkSession, sf: str) -> DataFrame:
-    """Lines with supplier nation (``team``), customer nation (``opp``) and part fields."""
+def _lines_opp(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with supplier nation (``team``) and customer nation (``opp``, ``opp_key``)."""
     c = table(spark, sf, "customer", "c_custkey", "c_nationkey")
     n = table(spark, sf, "nation", "n_nationkey", "n_name").withColumnRenamed("n_name", "opp")
-    p = table(spark, sf, "part", "p_partkey", "p_name", "p_type")
     cust = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
         "c_custkey", "opp", F.col("c_nationkey").alias("opp_key"))
-    return (d.lines_team(spark, sf)
-            .join(broadcast_if_bounded(cust), F.col("o_custkey") == F.col("c_custkey"))
-            .join(broadcast_if_bounded(p), F.col("l_partkey") == F.col("p_partkey")))
+    return d.lines_team(spark, sf).join(broadcast_if_bounded(cust), F.col("o_custkey") == F.col("c_custkey"))
+
+
+def _parts(spark: SparkSession, sf: str) -> DataFrame:
+    return broadcast_if_bounded(table(spark, sf, "part", "p_partkey", "p_name", "p_type"))
+
+
+def _enriched(spark: SparkSession, sf: str) -> DataFrame:
+    """Lines with supplier nation (``team``), customer nation (``opp``) and part fields."""
+    return _lines_opp(spark, sf).join(_parts(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
 
 
 SQL_ENRICHED = """
@@ -56,24 +62,21 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
     """Landed weekly stat lines: one row per (season, week, team, player, source).
 
     ``source`` is NULL for a player's returned lines, so many keys carry two rows that
-    differ only in ``source`` (one NULL), the duplicate pattern the marts must dedupe.
+    differ only in ``source`` (one NULL), the duplicate pattern the marts must dedupe; a
+    stat line without a feed also has no player name.
+
+    The aggregate groups on numeric and short keys; text ids, names and positions are
+    attached to the (smaller) aggregate afterwards.
     """
-    e = _enriched(spark, sf)
+    e = _lines_opp(spark, sf)
     q, ln = F.col("l_quantity"), F.col("l_linenumber")
 
     def cnt(cond: F.Column) -> F.Column:
         return F.count_if(cond)
 
-    # Name and position depend on the part alone, so they are grouping keys (a hash
-    # aggregate; MAX over text would force a sort-based aggregate). The opponent is the
-    # nation with the largest key, named after the aggregate through the 25-row nation table.
     agg = e.groupBy(
-        "season", "week", F.lit("REG").alias("season_type"), "team",
-        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"),
+        "season", "week", "team", "l_partkey",
         F.when(F.col("l_returnflag") != "R", F.lit("feed")).alias("source"),
-        # A stat line without a feed also has no player name (the gap names are filled from).
-        F.when(F.col("l_returnflag") != "R", F.col("p_name")).alias("player_name"),
-        _position("p_type").alias("position"),
     ).agg(
         F.max("opp_key").alias("__opp_key"),
         cnt(F.col("l_returnflag") == "N").alias("completions"), F.count(F.lit(1)).alias("attempts"),
@@ -89,13 +92,18 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
         cnt(ln == 5).alias("receiving_2pt_conversions"),
     )
     names = table(spark, sf, "nation", "n_nationkey", "n_name")
-    out = agg.join(F.broadcast(names), agg["__opp_key"] == names["n_nationkey"], "left")
-    cols = [c for c in agg.columns if c != "__opp_key"]
+    out = (agg.join(_parts(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
+           .join(F.broadcast(names), F.col("__opp_key") == F.col("n_nationkey"), "left"))
+    stats = [c for c in agg.columns if c not in ("season", "week", "team", "l_partkey", "source", "__opp_key")]
     ays = F.col("receptions") / F.col("attempts")
-    return out.select(*cols[:8], F.col("n_name").alias("opponent_team"), *cols[8:],
-                      ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"),
-                      (F.col("passing_yards") - F.col("attempts") * 10).alias("receiving_air_yards"),
-                      (F.col("targets") / 50.0).alias("target_share"))
+    return out.select(
+        "season", "week", F.lit("REG").alias("season_type"), "team",
+        F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"), "source",
+        F.when(F.col("source").isNotNull(), F.col("p_name")).alias("player_name"),
+        _position("p_type").alias("position"), F.col("n_name").alias("opponent_team"), *stats,
+        ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"),
+        (F.col("passing_yards") - F.col("attempts") * 10).alias("receiving_air_yards"),
+        (F.col("targets") / 50.0).alias("target_share"))
 
 
 SQL_WEEKLY = """
