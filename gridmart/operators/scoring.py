@@ -1,10 +1,14 @@
 """Rule-driven scoring (F7): points computed from a ``rules`` table instead of code.
 
-stats (wide) --unpivot--> (key, metric, value) --broadcast join rules on metric-->
-value * rate + bonus(value >= threshold) --sum per key-->
+Two plans for the same result:
 
-The rules side is a document-sized dimension (tens of rows), so broadcasting it is
-size-safe; the stats side is never shuffled for the join.
+* :func:`score_with_rules` compiles the rules into one column expression (the rules
+  table is a document of tens of rows; its size is checked before it is read on the
+  driver). Scoring is then a projection: no unpivot, no join, no shuffle of the stats.
+* :func:`score_by_rules` keeps the rules as data: stats are unpivoted to
+  ``(key, metric, value)``, joined to the broadcast rules and summed per key. It suits
+  rule sets that change per row group (e.g. per contest) and is the cross-check of the
+  compiled form.
 """
 
 from __future__ import annotations
@@ -29,3 +33,25 @@ def score_by_rules(stats: DataFrame, key: Sequence[str], rules: DataFrame,
     bonus = F.when(F.col("bonus_points").isNotNull() & (v >= F.col("threshold")), F.col("bonus_points")) \
         .otherwise(F.lit(0.0))
     return long.join(r, "metric").groupBy(*key).agg(F.sum(linear + bonus).alias(name))
+
+
+MAX_RULE_ROWS = 10_000
+
+
+def score_with_rules(stats: DataFrame, rules: DataFrame, name: str = "points") -> DataFrame:
+    """Add ``name`` = sum over scoring rules of ``value * rate`` plus threshold bonuses,
+    compiled from the (bounded) rules table into a single expression."""
+    scoring_rules = (rules.filter(F.col("section") == "scoring").filter(F.col("metric").isNotNull())
+                     .select("metric", "points", "per_yard", "threshold", "bonus_points"))
+    rows = scoring_rules.limit(MAX_RULE_ROWS + 1).collect()
+    if len(rows) > MAX_RULE_ROWS:
+        raise ValueError("rules table too large to compile; use score_by_rules")
+    expr = F.lit(0.0)
+    for r in sorted(rows, key=lambda r: (r.metric, r.threshold is None, r.threshold or 0.0)):
+        v = F.coalesce(F.col(r.metric).cast("double"), F.lit(0.0))
+        if r.bonus_points is not None:
+            expr = expr + F.when(v >= F.lit(r.threshold), F.lit(r.bonus_points)).otherwise(F.lit(0.0))
+        else:
+            rate = r.per_yard if r.per_yard is not None else (r.points or 0.0)
+            expr = expr + v * F.lit(rate)
+    return stats.withColumn(name, expr)
