@@ -208,33 +208,46 @@ STAT_COLS = ["passing_yards", "passing_tds", "interceptions", "rushing_yards", "
              "passing_2pt_conversions", "rushing_2pt_conversions", "receiving_2pt_conversions"]
 
 
+def _receiver_side(p: DataFrame) -> DataFrame:
+    """Per receiver-week (``posteam`` already named ``team``): expected points from
+    targets (0.6 deep / 0.4) and the air-yard sums behind aDOT, in one aggregate."""
+    is_pass, air = fb.flag("pass"), fb.is_air_target()
+    return p.groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id")).agg(
+        F.sum(F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)).alias("xfp_rec"),
+        F.sum(F.when(air, F.col("air_yards")).otherwise(0)).alias("__air"), csum(air).alias("__n"))
+
+
+def _rusher_side(p: DataFrame) -> DataFrame:
+    """Per rusher-week: expected points by field zone (0.8 / 0.5 / 0.3 / 0.15)."""
+    yl = F.col("yardline_100")
+    return p.filter(fb.flag("rush")).groupBy(*TEAM_KEY, F.col("rusher_player_id").alias("player_id")).agg(
+        F.sum(F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)).alias("xfp_rush"))
+
+
+def _xfp(recv: DataFrame, rush: DataFrame) -> DataFrame:
+    both = rush.join(recv.select(*WEEK_KEY, "xfp_rec"), WEEK_KEY, "full")
+    return both.select(*WEEK_KEY, (F.coalesce("xfp_rush", F.lit(0.0)) + F.coalesce("xfp_rec", F.lit(0.0))).alias("xfp_lite"))
+
+
 def expected_points(pbp: DataFrame) -> DataFrame:
     """Targets weighted 0.6 (deep, air >= 15) / 0.4, carries by field zone
     0.8 / 0.5 / 0.3 / 0.15; receiver and rusher sides FULL-joined on the player key."""
     p = pbp.withColumnRenamed("posteam", "team")
-    is_pass, is_rush = fb.flag("pass"), fb.flag("rush")
-    recv = p.groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id")).agg(
-        F.sum(F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)).alias("xfp_rec"))
-    yl = F.col("yardline_100")
-    rush = p.filter(is_rush).groupBy(*TEAM_KEY, F.col("rusher_player_id").alias("player_id")).agg(
-        F.sum(F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)).alias("xfp_rush"))
-    both = rush.join(recv, WEEK_KEY, "full")
-    return both.select(*WEEK_KEY, (F.coalesce("xfp_rush", F.lit(0.0)) + F.coalesce("xfp_rec", F.lit(0.0))).alias("xfp_lite"))
+    return _xfp(_receiver_side(p), _rusher_side(p))
 
 
 def player_week_stats(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                       season_type: str | None = None) -> DataFrame:
     """Deduped weekly stats, PPR and DK points, aDOT from play data, expected points,
-    typed NULL placeholders for route metrics."""
+    typed NULL placeholders for route metrics. The receiver-side aggregate feeds both
+    aDOT and expected points (one pass over the plays per role)."""
     w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    p = _eq_filters(pbp, year=season, season_type=season_type)
+    p = _eq_filters(pbp, year=season, season_type=season_type).withColumnRenamed("posteam", "team")
     base = w.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STAT_COLS if c in w.columns})
     scored = base.withColumns({"ppr_points": scoring.ppr(), "dk_ppr_points": scoring.dk_ppr()})
-    air = fb.is_air_target()
-    adot = (p.withColumnRenamed("posteam", "team")
-            .groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id"))
-            .agg(F.sum(F.when(air, F.col("air_yards")).otherwise(0)).alias("__air"), csum(air).alias("__n")))
-    out = (scored.join(adot, WEEK_KEY, "left").join(expected_points(p), WEEK_KEY, "left"))
+    recv = _receiver_side(p)
+    out = (scored.join(recv.select(*WEEK_KEY, "__air", "__n"), WEEK_KEY, "left")
+           .join(_xfp(recv, _rusher_side(p)), WEEK_KEY, "left"))
     return out.withColumns({
         "routes_run": F.lit(None).cast("bigint"), "yprr": F.lit(None).cast("double"),
         "tprr": F.lit(None).cast("double"),
