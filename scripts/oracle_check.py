@@ -77,6 +77,7 @@ def main() -> int:
     ap.add_argument("--sf", default="/root/testdata/sf0.01")
     ap.add_argument("--partitions", type=int, default=8, help="shuffle partitions (vary to perturb sum order)")
     ap.add_argument("--no-aqe", action="store_true", help="run with adaptive execution off")
+    ap.add_argument("--duck-threads", type=int, default=0, help="DuckDB threads (0 = its default)")
     ap.add_argument("names", nargs="*")
     args = ap.parse_args()
     extra = {"spark.sql.adaptive.enabled": "false"} if args.no_aqe else None
@@ -84,6 +85,8 @@ def main() -> int:
     qs, sqls = queries(), oracle_sql()
     names = args.names or list(qs)
     con = duckdb.connect()
+    if args.duck_threads:
+        con.execute(f"SET threads = {args.duck_threads}")
     for t in TABLES:
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{args.sf}/{t}.parquet')")
     bad = 0
