@@ -56,8 +56,12 @@ def profile(df: DataFrame, key: Sequence[str], partitions: Sequence[str] = (),
     present = [c for c in range_cols if c in df.columns and c not in partitions]
     rng = [f(c).alias(f"{n}_{c}") for c in present for f, n in ((F.min, "min"), (F.max, "max"))]
     base = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("rows"), *rng)
-    out = base.join(keys, list(partitions), "inner") if partitions else \
-        base.select("*", F.lit(0).alias("__j")).join(keys.select("*", F.lit(0).alias("__j")), "__j").drop("__j")
+    if partitions:
+        out = base.join(keys, list(partitions), "inner")
+    else:  # both sides are one row: attach the key figures as literals, no cross product
+        k = keys.first()
+        out = base.withColumns({n: F.lit(k[n]).cast(t) for n, t in
+                                ((f.name, f.dataType) for f in keys.schema.fields)})
     return out.withColumns({
         "columns": F.lit(len(df.columns)),
         "key_duplicate_ratio": F.try_divide(F.col("key_duplicate_rows").cast("double"), F.col("rows").cast("double")),

@@ -38,10 +38,11 @@ def with_group_totals(df: DataFrame, group: Sequence[str],
     """Attach one aggregate per name in ``totals`` computed over ``group`` to every row."""
     agg = df.groupBy(*group).agg(*[expr.alias(name) for name, expr in totals.items()])
     if not group:
-        # A global aggregate is exactly one row: broadcast it on a constant key.
-        one = F.lit(0).alias("__one")
-        return (df.select("*", one)
-                .join(F.broadcast(agg.select("*", one)), "__one", "inner").drop("__one"))
+        # A global aggregate is exactly one row of a few numbers: compute it first and
+        # attach it as literals (no join, so no cross product in the plan).
+        row = agg.first()
+        types = {f.name: f.dataType for f in agg.schema.fields}
+        return df.withColumns({n: F.lit(row[n]).cast(types[n]) for n in totals})
     return null_safe_join(df, agg, group, "left")
 
 
