@@ -42,15 +42,28 @@ def plan_sizes(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[int, in
 
 
 def _packed(columns: list[np.ndarray], cuts: np.ndarray) -> list[pa.Array]:
+    """One binary value per slice of 8-byte numbers, byte planes apart: the high bytes of
+    sorted keys and of small values are alike, so Spark's shuffle compresses them away."""
+    bounds = list(zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True))
     out = []
     for col in columns:
-        raw = np.ascontiguousarray(col)
-        off = (cuts * raw.itemsize).astype(np.int64)
-        out.append(pa.LargeBinaryArray.from_buffers(
-            pa.large_binary(), len(cuts) - 1, [None, pa.py_buffer(off), pa.py_buffer(raw)]).cast(pa.binary()))
+        raw = np.ascontiguousarray(col).view(np.uint8).reshape(-1, 8)
+        out.append(pa.array([raw[a:b].T.tobytes() for a, b in bounds], pa.binary()))
     return out
 
 
+def _unpacked(column, kind) -> tuple[np.ndarray, np.ndarray]:
+    """(numbers, how many each row had) of a packed column."""
+    raw, off = binary_parts(column)
+    size = np.diff(off) // 8
+    out = np.empty((len(raw) // 8, 8), np.uint8)
+    at = 0
+    for a, n in zip(off[:-1].tolist(), size.tolist(), strict=True):
+        out[at:at + n] = raw[a:a + 8 * n].reshape(8, n).T
+        at += n
+    return out.reshape(-1).view(kind), size
+
+
 def scatter(docs: DataFrame, n_buckets: int,
             emit: Callable[[pa.Table], tuple[np.ndarray, np.ndarray]]) -> DataFrame:
     """``emit(group) -> (keys, values)``: distinct uint64 keys, ascending, with an int64 each."""
@@ -76,10 +89,9 @@ def combine(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarra
     key; masked entries go back to the group that sent them."""
 
     def reduce(key, table):
-        raw_k, off = binary_parts(table["keys"])
-        raw_v, _ = binary_parts(table["vals"])
-        keys, vals = raw_k.view(np.uint64), raw_v.view(np.int64)
-        grp = np.repeat(table["grp"].to_numpy(), np.diff(off) // 8)
+        keys, size = _unpacked(table["keys"], np.uint64)
+        vals, _ = _unpacked(table["vals"], np.int64)
+        grp = np.repeat(table["grp"].to_numpy(), size)
         order = np.argsort(keys, kind="stable")
         keys, vals, grp = keys[order], vals[order], grp[order]
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
@@ -101,9 +113,8 @@ def finish(docs: DataFrame, answers: DataFrame,
     """``fn(group, keys, values)`` with the group's answers, keys ascending and distinct."""
 
     def close(key, left, right):
-        raw_k, _ = binary_parts(right["keys"])
-        raw_v, _ = binary_parts(right["vals"])
-        keys, vals = raw_k.view(np.uint64), raw_v.view(np.int64)
+        keys, _ = _unpacked(right["keys"], np.uint64)
+        vals, _ = _unpacked(right["vals"], np.int64)
         order = np.argsort(keys, kind="stable")
         return fn(left, keys[order], vals[order])
 
