@@ -83,10 +83,11 @@ def scatter(docs: DataFrame, n_buckets: int,
     return docs.groupBy("grp").applyInArrow(send, PACKED)
 
 
-def combine(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
-            ) -> DataFrame:
+def combine(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]],
+            stats: Callable | None = None) -> DataFrame:
     """``answer(keys, values, run_start) -> (mask, reply)`` over a bucket's entries sorted by
-    key; masked entries go back to the group that sent them."""
+    key; masked entries go back to the group that sent them. ``stats`` (same arguments) adds
+    a row of group -1 per bucket with its (keys, values)."""
 
     def reduce(key, table):
         keys, size = _unpacked(table["keys"], np.uint64)
@@ -95,6 +96,7 @@ def combine(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarra
         order = np.argsort(keys, kind="stable")
         keys, vals, grp = keys[order], vals[order], grp[order]
         start = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        extra = stats(keys, vals, start) if stats and len(keys) else None
         mask, reply = answer(keys, vals, start)
         keys, reply, grp = keys[mask], reply[mask], grp[mask]
         order = np.argsort(grp, kind="stable")
@@ -103,7 +105,11 @@ def combine(sent: DataFrame, answer: Callable[[np.ndarray, np.ndarray, np.ndarra
         if not len(grp):
             cuts = np.zeros(1, np.int64)
         k, v = _packed([keys, reply.astype(np.int64)], cuts)
-        return pa.table({"grp": grp[cuts[:-1]].astype(np.int32), "keys": k, "vals": v})
+        out = pa.table({"grp": grp[cuts[:-1]].astype(np.int32), "keys": k, "vals": v})
+        if extra:
+            k, v = _packed(list(extra), np.array([0, len(extra[0])]))
+            out = pa.concat_tables([out, pa.table({"grp": np.array([-1], np.int32), "keys": k, "vals": v})])
+        return out
 
     return sent.groupBy("bucket").applyInArrow(reduce, ANSWER)
 
