@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import (embedding_dedup, hmm_lm, minhash_dedup, packing, quality_classifier,
-                          quality_rules, substring_dedup, token_files)
+from gridmart.llm import (embedding_dedup, hmm_lm, minhash_dedup, packing, pii, quality_classifier,
+                          quality_rules, sentencepiece_viterbi, substring_dedup, token_files)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -33,12 +33,20 @@ def op4_embedding_dedup(spark, sf_dir):
     return embedding_dedup.near_duplicates(_read(spark, sf_dir, "embeddings"))
 
 
+def op5_pii(spark, sf_dir):
+    return pii.find(_read(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark, sf_dir):
     led = quality_rules.apply_policy(quality_rules.ledger(_read(spark, sf_dir, "documents")))
     return led.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
                       "base_failed", "kept", "failed_bits")
 
 
+def op7_sentencepiece(spark, sf_dir):
+    return sentencepiece_viterbi.round_trip(_read(spark, sf_dir, "documents"))
+
+
 def op8_minhash_dedup(spark, sf_dir):
     return minhash_dedup.near_duplicates(_read(spark, sf_dir, "documents"))
 
@@ -52,6 +60,7 @@ def op10_best_fit_packing(spark, sf_dir):
 
 
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
-    op1_substring_dedup, op2_quality_classifier, op3_hmm_lm, op4_embedding_dedup, op6_quality_rules, op8_minhash_dedup, op9_token_files, op10_best_fit_packing)}
+    op1_substring_dedup, op2_quality_classifier, op3_hmm_lm, op4_embedding_dedup, op5_pii,
+    op6_quality_rules, op7_sentencepiece, op8_minhash_dedup, op9_token_files, op10_best_fit_packing)}
 
 ORACLE_SQL: dict[str, str] = {}
