@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import packing, quality_rules, substring_dedup
+from gridmart.llm import minhash_dedup, packing, pii, quality_rules, substring_dedup
 from gridmart.llm.scratch import written
 
 
@@ -19,17 +19,28 @@ def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return quality_rules.keep_documents(docs)
 
 
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keep one document of each group of near duplicates."""
+    return minhash_dedup.keep_documents(docs)
+
+
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 13 words or more that a smaller doc_id has too."""
     return substring_dedup.remove_repeats(docs)
 
 
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replace personal data by its kind."""
+    return pii.mask(docs)
+
+
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenize and place every document in sequences of 4096 tokens."""
     return packing.pack_documents(docs)
 
 
-STAGES = [("quality_rules", rules), ("substring_dedup", substrings), ("best_fit_packing", pack)]
+STAGES = [("quality_rules", rules), ("minhash_dedup", near_duplicates), ("substring_dedup", substrings),
+          ("personal_data", personal_data), ("best_fit_packing", pack)]
 
 # No DuckDB SQL expresses the tokenizer or the model stages; tests/llm check each stage.
 ORACLE_SQL = None
