@@ -125,3 +125,17 @@ def finish(docs: DataFrame, answers: DataFrame,
         return fn(left, keys[order], vals[order])
 
     return docs.groupBy("grp").cogroup(answers.groupBy("grp")).applyInArrow(close, schema)
+
+
+def lookup(own: np.ndarray, values: np.ndarray, keys: np.ndarray, answers: np.ndarray) -> np.ndarray:
+    """``values`` of the ascending keys ``own``, replaced by the answer where there is one."""
+    if not len(keys):
+        return values
+    at = np.minimum(np.searchsorted(keys, own), len(keys) - 1)
+    return np.where(keys[at] == own, answers[at], values)
+
+
+def totals(keys, vals, start):
+    """For ``combine``: the sum of a key's values, sent where it differs from the own one."""
+    total = np.repeat(np.add.reduceat(vals, start), np.diff(np.append(start, len(keys))))
+    return total != vals, total

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.exchange import ANSWER, _unpacked, combine, finish, grouped, plan_sizes, scatter
+from gridmart.llm.exchange import ANSWER, _unpacked, combine, finish, grouped, lookup, plan_sizes, scatter, totals
 from gridmart.llm.scratch import written
 from gridmart.llm.textops import Words, runs, small_batches
 
@@ -219,12 +219,6 @@ def _count_words(table) -> tuple[np.ndarray, np.ndarray]:
     return h[order][start], total
 
 
-def _totals(keys, vals, start):
-    size = np.diff(np.append(start, len(keys)))
-    total = np.repeat(np.add.reduceat(vals, start), size)
-    return total != vals, total
-
-
 def _class_stats(answers: DataFrame):
     """(tokens, words) per class over the training texts."""
 
@@ -260,7 +254,7 @@ def score(docs: DataFrame) -> DataFrame:
     n_groups, n_buckets = plan_sizes(docs)
     dealt = grouped(docs, n_groups)
     sent = scatter(dealt, n_buckets, _count_words)
-    answers = written(combine(sent, _totals, stats=_bucket_stats), "word-counts")
+    answers = written(combine(sent, totals, stats=_bucket_stats), "word-counts")
     tokens, distinct = _class_stats(answers)
     n = int(tokens.sum()) + n_train
     v = int(distinct.sum()) + (n_train > 0)
@@ -271,9 +265,7 @@ def score(docs: DataFrame) -> DataFrame:
         words = Words(table["text"])
         h = words.hashes(fold_case=True)
         own_keys, count = _count_words(table)
-        if len(keys):
-            at = np.minimum(np.searchsorted(keys, own_keys), len(keys) - 1)
-            count = np.where(keys[at] == own_keys, total[at], count)
+        count = lookup(own_keys, count, keys, total)
         c = count[np.searchsorted(own_keys, h)] if len(h) else np.zeros(0, np.int64)
         logs = np.log10(c + 1.0)
 

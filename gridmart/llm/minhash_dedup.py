@@ -12,15 +12,20 @@ similarity. Rank bands are thrown upwards until the expected number of hits per
 k ln k + 2 k and every coordinate is filled, so work hardly depends on the length. ``BANDS``
 bands of ``BAND_ROWS`` coordinates miss a pair of similarity 0.8 with probability 5e-6.
 
-Equal word sequences form one class before any join. In a band's bucket every class meets the
-bucket's smallest class only, and links are verified exactly. Classes that do not link with
-it meet (a) the smallest of the others that did not, (b) the linked ones that the triangle
-inequality leaves possible; what is then still unlinked in a bucket meets pairwise. So a
-group of many near copies costs one comparison per copy, and no possible link is left out.
-
-Defined cases: null and empty texts, and texts without words, link with nothing. Rows of
-equal doc_id are one document (class of all their texts). A null doc_id gets its component
-from equal texts, else null, and is only compared by equality. Ties: the smallest doc_id
+Equal word sequences form one class before any join. A bucket's leader is the class with the
+most bucket mates overall (in a group of copies that is the text they were made from). Every
+class meets the leader with the most mates among its buckets; links are verified exactly and
+give first components. A class that is not in a bucket's leader's component then meets the classes of other components in its buckets
+that can still reach the similarity: with s the occurrences of shingles that some other
+candidate has too, the overlap of x and y is at most min(s_x, s_y), so 0.8 needs
+min(s_x, s_y) >= 4/9 (|x| + |y|). The join is on the bucket and a size class within that
+bound. A group of many near copies so costs about one comparison per copy, as copies that
+are too far from the original have too many shingles of their own, and every pair of
+different components that shares a bucket is either compared or excluded by the bound.
+
+Defined cases: null and empty texts, and texts without words, link with nothing. Rows that
+share a doc_id but not a text are judged text by text. A null doc_id gets its component from
+equal texts, else null, and is only compared by equality. Ties: the smallest doc_id
 names the component. An empty table gives an empty result.
 """
 
@@ -35,6 +40,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.components import components
+from gridmart.llm.exchange import combine, finish, grouped, lookup, plan_sizes, scatter, totals
 from gridmart.llm.scratch import written
 from gridmart.llm.textops import U64, Words, mix64, rolling_hashes, runs, small_batches, window_index
 
@@ -168,34 +174,23 @@ def classes(docs: DataFrame) -> DataFrame:
     reps = written(rows.filter(F.col("print").isNotNull()).groupBy("print")
                    .agg(node.alias("node"), F.first("bands").alias("bands")), "print-classes")
     band = reps.filter("node >= 0").select("node", F.explode("bands").alias("key")).distinct()
-    low = band.groupBy("key").agg(F.min("node").alias("a"), F.count("*").alias("n")).filter("n > 1").select("key", "a")
-    members = written(band.join(low, "key").select("key", "a", F.col("node").alias("b")), "buckets")
-    texts = _texts(docs, members.select(F.col("b").alias("node")).distinct())
-    first = _verified(members.filter("a <> b").select("a", "b").distinct(), texts)
-    judged = members.join(first, ["a", "b"], "left").withColumn(
-        "similarity", F.when(F.col("a") == F.col("b"), 1.0).otherwise(F.coalesce("similarity", F.lit(0.0))))
-    left = written(judged.filter(F.col("similarity") < SIMILARITY).select("key", "b", "similarity"), "unlinked")
-    links = [first]
-    if not left.isEmpty():
-        # The linked members of those buckets only; distance = 1 - similarity is a metric.
-        other = left.groupBy("key").agg(F.min("b").alias("low"), F.count("*").alias("n"))
-        alone = left.join(other.filter("n > 1").select("key", "low"), "key").filter("b <> low")
-        border = left.filter(F.col("similarity") >= 2 * SIMILARITY - 1)
-        linked = judged.filter((F.col("similarity") >= SIMILARITY) & (F.col("a") != F.col("b"))).select(
-            "key", F.col("b").alias("c"), F.col("similarity").alias("s"))
-        reach = border.join(linked, "key").filter(F.col("s") <= F.col("similarity") + (1 - SIMILARITY))
-        pairs = alone.select(F.col("low").alias("a"), "b").unionByName(
-            reach.select(F.least("b", "c").alias("a"), F.greatest("b", "c").alias("b")))
-        second = _verified(pairs.distinct(), texts)
-        links.append(second)
-        apart = alone.join(second.filter(F.col("similarity") >= SIMILARITY)
-                           .select(F.col("a").alias("low"), "b"), ["low", "b"], "left_anti").select("key", "b")
-        rest = apart.join(apart.select("key", F.col("b").alias("c")), "key").filter("b < c")
-        links.append(_verified(rest.select(F.col("b").alias("a"), F.col("c").alias("b")).distinct(), texts))
-    edges = None
-    for found in links:
-        near = found.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
-        edges = near if edges is None else edges.unionByName(near)
+    size = band.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    shared = written(band.join(size, "key"), "buckets")
+    mates = shared.groupBy("node").agg(F.sum("n").alias("mates"))
+    ranked = shared.join(mates, "node").select("key", "node", "mates")
+    leader = ranked.groupBy("key").agg(F.max(F.struct("mates", (-F.col("node")).alias("id"))).alias("top"))
+    members = written(shared.select("key", "node").join(leader, "key").select(
+        "key", "node", (-F.col("top.id")).alias("leader"), F.col("top.mates").alias("mates")), "bucket-members")
+    texts = _texts(docs, members.select("node").distinct())
+    # Every class meets one leader first, the one with the most mates.
+    best = members.filter("node <> leader").groupBy("node").agg(
+        F.max(F.struct("mates", (-F.col("leader")).alias("id"))).alias("top")).select(
+        "node", (-F.col("top.id")).alias("leader"))
+    edges = _links(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
+                   .distinct(), texts)
+    first = written(components(edges, "first-components"), "first-components")
+    second = _links(_open_pairs(members, first, texts), texts)
+    edges = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
     roots = components(edges, "document-components")
     of_print = reps.select("print", "node").join(roots, "node", "left").select(
         "print", F.coalesce("root", "node").alias("root"))
@@ -210,8 +205,58 @@ def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
     return written(found.groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")), "candidate-texts")
 
 
-def _verified(pairs: DataFrame, texts: DataFrame) -> DataFrame:
-    return written(_similarities(pairs, texts), "similarities")
+def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs (a, b) of similarity SIMILARITY or more."""
+    found = written(_similarities(pairs, texts), "similarities")
+    return found.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
+
+
+def _common_shingles(texts: DataFrame) -> DataFrame:
+    """node, size (shingle occurrences), common (those that another text has too)."""
+    n_groups, n_buckets = plan_sizes(texts)
+    dealt = grouped(texts.select(F.col("node").alias("doc_id"), "text"), n_groups)
+
+    def distinct(table):
+        _, element = occurrences(Words(table["text"]))
+        return np.unique(element, return_counts=True)
+
+    def close(table, keys, total):
+        own, count = distinct(table)
+        count = lookup(own, count, keys, total)
+        doc, element = occurrences(Words(table["text"]))
+        size = np.bincount(doc, minlength=table.num_rows)
+        common = np.bincount(doc[count[np.searchsorted(own, element)] > 1], minlength=table.num_rows)
+        return pa.table({"node": table["doc_id"], "size": size, "common": common})
+
+    answers = combine(scatter(dealt, n_buckets, distinct), totals)
+    return finish(dealt, answers, close, "node long, size long, common long")
+
+
+def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame) -> DataFrame:
+    """Pairs of different first components in a bucket that may reach SIMILARITY."""
+    root = F.coalesce("root", "node").alias("root")
+    rows = members.join(first, "node", "left").select("key", "node", "leader", root)
+    led = rows.join(first.select(F.col("node").alias("leader"), F.col("root").alias("led")), "leader", "left").select(
+        "key", "node", "root", F.coalesce("led", "leader").alias("led"))
+    out = led.filter("root <> led").select("key", "node", "root")
+    buckets = out.select("key").distinct()
+    involved = written(rows.select("key", "node", "root").join(buckets, "key", "left_semi"), "open-buckets")
+    stats = written(_common_shingles(texts.join(involved.select("node").distinct(), "node", "left_semi")),
+                    "common-shingles")
+    share = SIMILARITY / (1 + SIMILARITY)
+    alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9)
+    step = float(np.log(1.02))
+    sized = involved.join(alive, "node").select("key", "node", "root", "size", "common",
+                                                F.floor(F.log("size") / step).alias("class"))
+    low, high = F.col("x.size") * SIMILARITY, F.least(F.col("x.size") / SIMILARITY,
+                                                      F.col("x.common") / share - F.col("x.size"))
+    x = out.join(alive, "node").select(
+        "key", F.struct("node", "root", "size", "common").alias("x"))
+    x = x.filter(high >= low).withColumn("class", F.explode(F.sequence(
+        F.floor(F.log(low) / step) - 1, F.floor(F.log(high) / step) + 1)))
+    met = x.join(sized, ["key", "class"]).filter(
+        (F.col("x.root") != F.col("root")) & (F.least("x.common", "common") >= share * (F.col("x.size") + F.col("size")) - 1e-9))
+    return met.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

@@ -205,6 +205,8 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> Network:
     # At most MAX_LABELLED ids, so the broadcast is bounded.
     found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
     got = sorted(found.mapInArrow(rows, "doc_id long, y int, f binary").limit(2 * MAX_LABELLED).collect())
+    if not got:
+        return Network().fit(np.zeros((0, 1)), np.zeros(0))
     x = np.array([np.frombuffer(r.f) for r in got]).reshape(len(got), -1)
     return Network().fit(x, np.array([r.y for r in got], float))
 

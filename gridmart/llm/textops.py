@@ -154,7 +154,8 @@ def small_batches(batches, column: str = "text", limit: int = 4 << 20):
     """Split Arrow batches so that each part holds about ``limit`` bytes of ``column`` at
     most (one longer text still comes whole, alone)."""
     for batch in batches:
-        _, offsets = utf8(batch[column])
+        size = pc.fill_null(pc.binary_length(one_array(batch[column])), 0).to_numpy(zero_copy_only=False)
+        offsets = np.concatenate([[0], np.cumsum(size, dtype=np.int64)])
         at = 0
         while at < batch.num_rows:
             end = int(np.searchsorted(offsets, offsets[at] + limit, side="right")) - 1

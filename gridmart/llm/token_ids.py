@@ -109,8 +109,9 @@ class WordEncoder:
             word = raw.decode()
             mark = word[-1] if word[-1] in self.marks else ""
             core = word[:-1] if mark else word
-            if core.isalpha() and max(core) < "ɐ":
-                ids = self._core(core.lower())
+            low = core.lower()
+            if low.isalpha() and max(low) < "ɐ":
+                ids = self._core(low)
                 lists.append(ids + self.marks[mark] if mark else ids)
             else:
                 other.append((len(lists), word))
