@@ -19,7 +19,8 @@ give first components. A class that is not in a bucket's leader's component then
 that can still reach the similarity: with s the occurrences of shingles that some other
 candidate has too, the overlap of x and y is at most min(s_x, s_y), so 0.8 needs
 min(s_x, s_y) >= 4/9 (|x| + |y|). The join is on the bucket and a size class within that
-bound. A group of many near copies so costs about one comparison per copy, as copies that
+bound, and on the agreement of the signatures' low bits (a pair of similarity 0.8 falls below
+the least agreement with probability 5e-6). A group of many near copies so costs about one comparison per copy, as copies that
 are too far from the original have too many shingles of their own, and every pair of
 different components that shares a bucket is either compared or excluded by the bound.
 
@@ -126,21 +127,49 @@ def _band_keys(signature: np.ndarray) -> np.ndarray:
     return key.view(np.int64)
 
 
+def _nibbles(signature: np.ndarray) -> np.ndarray:
+    """Four bits of every coordinate, sixteen coordinates in a 64-bit number."""
+    # High bits, as the low ones decide the coordinate.
+    parts = ((mix64(signature) >> U64(48)) & U64(15)).reshape(len(signature), -1, 16)
+    return np.bitwise_or.reduce(parts << (U64(4) * np.arange(16, dtype=U64)), axis=2).view(np.int64)
+
+
+def _agreement(a: str, b: str):
+    """SQL: the number of coordinates whose four bits agree."""
+    differ = []
+    for k in range(COORDINATES // 16):
+        x = f"({a}[{k}] ^ {b}[{k}])"
+        x = f"({x} | shiftrightunsigned({x}, 1))"
+        differ.append(f"bit_count(({x} | shiftrightunsigned({x}, 2)) & {0x1111111111111111}L)")
+    return F.expr(f"{COORDINATES} - ({' + '.join(differ)})")
+
+
+def _least_agreement() -> int:
+    """Pairs of similarity SIMILARITY agree less often with the probability that the bands miss
+    them (5e-6, 4.4 standard deviations)."""
+    p = SIMILARITY + (1 - SIMILARITY) / 16
+    return int(COORDINATES * p - 4.4 * (COORDINATES * p * (1 - p)) ** 0.5)
+
+
 def _sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, print (of the word sequence, null without words) and band keys per row."""
+    """doc_id, print (of the word sequence, null without words), band keys and signature bits."""
 
     def run(batches):
         for b in small_batches(batches, limit=2 << 20):
             words = Words(b["text"])
             doc, element = occurrences(words)
-            keys = _band_keys(dart_signatures(doc, element, words.n_docs))
+            signature = dart_signatures(doc, element, words.n_docs)
+            keys, bits = _band_keys(signature), _nibbles(signature)
             prints = [hashlib.blake2b(b" ".join(words.doc_bytes(d).split()), digest_size=16).digest()
                       if words.count[d] else None for d in range(words.n_docs)]
             bands = pa.ListArray.from_arrays(np.arange(0, keys.size + 1, BANDS, dtype=np.int32), keys.ravel())
+            width = bits.shape[1]
+            bits = pa.ListArray.from_arrays(np.arange(0, bits.size + 1, width, dtype=np.int32), bits.ravel())
             yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "print": pa.array(prints, pa.binary()),
-                                              "bands": bands})
+                                              "bands": bands, "bits": bits})
 
-    return docs.select("doc_id", "text").mapInArrow(run, "doc_id long, print binary, bands array<long>")
+    return docs.select("doc_id", "text").mapInArrow(
+        run, "doc_id long, print binary, bands array<long>, bits array<long>")
 
 
 def _similarities(pairs: DataFrame, texts: DataFrame) -> DataFrame:
@@ -172,7 +201,8 @@ def classes(docs: DataFrame) -> DataFrame:
     rows = written(_sketches(docs), "sketches")
     node = F.coalesce(F.min("doc_id"), -F.abs(F.xxhash64("print")) - 1)
     reps = written(rows.filter(F.col("print").isNotNull()).groupBy("print")
-                   .agg(node.alias("node"), F.first("bands").alias("bands")), "print-classes")
+                   .agg(node.alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
+                   "print-classes")
     band = reps.filter("node >= 0").select("node", F.explode("bands").alias("key")).distinct()
     size = band.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(band.join(size, "key"), "buckets")
@@ -189,7 +219,7 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = _links(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                    .distinct(), texts)
     first = written(components(edges, "first-components"), "first-components")
-    second = _links(_open_pairs(members, first, texts), texts)
+    second = _links(_open_pairs(members, first, texts, reps.select("node", "bits")), texts)
     edges = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
     roots = components(edges, "document-components")
     of_print = reps.select("print", "node").join(roots, "node", "left").select(
@@ -232,7 +262,7 @@ def _common_shingles(texts: DataFrame) -> DataFrame:
     return finish(dealt, answers, close, "node long, size long, common long")
 
 
-def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame) -> DataFrame:
+def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame, bits: DataFrame) -> DataFrame:
     """Pairs of different first components in a bucket that may reach SIMILARITY."""
     root = F.coalesce("root", "node").alias("root")
     rows = members.join(first, "node", "left").select("key", "node", "leader", root)
@@ -244,18 +274,19 @@ def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame) -> DataF
     stats = written(_common_shingles(texts.join(involved.select("node").distinct(), "node", "left_semi")),
                     "common-shingles")
     share = SIMILARITY / (1 + SIMILARITY)
-    alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9)
+    alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9).join(bits, "node")
     step = float(np.log(1.02))
-    sized = involved.join(alive, "node").select("key", "node", "root", "size", "common",
+    sized = involved.join(alive, "node").select("key", "node", "root", "size", "common", "bits",
                                                 F.floor(F.log("size") / step).alias("class"))
     low, high = F.col("x.size") * SIMILARITY, F.least(F.col("x.size") / SIMILARITY,
                                                       F.col("x.common") / share - F.col("x.size"))
     x = out.join(alive, "node").select(
-        "key", F.struct("node", "root", "size", "common").alias("x"))
+        "key", F.struct("node", "root", "size", "common", "bits").alias("x"))
     x = x.filter(high >= low).withColumn("class", F.explode(F.sequence(
         F.floor(F.log(low) / step) - 1, F.floor(F.log(high) / step) + 1)))
     met = x.join(sized, ["key", "class"]).filter(
-        (F.col("x.root") != F.col("root")) & (F.least("x.common", "common") >= share * (F.col("x.size") + F.col("size")) - 1e-9))
+        (F.col("x.root") != F.col("root")) & (F.least("x.common", "common") >= share * (F.col("x.size") + F.col("size")) - 1e-9)
+        & (_agreement("x.bits", "bits") >= _least_agreement()))
     return met.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
 
 
