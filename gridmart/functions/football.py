@@ -28,7 +28,7 @@ def is_true_play() -> Column:
 
 def is_qualifying() -> Column:
     """A pass or rush attempt that is not a spike, kneel or deleted play."""
-    return ((flag("pass") | flag("rush")) & ~flag("qb_spike") & ~flag("qb_kneel") & ~flag("play_deleted"))
+    return ((flag("pass") | flag("rush_attempt")) & ~flag("qb_spike") & ~flag("qb_kneel") & ~flag("play_deleted"))
 
 
 def posteam_wp() -> Column:

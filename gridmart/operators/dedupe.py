@@ -18,6 +18,12 @@ from gridmart.functions.columns import count_not_null
 _RN = "__rn"
 
 
+def whole_row(df: DataFrame) -> Column:
+    """A hash of all columns: the last sort key that makes an order total (rows it cannot
+    tell apart are equal)."""
+    return F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])
+
+
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) -> DataFrame:
     """Keep the first row of each ``key`` group under ``order``.
 
@@ -31,20 +37,22 @@ def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column]) ->
 def dedupe_first(df: DataFrame, key: Sequence[str], by: str,
                  tiebreak: Sequence[str] = ()) -> DataFrame:
     """``ROW_NUMBER() OVER (PARTITION BY key ORDER BY by NULLS LAST, tiebreak) = 1``."""
-    return first_per_key(df, key, [F.col(by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak]])
+    return first_per_key(df, key, [F.col(by).asc_nulls_last(), *[F.col(c).asc_nulls_last() for c in tiebreak],
+                                   whole_row(df)])
 
 
 def dedupe_latest(df: DataFrame, key: Sequence[str], ts: str = "ingested_at",
                   tiebreak: Sequence[str] = ()) -> DataFrame:
     """Newest ``ts`` wins (NULL timestamps lose); ties broken by ``tiebreak`` descending."""
-    return first_per_key(df, key, [F.col(ts).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tiebreak]])
+    return first_per_key(df, key, [F.col(ts).desc_nulls_last(), *[F.col(c).desc_nulls_last() for c in tiebreak],
+                                   whole_row(df)])
 
 
 def dedupe_most_complete(df: DataFrame, key: Sequence[str], value_cols: Sequence[str],
                          tiebreak: Sequence[str] = ()) -> DataFrame:
     """The row with the most non-null ``value_cols`` wins (ids table policy)."""
     filled = count_not_null(*value_cols)
-    return first_per_key(df, key, [filled.desc(), *[F.col(c).asc_nulls_last() for c in tiebreak]])
+    return first_per_key(df, key, [filled.desc(), *[F.col(c).asc_nulls_last() for c in tiebreak], whole_row(df)])
 
 
 def mode_per_key(df: DataFrame, key: Sequence[str], value: str,

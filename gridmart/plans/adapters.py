@@ -18,7 +18,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.operators.joins import broadcast_if_bounded
 from gridmart.plans import driver as d
 from gridmart.sources.tables import table
 
@@ -38,11 +37,11 @@ def _lines_opp(spark: SparkSession, sf: str) -> DataFrame:
     n = table(spark, sf, "nation", "n_nationkey", "n_name").withColumnRenamed("n_name", "opp")
     cust = c.join(F.broadcast(n), c.c_nationkey == n.n_nationkey).select(
         "c_custkey", "opp", F.col("c_nationkey").alias("opp_key"))
-    return d.lines_team(spark, sf).join(broadcast_if_bounded(cust), F.col("o_custkey") == F.col("c_custkey"))
+    return d.lines_team(spark, sf).join((cust), F.col("o_custkey") == F.col("c_custkey"))
 
 
 def _parts(spark: SparkSession, sf: str) -> DataFrame:
-    return broadcast_if_bounded(table(spark, sf, "part", "p_partkey", "p_name", "p_type"))
+    return (table(spark, sf, "part", "p_partkey", "p_name", "p_type"))
 
 
 def _enriched(spark: SparkSession, sf: str) -> DataFrame:

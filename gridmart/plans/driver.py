@@ -15,7 +15,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from gridmart.operators.joins import broadcast_if_bounded
 from gridmart.sources.tables import table
 
 # Part types standing in for the four skill positions (a fixed list of the data's values).
@@ -76,7 +75,7 @@ def supplier_nation(spark: SparkSession, sf: str) -> DataFrame:
     the result is broadcast into fact joins only while its row count is under the bound."""
     s = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
     n = table(spark, sf, "nation", "n_nationkey", "n_name")
-    return broadcast_if_bounded(
+    return (
         s.join(F.broadcast(n), s.s_nationkey == n.n_nationkey).select("s_suppkey", F.col("n_name").alias("team")))
 
 

@@ -14,6 +14,9 @@ partitions or rows.
 
 from __future__ import annotations
 
+from functools import reduce
+from operator import and_
+
 import datetime as _dt
 from collections.abc import Sequence
 
@@ -21,7 +24,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import __version__
-from gridmart.operators.dedupe import dedupe_latest, dedupe_most_complete, first_per_key
+from gridmart.operators.dedupe import dedupe_latest, dedupe_most_complete, first_per_key, whole_row
 from gridmart.operators.quality import partition_stats
 from gridmart.operators.schema import normalise_common, union_harmonised
 from gridmart.sources.lake import list_partitions, read_dataset, write_partitions
@@ -87,7 +90,8 @@ def apply_silver_rule(df: DataFrame, spec: DatasetSpec, rule: SilverRule | None
 def dedupe_silver(df: DataFrame, spec: DatasetSpec, rule: SilverRule | None = None,
                   batch_col: str | None = None) -> DataFrame:
     """One row per key; newest ``ingested_at`` wins, ties go to the newer batch
-    (``batch_col`` larger wins), then to the larger run id; ``most_complete`` for ids."""
+    (``batch_col`` larger wins), then to the larger run id, then by a hash of the whole row,
+    so the kept row never depends on the input order; ``most_complete`` for ids."""
     rule = rule or rule_for(spec.name)
     key = [k for k in spec.key if k in df.columns]
     if rule.dedupe == "most_complete":
@@ -96,7 +100,7 @@ def dedupe_silver(df: DataFrame, spec: DatasetSpec, rule: SilverRule | None = No
     if "ingested_at" in df.columns:
         tie = [c for c in (batch_col, "run_id") if c and c in df.columns]
         return dedupe_latest(df, key, "ingested_at", tie)
-    return first_per_key(df, key, [F.lit(1)])
+    return first_per_key(df, key, [whole_row(df)])
 
 
 def validate_rows(df: DataFrame, spec: DatasetSpec) -> dict[str, Column]:
@@ -125,7 +129,10 @@ def merge_for_promotion(existing: DataFrame | None, batch: DataFrame, spec: Data
     if existing is not None:
         old = existing
         if parts:
-            old = old.join(batch.select(*parts).distinct(), parts, "left_semi")
+            # Null-safe: rows of a NULL partition are read back too, or the write would lose them.
+            touched = batch.select(*[F.col(p).alias(f"__touched_{p}") for p in parts]).distinct()
+            same = [old[p].eqNullSafe(touched[f"__touched_{p}"]) for p in parts]
+            old = old.join(touched, reduce(and_, same), "left_semi")
         frames.insert(0, old.withColumn("__batch", F.lit(0)))
     merged = union_harmonised(frames)
     silver = apply_silver_rule(merged, spec, rule)
@@ -149,6 +156,9 @@ def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec,
         existing = None
     merged = merge_for_promotion(existing, batch, spec)
     rules = validate_rows(merged, spec)
+    # Materialise the merged rows once under the shared checkpoint folder: the checks and the
+    # write read them, the write replaces what it reads, and the stats describe what was written.
+    merged = merged.checkpoint(eager=True)
     if on_violation == "raise":
         bad = validate(merged, rules).filter(F.col("violations") > 0).limit(1).collect()
         if bad:
@@ -158,9 +168,6 @@ def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec,
         for cond in rules.values():
             ok = ok & F.coalesce(cond, F.lit(False))
         merged = merged.filter(ok)
-    # Materialise the merged rows once under the shared checkpoint folder: the write reads
-    # silver and replaces it, and the stats must describe exactly what was written.
-    merged = merged.checkpoint(eager=True)
     write_partitions(merged, root, "silver", spec)
     return partition_stats(merged, list(spec.partitions), [k for k in spec.key if k in merged.columns])
 

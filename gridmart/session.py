@@ -58,10 +58,13 @@ def get_session(master: str | None = None, app: str = "gridmart",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder named by the cluster in ``spark.checkpoint.dir``.
 
-    Only when the session leaves it unset (local tests) is a scratch folder created.
+    Only a local session that leaves it unset (tests) gets a scratch folder; on a cluster
+    executors would each write to their own disk, so an unset folder is an error there.
     """
     path = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not path:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="gridmart-ckpt-")
         try:
             spark.conf.set("spark.checkpoint.dir", path)

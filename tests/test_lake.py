@@ -132,3 +132,20 @@ def test_lineage_latest_and_stamp(spark):
     assert [r.row_count for r in lineage_latest(log).collect()] == [2]
     s = stamp(spark.createDataFrame([(1,)], "x INT"), "src", "r1", "2024-01-01 00:00:00")
     assert s.first().source == "src"
+
+
+def test_promotion_keeps_null_partitions_and_ignores_input_order(spark, tmp_dir):
+    from gridmart.plans.lake import dedupe_silver, merge_for_promotion
+    from gridmart.sources.specs import CATALOG
+
+    spec = CATALOG["schedules"]
+    cols = "season int, game_id string, week int"
+    old = spark.createDataFrame([(None, "g0", 1), (None, "g1", 2), (2024, "g2", 3)], cols)
+    new = spark.createDataFrame([(None, "g9", 4)], cols)
+    got = {r.game_id for r in merge_for_promotion(old, new, spec).collect()}
+    assert {"g0", "g1", "g9"} <= got and "g2" not in got
+    rows = [(2024, "g2", 8, "2024-01-01"), (2024, "g2", 10, "2024-01-01")]
+    stamped = cols + ", ingested_at string"
+    kept = [dedupe_silver(spark.createDataFrame(r, stamped).coalesce(1), spec).collect()[0].week
+            for r in (rows, rows[::-1])]
+    assert kept[0] == kept[1]
