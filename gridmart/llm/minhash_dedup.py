@@ -20,9 +20,10 @@ that can still reach the similarity: with s the occurrences of shingles that som
 candidate has too, the overlap of x and y is at most min(s_x, s_y), so 0.8 needs
 min(s_x, s_y) >= 4/9 (|x| + |y|). The join is on the bucket and a size class within that
 bound, and on the agreement of the signatures' low bits (a pair of similarity 0.8 falls below
-the least agreement with probability 5e-6). A group of many near copies so costs about one comparison per copy, as copies that
-are too far from the original have too many shingles of their own, and every pair of
-different components that shares a bucket is either compared or excluded by the bound.
+the least agreement with probability 5e-6); a pair meets only in the smallest of its common
+buckets. Every pair of different components that shares a bucket is either compared or
+excluded by a bound. A group of many near copies costs about one comparison per copy, where
+copies that are too far from the original have too many shingles of their own.
 
 Defined cases: null and empty texts, and texts without words, link with nothing. Rows that
 share a doc_id but not a text are judged text by text. A null doc_id gets its component from
@@ -219,7 +220,7 @@ def classes(docs: DataFrame) -> DataFrame:
     edges = _links(best.select(F.least("node", "leader").alias("a"), F.greatest("node", "leader").alias("b"))
                    .distinct(), texts)
     first = written(components(edges, "first-components"), "first-components")
-    second = _links(_open_pairs(members, first, texts, reps.select("node", "bits")), texts)
+    second = _links(_open_pairs(members, first, texts, reps), texts)
     edges = first.select(F.col("node").alias("a"), F.col("root").alias("b")).unionByName(second)
     roots = components(edges, "document-components")
     of_print = reps.select("print", "node").join(roots, "node", "left").select(
@@ -262,7 +263,7 @@ def _common_shingles(texts: DataFrame) -> DataFrame:
     return finish(dealt, answers, close, "node long, size long, common long")
 
 
-def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame, bits: DataFrame) -> DataFrame:
+def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame, reps: DataFrame) -> DataFrame:
     """Pairs of different first components in a bucket that may reach SIMILARITY."""
     root = F.coalesce("root", "node").alias("root")
     rows = members.join(first, "node", "left").select("key", "node", "leader", root)
@@ -274,19 +275,23 @@ def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame, bits: Da
     stats = written(_common_shingles(texts.join(involved.select("node").distinct(), "node", "left_semi")),
                     "common-shingles")
     share = SIMILARITY / (1 + SIMILARITY)
-    alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9).join(bits, "node")
-    step = float(np.log(1.02))
-    sized = involved.join(alive, "node").select("key", "node", "root", "size", "common", "bits",
-                                                F.floor(F.log("size") / step).alias("class"))
+    alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9)
+    # Classes that share a doc_id keep their own bands, hence the join on node and key.
+    sketch = reps.join(alive, "node").select("node", "size", "common", "bits", "bands", F.explode("bands").alias("key"))
+    sized = involved.join(sketch, ["key", "node"])
+    step = float(np.log(1 / SIMILARITY))
     low, high = F.col("x.size") * SIMILARITY, F.least(F.col("x.size") / SIMILARITY,
                                                       F.col("x.common") / share - F.col("x.size"))
-    x = out.join(alive, "node").select(
-        "key", F.struct("node", "root", "size", "common", "bits").alias("x"))
+    x = out.join(sketch, ["key", "node"]).select(
+        "key", F.struct("node", "root", "size", "common", "bits", "bands").alias("x"))
     x = x.filter(high >= low).withColumn("class", F.explode(F.sequence(
-        F.floor(F.log(low) / step) - 1, F.floor(F.log(high) / step) + 1)))
-    met = x.join(sized, ["key", "class"]).filter(
+        F.floor(F.log(low) / step - 1e-9), F.floor(F.log(high) / step + 1e-9))))
+    y = sized.withColumn("class", F.floor(F.log("size") / step))
+    # A pair meets in the smallest of its common buckets only.
+    met = x.join(y, ["key", "class"]).filter(
         (F.col("x.root") != F.col("root")) & (F.least("x.common", "common") >= share * (F.col("x.size") + F.col("size")) - 1e-9)
-        & (_agreement("x.bits", "bits") >= _least_agreement()))
+        & (_agreement("x.bits", "bits") >= _least_agreement())
+        & (F.array_min(F.array_intersect("x.bands", "bands")) == F.col("key")))
     return met.select(F.least("x.node", "node").alias("a"), F.greatest("x.node", "node").alias("b")).distinct()
 
 
