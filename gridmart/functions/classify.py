@@ -57,12 +57,25 @@ def policy_classify(c: ColumnOrName, policies: Mapping[str, Mapping[str, Sequenc
     return category_map(F.upper(col(c)), policies[policy], default)
 
 
-# Roof classification policies found in the reference's queries.
+# Roof spellings per class, in the three mappings that the queries use.
+_ROOF_INDOOR = ("INDOORS", "INDOOR", "DOME", "RETRACTABLE-ROOF-CLOSED", "RETRACTABLE_CLOSED", "CLOSED")
+_ROOF_RETRACTABLE = ("RETRACTABLE", "RETRACTABLE-ROOF-OPEN", "RETRACTABLE_OPEN")
+_ROOF_OUTDOOR = ("OUTDOORS", "OUTDOOR")
 ROOF_POLICIES = {
-    "open_is_outdoor": {"INDOOR": ("DOME", "CLOSED"), "OUTDOOR": ("OUTDOORS", "OPEN")},
-    "open_is_retractable": {"INDOOR": ("DOME",), "RETRACTABLE": ("CLOSED", "OPEN"), "OUTDOOR": ("OUTDOORS",)},
-    "retractable_is_indoor": {"INDOOR": ("DOME", "CLOSED", "OPEN"), "OUTDOOR": ("OUTDOORS",)},
+    "open_is_outdoor": {"INDOOR": _ROOF_INDOOR, "RETRACTABLE": _ROOF_RETRACTABLE,
+                        "OUTDOOR": (*_ROOF_OUTDOOR, "OPEN")},
+    "open_is_retractable": {"INDOOR": _ROOF_INDOOR, "RETRACTABLE": (*_ROOF_RETRACTABLE, "OPEN"),
+                            "OUTDOOR": _ROOF_OUTDOOR},
+    "retractable_is_indoor": {"INDOOR": (*_ROOF_INDOOR, *_ROOF_RETRACTABLE, "OPEN"), "OUTDOOR": _ROOF_OUTDOOR},
 }
+ROOF_INDOOR_FROM_SEASON = 2025
+
+
+def roof_by_season(roof: ColumnOrName, season: ColumnOrName) -> Column:
+    """Roof class by team and week: from 2025 on every retractable roof counts as indoor."""
+    return (F.when(col(season) >= ROOF_INDOOR_FROM_SEASON,
+                   policy_classify(roof, ROOF_POLICIES, "retractable_is_indoor"))
+            .otherwise(policy_classify(roof, ROOF_POLICIES, "open_is_retractable")))
 
 
 def ilike_any(c: ColumnOrName, patterns: Sequence[str]) -> Column:

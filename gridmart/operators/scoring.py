@@ -2,9 +2,8 @@
 
 Two plans for the same result:
 
-* :func:`score_with_rules` compiles the rules into one column expression (the rules
-  table is a document of tens of rows; its size is checked before it is read on the
-  driver). Scoring is then a projection: no unpivot, no join, no shuffle of the stats.
+* :func:`score_with_rules` compiles the rows of the rules document into one column
+  expression. Scoring is then a projection: no unpivot, no join, no shuffle of the stats.
 * :func:`score_by_rules` keeps the rules as data: stats are unpivoted to
   ``(key, metric, value)``, joined to the broadcast rules and summed per key. It suits
   rule sets that change per row group (e.g. per contest) and is the cross-check of the
@@ -14,6 +13,7 @@ Two plans for the same result:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -35,17 +35,11 @@ def score_by_rules(stats: DataFrame, key: Sequence[str], rules: DataFrame,
     return long.join(r, "metric").groupBy(*key).agg(F.sum(linear + bonus).alias(name))
 
 
-MAX_RULE_ROWS = 10_000
-
-
-def score_with_rules(stats: DataFrame, rules: DataFrame, name: str = "points") -> DataFrame:
+def score_with_rules(stats: DataFrame, rules: Sequence[tuple], name: str = "points") -> DataFrame:
     """Add ``name`` = sum over scoring rules of ``value * rate`` plus threshold bonuses,
-    compiled from the (bounded) rules table into a single expression."""
-    scoring_rules = (rules.filter(F.col("section") == "scoring").filter(F.col("metric").isNotNull())
-                     .select("metric", "points", "per_yard", "threshold", "bonus_points"))
-    rows = scoring_rules.limit(MAX_RULE_ROWS + 1).collect()
-    if len(rows) > MAX_RULE_ROWS:
-        raise ValueError("rules table too large to compile; use score_by_rules")
+    compiled from the document's rows (``sources.rules.rules_rows``) into one expression."""
+    rows = [SimpleNamespace(metric=r[2], points=r[3], per_yard=r[4], threshold=r[5], bonus_points=r[6])
+            for r in rules if r[0] == "scoring" and r[2] is not None]
     expr = F.lit(0.0)
     for r in sorted(rows, key=lambda r: (r.metric, r.threshold is None, r.threshold or 0.0)):
         v = F.coalesce(F.col(r.metric).cast("double"), F.lit(0.0))

@@ -144,8 +144,9 @@ def _name_variant() -> F.Column:
 
 
 def rosters_seasonal_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Seasonal roster names for part of the players (parts up to size 25)."""
-    p = table(spark, sf, "part", "p_partkey", "p_name", "p_size").filter(F.col("p_size") <= 25)
+    """Seasonal rosters; the name is missing (NULL) for parts above size 25."""
+    p = table(spark, sf, "part", "p_partkey", "p_name", "p_size").withColumn(
+        "p_name", F.when(F.col("p_size") <= 25, F.col("p_name")))
     li = d.lines(spark, sf).select("season", "l_partkey").distinct()
     return li.join(p, F.col("l_partkey") == F.col("p_partkey")).select(
         "season", F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"),
@@ -154,8 +155,8 @@ def rosters_seasonal_view(spark: SparkSession, sf: str) -> DataFrame:
 
 SQL_ROSTERS_SEASONAL = """
 rosters_seasonal AS (
-  SELECT DISTINCT li.season, 'P' || CAST(li.l_partkey AS VARCHAR) AS player_id, upper(substr(p.p_name, 1, 1)) || substr(p.p_name, 2) AS player_name
-  FROM lines li JOIN part p ON p.p_partkey = li.l_partkey WHERE p.p_size <= 25
+  SELECT DISTINCT li.season, 'P' || CAST(li.l_partkey AS VARCHAR) AS player_id, CASE WHEN p.p_size <= 25 THEN upper(substr(p.p_name, 1, 1)) || substr(p.p_name, 2) END AS player_name
+  FROM lines li JOIN part p ON p.p_partkey = li.l_partkey
 )"""
 
 
@@ -216,7 +217,7 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         # depend on summation order in any engine.
         ((F.col("l_quantity") - 25) / 8.0).alias("epa"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("touchdown"),
-        F.lit(1.0).alias("play"), F.lit(0.0).alias("aborted_play"),
+        F.lit(1.0).alias("play"), F.when(F.col("l_quantity") == 3, 1.0).otherwise(0.0).alias("aborted_play"),
         F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "A"), 1.0).otherwise(0.0).alias("play_deleted"),
         F.when(is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_spike"),
         F.when(~is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_kneel"),
@@ -236,6 +237,10 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("l_returnflag") == "A", F.col("opp")).alias("penalty_team"),
         F.when(F.col("l_returnflag") == "A", 1.0).otherwise(0.0).alias("penalty"),
         F.col("o_orderpriority").alias("penalty_type"),
+        F.when(F.col("l_linenumber") < 6, F.col("l_linenumber") * 5.0).alias("penalty_yards"),
+        F.when(F.col("l_returnflag") != "A", F.col("l_quantity") > 40).alias("was_pressure"),
+        F.when(F.col("l_suppkey") % 3 == 0, "MAN_COVERAGE").when(F.col("l_suppkey") % 3 == 1, "ZONE_COVERAGE")
+        .alias("defense_man_zone_type"),
         F.to_date("o_orderdate").alias("game_date"),
         F.floor((F.col("l_linenumber") + 1) / 3).cast("bigint").alias("drive"),
         (F.col("l_linenumber") % 3 + 2).alias("drive_play_count"),
@@ -270,7 +275,7 @@ plays AS (
          CASE l_partkey % 4 WHEN 0 THEN '11' WHEN 1 THEN '12' WHEN 2 THEN '21' ELSE '22' END AS offense_personnel,
          l_quantity - 5 AS yards_gained, (l_quantity - 25) / 8.0 AS epa,
          CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS touchdown,
-         1.0::DOUBLE AS play, 0.0::DOUBLE AS aborted_play,
+         1.0::DOUBLE AS play, CASE WHEN l_quantity = 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS aborted_play,
          CASE WHEN l_quantity = 50 AND l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS play_deleted,
          CASE WHEN l_linestatus = 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_spike,
          CASE WHEN l_linestatus <> 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_kneel,
@@ -284,7 +289,10 @@ plays AS (
          l_quantity AS total_home_score, CAST(l_linenumber * 7 AS DOUBLE) AS total_away_score,
          CASE WHEN l_returnflag = 'A' THEN opp END AS penalty_team,
          CASE WHEN l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS penalty,
-         o_orderpriority AS penalty_type, CAST(o_orderdate AS DATE) AS game_date,
+         o_orderpriority AS penalty_type, CASE WHEN l_linenumber < 6 THEN l_linenumber * 5.0 END::DOUBLE AS penalty_yards,
+         CASE WHEN l_returnflag <> 'A' THEN l_quantity > 40 END AS was_pressure,
+         CASE l_suppkey % 3 WHEN 0 THEN 'MAN_COVERAGE' WHEN 1 THEN 'ZONE_COVERAGE' END AS defense_man_zone_type,
+         CAST(o_orderdate AS DATE) AS game_date,
          CAST((l_linenumber + 1) // 3 AS BIGINT) AS drive, l_linenumber % 3 + 2 AS drive_play_count,
          CAST(CAST(l_quantity AS BIGINT) % 10 AS VARCHAR) || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0')
            AS drive_time_of_possession,

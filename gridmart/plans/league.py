@@ -89,11 +89,11 @@ def rate_over_expected(pbp: DataFrame) -> DataFrame:
 
 
 def opponent_adjusted(pbp: DataFrame) -> DataFrame:
-    """Offense EPA minus what each opponent allows on average.
+    """Offense EPA of true plays minus what each opponent allows on average.
 
     The opponent average is fixed at 1e-6 and the differences are summed as DECIMAL, so
     the adjusted mean does not depend on summation order."""
-    q = qualifying(pbp)
+    q = pbp.filter(fb.is_true_play())
     allowed = q.groupBy("season", "defteam").agg(
         round_half_up(F.avg("epa"), 6).cast("decimal(18,6)").alias("opp_epa_allowed"))
     j = q.join(allowed, ["season", "defteam"])
@@ -104,21 +104,24 @@ def opponent_adjusted(pbp: DataFrame) -> DataFrame:
 
 
 def pct_filter_counts(pbp: DataFrame) -> DataFrame:
-    """Per team-season, percentages from FILTER counts (formation / personnel)."""
-    q = qualifying(pbp)
+    """Per defense, the pressure rate and the man / zone percentages of true pass plays."""
+    p = pbp.filter(fb.is_true_play() & fb.flag("pass"))
     n = F.count(F.lit(1))
-    return q.groupBy("season", "posteam").agg(
-        n.alias("plays"),
-        (100.0 * F.count_if(fb.flag("shotgun")) / n).alias("shotgun_pct"),
-        (100.0 * F.count_if(fb.flag("no_huddle")) / n).alias("no_huddle_pct"),
-        (100.0 * F.count_if(fb.personnel("11")) / n).alias("p11_pct"))
+    kind = F.lower(F.coalesce("defense_man_zone_type", F.lit("")))
+    return p.groupBy("season", "season_type", F.col("defteam").alias("team")).agg(
+        F.avg(F.when(F.coalesce("was_pressure", F.lit(False)), 1.0).otherwise(0.0)).alias("pressure_rate"),
+        (100.0 * F.count_if(kind.like("%man%")) / n).alias("man_pct"),
+        (100.0 * F.count_if(kind.like("%zone%")) / n).alias("zone_pct"))
 
 
 def penalties_by_team(pbp: DataFrame) -> DataFrame:
-    """Penalties by ``COALESCE(penalty_team, posteam)`` x type."""
-    p = pbp.filter(fb.flag("penalty"))
-    return p.groupBy("season", F.coalesce("penalty_team", "posteam").alias("team"), "penalty_type").agg(
-        F.count(F.lit(1)).alias("penalties"))
+    """Penalties and their yards on true plays by team (the penalised one, else the
+    offense, else the defense) x type."""
+    p = pbp.filter(fb.is_true_play() & fb.flag("penalty"))
+    return p.groupBy("season", "season_type", F.coalesce("penalty_team", "posteam", "defteam").alias("team"),
+                     "penalty_type").agg(
+        F.count(F.lit(1)).alias("penalties"),
+        F.sum(F.coalesce("penalty_yards", F.lit(0.0))).alias("penalty_yards"))
 
 
 def team_context(pbp: DataFrame) -> DataFrame:

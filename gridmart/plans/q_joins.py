@@ -142,7 +142,7 @@ WHERE a.n_lines >= 10
 def next_period_compare(spark: SparkSession, sf: str, min_lines: int = 10) -> DataFrame:
     """J6 + P3 (D53): heavy customer-seasons (``min_lines`` parameter) vs the next season."""
     s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(
-        F.sum(d.revenue_e4()).alias("spend_e4"), F.count(F.lit(1)).alias("n_lines"))
+        d.exact_sum(d.revenue_e4()).alias("spend_e4"), F.count(F.lit(1)).alias("n_lines"))
     out = next_period(s, ["o_custkey"], "season", ["spend_e4", "n_lines"]).filter(F.col("n_lines") >= min_lines)
     return out.select("o_custkey", "season", (F.col("spend_e4") / 1e4).alias("spend"), "n_lines",
                       (F.col("spend_e4_next") / 1e4).alias("spend_next"), "n_lines_next",
@@ -348,7 +348,7 @@ def tie_break_chain_q(spark: SparkSession, sf: str) -> DataFrame:
 # --- id resolution (J10, J11, J13) ---------------------------------------------------------
 
 @register("id_crosswalk", d.with_sql(d.SQL_LINES, """
-sup AS (SELECT s_suppkey, s_nationkey FROM supplier WHERE s_acctbal >= 0),
+sup AS (SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS s_nationkey FROM supplier),
 r AS (
   SELECT COALESCE(s.s_nationkey, c.c_nationkey) AS nation,
          CASE WHEN s.s_nationkey IS NOT NULL THEN 'supplier' ELSE 'customer' END AS resolved_by
@@ -361,7 +361,7 @@ def id_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Resolve a line's nation from candidate ids in order (verified supplier first,
     then customer); one left join per candidate on a key-unique lookup, first non-null wins."""
     sup = (table(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
-           .filter(F.col("s_acctbal") >= 0).select("s_suppkey", F.col("s_nationkey").alias("n_sup")))
+           .select("s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey")).alias("n_sup")))
     cus = table(spark, sf, "customer", "c_custkey", "c_nationkey").withColumnRenamed("c_nationkey", "n_cus")
     li = d.lines(spark, sf).select("l_suppkey", "o_custkey")
     r = (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
@@ -385,7 +385,7 @@ def id_fallback(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("name_enrich", """
 WITH u AS (SELECT DISTINCT user_id FROM events),
-c AS (SELECT c_custkey, c_name FROM customer WHERE c_mktsegment = 'BUILDING'),
+c AS (SELECT c_custkey, CASE WHEN c_mktsegment = 'BUILDING' THEN c_name END AS c_name FROM customer),
 s AS (SELECT s_suppkey, s_name FROM supplier),
 m AS (
   SELECT user_id, 'k' || k AS k_name FROM (
@@ -405,7 +405,7 @@ def name_enrich(spark: SparkSession, sf: str) -> DataFrame:
     e = table(spark, sf, "events", "user_id", "props")
     users = e.select("user_id").distinct()
     c = (table(spark, sf, "customer", "c_custkey", "c_name", "c_mktsegment")
-         .filter(F.col("c_mktsegment") == "BUILDING").select("c_custkey", "c_name"))
+         .select("c_custkey", F.when(F.col("c_mktsegment") == "BUILDING", F.col("c_name")).alias("c_name")))
     s = table(spark, sf, "supplier", "s_suppkey", "s_name")
     tags = e.select("user_id", F.get_json_object("props", "$.k").alias("k"))
     m = mode_per_key(tags, ["user_id"], "k").select("user_id", F.concat(F.lit("k"), "k").alias("k_name"))

@@ -296,13 +296,14 @@ def lineage_latest_q(spark: SparkSession, sf: str) -> DataFrame:
 
 @register("null_partition_skip", d.with_sql(d.SQL_LINES, """
 p AS (SELECT s.s_nationkey AS nation FROM lines li
-      LEFT JOIN (SELECT * FROM supplier WHERE s_acctbal >= 0) s ON s.s_suppkey = li.l_suppkey)
+      LEFT JOIN (SELECT s_suppkey, CASE WHEN s_acctbal >= 0 THEN s_nationkey END AS s_nationkey
+                 FROM supplier) s ON s.s_suppkey = li.l_suppkey)
 SELECT nation, COUNT(*) AS n_lines FROM p WHERE nation IS NOT NULL GROUP BY ALL
 """))
 def null_partition_skip(spark: SparkSession, sf: str) -> DataFrame:
     """S3: rows whose partition value is NULL (the default partition) are skipped."""
     sup = (table(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
-           .filter(F.col("s_acctbal") >= 0))
+           .withColumn("s_nationkey", F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey"))))
     p = d.lines(spark, sf).join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left") \
         .select(F.col("s_nationkey").alias("nation"))
     return p.filter(F.col("nation").isNotNull()).groupBy("nation").agg(F.count(F.lit(1)).alias("n_lines"))

@@ -18,6 +18,7 @@ QUAL = f"(({_Q}))"
 NEUTRAL = ("((CASE WHEN posteam = home_team THEN home_wp ELSE away_wp END) BETWEEN 0.35 AND 0.65 "
            "AND abs(score_differential) <= 7 AND down IN (1, 2) "
            "AND NOT COALESCE(qtr IN (2, 4) AND quarter_seconds_remaining <= 120, false))")
+TRUE_PLAY = "(play = 1 AND COALESCE(aborted_play, 0) = 0)"
 EXPLOSIVE = "((pass = 1 AND yards_gained >= 20) OR (rush = 1 AND yards_gained >= 10))"
 
 
@@ -99,7 +100,7 @@ def rate_over_expected(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("opponent_adjusted", _sql(f"""
-q AS (SELECT * FROM plays WHERE {QUAL}),
+q AS (SELECT * FROM plays WHERE {TRUE_PLAY}),
 al AS (SELECT season, defteam, CAST(round(AVG(epa), 6) AS DECIMAL(18,6)) AS opp_epa_allowed FROM q GROUP BY ALL)
 SELECT q.season, q.posteam, COUNT(*) AS plays, round(AVG(q.epa), 6) AS epa_per_play,
        round(CAST(SUM(CAST(q.epa AS DECIMAL(18,6)) - al.opp_epa_allowed) AS DOUBLE) / COUNT(*), 6) AS adj_epa_per_play
@@ -111,21 +112,21 @@ def opponent_adjusted(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("pct_filter_counts", _sql(f"""
-q AS (SELECT * FROM plays WHERE {QUAL})
-SELECT season, posteam, COUNT(*) AS plays,
-       round(100.0 * COUNT(*) FILTER (WHERE shotgun = 1) / COUNT(*), 6) AS shotgun_pct,
-       round(100.0 * COUNT(*) FILTER (WHERE no_huddle = 1) / COUNT(*), 6) AS no_huddle_pct,
-       round(100.0 * COUNT(*) FILTER (WHERE offense_personnel = '11') / COUNT(*), 6) AS p11_pct
-FROM q GROUP BY ALL
+SELECT season, season_type, defteam AS team,
+       round(AVG(CASE WHEN was_pressure THEN 1.0 ELSE 0.0 END), 6) AS pressure_rate,
+       round(100.0 * COUNT(*) FILTER (WHERE defense_man_zone_type ILIKE '%man%') / COUNT(*), 6) AS man_pct,
+       round(100.0 * COUNT(*) FILTER (WHERE defense_man_zone_type ILIKE '%zone%') / COUNT(*), 6) AS zone_pct
+FROM plays WHERE {TRUE_PLAY} AND pass = 1 GROUP BY ALL
 """))
 def pct_filter_counts(spark: SparkSession, sf: str) -> DataFrame:
-    """D28 (A4): percentages from FILTER counts."""
+    """D28 (A4): pressure, man and zone by defense."""
     return _rounded(lg.pct_filter_counts(ad.plays_view(spark, sf)))
 
 
-@register("agg_coalesced_key", _sql("""
-SELECT season, COALESCE(penalty_team, posteam) AS team, penalty_type, COUNT(*) AS penalties
-FROM plays WHERE penalty = 1 GROUP BY ALL
+@register("agg_coalesced_key", _sql(f"""
+SELECT season, season_type, COALESCE(penalty_team, posteam, defteam) AS team, penalty_type,
+       COUNT(*) AS penalties, SUM(COALESCE(penalty_yards, 0)) AS penalty_yards
+FROM plays WHERE {TRUE_PLAY} AND penalty = 1 GROUP BY ALL
 """))
 def agg_coalesced_key(spark: SparkSession, sf: str) -> DataFrame:
     """D34 (P15): grouping on a coalesced key."""

@@ -310,7 +310,7 @@ FROM dd JOIN customer c ON c.c_custkey = dd.o_custkey GROUP BY ALL
 """))
 def delta_summary_q(spark: SparkSession, sf: str) -> DataFrame:
     """Season-over-season spend change summarised per market segment."""
-    s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(F.sum(d.revenue_e4()).alias("spend_e4"))
+    s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(d.exact_sum(d.revenue_e4()).alias("spend_e4"))
     nx = next_period(s, ["o_custkey"], "season", ["spend_e4"], how="inner")
     nx = nx.select("o_custkey", ((F.col("spend_e4_next") - F.col("spend_e4")) / 1e4).alias("delta"))
     c = table(spark, sf, "customer", "c_custkey", "c_mktsegment")

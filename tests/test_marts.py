@@ -11,7 +11,7 @@ from gridmart.functions import scoring
 from gridmart.operators.scoring import score_by_rules, score_with_rules
 from gridmart.plans import adapters as ad
 from gridmart.plans import marts as m
-from gridmart.sources.rules import RULE_METRICS, rules_frame
+from gridmart.sources.rules import RULE_METRICS, rules_frame, rules_rows
 
 SMOKE = "/root/testdata/sf0.001"
 
@@ -69,7 +69,7 @@ def test_rules_scoring_equals_formula(spark):
     metrics = sorted({c for cols in RULE_METRICS.values() for c in cols})
     by_rules = {r.player_id: r.points for r in score_by_rules(w, m.WEEK_KEY, rules_frame(spark), metrics).collect()}
     by_code = {r.player_id: r.dk for r in w.select("player_id", scoring.dk_ppr().alias("dk")).collect()}
-    compiled = {r.player_id: r.points for r in score_with_rules(w, rules_frame(spark)).collect()}
+    compiled = {r.player_id: r.points for r in score_with_rules(w, rules_rows()).collect()}
     assert by_rules.keys() == by_code.keys() == compiled.keys()
     for k in by_code:
         assert by_rules[k] == pytest.approx(by_code[k])
