@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from gridmart.functions import scoring
-from gridmart.functions.classify import ROOF_POLICIES, policy_classify
+from gridmart.functions.classify import ROOF_POLICIES, policy_classify, roof_by_season
 from gridmart.plans.lake import dedupe_silver, merge_for_promotion, stamp
 from gridmart.plans.marts import tier_shares
 from gridmart.sources.specs import CATALOG, DatasetSpec
@@ -81,3 +81,22 @@ def test_portable_round_matches_spark_rule(spark):
     con.executemany("INSERT INTO t VALUES (?, ?)", list(enumerate(values)))
     got_duck = [r[0] for r in con.sql(sql).fetchall()]
     assert got_spark == got_duck
+
+
+def test_roof_rule_of_2025(spark):
+    df = spark.createDataFrame([("open", 2024), ("open", 2025), ("retractable_closed", 2024), ("outdoors", 2025),
+                                (None, 2025)], "roof string, season int")
+    got = [r.c for r in df.select(roof_by_season("roof", "season").alias("c")).collect()]
+    assert got == ["RETRACTABLE", "INDOOR", "INDOOR", "OUTDOOR", "UNKNOWN"]
+
+
+def test_exact_sum_past_the_range_of_bigint(spark):
+    from decimal import Decimal
+
+    from pyspark.sql import functions as F
+
+    from gridmart.plans.driver import exact_sum
+    units = [2**62, 2**62 + 1, 2**62 + 3, -5, None]
+    df = spark.createDataFrame([(u,) for u in units], "u bigint")
+    assert df.select(exact_sum(F.col("u")).alias("s")).first().s == Decimal(3 * 2**62 - 1)
+    assert df.filter("u is null").select(exact_sum(F.col("u")).alias("s")).first().s is None
