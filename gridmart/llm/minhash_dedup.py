@@ -204,9 +204,10 @@ def classes(docs: DataFrame) -> DataFrame:
     reps = written(rows.filter(F.col("print").isNotNull()).groupBy("print")
                    .agg(node.alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
                    "print-classes")
-    band = reps.filter("node >= 0").select("node", F.explode("bands").alias("key")).distinct()
+    # Texts that share a doc_id may count a bucket twice; only buckets of one class go here.
+    band = reps.filter("node >= 0").select("node", F.explode(F.array_distinct("bands")).alias("key"))
     size = band.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = written(band.join(size, "key"), "buckets")
+    shared = written(band.join(size, "key").distinct(), "buckets")
     mates = shared.groupBy("node").agg(F.sum("n").alias("mates"))
     ranked = shared.join(mates, "node").select("key", "node", "mates")
     leader = ranked.groupBy("key").agg(F.max(F.struct("mates", (-F.col("node")).alias("id"))).alias("top"))
@@ -231,7 +232,10 @@ def classes(docs: DataFrame) -> DataFrame:
 
 
 def _texts(docs: DataFrame, nodes: DataFrame) -> DataFrame:
-    """node, text of the documents that meet another (the smallest text of equal doc_ids)."""
+    """node, text of the documents that meet another (the smallest text of equal doc_ids).
+    The ids are a table of known size first, so that Spark can choose a broadcast before it
+    shuffles the texts."""
+    nodes = written(nodes, "candidate-ids")
     found = docs.join(nodes, F.col("doc_id") == F.col("node"), "left_semi")
     return written(found.groupBy(F.col("doc_id").alias("node")).agg(F.min("text").alias("text")), "candidate-texts")
 
@@ -242,9 +246,10 @@ def _links(pairs: DataFrame, texts: DataFrame) -> DataFrame:
     return found.filter(F.col("similarity") >= SIMILARITY).select("a", "b")
 
 
-def _common_shingles(texts: DataFrame) -> DataFrame:
-    """node, size (shingle occurrences), common (those that another text has too)."""
-    n_groups, n_buckets = plan_sizes(texts)
+def _common_shingles(texts: DataFrame, sizes: tuple[int, int]) -> DataFrame:
+    """node, size (shingle occurrences), common (those that another text has too); ``sizes``
+    are the groups and buckets to deal the texts into."""
+    n_groups, n_buckets = sizes
     dealt = grouped(texts.select(F.col("node").alias("doc_id"), "text"), n_groups)
 
     def distinct(table):
@@ -272,17 +277,18 @@ def _open_pairs(members: DataFrame, first: DataFrame, texts: DataFrame, reps: Da
     out = led.filter("root <> led").select("key", "node", "root")
     buckets = out.select("key").distinct()
     involved = written(rows.select("key", "node", "root").join(buckets, "key", "left_semi"), "open-buckets")
-    stats = written(_common_shingles(texts.join(involved.select("node").distinct(), "node", "left_semi")),
-                    "common-shingles")
+    nodes = written(involved.select("node").distinct(), "open-ids")
+    stats = written(_common_shingles(texts.join(nodes, "node", "left_semi"), plan_sizes(texts)), "common-shingles")
     share = SIMILARITY / (1 + SIMILARITY)
     alive = stats.filter(F.col("common") >= share * (1 + SIMILARITY) * F.col("size") - 1e-9)
-    # Classes that share a doc_id keep their own bands, hence the join on node and key.
-    sketch = reps.join(alive, "node").select("node", "size", "common", "bits", "bands", F.explode("bands").alias("key"))
-    sized = involved.join(sketch, ["key", "node"])
+    # Classes that share a doc_id keep their own bands, hence the test that they hold the key.
+    alive = alive.join(reps.select("node", "bits", "bands"), "node")
+    sized = written(involved.join(alive, "node").filter(F.array_contains("bands", F.col("key"))), "open-sketches")
     step = float(np.log(1 / SIMILARITY))
     low, high = F.col("x.size") * SIMILARITY, F.least(F.col("x.size") / SIMILARITY,
                                                       F.col("x.common") / share - F.col("x.size"))
-    x = out.join(sketch, ["key", "node"]).select(
+    own = out.select("key", "node").distinct()
+    x = sized.join(own, ["key", "node"], "left_semi").select(
         "key", F.struct("node", "root", "size", "common", "bits", "bands").alias("x"))
     x = x.filter(high >= low).withColumn("class", F.explode(F.sequence(
         F.floor(F.log(low) / step - 1e-9), F.floor(F.log(high) / step + 1e-9))))
@@ -304,7 +310,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def keep_documents(docs: DataFrame) -> DataFrame:
     """One row of ``docs`` per group, columns unchanged: the one of the smallest doc_id; of
-    rows that repeat it, one. Rows of a null doc_id stay."""
-    kept = near_duplicates(docs).filter("kept and doc_id is not null").select("doc_id").distinct()
-    named = docs.filter("doc_id is not null").join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
-    return named.unionByName(docs.filter("doc_id is null"))
+    rows that repeat it, one. Rows of a null doc_id stay.
+
+    Only the ids that go or repeat are joined, as tables of known size, so that the texts
+    are shuffled only where those ids are too many for a broadcast."""
+    ids = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
+        F.count("*").alias("n"), F.max("kept").alias("kept")).filter("n > 1 or not kept")
+    ids = written(ids, "gone-or-repeated")
+    once = docs.join(ids.select("doc_id"), "doc_id", "left_anti")
+    again = docs.join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    return once.select(docs.columns).unionByName(again.select(docs.columns))
