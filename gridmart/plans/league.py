@@ -133,13 +133,15 @@ def team_context(pbp: DataFrame) -> DataFrame:
 
 
 def personnel_target_shares(pbp: DataFrame) -> DataFrame:
-    """A receiver's share of team targets within each personnel group."""
-    t = pbp.filter(fb.is_target())
-    per = t.groupBy("season", "week", "posteam", "offense_personnel", "receiver_player_id").agg(
-        F.count(F.lit(1)).alias("targets"))
-    team = t.groupBy("season", "week", "posteam", "offense_personnel").agg(F.count(F.lit(1)).alias("group_targets"))
-    out = per.join(team, ["season", "week", "posteam", "offense_personnel"])
-    return out.withColumn("personnel_target_share", share("targets", "group_targets"))
+    """A player's share of the team's targets within each personnel group. Plays without
+    personnel are left out; players (and the NULL player) without a target stay with 0."""
+    group = ["season", "week", "season_type", "team", "offense_personnel"]
+    plays = pbp.withColumn("team", F.col("posteam")).filter(F.col("offense_personnel").isNotNull())
+    per = plays.groupBy(*group, F.col("receiver_player_id").alias("player_id")).agg(
+        csum(fb.is_target()).alias("targets"))
+    team = per.groupBy(*group).agg(F.sum("targets").alias("team_targets"))
+    return per.join(team, group).select(*group, "player_id", "targets",
+                                        share("targets", "team_targets").alias("target_share_in_personnel"))
 
 
 def season_rollup(util: DataFrame, sums: Sequence[str], means: Sequence[str]) -> DataFrame:

@@ -147,14 +147,16 @@ def team_context(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("share_conditional", _sql("""
-t AS (SELECT * FROM plays WHERE pass = 1 AND receiver_player_id IS NOT NULL),
-per AS (SELECT season, week, posteam, offense_personnel, receiver_player_id, COUNT(*) AS targets FROM t GROUP BY ALL),
-tm AS (SELECT season, week, posteam, offense_personnel, COUNT(*) AS group_targets FROM t GROUP BY ALL)
-SELECT per.*, tm.group_targets, round(per.targets / tm.group_targets, 6) AS personnel_target_share
-FROM per JOIN tm USING (season, week, posteam, offense_personnel)
+p AS (SELECT season, week, season_type, posteam AS team, offense_personnel, receiver_player_id AS player_id,
+             CASE WHEN pass = 1 AND receiver_player_id IS NOT NULL THEN 1 ELSE 0 END AS target
+      FROM plays WHERE offense_personnel IS NOT NULL),
+tm AS (SELECT season, week, season_type, team, offense_personnel, SUM(target) AS team_targets FROM p GROUP BY ALL)
+SELECT season, week, season_type, team, offense_personnel, player_id, CAST(SUM(target) AS BIGINT) AS targets,
+       round(CAST(SUM(target) AS DOUBLE) / NULLIF(MAX(team_targets), 0), 6) AS target_share_in_personnel
+FROM p JOIN tm USING (season, week, season_type, team, offense_personnel) GROUP BY ALL
 """))
 def share_conditional(spark: SparkSession, sf: str) -> DataFrame:
-    """D64 / D67 (A14): target share within the personnel group."""
+    """D67 (A14): target share within the personnel group."""
     return _rounded(lg.personnel_target_shares(ad.plays_view(spark, sf)))
 
 
