@@ -204,7 +204,7 @@ def classes(docs: DataFrame) -> DataFrame:
     reps = written(rows.filter(F.col("print").isNotNull()).groupBy("print")
                    .agg(node.alias("node"), F.first("bands").alias("bands"), F.first("bits").alias("bits")),
                    "print-classes")
-    # Texts that share a doc_id may count a bucket twice; only buckets of one class go here.
+    # Texts that share a doc_id may count twice in a bucket; that only adds a bucket of one node.
     band = reps.filter("node >= 0").select("node", F.explode(F.array_distinct("bands")).alias("key"))
     size = band.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
     shared = written(band.join(size, "key").distinct(), "buckets")
