@@ -1,34 +1,42 @@
 """Operator 3, language-model scoring: a hidden Markov model over the corpus's tokens.
 
 Tokens are the words of a text (A-Z as a-z) and one end. The model has ``STATES`` latent
-states that emit word classes (a hash of the word, ``CLASSES`` of them, and the end); a word
-has the probability (count + 1) / (class tokens + class words + 1) within its class, so the
-remaining 1 is left for unseen words. Baum-Welch: each iteration is one Spark job in which
-every partition runs scaled forward-backward over all its training texts (in segments of
-``SEGMENT`` tokens) and sends its expected counts, which Spark sums. Iterations start from a
-fit on a bounded sample of segments; the counts of every token cover all training texts.
-The scaled forward recursion over the whole token sequence gives a text's exact likelihood.
+states that emit words and the end. A state emits a word with the probability (expected
+count + 1 / STATES) / (its expected tokens + (words + 1) / STATES): the states share one added
+count a word, so that the emissions grow with the vocabulary and the remaining 1 / STATES
+stands for an unseen word. Baum-Welch: in each iteration every document group runs scaled
+forward-backward over all its training texts (in segments of ``SEGMENT`` tokens) and sends one
+expected count per distinct word and state to the word's bucket, which sums them and answers
+the groups. ``ROUNDS`` iterations start from each word's count, split by its hash. Counts are
+whole units of 1 / ``UNIT``, and a word's add up to its count exactly. The scaled forward recursion over the whole token
+sequence gives a text's exact likelihood.
 
 Defined cases: a null or empty text is the end alone. A null doc_id is in the training
-part. Repeated rows count as often as they occur. Without any training text every count is
-0 and the model stays at its start.
+part. Repeated rows count as often as they occur. Without any training text every word and
+the end have probability 1.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.exchange import ANSWER, _unpacked, combine, finish, grouped, lookup, plan_sizes, scatter, totals
-from gridmart.llm.scratch import written
-from gridmart.llm.textops import Words, runs, small_batches
+from gridmart.llm.exchange import _packed, _unpacked, grouped, plan_sizes
+from gridmart.llm.scratch import dropped, written
+from gridmart.llm.textops import U64, Words, mix64
 
-STATES, CLASSES, SEGMENT = 6, 1024, 256
-SAMPLE_SEGMENTS, SAMPLE_ROUNDS, ROUNDS = 1500, 12, 2
+STATES, SEGMENT = 6, 256
+CLASSES = 1024  # symbols of a start model without a vocabulary
+ROUNDS = 14
 HELD_MOD, HELD_REST = 7, 2
-_UNIT = float(1 << 20)
+GROUP_BYTES, BATCH = 8 << 20, 1 << 18
+UNIT = 1 << 12
+ENCODED = "grp int, keys binary, seq binary, size binary, counts binary"
+SENT = "bucket int, grp int, keys binary, vals binary, stats binary"
+ANSWER = "bucket int, grp int, vals binary"
 
 
 def held_out(mod: int, rest: int):
@@ -37,7 +45,7 @@ def held_out(mod: int, rest: int):
 
 
 class Model:
-    """Start, transition and emission probabilities (states x classes, the end last)."""
+    """Start, transition and emission probabilities (states x symbols, the end last)."""
 
     def __init__(self, start, move, emit):
         self.start, self.move, self.emit = start, move, emit
@@ -70,18 +78,25 @@ def _by_length(classes: np.ndarray, offsets: np.ndarray):
 
 def expected_counts(model: Model, classes: np.ndarray, offsets: np.ndarray, opens: np.ndarray) -> np.ndarray:
     """E-step over a batch of sequences; ``opens``: the sequence starts its text."""
+    return _expected(model, classes, offsets, opens)[0]
+
+
+def _expected(model: Model, classes: np.ndarray, offsets: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, float]:
+    """``expected_counts`` and the log10 likelihood of the sequences."""
     order, begin, active = _by_length(classes, offsets)
     steps, k = len(active), STATES
-    total = np.zeros(k + k * k + k * (CLASSES + 1))
+    cells = model.emit.shape[1]
+    total = np.zeros(k + k * k + k * cells)
     if not steps:
-        return total
+        return total, 0.0
+    one = np.ones(k)  # a product with it is faster than a sum over few columns
     emit = np.ascontiguousarray(model.emit.T)
     alpha, scale, seen = [], [], []
     for t in range(steps):
         n = int(active[t])
         x = classes[begin[:n] + t]
         a = (model.start if t == 0 else alpha[-1][:n] @ model.move) * emit[x]
-        s = a.sum(1)
+        s = a @ one
         alpha.append(a / s[:, None])
         scale.append(s)
         seen.append(x)
@@ -102,9 +117,9 @@ def expected_counts(model: Model, classes: np.ndarray, offsets: np.ndarray, open
     total[:k] = first.sum(0)
     total[k:k + k * k] = (moves * model.move).ravel()
     x, g = np.concatenate(seen), np.concatenate(gamma)
-    emitted = [np.bincount(x, g[:, s], CLASSES + 1) for s in range(k)]
+    emitted = [np.bincount(x, g[:, s], cells) for s in range(k)]
     total[k + k * k:] = np.concatenate(emitted)
-    return total
+    return total, float(np.log10(np.concatenate(scale)).sum())
 
 
 def log10_likelihood(model: Model, classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
@@ -122,15 +137,11 @@ def log10_likelihood(model: Model, classes: np.ndarray, offsets: np.ndarray) ->
     return out
 
 
-def _classes(hashes: np.ndarray) -> np.ndarray:
-    return (hashes & np.uint64(CLASSES - 1)).astype(np.int64)
-
-
-def _sequences(words: Words, hashes: np.ndarray):
-    """Class ids with an end after each text, and the texts' offsets."""
+def _sequences(words: Words, symbols: np.ndarray, end: int):
+    """Symbols with ``end`` after each text, and the texts' offsets."""
     offsets = words.first + np.arange(words.n_docs + 1)
-    seq = np.full(len(hashes) + words.n_docs, CLASSES, np.int64)
-    seq[np.arange(len(hashes)) + words.doc()] = _classes(hashes)
+    seq = np.full(len(symbols) + words.n_docs, end, np.int64)
+    seq[np.arange(len(symbols)) + words.doc()] = symbols
     return seq, offsets
 
 
@@ -143,130 +154,207 @@ def _segments(offsets: np.ndarray):
     return np.append(offsets[:-1][doc] + k * SEGMENT, offsets[-1]), k == 0
 
 
-def _training_batches(batches):
-    for b in small_batches(batches, limit=2 << 20):
-        words = Words(b["text"])
-        seq, offsets = _sequences(words, words.hashes(fold_case=True))
-        cuts, opens = _segments(offsets)
-        yield seq, cuts, opens
+class Sums:
+    """Corpus sums of an iteration: openings, moves, end and all tokens per state (in units of
+    1 / UNIT), the log10 likelihood (likewise) and the number of distinct training words."""
 
+    SIZE = STATES * (STATES + 3) + 2
 
-def _sample_segments(train: DataFrame) -> list:
-    """At most SAMPLE_SEGMENTS segments, those with the lowest hash of their content."""
+    def __init__(self, cells: np.ndarray):
+        k = STATES
+        self.start, self.move = cells[:k] / UNIT, cells[k:k + k * k].reshape(k, k) / UNIT
+        self.end, self.tokens = cells[k + k * k:-2].reshape(2, k)
+        self.likelihood, self.words = cells[-2] / UNIT, int(cells[-1])
+        self.n_train = int(self.end.sum()) // UNIT
+        self.n, self.v = int(self.tokens.sum()) // UNIT, self.words + (self.n_train > 0)
 
-    def run(batches):
-        best: list[tuple[int, bool, bytes]] = []
-        for seq, cuts, opens in _training_batches(batches):
-            raw = seq.astype("<i2")
-            for a, b, o in zip(cuts[:-1].tolist(), cuts[1:].tolist(), opens.tolist(), strict=True):
-                part = raw[a:b]
-                order = int((part.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-                             ^ np.arange(b - a, dtype=np.uint64)).sum(dtype=np.uint64) >> np.uint64(1))
-                best.append((order, o, part.tobytes()))
-            best = sorted(best)[:SAMPLE_SEGMENTS]
-        yield pa.RecordBatch.from_pydict({"rank": pa.array([x[0] for x in best], pa.int64()),
-                                          "opens": pa.array([x[1] for x in best], pa.bool_()),
-                                          "seq": pa.array([x[2] for x in best], pa.binary())})
-
-    found = train.mapInArrow(run, "rank long, opens boolean, seq binary")
-    return found.orderBy("rank", "seq").limit(SAMPLE_SEGMENTS).collect()
-
-
-def train(docs: DataFrame) -> Model:
-    """Start from the sample's fit, then ``ROUNDS`` Baum-Welch iterations over all texts."""
-    docs = docs.select("text")
-    model = Model.initial()
-    sample = _sample_segments(docs)
-    if not sample:
-        return model
-    seqs = [np.frombuffer(r.seq, "<i2").astype(np.int64) for r in sample]
-    offsets = np.concatenate([[0], np.cumsum([len(s) for s in seqs])]).astype(np.int64)
-    opens = np.array([r.opens for r in sample])
-    for _ in range(SAMPLE_ROUNDS):
-        model = Model.from_counts(expected_counts(model, np.concatenate(seqs), offsets, opens))
-    for _ in range(ROUNDS):
-        model = Model.from_counts(_iteration(docs, model))
-    return model
-
-
-def _iteration(docs: DataFrame, model: Model) -> np.ndarray:
-    cells = STATES + STATES * STATES + STATES * (CLASSES + 1)
+    def model(self, counts: np.ndarray) -> Model:
+        """The model of the words with these expected counts (words x states), the end last."""
+        start, move = (self.start, self.move) if self.n else (np.ones(STATES), np.ones((STATES, STATES)))
+        emit = np.concatenate([counts, self.end[None, :]]) / UNIT + 1 / STATES
+        emit /= self.tokens / UNIT + (self.v + 1) / STATES
+        start, move = start + 1e-2, move + 1e-2
+        return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit.T)
 
-    def run(batches):
-        total = np.zeros(cells)
-        for seq, cuts, opens in _training_batches(batches):
-            total += expected_counts(model, seq, cuts, opens)
-        # Whole units of 2^-20 make the sum independent of the order of its terms.
-        yield pa.RecordBatch.from_pydict({"cell": np.arange(cells), "n": np.round(total * _UNIT).astype(np.int64)})
-
-    rows = docs.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum(F.col("n").cast("decimal(38,0)"))
-                                                                         .alias("n")).collect()
-    out = np.zeros(cells)
-    for r in rows:  # as many rows as the model has parameters
-        out[r.cell] = float(r.n) / _UNIT
+
+def _whole(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
+    """Non-negative ``counts`` (words x states) as whole units that add up to each word's total."""
+    out = np.floor(counts * UNIT).astype(np.int64)
+    at = np.argmax(out, axis=1)
+    out[np.arange(len(out)), at] += total * UNIT - out.sum(1)
     return out
 
 
-def _count_words(table) -> tuple[np.ndarray, np.ndarray]:
-    """Distinct word hashes of a group and their number in its training texts."""
-    words = Words(table["text"])
-    h = words.hashes(fold_case=True)
-    trains = ~np.asarray(table["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
-    weight = np.repeat(trains, words.count).astype(np.int64)
-    order = np.argsort(h)
-    start = runs(h[order])
-    total = np.add.reduceat(weight[order], start) if len(start) else np.zeros(0, np.int64)
-    return h[order][start], total
+def _packed_rows(rows: np.ndarray, cuts: np.ndarray) -> pa.Array:
+    """``_packed`` for rows of STATES numbers, one state after the other."""
+    flat = [rows[a:b].T.ravel() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
+    return _packed([np.concatenate(flat) if flat else np.zeros(0, np.int64)], cuts * STATES)[0]
+
 
+def _unpacked_rows(column) -> np.ndarray:
+    flat, size = _unpacked(column, np.int64)
+    cuts = np.concatenate([[0], np.cumsum(size)]).tolist()
+    parts = [flat[a:b].reshape(STATES, -1).T for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+    return np.concatenate(parts) if parts else np.zeros((0, STATES), np.int64)
 
-def _class_stats(answers: DataFrame):
-    """(tokens, words) per class over the training texts."""
+
+def _encoded(dealt: DataFrame) -> DataFrame:
+    """One row per group: its distinct words, the training texts as numbers of words (the end
+    last), their sizes, and how often each word and the end occur in them."""
+
+    def encode(key, table):
+        words = Words(table["text"])
+        own, symbols = np.unique(words.hashes(fold_case=True), return_inverse=True)
+        seq, offsets = _sequences(words, symbols, len(own))
+        trains = ~np.asarray(table["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
+        seq = seq[np.repeat(trains, np.diff(offsets))]
+        one = np.zeros(2, np.int64)
+        columns = [own, np.diff(offsets)[trains], np.bincount(seq, minlength=len(own) + 1)]
+        keys, size, counts = (_packed([x], one + [0, len(x)])[0] for x in columns)
+        return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()), "keys": keys,
+                         "seq": pa.array([seq.astype("<i4").tobytes()], pa.binary()), "size": size, "counts": counts})
+
+    return dealt.groupBy("grp").applyInArrow(encode, ENCODED)
+
+
+def _sent(table, counts: np.ndarray, stats: np.ndarray, shift: int) -> pa.Table:
+    """A group's expected counts per bucket; its sums go with the first."""
+    keys, grp = _unpacked(table["keys"], np.uint64)[0], table["grp"][0].as_py()
+    bucket = (keys >> U64(shift)).astype(np.int64) if len(keys) else np.zeros(0, np.int64)
+    cuts = np.append(np.flatnonzero(np.diff(bucket, prepend=-1)), len(keys)).astype(np.int64)
+    at = bucket[cuts[:-1]]
+    if not len(keys):  # the sums of empty texts still count
+        at, cuts = np.array([grp % (1 << (64 - shift))]), np.zeros(2, np.int64)
+    k, = _packed([keys], cuts)
+    return pa.table({"bucket": at.astype(np.int32), "grp": np.full(len(at), grp, np.int32), "keys": k,
+                     "vals": _packed_rows(counts, cuts),
+                     "stats": pa.array([stats.tobytes()] + [None] * (len(at) - 1), pa.binary())})
+
+
+def _start(encoded: DataFrame, shift: int) -> DataFrame:
+    """Each word's count split over the states by the word's hash."""
+
+    def split(counts, keys):
+        noise = [mix64(keys + U64((s + 1) * 0x9E3779B97F4A7C15 % (1 << 64))) >> U64(11) for s in range(STATES)]
+        share = 0.5 + np.stack(noise, 1).astype(float) / 2 ** 53
+        return _whole(counts[:, None] * (share / share.sum(1, keepdims=True)), counts)
 
     def run(batches):
-        out = np.zeros(2 * CLASSES, np.int64)
         for b in batches:
-            keys, _ = _unpacked(b["keys"], np.uint64)
-            vals, _ = _unpacked(b["vals"], np.int64)
-            out += np.bincount(keys.astype(np.int64), vals, 2 * CLASSES).astype(np.int64)
-        yield pa.RecordBatch.from_pydict({"cell": np.arange(2 * CLASSES), "n": out})
+            for i in range(b.num_rows):
+                row = pa.Table.from_batches([b.slice(i, 1)])
+                keys, counts = _unpacked(row["keys"], np.uint64)[0], _unpacked(row["counts"], np.int64)[0]
+                rows = split(counts, np.append(keys, U64(0)))
+                stats = np.zeros(Sums.SIZE, np.int64)
+                stats[-2 - 2 * STATES:-2] = np.concatenate([rows[-1], rows.sum(0)])
+                yield from _sent(row, rows[:-1], stats, shift).to_batches()
+
+    return encoded.mapInArrow(run, SENT)
+
+
+def _iteration(encoded: DataFrame, answers: DataFrame, sums: Sums, shift: int) -> DataFrame:
+    """Expected counts of every group's training texts under the model of ``answers``."""
+
+    def step(key, left, right):
+        if not left.num_rows:
+            return pa.table({c.split()[0]: [] for c in SENT.split(", ")})
+        counts, size = _unpacked(left["counts"], np.int64)[0], _unpacked(left["size"], np.int64)[0]
+        model = sums.model(_own(right))
+        raw = left["seq"].combine_chunks()[0].as_buffer()
+        seq = np.frombuffer(raw, "<i4")
+        cuts, opens = _segments(np.concatenate([[0], np.cumsum(size)]))
+        total, likelihood = np.zeros(STATES * (STATES + 1 + len(counts))), 0.0
+        parts = np.searchsorted(cuts, np.append(np.arange(0, len(seq), BATCH), len(seq)))
+        for a, b in zip(parts[:-1], parts[1:], strict=True):
+            part, at = seq[cuts[a]:cuts[b]].astype(np.int64), cuts[a:b + 1] - cuts[a]
+            found = _expected(model, part, at, opens[a:b])
+            total += found[0]
+            likelihood += found[1]
+        k = STATES
+        rows = _whole(total[k + k * k:].reshape(k, -1).T, counts)
+        small = np.append(total[:k + k * k], likelihood) * UNIT
+        stats = np.concatenate([np.round(small[:-1]), rows[-1], rows.sum(0), np.round(small[-1:]), [0]])
+        return _sent(left, rows[:-1], stats.astype(np.int64), shift)
+
+    right = answers.filter("grp >= 0").groupBy("grp")
+    return encoded.groupBy("grp").cogroup(right).applyInArrow(step, SENT)
+
+
+def _own(answers: pa.Table) -> np.ndarray:
+    """A group's answers as expected counts of its words, in the order of their hashes."""
+    return _unpacked_rows(answers.sort_by("bucket")["vals"])
+
+
+def _answered(sent: DataFrame) -> DataFrame:
+    """Every group's words with their corpus-wide expected counts, and as group -1 the sums."""
+
+    def reduce(key, table):
+        keys, size = _unpacked(table["keys"], np.uint64)
+        rows = _unpacked_rows(table["vals"])
+        order = np.argsort(keys, kind="stable")
+        new = np.diff(keys[order], prepend=~keys[order[:1]]) != 0
+        total = np.add.reduceat(rows[order], np.flatnonzero(new), axis=0) if len(keys) else rows
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.cumsum(new) - 1
+        cuts = np.concatenate([[0], np.cumsum(size)]).astype(np.int64)
+        stats = np.zeros(Sums.SIZE, np.int64)
+        for s in table["stats"].drop_null():
+            stats += np.frombuffer(s.as_buffer(), np.int64)
+        stats[-1] = np.count_nonzero(total.sum(1))
+        bucket = key[0].as_py()
+        return pa.table({"bucket": pa.array([bucket] * (len(size) + 1), pa.int32()),
+                         "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int32()),
+                         "vals": pa.concat_arrays([_packed_rows(total[at], cuts), pa.array([stats.tobytes()], pa.binary())])})
+
+    return sent.groupBy("bucket").applyInArrow(reduce, ANSWER)
+
+
+def _sums(answers: DataFrame) -> Sums:
 
-    rows = (answers.filter("grp = -1").mapInArrow(run, "cell long, n long")
+    def run(batches):
+        out = np.zeros(Sums.SIZE, np.int64)
+        for b in batches:
+            for s in b["vals"]:
+                out += np.frombuffer(s.as_buffer(), np.int64)
+        yield pa.RecordBatch.from_pydict({"cell": np.arange(Sums.SIZE), "n": out})
+
+    rows = (answers.filter("grp = -1").select("vals").mapInArrow(run, "cell long, n long")
             .groupBy("cell").agg(F.sum("n").alias("n")).collect())
-    out = np.zeros(2 * CLASSES, np.int64)
+    out = np.zeros(Sums.SIZE, np.int64)
     for r in rows:
         out[r.cell] = r.n
-    return out[:CLASSES], out[CLASSES:]
+    return Sums(out)
 
 
-def _bucket_stats(keys, vals, start):
-    """The bucket's part of ``_class_stats`` as (cell, number)."""
-    total = np.add.reduceat(vals, start)
-    cls = _classes(keys[start])
-    both = np.concatenate([np.bincount(cls, total, CLASSES), np.bincount(cls, total > 0, CLASSES)])
-    return np.arange(2 * CLASSES, dtype=np.uint64), both.astype(np.int64)
+def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame]:
+    """``ROUNDS`` Baum-Welch iterations over all training texts: the last sums, and every group's words with their expected counts."""
+    shift = 64 - int(np.log2(n_buckets))
+    encoded = _encoded(dealt).repartition(n_groups, "grp").persist(StorageLevel.DISK_ONLY)
+    answers = written(_answered(_start(encoded, shift)), "expected-counts")
+    sums = _sums(answers)
+    # The first sums have no moves yet: the next state follows with 0.7, or else any.
+    sums.start, sums.move = np.ones(STATES), 0.3 / STATES + np.roll(np.eye(STATES), 1, axis=1) * 0.7
+    for _ in range(ROUNDS if sums.n else 0):
+        last, answers = answers, written(_answered(_iteration(encoded, answers, sums, shift)), "expected-counts")
+        dropped(last)
+        sums = _sums(answers)
+    encoded.unpersist()
+    return sums, answers
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(HELD_MOD, HELD_REST))
-    model = train(docs.filter(~F.col("held_out")))
-    n_train = docs.filter(~F.col("held_out")).count()
-    n_groups, n_buckets = plan_sizes(docs)
+    n_groups, n_buckets = plan_sizes(docs, GROUP_BYTES)
     dealt = grouped(docs, n_groups)
-    sent = scatter(dealt, n_buckets, _count_words)
-    answers = written(combine(sent, totals, stats=_bucket_stats), "word-counts")
-    tokens, distinct = _class_stats(answers)
-    n = int(tokens.sum()) + n_train
-    v = int(distinct.sum()) + (n_train > 0)
-    log_base = np.log10(n + v + 1)
-    log_class = np.log10(tokens + distinct + 1)
-
-    def close(table, keys, total):
+    sums, answers = train(dealt, n_groups, n_buckets)
+    log_base = np.log10(sums.n + sums.v + 1)
+
+    def close(key, table, right):
         words = Words(table["text"])
-        h = words.hashes(fold_case=True)
-        own_keys, count = _count_words(table)
-        count = lookup(own_keys, count, keys, total)
-        c = count[np.searchsorted(own_keys, h)] if len(h) else np.zeros(0, np.int64)
+        own, symbols = np.unique(words.hashes(fold_case=True), return_inverse=True)
+        counts = _own(right)
+        c = (counts.sum(1) // UNIT)[symbols]
         logs = np.log10(c + 1.0)
 
         def per_doc(x):
@@ -274,16 +362,16 @@ def score(docs: DataFrame) -> DataFrame:
             return s[words.first[1:]] - s[words.first[:-1]]
 
         n_tokens = words.count + 1
-        in_class = np.zeros(len(h)) if not len(h) else logs - log_class[_classes(h)]
-        seq, offsets = _sequences(words, h)
-        end = np.log10(n_train + 1.0)
+        seq, offsets = _sequences(words, symbols, len(own))
+        end = np.log10(sums.n_train + 1.0)
         return pa.table({
             "doc_id": table["doc_id"], "held_out": table["held_out"], "n_tokens": n_tokens,
-            "n_known": per_doc((c > 0).astype(np.int64)) + (n_train > 0),
-            "train_tokens": np.full(words.n_docs, n, np.int64),
+            "n_known": per_doc((c > 0).astype(np.int64)) + (sums.n_train > 0),
+            "train_tokens": np.full(words.n_docs, sums.n, np.int64),
             "base_score": per_doc(logs) + end - n_tokens * log_base,
-            "score": per_doc(in_class) + log10_likelihood(model, seq, offsets)})
+            "score": log10_likelihood(sums.model(counts), seq, offsets)})
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    return finish(dealt, answers.filter("grp >= 0").select(*[c.split()[0] for c in ANSWER.split(", ")]), close, schema)
+    right = answers.filter("grp >= 0").groupBy("grp")
+    return dealt.groupBy("grp").cogroup(right).applyInArrow(close, schema)

@@ -28,3 +28,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     schema = df.schema
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
+
+
+def dropped(df: DataFrame) -> None:
+    """Delete a table that ``written`` returned and that no later step reads."""
+    spark = df.sparkSession
+    for file in df.inputFiles()[:1]:
+        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -128,6 +128,24 @@ def test_baum_welch_never_lowers_the_likelihood():
         model = hmm_lm.Model.from_counts(hmm_lm.expected_counts(model, flat, off, np.ones(60, bool)))
 
 
+def alternating(rng, n, vocabulary):
+    """Words of two sets in turn, the first of each set the most frequent."""
+    return " ".join(f"{'ab'[k % 2]}{int(vocabulary * rng.random() ** 2)}" for k in range(n))
+
+
+def held_out_gain(rows):
+    """log10 a token that the model's score of the held-out texts is above the base score."""
+    rows = [r for r in rows if r.held_out]
+    return sum(r.score - r.base_score for r in rows) / sum(r.n_tokens for r in rows)
+
+
+def test_hmm_tells_words_apart_in_a_large_vocabulary(documents):
+    rng = random.Random(5)
+    got = hmm_lm.score(documents([(i, alternating(rng, 300, 3000)) for i in range(600)])).collect()
+    # The states know the set of the next word, worth log10(2); sets share no words, only hash buckets.
+    assert held_out_gain(got) > 0.25
+
+
 def weighted_jaccard(a, b):
     both = sum((a & b).values())
     return both / (sum(a.values()) + sum(b.values()) - both)
