@@ -7,8 +7,9 @@ count a word, so that the emissions grow with the vocabulary and the remaining 1
 stands for an unseen word. Baum-Welch: in each iteration every document group runs scaled
 forward-backward over all its training texts (in segments of ``SEGMENT`` tokens) and sends one
 expected count per distinct word and state to the word's bucket, which sums them and answers
-the groups. ``ROUNDS`` iterations start from each word's count, split by its hash. Counts are
-whole units of 1 / ``UNIT``, and a word's add up to its count exactly. The scaled forward recursion over the whole token
+the groups. Iterations start from each word's count, split by its hash, and go on until the
+likelihood gains at most the share ``SETTLED``. Counts are whole units of 1 / ``UNIT``, and
+a word's add up to its count exactly. The scaled forward recursion over the whole token
 sequence gives a text's exact likelihood.
 
 Defined cases: a null or empty text is the end alone. A null doc_id is in the training
@@ -30,7 +31,7 @@ from gridmart.llm.textops import U64, Words, mix64
 
 STATES, SEGMENT = 6, 256
 CLASSES = 1024  # symbols of a start model without a vocabulary
-ROUNDS = 14
+SETTLED = 1e-4
 HELD_MOD, HELD_REST = 7, 2
 GROUP_BYTES, BATCH = 8 << 20, 1 << 18
 UNIT = 1 << 12
@@ -327,17 +328,22 @@ def _sums(answers: DataFrame) -> Sums:
 
 
 def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame]:
-    """``ROUNDS`` Baum-Welch iterations over all training texts: the last sums, and every group's words with their expected counts."""
+    """Baum-Welch iterations over all training texts until the likelihood settles: the last
+    sums, and every group's words with their expected counts."""
     shift = 64 - int(np.log2(n_buckets))
     encoded = _encoded(dealt).repartition(n_groups, "grp").persist(StorageLevel.DISK_ONLY)
     answers = written(_answered(_start(encoded, shift)), "expected-counts")
     sums = _sums(answers)
     # The first sums have no moves yet: the next state follows with 0.7, or else any.
     sums.start, sums.move = np.ones(STATES), 0.3 / STATES + np.roll(np.eye(STATES), 1, axis=1) * 0.7
-    for _ in range(ROUNDS if sums.n else 0):
+    before = None
+    while sums.n:
         last, answers = answers, written(_answered(_iteration(encoded, answers, sums, shift)), "expected-counts")
         dropped(last)
         sums = _sums(answers)
+        if before is not None and sums.likelihood - before <= SETTLED * abs(before):
+            break
+        before = sums.likelihood
     encoded.unpersist()
     return sums, answers
 

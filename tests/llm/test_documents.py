@@ -146,6 +146,17 @@ def test_hmm_tells_words_apart_in_a_large_vocabulary(documents):
     assert held_out_gain(got) > 0.25
 
 
+def test_hmm_rounds_cover_all_texts_until_the_likelihood_settles(documents, monkeypatch):
+    rng, seen, sums = random.Random(6), [], hmm_lm._sums
+    monkeypatch.setattr(hmm_lm, "_sums", lambda answers: seen.append(sums(answers)) or seen[-1])
+    rows = [(i, "copy " * 300) for i in range(60)] + [(100 + i, alternating(rng, 100, 200)) for i in range(60)]
+    got = hmm_lm.score(documents(rows)).collect()
+    assert {s.n for s in seen} == {got[0].train_tokens}
+    ends = [s.likelihood for s in seen[1:]]  # the first sums are those of the start
+    gains = [(b - a) / abs(a) for a, b in zip(ends, ends[1:], strict=False)]
+    assert gains[-1] <= 1e-4 < min(gains[:-1])
+
+
 def weighted_jaccard(a, b):
     both = sum((a & b).values())
     return both / (sum(a.values()) + sum(b.values()) - both)
