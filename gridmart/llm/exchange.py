@@ -33,10 +33,10 @@ def grouped(docs: DataFrame, n_groups: int) -> DataFrame:
     return docs.withColumn("grp", F.pmod(F.xxhash64("doc_id", "text"), F.lit(n_groups)).cast("int"))
 
 
-def plan_sizes(docs: DataFrame, group_bytes: int = GROUP_BYTES) -> tuple[int, int]:
+def plan_sizes(docs: DataFrame, group_bytes: int = GROUP_BYTES, least: int = 64) -> tuple[int, int]:
     """(groups, buckets) for the input's size: a group holds about ``group_bytes`` of text
-    and a bucket about as many entries as two groups."""
-    n_groups = max(64, -(-text_bytes(docs) // group_bytes))
+    and a bucket about as many entries as two groups; ``least`` groups."""
+    n_groups = max(least, -(-text_bytes(docs) // group_bytes))
     bits = max(8, int(np.ceil(np.log2(n_groups / 2))))
     return n_groups, 1 << min(bits, 30)
 

@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gridmart.llm.exchange import _packed, _unpacked, grouped, plan_sizes
-from gridmart.llm.scratch import dropped, written
+from gridmart.llm.scratch import collected, dropped, written
 from gridmart.llm.textops import U64, Words, mix64
 
 STATES, SEGMENT = 6, 256
 CLASSES = 1024  # symbols of a start model without a vocabulary
 SETTLED = 1e-4
 HELD_MOD, HELD_REST = 7, 2
-GROUP_BYTES, BATCH = 8 << 20, 1 << 18
+GROUP_BYTES, LEAST_GROUPS, BATCH = 8 << 20, 24, 1 << 18
 UNIT = 1 << 12
 ENCODED = "grp int, keys binary, seq binary, size binary, counts binary"
 SENT = "bucket int, grp int, keys binary, vals binary, stats binary"
@@ -338,6 +338,7 @@ def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFr
     sums.start, sums.move = np.ones(STATES), 0.3 / STATES + np.roll(np.eye(STATES), 1, axis=1) * 0.7
     before = None
     while sums.n:
+        collected(encoded.sparkSession)
         last, answers = answers, written(_answered(_iteration(encoded, answers, sums, shift)), "expected-counts")
         dropped(last)
         sums = _sums(answers)
@@ -351,7 +352,7 @@ def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFr
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(HELD_MOD, HELD_REST))
-    n_groups, n_buckets = plan_sizes(docs, GROUP_BYTES)
+    n_groups, n_buckets = plan_sizes(docs, GROUP_BYTES, LEAST_GROUPS)
     dealt = grouped(docs, n_groups)
     sums, answers = train(dealt, n_groups, n_buckets)
     log_base = np.log10(sums.n + sums.v + 1)

@@ -36,3 +36,8 @@ def dropped(df: DataFrame) -> None:
     for file in df.inputFiles()[:1]:
         path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def collected(spark: SparkSession) -> None:
+    """Let Spark remove the shuffle files of plans that are gone."""
+    spark._jvm.System.gc()
