@@ -6,8 +6,9 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gridmart.llm import (embedding_dedup, hmm_lm, minhash_dedup, packing, pii, quality_classifier,
-                          quality_rules, sentencepiece_viterbi, substring_dedup, token_files)
+from gridmart.llm import (chat_format, conversation_repair, embedding_dedup, hmm_lm, minhash_dedup, packing, pii,
+                          quality_classifier, quality_rules, sentencepiece_viterbi, substring_dedup,
+                          token_alignment, token_files)
 
 QueryFn = Callable[[SparkSession, str], DataFrame]
 
@@ -59,8 +60,23 @@ def op10_best_fit_packing(spark, sf_dir):
     return packing.pack_documents(_read(spark, sf_dir, "documents"))
 
 
+def op11_chat_format(spark, sf_dir):
+    rows = _read(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return chat_format.read_back(chat_format.windows(rows.unionByName(chat_format.planted(spark))))
+
+
+def op12_token_alignment(spark, sf_dir):
+    return token_alignment.align(_read(spark, sf_dir, "documents"))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    rows = _read(spark, sf_dir, "conversations")
+    return conversation_repair.digests(conversation_repair.damaged(rows), rows.select("conv_id"))
+
+
 QUERIES: dict[str, QueryFn] = {f.__name__: f for f in (
     op1_substring_dedup, op2_quality_classifier, op3_hmm_lm, op4_embedding_dedup, op5_pii,
-    op6_quality_rules, op7_sentencepiece, op8_minhash_dedup, op9_token_files, op10_best_fit_packing)}
+    op6_quality_rules, op7_sentencepiece, op8_minhash_dedup, op9_token_files, op10_best_fit_packing,
+    op11_chat_format, op12_token_alignment, op13_conversation_repair)}
 
 ORACLE_SQL: dict[str, str] = {}
