@@ -42,9 +42,10 @@ from pyspark.sql import functions as F
 from gridmart.llm.scratch import written
 from gridmart.llm.textops import binary_parts, one_array, small_batches, utf8
 
-BATCH_BYTES = 8 << 20
-#: Distinct units that a worker keeps between batches.
-MAX_UNITS = 1_000_000
+BATCH_BYTES = 4 << 20
+#: Distinct units that a worker keeps between batches, and how many it encodes at a time (the
+#: tokenizers' results are large objects).
+MAX_UNITS, CHUNK = 300_000, 8192
 
 CODED = ("grp long, doc_id long, n_a long, n_b long, n_groups long, n_links long, groups_sha256 string, "
          "links binary, pairs array<long>, counts array<long>")
@@ -190,19 +191,9 @@ class Aligner:
         return memoryview(np.ascontiguousarray(raw)), offsets
 
     def _learn(self, units: list[bytes]) -> None:
-        texts = [u.decode() for u in units]
         n = len(units)
-        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
-        # SentencePiece puts a space in front of a text that is not empty; where that does not
-        # stand for the unit's own space, a line feed, which no piece joins to anything, stands
-        # between, and the two tokens are dropped.
-        spaced = [t[0] == " " and len(t) > 1 for t in texts]
-        ids_b = self.b.encode([t[1:] if s else "\n" + t for t, s in zip(texts, spaced, strict=True)], num_threads=1)
-        ids_b = [x if s else x[2:] for x, s in zip(ids_b, spaced, strict=True)]
-        n_a = np.fromiter(map(len, ids_a), np.int64, n)
-        n_b = np.fromiter(map(len, ids_b), np.int64, n)
-        flat_a = np.fromiter(chain.from_iterable(ids_a), np.int64, int(n_a.sum()))
-        flat_b = np.fromiter(chain.from_iterable(ids_b), np.int64, int(n_b.sum()))
+        parts = [self._encoded(units[k:k + CHUNK]) for k in range(0, n, CHUNK)]
+        flat_a, n_a, flat_b, n_b = (np.concatenate(x) for x in zip(*parts, strict=True))
         ok = self._same_bytes(units, flat_b, n_b)
         flat_a, flat_b = flat_a[np.repeat(ok, n_a)], flat_b[np.repeat(ok, n_b)]
         n_a, n_b = np.where(ok, n_a, 0), np.where(ok, n_b, 0)
@@ -218,6 +209,22 @@ class Aligner:
         self.first_pair = np.concatenate([self.first_pair, self.first_pair[-1] + np.cumsum(n_groups)])
         self.pairs = np.concatenate([self.pairs, (flat_a[cut_a] << 32) | flat_b[cut_b]])
 
+    def _encoded(self, units: list[bytes]) -> tuple[np.ndarray, ...]:
+        """Token ids of the units one after another and how many each has, for A and B."""
+        texts = [u.decode() for u in units]
+        ids_a = [e.ids for e in self.a.encode_batch_fast(texts, add_special_tokens=False)]
+        # SentencePiece puts a space in front of a text that is not empty; where that does not
+        # stand for the unit's own space, a line feed, which no piece joins to anything, stands
+        # between, and the two tokens are dropped.
+        spaced = [t[0] == " " and len(t) > 1 for t in texts]
+        ids_b = self.b.encode([t[1:] if s else "\n" + t for t, s in zip(texts, spaced, strict=True)], num_threads=1)
+        ids_b = [x if s else x[2:] for x, s in zip(ids_b, spaced, strict=True)]
+        out = []
+        for ids in (ids_a, ids_b):
+            size = np.fromiter(map(len, ids), np.int64, len(units))
+            out += [np.fromiter(chain.from_iterable(ids), np.int64, int(size.sum())), size]
+        return tuple(out)
+
     def _same_bytes(self, units: list[bytes], flat_b: np.ndarray, n_b: np.ndarray) -> np.ndarray:
         """Whether the B tokens of each unit join to the unit."""
         joined, ends = binary_parts(self.b_bytes.take(pa.array(flat_b)))
