@@ -88,7 +88,7 @@ def counted(rows: DataFrame, vocabulary_path: str | None = None) -> DataFrame:
         vocabulary = rows.sparkSession.sparkContext.broadcast(f.read())  # a file of a few MB
 
     def run(batches):
-        for b in small_batches(batches):
+        for b in small_batches(batches, limit=1 << 18):  # the tokenizer's results are large objects
             tok = _tokenizer(vocabulary.value)
             sizes = [np.array([len(e.ids) for e in tok.encode_batch_fast(b[c].to_pylist(), add_special_tokens=False)],
                               np.int64) for c in ("role", "text")]
