@@ -1,5 +1,5 @@
 """Summary statistics: effects with confidence intervals (A15), histograms (A25), pivots
-with differences (A22), median bands (A23), before/after summaries (A24)."""
+with differences (A22), median bands (A23), before/after summaries (A24), correlations (A11)."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.operators.quantiles import with_median
 from gridmart.operators.shares import with_group_totals
 from gridmart.operators.unpivot import flags_to_long
 
@@ -59,14 +60,29 @@ def pivot_diff(df: DataFrame, group: Sequence[str], category: str, values: Seque
 
 
 def median_band(df: DataFrame, group: Sequence[str], value: str) -> DataFrame:
-    """Median and median +- one sample standard deviation."""
-    agg = df.groupBy(*group).agg(F.median(value).alias("median"), F.stddev_samp(value).alias("sd"))
-    return agg.withColumns({"band_lo": F.col("median") - F.col("sd"), "band_hi": F.col("median") + F.col("sd")})
+    """Exact median and median +- one sample standard deviation."""
+    agg = with_median(df.groupBy(*group).agg(F.stddev_samp(value).alias("sd")), df, group, value, "median")
+    return agg.select(*group, "median", "sd", (F.col("median") - F.col("sd")).alias("band_lo"),
+                      (F.col("median") + F.col("sd")).alias("band_hi"))
 
 
 def delta_summary(df: DataFrame, group: Sequence[str], delta: str) -> DataFrame:
-    """Count, share with a positive delta, and median delta per group."""
-    return df.filter(F.col(delta).isNotNull()).groupBy(*group).agg(
-        F.count(F.lit(1)).alias("n"),
-        (F.count_if(F.col(delta) > 0) / F.count(F.lit(1))).alias("share_improved"),
-        F.median(delta).alias("median_delta"))
+    """Count, share with a positive delta, and exact median delta per group."""
+    known = df.filter(F.col(delta).isNotNull())
+    agg = known.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), (F.count_if(F.col(delta) > 0) / F.count(F.lit(1))).alias("share_improved"))
+    return with_median(agg, known, group, delta, "median_delta")
+
+
+def correlation(df: DataFrame, group: Sequence[str], x: str, y: str) -> DataFrame:
+    """Rows with both values, population and sample covariance and Pearson correlation per
+    group. The co-moments merge on the map side, so no rows are paired or gathered. The
+    correlation is NULL where an input is constant (a single row too), where plain ``corr``
+    divides by zero or gives NaN; the test compares minimum and maximum, not a rounded variance."""
+    both = df.filter(F.col(x).isNotNull() & F.col(y).isNotNull())
+    constant = (F.min(x) == F.max(x)) | (F.min(y) == F.max(y))
+    spread = F.stddev_pop(x) * F.stddev_pop(y)
+    return both.groupBy(*group).agg(
+        F.count(F.lit(1)).alias("n"), F.covar_pop(x, y).alias("covar_pop"),
+        F.when(F.count(F.lit(1)) > 1, F.covar_samp(x, y)).alias("covar_samp"),
+        F.when(~constant, F.try_divide(F.covar_pop(x, y), spread)).alias("corr"))

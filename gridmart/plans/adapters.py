@@ -15,9 +15,13 @@ Every view grows with lineitem; nothing is sampled or capped.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from gridmart.operators.once import with_rollup
+from gridmart.operators.roles import Role, fold_roles, role_aggregate
 from gridmart.plans import driver as d
 from gridmart.sources.tables import table
 
@@ -68,41 +72,111 @@ def weekly_view(spark: SparkSession, sf: str) -> DataFrame:
     attached to the (smaller) aggregate afterwards.
     """
     e = _lines_opp(spark, sf)
-    q, ln = F.col("l_quantity"), F.col("l_linenumber")
-
-    def cnt(cond: F.Column) -> F.Column:
-        return F.count_if(cond)
-
     agg = e.groupBy(
         "season", "week", "team", "l_partkey",
         F.when(F.col("l_returnflag") != "R", F.lit("feed")).alias("source"),
-    ).agg(
-        F.max("opp_key").alias("__opp_key"),
-        cnt(F.col("l_returnflag") == "N").alias("completions"), F.count(F.lit(1)).alias("attempts"),
-        F.sum(q).alias("passing_yards"), cnt(q >= 45).alias("passing_tds"),
-        cnt(q <= 3).cast("double").alias("interceptions"), cnt(q == 4).alias("sack_fumbles_lost"),
-        cnt(F.col("l_linestatus") == "F").alias("carries"), F.sum(ln * 3).cast("double").alias("rushing_yards"),
-        cnt(F.col("l_tax") == 0).alias("rushing_tds"), cnt(q == 5).cast("double").alias("rushing_fumbles_lost"),
-        cnt(F.col("l_returnflag") != "A").alias("receptions"), F.count(F.lit(1)).alias("targets"),
-        F.sum(q + ln).cast("double").alias("receiving_yards"), cnt(F.col("l_discount") >= 0.1).alias("receiving_tds"),
-        cnt(q == 6).cast("double").alias("receiving_fumbles_lost"),
-        cnt(q == 50).cast("double").alias("special_teams_tds"),
-        cnt(ln == 7).alias("passing_2pt_conversions"), cnt(ln == 6).alias("rushing_2pt_conversions"),
-        cnt(ln == 5).alias("receiving_2pt_conversions"),
-    )
+    ).agg(F.max("opp_key").alias("__opp_key"), *[F.sum(v).alias(k) for k, v in _stat_values().items()])
     names = table(spark, sf, "nation", "n_nationkey", "n_name")
     out = (agg.join(_parts(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
            .join(F.broadcast(names), F.col("__opp_key") == F.col("n_nationkey"), "left"))
-    stats = [c for c in agg.columns if c not in ("season", "week", "team", "l_partkey", "source", "__opp_key")]
-    ays = F.col("receptions") / F.col("attempts")
     return out.select(
         "season", "week", F.lit("REG").alias("season_type"), "team",
         F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id"), "source",
-        F.when(F.col("source").isNotNull(), F.col("p_name")).alias("player_name"),
-        _position("p_type").alias("position"), F.col("n_name").alias("opponent_team"), *stats,
-        ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"),
-        (F.col("passing_yards") - F.col("attempts") * 10).alias("receiving_air_yards"),
-        (F.col("targets") / 50.0).alias("target_share"))
+        *_weekly_columns(out))
+
+
+def _stat_values() -> dict[str, F.Column]:
+    """What each line adds to its player's weekly statistics."""
+    q, ln = F.col("l_quantity"), F.col("l_linenumber")
+
+    def one(cond: F.Column) -> F.Column:
+        return F.when(cond, F.lit(1).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+
+    return {
+        "completions": one(F.col("l_returnflag") == "N"), "attempts": F.lit(1).cast("bigint"),
+        "passing_yards": q, "passing_tds": one(q >= 45), "interceptions": one(q <= 3).cast("double"),
+        "sack_fumbles_lost": one(q == 4), "carries": one(F.col("l_linestatus") == "F"),
+        "rushing_yards": (ln * 3).cast("double"), "rushing_tds": one(F.col("l_tax") == 0),
+        "rushing_fumbles_lost": one(q == 5).cast("double"), "receptions": one(F.col("l_returnflag") != "A"),
+        "targets": F.lit(1).cast("bigint"), "receiving_yards": (q + ln).cast("double"),
+        "receiving_tds": one(F.col("l_discount") >= 0.1), "receiving_fumbles_lost": one(q == 6).cast("double"),
+        "special_teams_tds": one(q == 50).cast("double"), "passing_2pt_conversions": one(ln == 7),
+        "rushing_2pt_conversions": one(ln == 6), "receiving_2pt_conversions": one(ln == 5),
+    }
+
+
+def _weekly_columns(rows: DataFrame) -> list[F.Column]:
+    """The weekly table's columns from summed statistics, part (p_name, p_type) and nation."""
+    ays = F.col("receptions") / F.col("attempts")
+    return [F.when(F.col("source").isNotNull(), F.col("p_name")).alias("player_name"),
+            _position("p_type").alias("position"), F.col("n_name").alias("opponent_team"), *_stat_values(),
+            ays.alias("air_yards_share"), (ays * 0.7).alias("wopr"),
+            (F.col("passing_yards") - F.col("attempts") * 10).alias("receiving_air_yards"),
+            (F.col("targets") / 50.0).alias("target_share")]
+
+
+WEEKLY_COLUMNS = ["source", "player_name", "position", "opponent_team", "completions", "attempts", "passing_yards",
+                  "passing_tds", "interceptions", "sack_fumbles_lost", "carries", "rushing_yards", "rushing_tds",
+                  "rushing_fumbles_lost", "receptions", "targets", "receiving_yards", "receiving_tds",
+                  "receiving_fumbles_lost", "special_teams_tds", "passing_2pt_conversions", "rushing_2pt_conversions",
+                  "receiving_2pt_conversions", "air_yards_share", "wopr", "receiving_air_yards", "target_share"]
+
+
+def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], drives: bool = False) -> DataFrame:
+    """:func:`gridmart.plans.marts.player_rows` of the two views in one scan of the lines.
+
+    A line is a play and a part of a weekly stat line, so the stat line is one more role of the
+    event: statistics are summed apart for lines with a feed and without, and a player with a
+    feed line takes the first (the dedupe's ``source NULLS LAST``).
+    """
+    from gridmart.plans import marts as m
+
+    opponent = "opponent_team" in columns
+    e = _lines_opp(spark, sf) if opponent else d.lines_team(spark, sf).withColumns(
+        {"opp": F.lit(None).cast("string"), "opp_key": F.lit(None).cast("bigint")})
+    e = e.withColumn("p_name", F.lit(None).cast("string"))
+    stats, fed = _stat_values(), F.col("l_returnflag") != "R"
+    wanted = {c: v for c, v in stats.items()
+              if c in columns or c in ("receptions", "attempts") and {"air_yards_share", "wopr"} & {*columns}
+              or c in ("passing_yards", "attempts") and "receiving_air_yards" in columns
+              or c == "targets" and "target_share" in columns}
+    sides = {"fed": fed, "bare": ~fed}
+    line = Role(_pid(), {"n_fed": F.when(fed, 1).otherwise(0), "n_bare": F.when(fed, 0).otherwise(1),
+                         **{f"{side}_{c}": F.when(which, v) for c, v in wanted.items() for side, which in sides.items()}},
+                {f"{side}_opp": F.when(which, F.col("opp_key")) for side, which in sides.items()} if opponent else {})
+    roles = {**m.event_roles(drives), "stat_line": line}
+    play = [c for c in _play_columns() if c is not None]
+    events = e.select(*[c for c in e.columns if c not in ("season", "week", "p_name")], *play)
+    long = role_aggregate(events.drop("team").withColumnRenamed("posteam", "team"), m.TEAM_KEY, roles, "player_id")
+    if drives:
+        long = m.with_drive_pace(long)
+    ev = fold_roles(long, m.TEAM_KEY, roles, ["team"], "player_id", {k: f(k) for k, f in m.PACE.items()} if drives else {})
+    chosen = {c: F.when(F.col("n_fed") > 0, F.col(f"fed_{c}")).otherwise(F.col(f"bare_{c}"))
+              for c in (*wanted, *(["opp"] if opponent else []))}
+    # Weekly columns stand in for event measures of the same name where both are asked for.
+    skipped = {*roles["stat_line"].sums, *roles["stat_line"].maxima, *m.TEAM_MEASURES, *m.PACE, *columns, "is_group"}
+    measures = [c for c in ev.columns if c not in skipped]
+    rows = ev.filter(F.col("n_fed") + F.col("n_bare") > 0).select(
+        *measures, F.when(F.col("n_fed") > 0, "feed").alias("source"), *[v.alias(f"w_{c}") for c, v in chosen.items()],
+        F.substring("player_id", 2, 20).try_cast("bigint").alias("__part"))
+    # Null-safe, so that a filter on the position infers nothing below the pinned aggregate.
+    rows = m.with_team_context(rows, ev).join(_parts(spark, sf), F.col("__part").eqNullSafe(F.col("p_partkey")), "left")
+    if opponent:
+        names = table(spark, sf, "nation", "n_nationkey", "n_name")
+        rows = rows.join(F.broadcast(names), F.col("w_opp") == F.col("n_nationkey"), "left")
+    weekly = {"player_name": lambda: F.when(F.col("source").isNotNull(), F.col("p_name")),
+              "position": lambda: _position("p_type"), "opponent_team": lambda: F.col("n_name"),
+              "source": lambda: F.col("source"),
+              "air_yards_share": lambda: F.col("w_receptions") / F.col("w_attempts"),
+              "wopr": lambda: F.col("w_receptions") / F.col("w_attempts") * 0.7,
+              "receiving_air_yards": lambda: F.col("w_passing_yards") - F.col("w_attempts") * 10,
+              "target_share": lambda: F.col("w_targets") / 50.0}
+    kept = [c for c in rows.columns if c in measures or c in m.TEAM_MEASURES or c in m.PACE]
+    return rows.select(*kept, *[weekly[c]().alias(c) if c in weekly else F.col(f"w_{c}").alias(c) for c in columns])
+
+
+def _pid() -> F.Column:
+    return F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
 
 
 SQL_WEEKLY = """
@@ -163,11 +237,9 @@ rosters_seasonal AS (
 def snap_counts_view(spark: SparkSession, sf: str) -> DataFrame:
     """Snap counts per (season, week, team, player): ten snaps per line, and the share of
     the team-week's lines as ``offense_pct``."""
-    e = _enriched(spark, sf)
-    pid = F.concat(F.lit("P"), F.col("l_partkey").cast("string")).alias("player_id")
-    per = e.groupBy("season", "week", "team", pid).agg(F.count(F.lit(1)).alias("n"))
-    tot = e.groupBy("season", "week", "team").agg(F.count(F.lit(1)).alias("tn"))
-    j = per.join(tot, ["season", "week", "team"])
+    e = d.lines_team(spark, sf)
+    per = e.groupBy("season", "week", "team", _pid().alias("player_id")).agg(F.count(F.lit(1)).alias("n"))
+    j = with_rollup(per, ["season", "week", "team"], {"tn": F.sum("n")})
     return j.select("season", "week", "team", "player_id",
                     (F.col("n") * 10).cast("double").alias("offense_snaps"),
                     (F.col("n") / F.col("tn")).alias("offense_pct"))
@@ -185,13 +257,16 @@ snap_counts AS (
 
 
 def plays_view(spark: SparkSession, sf: str) -> DataFrame:
-    """Play-by-play rows with the pbp columns the utilization marts read."""
-    e = _enriched(spark, sf)
+    """Play-by-play rows with the pbp columns the marts read."""
+    return _enriched(spark, sf).select(*_play_columns())
+
+
+def _play_columns() -> list[F.Column]:
     is_pass = F.col("l_linestatus") == "O"
     pid = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     personnel = (F.when(F.col("l_partkey") % 4 == 0, "11").when(F.col("l_partkey") % 4 == 1, "12")
                  .when(F.col("l_partkey") % 4 == 2, "21").otherwise("22"))
-    return e.select(
+    return [
         F.concat(F.lit("G"), F.col("l_orderkey").cast("string")).alias("game_id"),
         F.col("l_linenumber").cast("bigint").alias("play_id"),
         F.col("season").alias("year"), "season", "week", F.lit("REG").alias("season_type"),
@@ -249,7 +324,7 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
         F.when(is_pass, 1.0).otherwise(0.0).alias("qb_dropback"),
         F.when(F.col("l_quantity").isin(48, 49), 1.0).otherwise(0.0).alias("field_goal_attempt"),
         F.when(F.col("l_quantity") == 49, "good").when(F.col("l_quantity") == 48, "missed").alias("field_goal_result"),
-    )
+    ]
 
 
 SQL_PLAYS = """

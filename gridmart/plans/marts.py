@@ -16,7 +16,9 @@ from gridmart.functions import football as fb
 from gridmart.functions import scoring
 from gridmart.functions.columns import csum, mmss_to_seconds, round_half_up, share
 from gridmart.operators.dedupe import dedupe_first
-from gridmart.operators.grid import expand, grid_fill
+from gridmart.operators.once import left_join_pinned, pinned
+from gridmart.operators.roles import Role, fold_roles, role_aggregate
+from gridmart.operators.shares import null_safe_join
 from gridmart.operators.unpivot import sides_to_long
 
 SKILL_POSITIONS = ("QB", "RB", "WR", "TE")
@@ -40,32 +42,42 @@ def defense_games(schedules: DataFrame) -> DataFrame:
     return long.drop("side").filter(F.col("defense_team").isNotNull())
 
 
-def points_allowed_from_games(facts: DataFrame, games: DataFrame,
-                              positions: Sequence[str] = SKILL_POSITIONS) -> DataFrame:
-    """D1 core. ``facts``: season, week, season_type, defense_team, position, points.
-    ``games``: season, week, season_type, defense_team (one row per game and defense).
-
-    Grid = games x positions that occur in ``facts``; missing points are 0.0. Adds the
-    season totals per defense and position and the league mean / population std per
-    position.
-    """
-    keys = ["season", "week", "season_type", "defense_team", "position"]
-    per_week = facts.groupBy(*keys).agg(F.sum("points").cast("double").alias("points_allowed_ppr"))
-    spine = expand(games, "position", positions, present=facts.select("position"))
-    base = grid_fill(spine, per_week, keys, {"points_allowed_ppr": 0.0})
-
-    season_defense = base.groupBy("season", "season_type", "defense_team", "position").agg(
-        F.count(F.lit(1)).alias("games_played"),
-        F.sum("points_allowed_ppr").alias("total_points_allowed"),
-        F.avg("points_allowed_ppr").alias("avg_points_allowed"))
-    league = base.groupBy("season", "season_type", "position").agg(
-        F.avg("points_allowed_ppr").alias("league_avg_points_allowed"),
-        F.stddev_pop("points_allowed_ppr").alias("league_std_points_allowed"))
-    out = (base.join(season_defense, ["season", "season_type", "defense_team", "position"], "left")
-           .join(league, ["season", "season_type", "position"], "left"))
+GAME_KEY = ["season", "week", "season_type", "defense_team"]
+
+
+def points_by_game(rows: DataFrame, total, positions: Sequence[str] = SKILL_POSITIONS) -> DataFrame:
+    """One row per game and defense (those with an ``is_game`` row) with a column of points per
+    position (NULL: no such row). ``rows``: GAME_KEY, position, is_game and what
+    ``total(condition)`` sums. One aggregate, no join of games and facts."""
+    wide = rows.groupBy(*GAME_KEY).agg(F.max("is_game").alias("is_game"),
+                                       *[total(F.col("position") == p).alias(p) for p in positions])
+    return pinned(wide).filter("is_game").drop("is_game")
+
+
+def points_allowed_from_games(wide: DataFrame) -> DataFrame:
+    """D1 core over :func:`points_by_game`: the grid of games x positions that occur, missing
+    points 0.0, with the season totals per defense and position and the league mean and
+    population std per position. Totals and means are of points at four decimals, summed
+    exactly. The games are computed once for all readers of the grid."""
+    positions = [c for c in wide.columns if c not in GAME_KEY]
+    cells = F.array(*[F.struct(F.lit(p).alias("position"), F.col(f"`{p}`").cast("double").alias("points"))
+                      for p in positions])
+    every = wide.select(*GAME_KEY, F.explode(cells).alias("c")).select(*GAME_KEY, "c.*")
+    seen = every.groupBy("position").agg(F.count("points").alias("n")).filter("n > 0").select("position")
+    grid = (every.withColumn("points_allowed_ppr", F.coalesce("points", F.lit(0.0))).drop("points")
+            .join(seen, "position", "left_semi"))
+    points = F.col("points_allowed_ppr")
+    total = F.sum(round_half_up(points, 4).cast("decimal(24,4)")).cast("double")
+    n = F.count(F.lit(1))
+    by_defense = grid.groupBy("season", "season_type", "defense_team", "position").agg(
+        n.alias("games_played"), total.alias("total_points_allowed"), (total / n).alias("avg_points_allowed"))
+    league = grid.groupBy("season", "season_type", "position").agg(
+        (total / n).alias("league_avg_points_allowed"), F.stddev_pop(points).alias("league_std_points_allowed"))
+    out = null_safe_join(grid, by_defense, ["season", "season_type", "defense_team", "position"])
+    out = null_safe_join(out, league, ["season", "season_type", "position"])
     return out.select(
-        *keys, "points_allowed_ppr", "games_played", "total_points_allowed",
-        "avg_points_allowed", "league_avg_points_allowed",
+        *GAME_KEY, "position", "points_allowed_ppr", "games_played", "total_points_allowed", "avg_points_allowed",
+        "league_avg_points_allowed",
         (F.col("avg_points_allowed") - F.col("league_avg_points_allowed")).alias("avg_vs_league"),
         "league_std_points_allowed")
 
@@ -79,9 +91,12 @@ def points_allowed(weekly: DataFrame, schedules: DataFrame, season: int | None =
     facts = w.select("season", "week", "season_type",
                      F.upper("opponent_team").alias("defense_team"),
                      F.upper("position").alias("position"),
-                     F.coalesce(F.col("fantasy_points_ppr").cast("double"), F.lit(0.0)).alias("points"))
+                     F.coalesce(F.col("fantasy_points_ppr").cast("double"), F.lit(0.0)).alias("points"),
+                     F.lit(False).alias("is_game"))
     s = _eq_filters(schedules, season=season, game_type=season_type)
-    return points_allowed_from_games(facts, defense_games(s), positions)
+    rows = facts.unionByName(defense_games(s).withColumn("is_game", F.lit(True)), allowMissingColumns=True)
+    return points_allowed_from_games(
+        points_by_game(rows, lambda which: F.sum(F.when(which, F.col("points"))), positions))
 
 
 # --- weekly dedupe, events at player grain, team roll-up -----------------------------------
@@ -96,108 +111,194 @@ def dedupe_weekly(weekly: DataFrame, tiebreak: Sequence[str] = ()) -> DataFrame:
     return dedupe_first(weekly, WEEK_KEY, "source", tiebreak)
 
 
-def _pbp_keyed(pbp: DataFrame, player_col: str) -> DataFrame:
-    return pbp.withColumnsRenamed({"posteam": "team"}).withColumn("player_id", F.col(player_col))
-
-
-def receiving_events(pbp: DataFrame) -> DataFrame:
-    """X1-X7 at player grain (receiver), plus the formation/personnel target components
-    that roll up to team denominators. One scan, one partial aggregate."""
-    p = _pbp_keyed(pbp, "receiver_player_id")
-    t = fb.is_target()
-    return p.groupBy(*WEEK_KEY).agg(
-        csum(t).alias("targets"),
-        csum(fb.is_end_zone_target()).alias("end_zone_targets"),
-        csum(fb.in_red_zone(20) & t).alias("rz20_targets"),
-        csum(fb.in_red_zone(10) & t).alias("rz10_targets"),
-        csum(fb.in_red_zone(5) & t).alias("rz5_targets"),
-        csum(fb.late_down() & t).alias("third_fourth_down_targets"),
-        csum(fb.long_late_down() & t).alias("ldd_targets"),
-        csum(fb.short_yardage() & t).alias("sdd_targets"),
-        csum(fb.within_half_seconds(120) & t).alias("two_minute_targets"),
-        csum(fb.within_half_seconds(240) & t).alias("four_minute_targets"),
-        csum(fb.flag("shotgun") & t).alias("shotgun_targets"),
-        csum(fb.flag("no_huddle") & t).alias("no_huddle_targets"),
-        csum(fb.personnel("11") & t).alias("p11_targets"),
-        csum(fb.personnel("12") & t).alias("p12_targets"),
-        csum(fb.personnel("21") & t).alias("p21_targets"),
-        F.sum(F.when(fb.is_air_target(), F.col("air_yards")).otherwise(0)).alias("sum_air_yards"),
-        csum(fb.is_air_target()).alias("cnt_air_targets"),
-    )
-
-
-def team_targets(rec: DataFrame) -> DataFrame:
-    """Team denominators rolled up from the player grain (no second scan of pbp)."""
-    return rec.groupBy(*TEAM_KEY).agg(
-        F.sum("targets").alias("team_targets"),
-        F.sum("shotgun_targets").alias("team_targets_shotgun"),
-        F.sum("no_huddle_targets").alias("team_targets_no_huddle"),
-        F.sum("p11_targets").alias("team_targets_p11"),
-        F.sum("p12_targets").alias("team_targets_p12"),
-        F.sum("p21_targets").alias("team_targets_p21"))
+def _one(cond: F.Column) -> F.Column:
+    return F.when(cond, 1).otherwise(0)
+
+
+def _receiver_sums() -> dict[str, F.Column]:
+    """X1-X7, the air-yard sums behind aDOT and expected points from targets (0.6 deep, from
+    15 air yards, else 0.4)."""
+    t, is_pass = fb.is_target(), fb.flag("pass")
+    counts = {
+        "targets": t, "end_zone_targets": fb.is_end_zone_target(),
+        **{f"rz{y}_targets": fb.in_red_zone(y) & t for y in (20, 10, 5)},
+        "third_fourth_down_targets": fb.late_down() & t, "ldd_targets": fb.long_late_down() & t,
+        "sdd_targets": fb.short_yardage() & t, "two_minute_targets": fb.within_half_seconds(120) & t,
+        "four_minute_targets": fb.within_half_seconds(240) & t, "shotgun_targets": fb.flag("shotgun") & t,
+        "no_huddle_targets": fb.flag("no_huddle") & t,
+        **{f"p{c}_targets": fb.personnel(c) & t for c in ("11", "12", "21")},
+        "cnt_air_targets": fb.is_air_target()}
+    return {**{k: _one(v) for k, v in counts.items()},
+            "sum_air_yards": F.when(fb.is_air_target(), F.col("air_yards")).otherwise(0),
+            "xfp_rec": F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)}
+
+
+def _rusher_sums() -> dict[str, F.Column]:
+    """Carries by field zone and down, and expected points by zone (0.8 / 0.5 / 0.3 / 0.15)."""
+    yl = F.col("yardline_100")
+    return {"carries": F.lit(1), **{f"rz{y}_carries": _one(fb.in_red_zone(y)) for y in (20, 10, 5)},
+            "third_fourth_down_carries": _one(fb.late_down()),
+            "xfp_rush": F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)}
+
+
+def _team_sums() -> dict[str, F.Column]:
+    """Denominators of the shares and the parts of PROE (dropbacks outside the last two minutes
+    of a half, X9)."""
+    t, rush = fb.is_target(), fb.flag("rush_attempt")
+    base = fb.flag("qb_dropback") & F.coalesce(F.col("half_seconds_remaining") > 120, F.lit(False))
+    counts = {
+        "team_targets": t, "team_targets_shotgun": t & fb.flag("shotgun"),
+        "team_targets_no_huddle": t & fb.flag("no_huddle"),
+        **{f"team_targets_p{c}": t & fb.personnel(c) for c in ("11", "12", "21")},
+        **{f"team_targets_rz{y}": t & fb.in_red_zone(y) for y in (20, 10, 5)},
+        "team_end_zone_targets": fb.is_end_zone_target(), "team_pass_attempts": fb.is_pass_attempt_context(),
+        "team_dropbacks": fb.flag("qb_dropback"), "team_carries": rush,
+        **{f"team_rz{y}_carries": rush & fb.in_red_zone(y) for y in (20, 10, 5)}, "style_plays": base}
+    return {**{k: _one(v) for k, v in counts.items()}, "style_pass": F.when(base, F.col("pass").cast("int")),
+            "style_n_pass": _one(base & F.col("pass").isNotNull()), "style_xpass": F.when(base, F.col("xpass")),
+            "style_n_xpass": _one(base & F.col("xpass").isNotNull())}
+
+
+def event_roles(drives: bool = False) -> dict[str, Role]:
+    """The parties of a play: its receiver, its rusher (``rush`` plays) and its team, which
+    counts by drive where drive facts are wanted."""
+    team = Role(F.concat_ws("/", "game_id", F.col("drive").cast("string")) if drives else F.lit(""), _team_sums(),
+                {"drive_plays": F.col("drive_play_count"), "drive_seconds": mmss_to_seconds("drive_time_of_possession"),
+                 "drive_known": F.col("game_id").isNotNull() & F.col("drive").isNotNull()} if drives else {})
+    return {"team": team,
+            "receiver": Role(F.col("receiver_player_id"), _receiver_sums(), where=F.col("receiver_player_id").isNotNull()),
+            "rusher": Role(F.col("rusher_player_id"), _rusher_sums(),
+                           where=fb.flag("rush") & F.col("rusher_player_id").isNotNull())}
+
+
+def with_drive_pace(long: DataFrame) -> DataFrame:
+    """Seconds per play of each drive (X11) at microsecond precision, once for every counted
+    play: ``pace_sum`` / ``pace_n`` is the play-weighted average (Q4), summed exactly."""
+    spp = F.when((F.col("drive_plays") > 0) & F.col("drive_seconds").isNotNull() & F.col("drive_known")
+                 & (F.col("style_plays") > 0),
+                 round_half_up(F.col("drive_seconds") / F.col("drive_plays"), 6).cast("decimal(18,6)"))
+    return long.withColumns({"pace_sum": spp * F.col("style_plays").cast("decimal(18,0)"),
+                             "pace_n": F.when(spp.isNotNull(), F.col("style_plays"))})
+
+
+PACE = {"pace_sum": F.sum, "pace_n": F.sum}
+
+
+#: Play columns behind the measures; a season's file that lacks one counts as NULL there.
+PLAY_COLUMNS = {
+    "game_id": "string", "receiver_player_id": "string", "rusher_player_id": "string", "offense_personnel": "string",
+    "drive_time_of_possession": "string",
+    **dict.fromkeys(["drive", "drive_play_count", "pass", "rush", "pass_attempt", "rush_attempt", "sack", "qb_dropback",
+                     "shotgun", "no_huddle", "air_yards", "yardline_100", "down", "ydstogo", "half_seconds_remaining",
+                     "xpass"], "double")}
+
+
+def event_rows(pbp: DataFrame, drives: bool = False) -> DataFrame:
+    """One scan of the plays: a row per player-week with all receiving and rushing measures
+    and a row per team-week (``is_group``) with the denominators."""
+    roles = event_roles(drives)
+    pbp = pbp.withColumns({c: F.lit(None).cast(t) for c, t in PLAY_COLUMNS.items() if c not in pbp.columns})
+    long = role_aggregate(pbp.withColumnRenamed("posteam", "team"), TEAM_KEY, roles, "player_id")
+    if drives:
+        long = with_drive_pace(long)
+    return fold_roles(long, TEAM_KEY, roles, ["team"], "player_id", {k: f(k) for k, f in PACE.items()} if drives else {})
+
+
+TEAM_MEASURES = [
+    "team_targets", "team_targets_shotgun", "team_targets_no_huddle", "team_targets_p11", "team_targets_p12",
+    "team_targets_p21", "team_targets_rz20", "team_targets_rz10", "team_targets_rz5", "team_end_zone_targets",
+    "team_pass_attempts", "team_dropbacks", "team_carries", "team_rz20_carries", "team_rz10_carries",
+    "team_rz5_carries", "style_plays", "style_pass", "style_n_pass", "style_xpass", "style_n_xpass"]
+
+
+def with_team_context(players: DataFrame, events: DataFrame) -> DataFrame:
+    """``players`` with their team-week's denominators, from the team rows of ``events``."""
+    team = [c for c in (*TEAM_MEASURES, *PACE) if c in events.columns]
+    return left_join_pinned(players.drop(*team), events.filter("is_group").select(*TEAM_KEY, *team), TEAM_KEY)
+
+
+def player_rows(weekly: DataFrame, pbp: DataFrame, columns: Sequence[str], season: int | None = None,
+                season_type: str | None = None, drives: bool = False) -> DataFrame:
+    """Deduped weekly rows with ``columns``, their events and their team-week's denominators.
+    Each table is scanned once. Columns that nobody needs are dropped before the dedupe (rows
+    equal in the rest cannot differ)."""
+    w = _eq_filters(weekly, season=season, season_type=season_type)
+    w = dedupe_weekly(w.select(*WEEK_KEY, "source", *[c for c in columns if c != "source"]))
+    if "source" not in columns:
+        w = w.drop("source")
+    ev = event_rows(_eq_filters(pbp, year=season, season_type=season_type), drives)
+    # A weekly column stands in for an event measure of the same name where it is asked for.
+    mine = ev.filter(~F.col("is_group")).drop("is_group", *TEAM_MEASURES, *PACE, *columns)
+    return with_team_context(left_join_pinned(w, mine, WEEK_KEY), ev)
+
+
+def team_proe() -> F.Column:
+    """Pass rate minus expected pass rate over the counted dropbacks."""
+    return share("style_pass", "style_n_pass") - share("style_xpass", "style_n_xpass")
+
+
+def pace_proxy() -> F.Column:
+    """``30 / dropbacks * 60``, NULL without dropbacks."""
+    return F.when(F.col("style_plays") > 0, F.lit(30.0) / F.col("style_plays") * 60.0)
+
+
+def adot() -> F.Column:
+    """Air yards per target that has them."""
+    return F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets"))
+
+
+def _z(c: str) -> F.Column:
+    return F.coalesce(F.col(c), F.lit(0))
+
+
+def _counts(*names: str) -> list[F.Column]:
+    return [_z(c).alias(c) for c in names]
+
+
+def _share_of(n: str, d_: str) -> F.Column:
+    """NULL without a positive denominator."""
+    return F.when(F.col(d_) > 0, share(_z(n), d_))
+
+
+def _share0_of(n: str, d_: str) -> F.Column:
+    """P14 with ``ELSE 0.0``."""
+    return F.coalesce(_share_of(n, d_), F.lit(0.0))
+
+
+def _formation_shares(share_of) -> list[F.Column]:
+    return [share_of(f"{f}_targets", f"team_targets_{f}").alias(f"{f}_target_share")
+            for f in ("shotgun", "no_huddle", "p11", "p12", "p21")]
+
+
+def receiving_shares(rows: DataFrame) -> DataFrame:
+    """D4 over :func:`player_rows`."""
+    return rows.select(
+        *WEEK_KEY, "player_name", "position", *_counts("targets"),
+        _share_of("targets", "team_targets").alias("target_share"),
+        *_counts("end_zone_targets", "rz20_targets", "rz10_targets", "rz5_targets", "third_fourth_down_targets",
+                 "ldd_targets", "sdd_targets", "two_minute_targets", "four_minute_targets"),
+        *_formation_shares(_share0_of), adot().alias("adot"))
 
 
 def receiving_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                           season_type: str | None = None) -> DataFrame:
     """Receiving splits and shares for every player in the deduped weekly table."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    p = _eq_filters(pbp, year=season, season_type=season_type)
-    rec = receiving_events(p)
-    team = team_targets(rec)
-    j = (w.select(*WEEK_KEY, "player_name", "position")
-         .join(rec, WEEK_KEY, "left").join(team, TEAM_KEY, "left"))
+    return receiving_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type))
 
-    def z(c: str) -> F.Column:
-        return F.coalesce(F.col(c), F.lit(0))
 
-    def gshare0(n: str, d_: str) -> F.Column:
-        return F.when(F.col(d_) > 0, share(z(n), d_)).otherwise(F.lit(0.0))
-
-    counts = ["end_zone_targets", "rz20_targets", "rz10_targets", "rz5_targets", "third_fourth_down_targets",
-              "ldd_targets", "sdd_targets", "two_minute_targets", "four_minute_targets"]
-    return j.select(
-        *WEEK_KEY, "player_name", "position", z("targets").alias("targets"),
-        F.when(F.col("team_targets") > 0, share(z("targets"), "team_targets")).alias("target_share"),
-        *[z(c).alias(c) for c in counts],
-        gshare0("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
-        gshare0("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
-        gshare0("p11_targets", "team_targets_p11").alias("p11_target_share"),
-        gshare0("p12_targets", "team_targets_p12").alias("p12_target_share"),
-        gshare0("p21_targets", "team_targets_p21").alias("p21_target_share"),
-        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"))
-
-
-def rushing_events(pbp: DataFrame) -> DataFrame:
-    """Carries by zone at rusher grain, plus rush-attempt components for team totals."""
-    p = _pbp_keyed(pbp, "rusher_player_id")
-    r, ra = fb.flag("rush"), fb.flag("rush_attempt")
-    return p.groupBy(*WEEK_KEY).agg(
-        csum(r).alias("carries"),
-        *[csum(r & fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)],
-        csum(ra).alias("att"),
-        *[csum(ra & fb.in_red_zone(y)).alias(f"att_rz{y}") for y in (20, 10, 5)])
+def rushing_shares(rows: DataFrame) -> DataFrame:
+    """D5 over :func:`player_rows`."""
+    return rows.select(
+        *WEEK_KEY, "player_name", "position", *_counts("carries"),
+        _share_of("carries", "team_carries").alias("carry_share"),
+        *_counts("rz20_carries", "rz10_carries", "rz5_carries"),
+        *[_share0_of(f"rz{y}_carries", f"team_rz{y}_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)])
 
 
 def rushing_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                         season_type: str | None = None) -> DataFrame:
     """Carries and red-zone carry shares against team rush-attempt totals."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    ev = rushing_events(_eq_filters(pbp, year=season, season_type=season_type))
-    team = ev.groupBy(*TEAM_KEY).agg(
-        F.sum("att").alias("team_carries"),
-        *[F.sum(f"att_rz{y}").alias(f"team_rz{y}_carries") for y in (20, 10, 5)])
-    j = (w.select(*WEEK_KEY, "player_name", "position")
-         .join(ev.filter(F.col("carries") > 0), WEEK_KEY, "left").join(team, TEAM_KEY, "left"))
-
-    def z(c: str) -> F.Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    return j.select(
-        *WEEK_KEY, "player_name", "position", z("carries").alias("carries"),
-        F.when(F.col("team_carries") > 0, share(z("carries"), "team_carries")).alias("carry_share"),
-        *[z(f"rz{y}_carries").alias(f"rz{y}_carries") for y in (20, 10, 5)],
-        *[F.when(F.col(f"team_rz{y}_carries") > 0, share(z(f"rz{y}_carries"), f"team_rz{y}_carries"))
-          .otherwise(F.lit(0.0)).alias(f"rz{y}_carry_share") for y in (20, 10, 5)])
+    return rushing_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type))
 
 
 # --- D2 player-week stats -----------------------------------------------------------------------
@@ -208,51 +309,29 @@ STAT_COLS = ["passing_yards", "passing_tds", "interceptions", "rushing_yards", "
              "passing_2pt_conversions", "rushing_2pt_conversions", "receiving_2pt_conversions"]
 
 
-def _receiver_side(p: DataFrame) -> DataFrame:
-    """Per receiver-week (``posteam`` already named ``team``): expected points from
-    targets (0.6 deep / 0.4) and the air-yard sums behind aDOT, in one aggregate."""
-    is_pass, air = fb.flag("pass"), fb.is_air_target()
-    return p.groupBy(*TEAM_KEY, F.col("receiver_player_id").alias("player_id")).agg(
-        F.sum(F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)).alias("xfp_rec"),
-        F.sum(F.when(air, F.col("air_yards")).otherwise(0)).alias("__air"), csum(air).alias("__n"))
-
-
-def _rusher_side(p: DataFrame) -> DataFrame:
-    """Per rusher-week: expected points by field zone (0.8 / 0.5 / 0.3 / 0.15)."""
-    yl = F.col("yardline_100")
-    return p.filter(fb.flag("rush")).groupBy(*TEAM_KEY, F.col("rusher_player_id").alias("player_id")).agg(
-        F.sum(F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)).alias("xfp_rush"))
-
-
-def _xfp(recv: DataFrame, rush: DataFrame) -> DataFrame:
-    both = rush.join(recv.select(*WEEK_KEY, "xfp_rec"), WEEK_KEY, "full")
-    return both.select(*WEEK_KEY, (F.coalesce("xfp_rush", F.lit(0.0)) + F.coalesce("xfp_rec", F.lit(0.0))).alias("xfp_lite"))
+def expected_points(rows: DataFrame) -> DataFrame:
+    """``xfp_lite`` of the player rows, targets and carries together; NULL for a
+    player without either."""
+    both = F.coalesce("xfp_rush", F.lit(0.0)) + F.coalesce("xfp_rec", F.lit(0.0))
+    return rows.withColumn("xfp_lite", F.when(F.coalesce("xfp_rush", "xfp_rec").isNotNull(), both))
 
 
-def expected_points(pbp: DataFrame) -> DataFrame:
-    """Targets weighted 0.6 (deep, air >= 15) / 0.4, carries by field zone
-    0.8 / 0.5 / 0.3 / 0.15; receiver and rusher sides FULL-joined on the player key."""
-    p = pbp.withColumnRenamed("posteam", "team")
-    return _xfp(_receiver_side(p), _rusher_side(p))
+def scored_weeks(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+    """D2 over :func:`player_rows` with all weekly ``columns``."""
+    w = expected_points(rows).withColumn("adot", adot())
+    base = w.withColumns({c: _z(c) for c in STAT_COLS if c in w.columns})
+    scored = base.withColumns({"ppr_points": scoring.ppr(), "dk_ppr_points": scoring.dk_ppr()})
+    return scored.select(
+        *WEEK_KEY, *columns, "ppr_points", "dk_ppr_points", F.lit(None).cast("bigint").alias("routes_run"),
+        F.lit(None).cast("double").alias("yprr"), F.lit(None).cast("double").alias("tprr"), "adot", "xfp_lite")
 
 
 def player_week_stats(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                       season_type: str | None = None) -> DataFrame:
-    """Deduped weekly stats, PPR and DK points, aDOT from play data, expected points,
-    typed NULL placeholders for route metrics. The receiver-side aggregate feeds both
-    aDOT and expected points (one pass over the plays per role)."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    p = _eq_filters(pbp, year=season, season_type=season_type).withColumnRenamed("posteam", "team")
-    base = w.withColumns({c: F.coalesce(F.col(c), F.lit(0)) for c in STAT_COLS if c in w.columns})
-    scored = base.withColumns({"ppr_points": scoring.ppr(), "dk_ppr_points": scoring.dk_ppr()})
-    recv = _receiver_side(p)
-    out = (scored.join(recv.select(*WEEK_KEY, "__air", "__n"), WEEK_KEY, "left")
-           .join(_xfp(recv, _rusher_side(p)), WEEK_KEY, "left"))
-    return out.withColumns({
-        "routes_run": F.lit(None).cast("bigint"), "yprr": F.lit(None).cast("double"),
-        "tprr": F.lit(None).cast("double"),
-        "adot": F.when(F.col("__n") > 0, share("__air", "__n")),
-    }).drop("__air", "__n")
+    """Deduped weekly stats, PPR and DK points, aDOT and expected points from one pass over
+    the plays, typed NULL placeholders for route metrics."""
+    columns = [c for c in weekly.columns if c not in WEEK_KEY]
+    return scored_weeks(player_rows(weekly, pbp, columns, season, season_type), columns)
 
 
 def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
@@ -268,31 +347,44 @@ def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
 
 # --- D6 / D7 wide utilization ---------------------------------------------------------------------
 
-DRIVE_KEY = [*TEAM_KEY, "game_id", "drive"]
-
-
-def team_style(pbp: DataFrame) -> DataFrame:
-    """Team PROE and play-weighted seconds per play on drives with dropbacks outside the
-    last two minutes of a half (X9, X11, J15, Q4).
-
-    Each dropback play takes its drive's facts through a key-unique join (one facts row
-    per drive), so the average is over plays, as in the reference's spine x facts x plays
-    join, without building the distinct-drive spine.
-    """
-    p = pbp.withColumnRenamed("posteam", "team")
-    base = p.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120)).select(
-        *DRIVE_KEY, F.col("pass").cast("int").alias("is_pass"), "xpass")
-    facts = p.groupBy(*DRIVE_KEY).agg(
-        F.max("drive_play_count").alias("dpc"), F.max(mmss_to_seconds("drive_time_of_possession")).alias("dts"))
-    # One row of facts per drive: a key-unique join, so each dropback play meets one row.
-    j = base.join(facts, DRIVE_KEY, "left")
-    # Seconds per play per drive at microsecond precision, summed exactly as DECIMAL and
-    # divided once: the average does not depend on summation order.
-    spp = F.when((F.col("dpc") > 0) & F.col("dts").isNotNull(),
-                 round_half_up(F.col("dts") / F.col("dpc"), 6).cast("decimal(18,6)"))
-    return j.groupBy(*TEAM_KEY).agg(
-        (F.avg("is_pass") - F.avg("xpass")).alias("team_proe_neutral"),
-        (F.sum(spp).cast("double") / F.count(spp)).alias("team_sec_per_play_neutral"))
+WIDE_COLUMNS = ["player_name", "position", "receiving_yards", "air_yards_share", "wopr"]
+
+
+def _with_routes(rows: DataFrame, routes: DataFrame | None) -> DataFrame:
+    """``routes_run`` by season, week, team and player; typed NULL without a source."""
+    if routes is None:
+        return rows.withColumn("routes_run", F.lit(None).cast("bigint"))
+    return rows.join(routes.select("season", "week", "team", "player_id", "routes_run"),
+                     ["season", "week", "team", "player_id"], "left")
+
+
+def route_rates(attempts: str) -> list[F.Column]:
+    """Participation against the team's ``attempts``, yards and targets per route run."""
+    run = F.col("routes_run")
+    return [F.when((F.col(attempts) > 0) & run.isNotNull(), share(run, attempts)).alias("route_participation"),
+            F.when(run > 0, share(_z("receiving_yards"), run)).alias("yprr"),
+            F.when(run > 0, share(_z("targets"), run)).alias("tprr")]
+
+
+def wide_shares(rows: DataFrame, position: str = "WR", variant: str = "wr",
+                routes: DataFrame | None = None) -> DataFrame:
+    """D7 / D6 over :func:`player_rows` with ``drives``."""
+    j = _with_routes(rows.filter(F.col("position") == position), routes)
+    situational = (["ldd", "sdd", "third_fourth_down", "two_minute", "four_minute"] if variant == "wr"
+                   else ["third_fourth_down", "two_minute"])
+    # No play-action source: typed NULL instead of a constant 0.
+    play_action = [F.lit(None).cast("double").alias("play_action_target_share")] if variant == "wr" else []
+    return j.select(
+        *WEEK_KEY, "player_name", "position", *_counts("targets"),
+        _share_of("targets", "team_targets").alias("target_share"), "routes_run", *route_rates("team_pass_attempts"),
+        "air_yards_share", "wopr", *_counts("end_zone_targets"),
+        _share0_of("end_zone_targets", "team_end_zone_targets").alias("end_zone_target_share"),
+        *_counts("rz20_targets", "rz10_targets", "rz5_targets"),
+        *[_share0_of(f"rz{y}_targets", f"team_targets_rz{y}").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
+        *[_share_of(f"{c}_targets", "team_pass_attempts").alias(f"{c}_target_share") for c in situational],
+        *play_action, *_formation_shares(_share0_of), adot().alias("adot"),
+        team_proe().alias("team_proe_neutral"),
+        (F.col("pace_sum").cast("double") / F.col("pace_n")).alias("team_sec_per_play_neutral"))
 
 
 def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", variant: str = "wr",
@@ -301,108 +393,31 @@ def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", va
     """D7 (``variant='wr'``) / D6 (``'te'``, without long/short/four-minute/play-action
     shares): receiving volume, route-based rates (NULL until a routes source is given,
     X15), situational shares against team pass attempts, formation and personnel shares,
-    aDOT and team context."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    w = w.filter(F.col("position") == position).select(
-        *WEEK_KEY, "player_name", "position", "receiving_yards", "air_yards_share", "wopr")
-    p = _eq_filters(pbp, year=season, season_type=season_type)
-    rec = receiving_events(p)
-    t = fb.is_target()
-    rteam = p.withColumnRenamed("posteam", "team").groupBy(*TEAM_KEY).agg(
-        csum(t).alias("team_targets"),
-        csum(t & fb.flag("shotgun")).alias("team_targets_shotgun"),
-        csum(t & fb.flag("no_huddle")).alias("team_targets_no_huddle"),
-        *[csum(t & fb.personnel(c)).alias(f"team_targets_p{c}") for c in ("11", "12", "21")],
-        *[csum(t & fb.in_red_zone(y)).alias(f"team_targets_rz{y}") for y in (20, 10, 5)],
-        csum(fb.is_end_zone_target()).alias("team_end_zone_targets"),
-        csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"))
-    if routes is None:
-        routes = w.select("season", "week", "team", "player_id", F.lit(None).cast("bigint").alias("routes_run"))
-    j = (w.join(routes, ["season", "week", "team", "player_id"], "left")
-         .join(rec, WEEK_KEY, "left").join(rteam, TEAM_KEY, "left").join(team_style(p), TEAM_KEY, "left"))
-
-    def z(c: str) -> F.Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    def pos_share(n: str, d_: str) -> F.Column:
-        return F.when(F.col(d_) > 0, share(z(n), d_))
-
-    def share_or0(n: str, d_: str) -> F.Column:
-        return F.when(F.col(d_) > 0, share(z(n), d_)).otherwise(F.lit(0.0))
-
-    cols = [
-        *WEEK_KEY, "player_name", "position", z("targets").alias("targets"),
-        pos_share("targets", "team_targets").alias("target_share"),
-        "routes_run",
-        F.when((F.col("team_pass_attempts") > 0) & F.col("routes_run").isNotNull(),
-               share("routes_run", "team_pass_attempts")).alias("route_participation"),
-        F.when(F.col("routes_run") > 0, share(z("receiving_yards"), "routes_run")).alias("yprr"),
-        F.when(F.col("routes_run") > 0, share(z("targets"), "routes_run")).alias("tprr"),
-        "air_yards_share", "wopr",
-        z("end_zone_targets").alias("end_zone_targets"),
-        share_or0("end_zone_targets", "team_end_zone_targets").alias("end_zone_target_share"),
-        *[z(f"rz{y}_targets").alias(f"rz{y}_targets") for y in (20, 10, 5)],
-        *[share_or0(f"rz{y}_targets", f"team_targets_rz{y}").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
-    ]
-    situational = ["third_fourth_down", "two_minute"]
-    if variant == "wr":
-        situational = ["ldd", "sdd", "third_fourth_down", "two_minute", "four_minute"]
-    cols += [pos_share(f"{s}_targets", "team_pass_attempts").alias(f"{s}_target_share") for s in situational]
-    if variant == "wr":
-        # No play-action source: typed NULL instead of a constant 0.
-        cols.append(F.lit(None).cast("double").alias("play_action_target_share"))
-    cols += [
-        share_or0("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
-        share_or0("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
-        *[share_or0(f"p{c}_targets", f"team_targets_p{c}").alias(f"p{c}_target_share") for c in ("11", "12", "21")],
-        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"),
-        "team_proe_neutral", "team_sec_per_play_neutral",
-    ]
-    return j.select(*cols)
+    aDOT, team PROE and play-weighted seconds per play (X9, X11, Q4)."""
+    rows = player_rows(weekly, pbp, WIDE_COLUMNS, season, season_type, drives=True)
+    return wide_shares(rows, position, variant, routes)
 
 
 # --- D3 RB utilization --------------------------------------------------------------------------
 
+def rb_shares(rows: DataFrame, position: str = "RB") -> DataFrame:
+    """D3 over :func:`player_rows`."""
+    return rows.filter(F.col("position") == position).select(
+        *WEEK_KEY, "player_name", "position", *_counts("carries"),
+        _share_of("carries", "team_carries").alias("carry_share"),
+        *_counts("rz20_carries", "rz10_carries", "rz5_carries"),
+        *[_share_of(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
+        *_counts("third_fourth_down_carries", "targets"),
+        _share_of("targets", "team_pass_attempts").alias("target_share"), *_counts("two_minute_targets"),
+        _share_of("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
+        team_proe().alias("team_proe_neutral"), pace_proxy().alias("team_sec_per_play_neutral"))
+
+
 def rb_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                    season_type: str | None = None, position: str = "RB") -> DataFrame:
     """D3: carries and red-zone carries vs team rush attempts, targets vs team pass
     attempts (X8), team PROE and the pace proxy ``30 / dropbacks * 60`` (X10)."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type))
-    w = w.filter(F.col("position") == position).select(*WEEK_KEY, "player_name", "position")
-    p = _eq_filters(pbp, year=season, season_type=season_type).withColumnRenamed("posteam", "team")
-    r = fb.flag("rush")
-    rush = p.filter(r).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
-        F.count(F.lit(1)).alias("carries"),
-        *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)],
-        csum(fb.late_down()).alias("third_fourth_down_carries"))
-    t = fb.is_target()
-    rec = p.withColumn("player_id", F.col("receiver_player_id")).groupBy(*WEEK_KEY).agg(
-        csum(t).alias("targets"), csum(t & fb.within_half_seconds(120)).alias("two_minute_targets"))
-    ctx = p.groupBy(*TEAM_KEY).agg(csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"),
-                                   csum(fb.flag("rush_attempt")).alias("team_carries"))
-    base = p.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120))
-    style = base.groupBy(*TEAM_KEY).agg(
-        (F.avg(F.col("pass").cast("int")) - F.avg("xpass")).alias("team_proe_neutral"),
-        (F.lit(30.0) / F.count(F.lit(1)) * 60.0).alias("team_sec_per_play_neutral"))
-    j = (w.join(rush, WEEK_KEY, "left").join(rec, WEEK_KEY, "left")
-         .join(ctx, TEAM_KEY, "left").join(style, TEAM_KEY, "left"))
-
-    def z(c: str) -> F.Column:
-        return F.coalesce(F.col(c), F.lit(0))
-
-    def pos_share(n: str, d_: str) -> F.Column:
-        return F.when(F.col(d_) > 0, share(z(n), d_))
-
-    return j.select(
-        *WEEK_KEY, "player_name", "position", z("carries").alias("carries"),
-        pos_share("carries", "team_carries").alias("carry_share"),
-        *[z(f"rz{y}_carries").alias(f"rz{y}_carries") for y in (20, 10, 5)],
-        *[pos_share(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
-        z("third_fourth_down_carries").alias("third_fourth_down_carries"),
-        z("targets").alias("targets"), pos_share("targets", "team_pass_attempts").alias("target_share"),
-        z("two_minute_targets").alias("two_minute_targets"),
-        pos_share("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
-        "team_proe_neutral", "team_sec_per_play_neutral")
+    return rb_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type), position)
 
 
 # --- D79 / D80 tier shares ----------------------------------------------------------------------
@@ -495,11 +510,11 @@ def player_week_utilization(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame,
     ctx = pt.groupBy(*TEAM_KEY).agg(csum(fb.flag("qb_dropback")).alias("team_dropbacks"),
                                     csum(pa).alias("team_pass_attempts"), csum(car).alias("team_carries"))
     ctx = ctx.join(team_snaps, ["season", "week", "team"], "left")
-    rec = receiving_events(p).withColumnsRenamed({"team": "rec_team", "targets": "rec_targets"})
-    r = fb.flag("rush")
-    rush = (pt.filter(r).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
-        F.count(F.lit(1)).alias("carries"), *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)])
-        .withColumnsRenamed({"team": "rush_team", "carries": "ev_carries"}))
+    rec, rush = (pt.filter(r.where).withColumn("player_id", r.member).groupBy(*WEEK_KEY)
+                 .agg(*[F.sum(v).alias(k) for k, v in r.sums.items()])
+                 for r in (event_roles()[k] for k in ("receiver", "rusher")))
+    rec = rec.withColumnsRenamed({"team": "rec_team", "targets": "rec_targets"})
+    rush = rush.drop("third_fourth_down_carries").withColumnsRenamed({"team": "rush_team", "carries": "ev_carries"})
     pw = ["season", "week", "season_type", "player_id"]
     j = (w.join(sc, ["season", "week", "player_id"], "left").join(rec, pw, "left").join(rush, pw, "left")
          .withColumn("team_c", F.coalesce(F.col("team"), F.col("rec_team"), F.col("rush_team"))))
@@ -529,69 +544,43 @@ def player_week_utilization(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame,
 
 # --- D56 superset utilization ------------------------------------------------------------------------
 
-def utilization_all(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame, routes: DataFrame | None = None,
-                    season: int | None = None, season_type: str | None = None) -> DataFrame:
-    """Every position in one table: snap share (X14), routes (X15, NULL without a
-    source), receiving splits and shares (X1-X7), formation/personnel shares (NULL when the
-    team had no such targets), carries and carry shares, aDOT, expected points (A17),
-    team PROE / pace proxy (X9, X10) and the team denominators themselves. One aggregate
-    per play role; team figures are rolled up or computed once per team-week."""
-    w = dedupe_weekly(_eq_filters(weekly, season=season, season_type=season_type)).select(
-        *WEEK_KEY, "player_name", "position", "receiving_yards", "receiving_air_yards", "air_yards_share", "wopr")
-    p = _eq_filters(pbp, year=season, season_type=season_type)
-    pt = p.withColumnRenamed("posteam", "team")
-    sc = snaps.groupBy("season", "week", "player_id").agg(F.avg("offense_pct").alias("snap_share"))
-    team_snaps = snaps.groupBy("season", "week", "team").agg(F.max("offense_snaps").alias("team_offense_snaps"))
-    ctx = pt.groupBy(*TEAM_KEY).agg(
-        csum(fb.flag("qb_dropback")).alias("team_dropbacks"),
-        csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"),
-        csum(fb.flag("rush_attempt")).alias("team_carries")).join(team_snaps, ["season", "week", "team"], "left")
-    rec = receiving_events(p)
-    rteam = team_targets(rec).drop("team_targets")
-    rush = pt.filter(fb.flag("rush")).withColumn("player_id", F.col("rusher_player_id")).groupBy(*WEEK_KEY).agg(
-        F.count(F.lit(1)).alias("carries"), *[csum(fb.in_red_zone(y)).alias(f"rz{y}_carries") for y in (20, 10, 5)])
-    style = pt.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120)).groupBy(*TEAM_KEY).agg(
-        (F.avg(F.col("pass").cast("int")) - F.avg("xpass")).alias("team_proe_neutral"),
-        (F.lit(30.0) / F.count(F.lit(1)) * 60.0).alias("team_sec_per_play_neutral"))
-    if routes is None:
-        routes = w.select("season", "week", "team", "player_id", F.lit(None).cast("bigint").alias("routes_run"))
-    j = (w.join(sc, ["season", "week", "player_id"], "left")
-         .join(routes, ["season", "week", "team", "player_id"], "left")
-         .join(rec, WEEK_KEY, "left").join(rteam, TEAM_KEY, "left").join(rush, WEEK_KEY, "left")
-         .join(ctx, TEAM_KEY, "left").join(expected_points(p), WEEK_KEY, "left").join(style, TEAM_KEY, "left"))
+ALL_COLUMNS = ["player_name", "position", "receiving_yards", "receiving_air_yards", "air_yards_share", "wopr"]
 
-    def z(c: str) -> F.Column:
-        return F.coalesce(F.col(c), F.lit(0))
 
-    def over(n: str, d_: str) -> F.Column:
-        return F.when(F.col(d_) > 0, share(z(n), d_))
+def with_snaps(rows: DataFrame, snaps: DataFrame) -> DataFrame:
+    """The player's mean snap share of the week and the team's most offense snaps (``snaps``:
+    season, week, team, player_id, offense_snaps, offense_pct)."""
+    player, team = ["season", "week", "player_id"], ["season", "week", "team"]
+    rows = left_join_pinned(rows, snaps.groupBy(*player).agg(F.avg("offense_pct").alias("snap_share")), player)
+    return left_join_pinned(rows, snaps.groupBy(*team).agg(F.max("offense_snaps").alias("team_offense_snaps")), team)
 
+
+def all_shares(rows: DataFrame, snaps: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """D56 over :func:`player_rows`."""
+    j = expected_points(with_snaps(_with_routes(rows, routes), snaps))
+    situations = ("third_fourth_down", "ldd", "sdd", "two_minute", "four_minute")
     return j.select(
-        *WEEK_KEY, "player_name", "position", "snap_share", "routes_run",
-        F.when((F.col("team_dropbacks") > 0) & F.col("routes_run").isNotNull(),
-               share("routes_run", "team_dropbacks")).alias("route_participation"),
-        z("targets").alias("targets"), over("targets", "team_pass_attempts").alias("target_share"),
-        z("receiving_yards").alias("receiving_yards"), z("receiving_air_yards").alias("receiving_air_yards"),
-        "air_yards_share", "wopr",
-        z("end_zone_targets").alias("end_zone_targets"),
-        over("end_zone_targets", "team_pass_attempts").alias("end_zone_target_share"),
-        *[z(f"rz{y}_targets").alias(f"rz{y}_targets") for y in (20, 10, 5)],
-        *[over(f"rz{y}_targets", "team_pass_attempts").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
-        z("third_fourth_down_targets").alias("third_fourth_down_targets"),
-        over("third_fourth_down_targets", "team_pass_attempts").alias("third_fourth_down_target_share"),
-        z("ldd_targets").alias("ldd_targets"), z("sdd_targets").alias("sdd_targets"),
-        over("ldd_targets", "team_pass_attempts").alias("ldd_target_share"),
-        over("sdd_targets", "team_pass_attempts").alias("sdd_target_share"),
-        z("two_minute_targets").alias("two_minute_targets"), z("four_minute_targets").alias("four_minute_targets"),
-        over("two_minute_targets", "team_pass_attempts").alias("two_minute_target_share"),
-        over("four_minute_targets", "team_pass_attempts").alias("four_minute_target_share"),
-        over("shotgun_targets", "team_targets_shotgun").alias("shotgun_target_share"),
-        over("no_huddle_targets", "team_targets_no_huddle").alias("no_huddle_target_share"),
-        *[over(f"p{c}_targets", f"team_targets_p{c}").alias(f"p{c}_target_share") for c in ("11", "12", "21")],
-        z("carries").alias("carries"), over("carries", "team_carries").alias("carry_share"),
-        *[over(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
-        F.when(F.col("routes_run") > 0, share(z("receiving_yards"), "routes_run")).alias("yprr"),
-        F.when(F.col("routes_run") > 0, share(z("targets"), "routes_run")).alias("tprr"),
-        F.when(F.col("cnt_air_targets") > 0, share("sum_air_yards", "cnt_air_targets")).alias("adot"),
-        "xfp_lite", "team_proe_neutral", "team_sec_per_play_neutral", "team_offense_snaps",
+        *WEEK_KEY, "player_name", "position", "snap_share", "routes_run", *route_rates("team_dropbacks"),
+        *_counts("targets"), _share_of("targets", "team_pass_attempts").alias("target_share"),
+        *_counts("receiving_yards", "receiving_air_yards"), "air_yards_share", "wopr",
+        *_counts("end_zone_targets"), _share_of("end_zone_targets", "team_pass_attempts").alias("end_zone_target_share"),
+        *_counts("rz20_targets", "rz10_targets", "rz5_targets"),
+        *[_share_of(f"rz{y}_targets", "team_pass_attempts").alias(f"rz{y}_target_share") for y in (20, 10, 5)],
+        *_counts(*[f"{c}_targets" for c in situations]),
+        *[_share_of(f"{c}_targets", "team_pass_attempts").alias(f"{c}_target_share") for c in situations],
+        *_formation_shares(_share_of), *_counts("carries"), _share_of("carries", "team_carries").alias("carry_share"),
+        *[_share_of(f"rz{y}_carries", "team_carries").alias(f"rz{y}_carry_share") for y in (20, 10, 5)],
+        adot().alias("adot"), "xfp_lite", team_proe().alias("team_proe_neutral"),
+        pace_proxy().alias("team_sec_per_play_neutral"),
+        F.when(F.col("team_dropbacks").isNotNull(), F.col("team_offense_snaps")).alias("team_offense_snaps"),
         "team_dropbacks", "team_pass_attempts", "team_carries")
+
+
+def utilization_all(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame, routes: DataFrame | None = None,
+                    season: int | None = None, season_type: str | None = None) -> DataFrame:
+    """Every position in one table: snap share (X14), routes (X15, NULL without a
+    source), receiving splits and shares (X1-X7), formation/personnel shares (NULL when the
+    team had no such targets), carries and carry shares, aDOT, expected points (A17),
+    team PROE / pace proxy (X9, X10) and the team denominators themselves. Every table is
+    read once."""
+    return all_shares(player_rows(weekly, pbp, ALL_COLUMNS, season, season_type), snaps, routes)

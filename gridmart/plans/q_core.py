@@ -9,6 +9,8 @@ from gridmart.functions.classify import (DISTANCE_BUCKETS, buckets, category_map
                                          matches_any, policy_classify, round_of_week)
 from gridmart.functions.columns import cavg, csum, r6, share
 from gridmart.operators.dedupe import mode_per_key
+from gridmart.operators.quantiles import with_median
+from gridmart.operators.stats import correlation
 from gridmart.operators.shares import share_of_total, with_group_totals
 from gridmart.plans import driver as d
 from gridmart.plans.registry import register
@@ -447,12 +449,40 @@ SELECT season, COUNT(*) AS n_orders, round(AVG(order_revenue), 6) AS mean_revenu
 FROM order_totals GROUP BY ALL
 """))
 def agg_median(spark: SparkSession, sf: str) -> DataFrame:
-    """A8 (D22): per-game totals, then per-season mean and continuous median."""
+    """A8 (D22): per-game totals, then per-season mean and continuous median, selected by rank
+    over range slices (no season is gathered in one buffer)."""
     g = order_totals(spark, sf)
-    return g.groupBy("season").agg(
-        F.count(F.lit(1)).alias("n_orders"), r6(F.avg("order_revenue")).alias("mean_revenue"),
-        r6(F.median("order_revenue")).alias("median_revenue"),
-        F.median("n_lines").alias("median_lines"))
+    out = g.groupBy("season").agg(
+        F.count(F.lit(1)).alias("n_orders"), r6(F.avg("order_revenue")).alias("mean_revenue"))
+    out = with_median(out, g, ["season"], "order_revenue", "median_revenue")
+    out = with_median(out, g, ["season"], "n_lines", "median_lines")
+    return out.withColumn("median_revenue", r6("median_revenue"))
+
+
+_CORR = """COUNT(*) AS n, round(covar_pop(y, x), 6) AS covar_pop,
+       round(CASE WHEN COUNT(*) > 1 THEN covar_samp(y, x) END, 6) AS covar_samp,
+       round(CASE WHEN MIN(x) < MAX(x) AND MIN(y) < MAX(y) THEN corr(y, x) END, 6) AS corr"""
+
+
+@register("agg_correlation", d.with_sql(d.SQL_LINES, f"""
+a AS (SELECT 'lines of a supplier and month' AS grain, season, week, l_suppkey AS id, l_quantity AS x, l_extendedprice AS y
+      FROM lines),
+b AS (SELECT 'line numbers' AS grain, season, 0 AS week, l_linenumber AS id, CAST(l_linenumber AS DOUBLE) AS x,
+             l_quantity AS y FROM lines),
+c AS (SELECT * FROM a UNION ALL SELECT * FROM b)
+SELECT grain, season, week, id, {_CORR} FROM c GROUP BY grain, season, week, id"""))
+def agg_correlation(spark: SparkSession, sf: str) -> DataFrame:
+    """Covariance and guarded correlation per group: suppliers' months (many of a single
+    line) and line numbers (a constant input, so NULL)."""
+    li = d.lines(spark, sf)
+    a = li.select(F.lit("lines of a supplier and month").alias("grain"), "season", "week",
+                  F.col("l_suppkey").cast("bigint").alias("id"), F.col("l_quantity").alias("x"),
+                  F.col("l_extendedprice").alias("y"))
+    b = li.select(F.lit("line numbers").alias("grain"), "season", F.lit(0).alias("week"),
+                  F.col("l_linenumber").cast("bigint").alias("id"), F.col("l_linenumber").cast("double").alias("x"),
+                  F.col("l_quantity").alias("y"))
+    out = correlation(a.unionByName(b), ["grain", "season", "week", "id"], "x", "y")
+    return out.withColumns({c: r6(c) for c in ("covar_pop", "covar_samp", "corr")})
 
 
 @register("agg_quantile_iqr", d.with_sql(d.SQL_LINES, SQL_ORDER_TOTALS, """

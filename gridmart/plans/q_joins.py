@@ -259,19 +259,20 @@ c AS (
          date_diff('microsecond', e.ts, p.purchase_ts) / 1000000.0 AS gap_seconds,
          row_number() OVER (PARTITION BY e.event_id
                             ORDER BY abs(date_diff('microsecond', e.ts, p.purchase_ts)) NULLS LAST,
-                                     p.purchase_ts NULLS LAST) AS rn
+                                     p.purchase_ts NULLS LAST, p.purchase_id) AS rn
   FROM err e LEFT JOIN pur p
     ON p.user_id = e.user_id AND abs(date_diff('microsecond', e.ts, p.purchase_ts)) <= 21600000000
 )
 SELECT event_id, user_id, purchase_id, gap_seconds FROM c WHERE rn = 1
 """)
 def asof_nearest_q(spark: SparkSession, sf: str) -> DataFrame:
-    """Every error event with the same user's nearest purchase within 6 hours."""
+    """Every error event with the same user's nearest purchase within 6 hours (of purchases
+    at one time the smallest id)."""
     e = table(spark, sf, "events", "event_id", "user_id", "ts", "event_type")
     err = e.filter(F.col("event_type") == "error").select("event_id", "user_id", "ts")
     pur = e.filter(F.col("event_type") == "purchase").select(
         F.col("event_id").alias("purchase_id"), "user_id", F.col("ts").alias("purchase_ts"))
-    out = asof_nearest(err, pur, ["user_id"], "ts", "purchase_ts", 6 * 3600, ["event_id"])
+    out = asof_nearest(err, pur, ["user_id"], "ts", "purchase_ts", 6 * 3600)
     gap = (F.unix_micros(F.col("purchase_ts").cast("timestamp"))
            - F.unix_micros(F.col("ts").cast("timestamp"))) / 1_000_000.0
     return out.select("event_id", "user_id", "purchase_id", gap.alias("gap_seconds"))

@@ -194,11 +194,12 @@ _REC_MEANS = ["target_share", "shotgun_target_share", "p11_target_share", "adot"
 
 
 def _rollup_sql() -> str:
-    from gridmart.plans.q_marts import _REC_SQL
+    from gridmart.plans import sql_events as se
+    from gridmart.plans.q_marts import _usage_sql
     sums = ", ".join(f"CAST(SUM({c}) AS BIGINT) AS {c}" for c in _REC_SUMS)
     means = ", ".join(f"round(CAST(SUM(CAST(round({c}, 6) AS DECIMAL(18,6))) AS DOUBLE) / COUNT({c}), 6) AS {c}"
                       for c in _REC_MEANS)
-    unrounded = _REC_SQL.replace("round(CASE", "(CASE").replace("END, 6) AS", "END) AS")
+    unrounded = _usage_sql(se.RECEIVING).replace("round(CASE", "(CASE").replace("END, 6) AS", "END) AS")
     return (f"WITH r AS ({unrounded})\nSELECT season, season_type, player_id, MAX(player_name) AS player_name, "
             f"MAX(position) AS position, MAX(team) AS primary_team, COUNT(*) AS games, {sums}, {means} "
             "FROM r GROUP BY season, season_type, player_id")
@@ -220,7 +221,7 @@ FROM per JOIN lg USING (season)"""
 def rollup_sum_mean(spark: SparkSession, sf: str) -> DataFrame:
     """Season roll-up of the receiving mart (sums for counts, means for shares)."""
     from gridmart.plans import marts as m
-    util = m.receiving_utilization(ad.weekly_view(spark, sf), ad.plays_view(spark, sf))
+    util = m.receiving_shares(ad.player_rows(spark, sf, ["player_name", "position"]))
     return _rounded(lg.season_rollup(util, _REC_SUMS, _REC_MEANS))
 
 

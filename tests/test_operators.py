@@ -23,7 +23,7 @@ def test_nearest_game_week(spark):
     sched = spark.createDataFrame([("BUF", dt.datetime(2024, 9, 7), 1)], "team STRING, game_date TIMESTAMP, week INT")
     ev = spark.createDataFrame([(1, "BUF", dt.datetime(2024, 9, 1, 17)), (2, "BUF", dt.datetime(2024, 9, 8, 17))],
                                "id INT, team STRING, dt TIMESTAMP")
-    out = asof_nearest(ev, sched, ["team"], "dt", "game_date", 6 * 86400, ["id"]).orderBy("id")
+    out = asof_nearest(ev, sched, ["team"], "dt", "game_date", 6 * 86400).orderBy("id")
     assert [r.week for r in out.collect()] == [1, 1]
 
 
@@ -32,7 +32,7 @@ def test_asof_tie_prefers_earlier_and_tolerance(spark):
                                   "k STRING, rt TIMESTAMP").withColumn("tag", F.hour("rt"))
     left = spark.createDataFrame([(1, "a", dt.datetime(2024, 1, 1, 12)), (2, "a", dt.datetime(2024, 1, 3, 12))],
                                  "id INT, k STRING, lt TIMESTAMP")
-    out = {r.id: r.tag for r in asof_nearest(left, right, ["k"], "lt", "rt", 3 * 3600, ["id"]).collect()}
+    out = {r.id: r.tag for r in asof_nearest(left, right, ["k"], "lt", "rt", 3 * 3600).collect()}
     assert out == {1: 10, 2: None}
 
 

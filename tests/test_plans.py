@@ -46,7 +46,7 @@ def test_date_predicate_reaches_the_parquet_scan(spark):
 
 
 def test_top1_windows_are_limited_before_the_shuffle(spark):
-    for name in ("dedupe_first", "mode_per_key", "top_n_param", "asof_nearest"):
+    for name in ("dedupe_first", "mode_per_key", "top_n_param"):
         plan = _plan(entry_mod.queries()[name](spark, SMOKE))
         assert "WindowGroupLimit" in plan and "Partial" in plan, name
 
@@ -54,3 +54,14 @@ def test_top1_windows_are_limited_before_the_shuffle(spark):
 def test_group_totals_use_aggregates_not_whole_group_windows(spark):
     plan = _plan(entry_mod.queries()["window_conditional_count"](spark, SMOKE))
     assert "Window [" not in plan and "partial_count" in plan
+
+
+@pytest.mark.parametrize("name,scans", [("mart_points_allowed", 1), ("mart_player_week", 1), ("mart_util_receiving", 1),
+                                        ("mart_util_rushing", 1), ("mart_util_wr", 1), ("mart_util_rb", 1),
+                                        ("mart_util_all", 2)])
+def test_marts_scan_the_lines_once(spark, name, scans):
+    """Roles of one aggregate, and readers that reuse its exchange: counted in the executed plan."""
+    df = entry_mod.queries()[name](spark, SMOKE)
+    df.collect()
+    executed = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert executed.count("FileScan parquet [l_") == scans
