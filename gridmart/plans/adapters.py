@@ -263,17 +263,23 @@ def plays_view(spark: SparkSession, sf: str) -> DataFrame:
 
 def _play_columns() -> list[F.Column]:
     is_pass = F.col("l_linestatus") == "O"
+    scramble = ~is_pass & (F.col("l_linenumber") == 6)
     pid = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
     personnel = (F.when(F.col("l_partkey") % 4 == 0, "11").when(F.col("l_partkey") % 4 == 1, "12")
                  .when(F.col("l_partkey") % 4 == 2, "21").otherwise("22"))
     return [
         F.concat(F.lit("G"), F.col("l_orderkey").cast("string")).alias("game_id"),
         F.col("l_linenumber").cast("bigint").alias("play_id"),
+        (F.col("l_linenumber").cast("bigint") * 1_000_000_000 + F.col("l_partkey")).alias("order_sequence"),
+        # The clock jumps back on some plays and by over 45 seconds on others.
+        (3600 - F.col("l_linenumber").cast("bigint") * 25 - F.col("l_suppkey") % 40).alias("game_seconds_remaining"),
         F.col("season").alias("year"), "season", "week", F.lit("REG").alias("season_type"),
         F.col("team").alias("posteam"), F.col("opp").alias("defteam"),
         F.when(is_pass, 1.0).otherwise(0.0).alias("pass"), F.when(is_pass, 0.0).otherwise(1.0).alias("rush"),
         F.when(is_pass, 1.0).otherwise(0.0).alias("pass_attempt"),
-        F.when(is_pass, 0.0).otherwise(1.0).alias("rush_attempt"),
+        # Scrambles (a sixth line that runs) are dropbacks without a rush attempt; laterals (quantity
+        # 7) are pass attempts without the pass flag's context: no two flags are the same.
+        F.when(is_pass | scramble, 0.0).otherwise(1.0).alias("rush_attempt"),
         F.when(is_pass & (F.col("l_quantity") <= 2), 1.0).otherwise(0.0).alias("sack"),
         F.when(is_pass, pid).alias("receiver_player_id"),
         F.when(~is_pass, pid).alias("rusher_player_id"),
@@ -292,7 +298,7 @@ def _play_columns() -> list[F.Column]:
         # depend on summation order in any engine.
         ((F.col("l_quantity") - 25) / 8.0).alias("epa"),
         F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("touchdown"),
-        F.lit(1.0).alias("play"), F.when(F.col("l_quantity") == 3, 1.0).otherwise(0.0).alias("aborted_play"),
+        F.when(F.col("l_tax") == 0.08, 0.0).otherwise(1.0).alias("play"), F.when(F.col("l_quantity") == 3, 1.0).otherwise(0.0).alias("aborted_play"),
         F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "A"), 1.0).otherwise(0.0).alias("play_deleted"),
         F.when(is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_spike"),
         F.when(~is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_kneel"),
@@ -303,9 +309,11 @@ def _play_columns() -> list[F.Column]:
         (F.col("l_discount") * 5 + 0.25).alias("home_wp"),
         (F.lit(1.0) - (F.col("l_discount") * 5 + 0.25)).alias("away_wp"),
         (F.floor(F.col("l_tax") * 100 + 0.5) / 16.0).alias("xpass"),
+        ((F.when(is_pass, 1.0).otherwise(0.0) - F.floor(F.col("l_tax") * 100 + 0.5) / 16.0) * 100).alias("pass_oe"),
         F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("success"),
         (F.when(F.col("o_orderpriority") == "1-URGENT", "dome").when(F.col("o_orderpriority") == "2-HIGH", "closed")
-         .when(F.col("o_orderpriority") == "3-MEDIUM", "open").otherwise("outdoors")).alias("roof"),
+         .when(F.col("o_orderpriority") == "3-MEDIUM", "open").when(F.col("o_orderpriority") == "5-LOW", "outdoors"))
+        .alias("roof"),
         (F.when(F.col("o_orderstatus") == "F", "grass").when(F.col("o_orderstatus") == "O", "fieldturf")
          .otherwise("a_turf")).alias("surface"),
         F.col("l_quantity").alias("total_home_score"), (F.col("l_linenumber") * 7).cast("double").alias("total_away_score"),
@@ -321,7 +329,7 @@ def _play_columns() -> list[F.Column]:
         (F.col("l_linenumber") % 3 + 2).alias("drive_play_count"),
         F.concat((F.col("l_quantity").cast("bigint") % 10).cast("string"), F.lit(":"),
                  F.lpad((F.col("l_orderkey") % 60).cast("string"), 2, "0")).alias("drive_time_of_possession"),
-        F.when(is_pass, 1.0).otherwise(0.0).alias("qb_dropback"),
+        F.when((is_pass & (F.col("l_quantity") != 7)) | scramble, 1.0).otherwise(0.0).alias("qb_dropback"),
         F.when(F.col("l_quantity").isin(48, 49), 1.0).otherwise(0.0).alias("field_goal_attempt"),
         F.when(F.col("l_quantity") == 49, "good").when(F.col("l_quantity") == 48, "missed").alias("field_goal_result"),
     ]
@@ -330,11 +338,13 @@ def _play_columns() -> list[F.Column]:
 SQL_PLAYS = """
 plays AS (
   SELECT 'G' || CAST(l_orderkey AS VARCHAR) AS game_id, CAST(l_linenumber AS BIGINT) AS play_id,
+         CAST(l_linenumber AS BIGINT) * 1000000000 + l_partkey AS order_sequence,
+         3600 - l_linenumber * 25 - l_suppkey % 40 AS game_seconds_remaining,
          season AS year, season, week, 'REG' AS season_type, team AS posteam, opp AS defteam,
          CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS pass,
          CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE 1.0 END::DOUBLE AS rush,
          CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS pass_attempt,
-         CASE WHEN l_linestatus = 'O' THEN 0.0 ELSE 1.0 END::DOUBLE AS rush_attempt,
+         CASE WHEN l_linestatus = 'O' OR l_linenumber = 6 THEN 0.0 ELSE 1.0 END::DOUBLE AS rush_attempt,
          CASE WHEN l_linestatus = 'O' AND l_quantity <= 2 THEN 1.0 ELSE 0.0 END::DOUBLE AS sack,
          CASE WHEN l_linestatus = 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS receiver_player_id,
          CASE WHEN l_linestatus <> 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS rusher_player_id,
@@ -350,16 +360,17 @@ plays AS (
          CASE l_partkey % 4 WHEN 0 THEN '11' WHEN 1 THEN '12' WHEN 2 THEN '21' ELSE '22' END AS offense_personnel,
          l_quantity - 5 AS yards_gained, (l_quantity - 25) / 8.0 AS epa,
          CASE WHEN l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS touchdown,
-         1.0::DOUBLE AS play, CASE WHEN l_quantity = 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS aborted_play,
+         CASE WHEN l_tax = 0.08 THEN 0.0 ELSE 1.0 END::DOUBLE AS play, CASE WHEN l_quantity = 3 THEN 1.0 ELSE 0.0 END::DOUBLE AS aborted_play,
          CASE WHEN l_quantity = 50 AND l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS play_deleted,
          CASE WHEN l_linestatus = 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_spike,
          CASE WHEN l_linestatus <> 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_kneel,
          l_orderkey % 4 + 1 AS qtr, l_orderkey % 900 AS quarter_seconds_remaining,
          l_quantity - 25 AS score_differential, opp AS home_team, team AS away_team,
          l_discount * 5 + 0.25 AS home_wp, 1.0::DOUBLE - (l_discount * 5 + 0.25) AS away_wp,
-         floor(l_tax * 100 + 0.5) / 16.0 AS xpass, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS success,
+         floor(l_tax * 100 + 0.5) / 16.0 AS xpass,
+         (CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE - floor(l_tax * 100 + 0.5) / 16.0) * 100 AS pass_oe, CASE WHEN l_quantity > 25 THEN 1.0 ELSE 0.0 END::DOUBLE AS success,
          CASE o_orderpriority WHEN '1-URGENT' THEN 'dome' WHEN '2-HIGH' THEN 'closed' WHEN '3-MEDIUM' THEN 'open'
-              ELSE 'outdoors' END AS roof,
+              WHEN '5-LOW' THEN 'outdoors' END AS roof,
          CASE o_orderstatus WHEN 'F' THEN 'grass' WHEN 'O' THEN 'fieldturf' ELSE 'a_turf' END AS surface,
          l_quantity AS total_home_score, CAST(l_linenumber * 7 AS DOUBLE) AS total_away_score,
          CASE WHEN l_returnflag = 'A' THEN opp END AS penalty_team,
@@ -371,10 +382,32 @@ plays AS (
          CAST((l_linenumber + 1) // 3 AS BIGINT) AS drive, l_linenumber % 3 + 2 AS drive_play_count,
          CAST(CAST(l_quantity AS BIGINT) % 10 AS VARCHAR) || ':' || lpad(CAST(l_orderkey % 60 AS VARCHAR), 2, '0')
            AS drive_time_of_possession,
-         CASE WHEN l_linestatus = 'O' THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_dropback,
+         CASE WHEN l_linestatus = 'O' AND l_quantity <> 7 OR l_linestatus <> 'O' AND l_linenumber = 6 THEN 1.0 ELSE 0.0 END::DOUBLE
+           AS qb_dropback,
          CASE WHEN l_quantity IN (48, 49) THEN 1.0 ELSE 0.0 END::DOUBLE AS field_goal_attempt,
          CASE WHEN l_quantity = 49 THEN 'good' WHEN l_quantity = 48 THEN 'missed' END AS field_goal_result
   FROM enriched
 )"""
 
+#: Spellings of the schedule's roofs, by order key.
+SCHEDULE_ROOFS = ("outdoors", "RETRACTABLE_OPEN", "Dome", "retractable-roof-closed", "open", None, "indoors")
+
+
+def schedules_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Games: an order of a customer nation (home) with each supplier nation in it (away); the
+    season runs from 2021 on, so that the roof rule of 2025 has seasons on both sides."""
+    e = _lines_opp(spark, sf)
+    roof = F.element_at(F.array(*[F.lit(r) for r in SCHEDULE_ROOFS]), (F.col("l_orderkey") % 7 + 1).cast("int"))
+    return e.select((F.col("season") + 29).alias("season"), "week", F.lit("REG").alias("game_type"),
+                    F.concat(F.lit("G"), F.col("l_orderkey").cast("string")).alias("game_id"),
+                    F.col("opp").alias("home_team"), F.col("team").alias("away_team"), roof.alias("roof")).distinct()
+
+
+SQL_SCHEDULES = f"""
+schedules AS (
+  SELECT DISTINCT season + 29 AS season, week, 'REG' AS game_type, 'G' || CAST(l_orderkey AS VARCHAR) AS game_id,
+         opp AS home_team, team AS away_team,
+         CASE l_orderkey % 7 {" ".join(f"WHEN {i} THEN {'NULL' if r is None else repr(r)}" for i, r in enumerate(SCHEDULE_ROOFS))} END AS roof
+  FROM enriched)"""
+
 SQL_FOOTBALL = (*d.SQL_BASE, SQL_ENRICHED)

@@ -8,84 +8,191 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from gridmart.functions import football as fb
 from gridmart.functions.classify import ROOF_POLICIES, policy_classify
 from gridmart.functions.columns import csum, round_half_up, share
+from gridmart.operators.once import pinned
+from gridmart.operators.quantiles import exact_quantiles
+from gridmart.operators.shares import null_safe_join
+
+
+MAX_GAP = 45  # fixed value: seconds between two plays count up to this
 
 
 def _disc(col: str, p: float) -> F.Column:
     return F.expr(f"percentile_disc({p}) WITHIN GROUP (ORDER BY {col})")
 
 
-def qualifying(pbp: DataFrame) -> DataFrame:
-    return pbp.filter(fb.is_qualifying())
+def mean6(c: str) -> F.Column:
+    """Mean of the non-null values at six decimals, summed exactly: the same in any order."""
+    v = round_half_up(c, 6).cast("decimal(24,6)")
+    return F.sum(v).cast("double") / F.count(v)
 
 
-def team_week_proe(pbp: DataFrame) -> DataFrame:
-    """X9 on qualifying plays: pass rate, mean expected pass, PROE per team-week."""
-    q = qualifying(pbp)
-    return q.groupBy("season", "week", "posteam").agg(
-        F.count(F.lit(1)).alias("plays"), F.avg(F.col("pass")).alias("pass_rate"),
-        F.avg("xpass").alias("xpass_rate")).withColumn("proe", F.col("pass_rate") - F.col("xpass_rate"))
+def qualifying(pbp: DataFrame) -> DataFrame:
+    return pbp.filter(fb.is_qualifying())
 
 
-def game_points(pbp: DataFrame, group: Sequence[str]) -> DataFrame:
-    """Per game ``MAX(home) + MAX(away)`` score, averaged over ``group``."""
-    g = pbp.groupBy(*group, "game_id").agg((F.max("total_home_score") + F.max("total_away_score")).alias("pts"))
-    return g.groupBy(*group).agg(F.count(F.lit(1)).alias("games"), F.avg("pts").alias("points_per_game"))
+def with_play_gaps(pbp: DataFrame) -> DataFrame:
+    """``gap_sec``, seconds since the offense's previous qualifying play of the game (negative
+    ones unknown, at most 45); NULL for other plays. A game's plays of one team are its window."""
+    game = Window.partitionBy("season", "week", "game_id", "posteam", "qualifies").orderBy(
+        F.col("order_sequence").asc_nulls_last(), F.col("game_seconds_remaining").desc_nulls_last(),
+        F.col("epa").asc_nulls_last())
+    gap = F.lag("game_seconds_remaining").over(game) - F.col("game_seconds_remaining")
+    return pbp.withColumn("qualifies", fb.is_qualifying()).withColumn(
+        "gap_sec", F.when(F.col("qualifies") & (gap >= 0), F.least(gap, F.lit(MAX_GAP))))
+
+
+def team_games(pbp: DataFrame, *extra: str) -> DataFrame:
+    """One row per game and team (and ``extra``) from one pass over the plays: counts, sums and
+    pace of its qualifying plays, all and neutral ones, explosive plays (X13), touchdowns and
+    scores of all its plays. Pinned: games, teams and the league read it."""
+    q, neutral = F.col("qualifies"), F.col("qualifies") & fb.is_neutral()
+    is_pass, is_rush = fb.flag("pass"), fb.flag("rush_attempt")
+    gain, gain_epa = F.col("yards_gained"), F.when(F.col("epa") > 0, F.col("epa")).otherwise(0.0)
+    counts = {
+        "plays": q, "pass_plays": q & is_pass, "rush_plays": q & is_rush, "no_huddle_plays": q & fb.flag("no_huddle"),
+        "shotgun_plays": q & fb.flag("shotgun"), "neutral_plays": neutral, "neutral_pass_plays": neutral & is_pass,
+        "pass_20": q & is_pass & (gain >= 20), "rush_10": q & is_rush & (gain >= 10), "rush_15": q & is_rush & (gain >= 15)}
+    sums = {
+        "epa_pass_sum": (q & is_pass, "epa"), "epa_rush_sum": (q & is_rush, "epa"), "epa_sum": (q, "epa"),
+        "gap_sum": (q, "gap_sec"), "neutral_gap_sum": (neutral, "gap_sec"), "neutral_xpass_sum": (neutral, "xpass")}
+    return pinned(with_play_gaps(pbp).groupBy("season", "week", "game_id", "posteam", *extra).agg(
+        *[csum(c).alias(n) for n, c in counts.items()],
+        *[F.sum(F.when(c, F.col(v))).alias(n) for n, (c, v) in sums.items()],
+        *[F.count(F.when(c, F.col(v))).alias(n.replace("_sum", "_n")) for n, (c, v) in sums.items()],
+        F.sum(F.when(q & is_pass, gain_epa)).alias("pass_gain"),
+        F.sum(F.when(q & is_pass & (gain >= 20), gain_epa)).alias("pass_gain_20"),
+        F.sum(F.when(q & is_rush, gain_epa)).alias("rush_gain"),
+        F.sum(F.when(q & is_rush & (gain >= 10), gain_epa)).alias("rush_gain_10"),
+        csum(fb.flag("touchdown")).alias("tds"), F.max("total_home_score").alias("home"),
+        F.max("total_away_score").alias("away")))
+
+
+def _per_game(tg: DataFrame) -> DataFrame:
+    """Scores and touchdowns of each game."""
+    return tg.groupBy("season", "week", "game_id").agg(
+        (F.max("home") + F.max("away")).alias("points"), F.sum("tds").alias("tds"))
+
+
+def _rates(tg: DataFrame) -> DataFrame:
+    """Per team-game rates; teams without a qualifying play have none."""
+    return tg.filter(F.col("plays") > 0).withColumns({
+        "epa_all": share("epa_sum", "epa_n"), "epa_pass": share("epa_pass_sum", "epa_pass_n"),
+        "epa_rush": share("epa_rush_sum", "epa_rush_n"), "no_huddle_rate": share("no_huddle_plays", "plays"),
+        "shotgun_rate": share("shotgun_plays", "plays"), "sec_per_play_all": share("gap_sum", "gap_n"),
+        "sec_per_play_neutral": share("neutral_gap_sum", "neutral_gap_n"),
+        "proe": share("neutral_pass_plays", "neutral_plays") - share("neutral_xpass_sum", "neutral_xpass_n")})
+
+
+def _explosive(group: Sequence[str], rates: DataFrame, epa_share: bool) -> DataFrame:
+    """Rates of explosive passes (20+) and rushes (10+, 15+) and, by kind, the share of the
+    positive EPA that they bring."""
+    names = ["pass_plays", "rush_plays", "pass_20", "rush_10", "rush_15", "pass_gain", "pass_gain_20", "rush_gain",
+             "rush_gain_10"]
+    total = rates.groupBy(*group).agg(*[F.sum(c).alias(c) for c in names])
+    out = {"explosive_pass_rate": share("pass_20", "pass_plays"), "explosive_rush10_rate": share("rush_10", "rush_plays"),
+           "explosive_rush15_rate": share("rush_15", "rush_plays")}
+    if epa_share:
+        out |= {"explosive_epa_share_pass": share(F.coalesce("pass_gain_20", F.lit(0.0)), "pass_gain"),
+                "explosive_epa_share_rush": share(F.coalesce("rush_gain_10", F.lit(0.0)), "rush_gain")}
+    return total.select(*group, *[v.alias(k) for k, v in out.items()])
+
+
+TEAM_RATES = ("epa_all", "epa_pass", "epa_rush", "sec_per_play_all", "no_huddle_rate", "shotgun_rate")
 
 
 def league_by_week(pbp: DataFrame) -> DataFrame:
-    """Weekly league metrics: plays, pass rate, EPA/play, neutral pass rate,
-    team PROE mean / median / IQR (discrete quantiles), points per game."""
-    q = qualifying(pbp)
-    neutral = fb.is_neutral()
-    plays = q.groupBy("season", "week").agg(
-        F.count(F.lit(1)).alias("plays"), F.avg("pass").alias("pass_rate"), F.avg("epa").alias("epa_per_play"),
-        F.avg(F.when(neutral, F.col("pass"))).alias("neutral_pass_rate"),
-        csum(neutral).alias("neutral_plays"))
-    proe = team_week_proe(pbp).groupBy("season", "week").agg(
-        F.avg("proe").alias("proe_mean"), _disc("proe", 0.5).alias("proe_median"),
-        (_disc("proe", 0.75) - _disc("proe", 0.25)).alias("proe_iqr"))
-    return plays.join(proe, ["season", "week"]).join(game_points(pbp, ["season", "week"]), ["season", "week"])
-
-
-def explosive() -> F.Column:
-    """Pass of 20+ or rush of 10+ yards."""
-    return ((fb.flag("pass") & (F.col("yards_gained") >= 20)) | (fb.flag("rush") & (F.col("yards_gained") >= 10)))
+    """League metrics by week, means over team-games: plays, EPA, pace (all and neutral),
+    formation rates, explosive rates and EPA shares, PROE of neutral team-games with its
+    interquartile range (discrete quantiles), points and touchdowns a game."""
+    week = ["season", "week"]
+    tg = team_games(pbp)
+    rates = _rates(tg)
+    means = rates.groupBy(*week).agg(
+        F.avg("plays").alias("plays_pg"), mean6("sec_per_play_neutral").alias("sec_per_play_neutral"),
+        *[mean6(c).alias(c) for c in TEAM_RATES],
+        mean6("proe").alias("proe_mean"), (_disc("proe", 0.75) - _disc("proe", 0.25)).alias("proe_iqr"))
+    games = _per_game(tg).groupBy(*week).agg(F.avg("points").alias("ppg"), F.avg("tds").alias("tds_pg"))
+    return null_safe_join(null_safe_join(means, games, week, "inner"), _explosive(week, rates, True), week, "inner")
 
 
 def league_yoy(pbp: DataFrame) -> DataFrame:
-    """Season pass rate, EPA/play, explosive rate and share of EPA from explosives, PPG."""
-    q = qualifying(pbp)
-    s = q.groupBy("season").agg(
-        F.count(F.lit(1)).alias("plays"), F.avg("pass").alias("pass_rate"), F.avg("epa").alias("epa_per_play"),
-        F.avg(F.when(explosive(), 1.0).otherwise(0.0)).alias("explosive_rate"),
-        share(F.sum(F.when(explosive(), F.col("epa")).otherwise(0.0)), F.sum("epa")).alias("explosive_epa_share"))
-    return s.join(game_points(pbp, ["season"]), ["season"])
+    """Season pass rate, EPA all / pass / rush, explosive rates by kind, points per game."""
+    tg = team_games(pbp)
+    total = tg.groupBy("season").agg(*[F.sum(c).alias(c) for c in (
+        "plays", "pass_plays", "rush_plays", "pass_20", "rush_10", "epa_sum", "epa_n", "epa_pass_sum", "epa_pass_n",
+        "epa_rush_sum", "epa_rush_n")]).filter(F.col("plays") > 0)
+    points = (tg.groupBy("season", "game_id").agg((F.max("home") + F.max("away")).alias("points"))
+              .groupBy("season").agg(F.avg("points").alias("ppg")))
+    return null_safe_join(total, points, ["season"], "inner").select(
+        "season", share("pass_plays", "plays").alias("pass_rate"), share("epa_sum", "epa_n").alias("epa_all"),
+        share("epa_pass_sum", "epa_pass_n").alias("epa_pass"), share("epa_rush_sum", "epa_rush_n").alias("epa_rush"),
+        share("pass_20", "pass_plays").alias("explosive_pass_rate"),
+        share("rush_10", "rush_plays").alias("explosive_rush10_rate"), "ppg")
 
 
 def league_by_class(pbp: DataFrame, policy: str = "open_is_outdoor",
                     policies: Mapping[str, Mapping[str, Sequence[str]]] = ROOF_POLICIES) -> DataFrame:
-    """Weekly metrics per roof class under a named policy, joined to game counts."""
-    p = pbp.withColumn("roof_class", policy_classify("roof", policies, policy))
-    m = qualifying(p).groupBy("season", "week", "roof_class").agg(
-        F.count(F.lit(1)).alias("plays"), F.avg("epa").alias("epa_per_play"), F.avg("pass").alias("pass_rate"))
-    g = p.groupBy("season", "week", "roof_class").agg(F.countDistinct("game_id").alias("games"))
-    return m.join(g, ["season", "week", "roof_class"])
+    """Weekly league metrics per roof class under a named policy; points and touchdowns are
+    means of the games' totals over the class's team-games."""
+    group = ["season", "week", "roof_class"]
+    tg = team_games(pbp.withColumn("roof_class", policy_classify("roof", policies, policy)), "roof_class")
+    rates = null_safe_join(_rates(tg), _per_game(tg).withColumnsRenamed({"tds": "game_tds"}),
+                           ["season", "week", "game_id"], "inner")
+    means = rates.groupBy(*group).agg(F.avg("plays").alias("plays_pg"), F.avg("points").alias("ppg"),
+                                      F.avg("game_tds").alias("tds_pg"), *[mean6(c).alias(c) for c in TEAM_RATES])
+    return null_safe_join(means, _explosive(group, rates, False), group, "inner")
+
+
+def league_per_game(pbp: DataFrame) -> DataFrame:
+    """Mean and exact median by season of team-game counts (plays, passes, explosive plays,
+    touchdowns, pass rate) and of the games' points, all and by roof, on true plays. Every
+    measure is one value of a long table, so one selection finds all the medians."""
+    p = pbp.filter(fb.is_true_play())
+    is_pass, is_rush, gain = fb.flag("pass"), fb.flag("rush"), F.col("yards_gained")
+    game = ["season", "game_id"]
+    teams = pinned(p.groupBy(*game, "posteam").agg(
+        F.count(F.lit(1)).alias("team_plays"), csum(is_pass).alias("pass_plays"),
+        csum(is_pass & (gain >= 20)).alias("explosive_passes"), csum(is_rush & (gain >= 10)).alias("explosive_rushes"),
+        csum(fb.flag("touchdown")).alias("team_tds"), F.max("total_home_score").alias("home"),
+        F.max("total_away_score").alias("away"), F.max("roof").alias("roof")))
+    scores = teams.groupBy(*game).agg(F.max("home").alias("home_points"), F.max("away").alias("away_points"),
+                                      F.max("roof").alias("game_roof"))
+    indoor = F.lower("game_roof").isin("dome", "closed")
+    total = F.col("home_points") + F.col("away_points")
+    j = null_safe_join(teams.drop("home", "away", "roof"), scores, game, "inner").withColumns({
+        "total_points": total, "points_dome": F.when(indoor, total), "points_outdoor": F.when(~indoor, total),
+        "pass_rate": share("pass_plays", "team_plays"), "explosive_play_rate": share("explosive_passes", "team_plays"),
+        "explosive_rush_rate": share("explosive_rushes", "team_plays")})
+    medians = ["team_plays", "pass_plays", "explosive_passes", "explosive_rushes", "team_tds", "home_points",
+               "away_points", "total_points", "points_dome", "points_outdoor", "pass_rate"]
+    means = [*medians, "explosive_play_rate", "explosive_rush_rate"]
+    long = j.select("season", *[F.col(c).cast("double").alias(c) for c in medians]).unpivot(
+        ["season"], medians, "measure", "value")
+    wide = (exact_quantiles(long, ["season", "measure"], "value", {"median": 0.5})
+            .groupBy("season").agg(*[F.max(F.when(F.col("measure") == c, F.col("median"))).alias(f"med_{c}") for c in medians]))
+    return null_safe_join(j.groupBy("season").agg(*[mean6(c).alias(f"avg_{c}") for c in means]), wide, ["season"], "inner")
 
 
 def rate_over_expected(pbp: DataFrame) -> DataFrame:
-    """Dropbacks outside the last 120 s of a half; pass rate, expected rate,
-    PROE, and the pace proxy ``30 * 60 / plays`` (X10)."""
-    d = pbp.filter(fb.is_qualifying() & ~fb.within_half_seconds(120))
-    agg = d.groupBy("season", "week", "posteam").agg(
-        F.count(F.lit(1)).alias("plays"), F.avg("pass").alias("pass_rate"), F.avg("xpass").alias("xpass_rate"))
-    return agg.withColumns({"proe": F.col("pass_rate") - F.col("xpass_rate"),
-                            "sec_per_play_proxy": share(F.lit(1800.0), "plays")})
+    """Pass rate, expected pass rate and mean pass over expected per season and team, on
+    true plays."""
+    return pbp.filter(fb.is_true_play()).groupBy("season", F.col("posteam").alias("team")).agg(
+        F.avg("pass").alias("pass_rate"), F.avg("xpass").alias("exp_pass_rate"), F.avg("pass_oe").alias("proe"))
+
+
+def team_proe_and_pace(pbp: DataFrame) -> DataFrame:
+    """Per team-week, PROE and the pace proxy ``30 / n * 60`` (X9, X10) over dropbacks outside
+    the last 120 seconds of a half."""
+    base = pbp.filter(fb.flag("qb_dropback") & (F.col("half_seconds_remaining") > 120))
+    return base.groupBy("season", "week", "season_type", F.col("posteam").alias("team")).agg(
+        (F.avg(F.col("pass").cast("int")) - F.avg("xpass")).alias("proe_neutral"),
+        (F.lit(30.0) / F.count(F.lit(1)) * 60.0).alias("sec_per_play_neutral"))
 
 
 def opponent_adjusted(pbp: DataFrame) -> DataFrame:
@@ -124,12 +231,30 @@ def penalties_by_team(pbp: DataFrame) -> DataFrame:
         F.sum(F.coalesce("penalty_yards", F.lit(0.0))).alias("penalty_yards"))
 
 
-def team_context(pbp: DataFrame) -> DataFrame:
-    """Team denominators per week (X8 pass attempts exclude sacks)."""
-    return pbp.groupBy("season", "week", "season_type", F.col("posteam").alias("team")).agg(
-        F.count(F.lit(1)).alias("plays"), csum(fb.is_pass_attempt_context()).alias("team_pass_attempts"),
-        csum(fb.flag("rush_attempt")).alias("team_rush_attempts"), csum(fb.is_target()).alias("team_targets"),
-        csum(fb.flag("pass")).alias("team_dropbacks"))
+def team_context(pbp: DataFrame, snaps: DataFrame, context: str = "attempts") -> DataFrame:
+    """Team denominators per week with the team's offense snaps: D66 (``attempts``: pass attempts
+    without sacks, X8, and rush attempts) or D76 (``flags``: plain pass and rush flags)."""
+    passes, rushes = ((fb.is_pass_attempt_context(), fb.flag("rush_attempt")) if context == "attempts"
+                      else (fb.flag("pass"), fb.flag("rush")))
+    counts = pbp.groupBy("season", "week", "season_type", F.col("posteam").alias("team")).agg(
+        csum(fb.flag("qb_dropback")).alias("team_dropbacks"), csum(passes).alias("team_pass_attempts"),
+        csum(rushes).alias("team_carries"))
+    most = snaps.groupBy("season", "week", "team").agg(F.max("offense_snaps").alias("team_offense_snaps"))
+    return counts.join(most, ["season", "week", "team"], "left")
+
+
+def formation_target_shares(pbp: DataFrame) -> DataFrame:
+    """A player's share of the team's targets from shotgun and without a huddle."""
+    team = ["season", "week", "season_type", "team"]
+    t = fb.is_target()
+    per = pinned(pbp.groupBy(*team[:-1], F.col("posteam").alias("team"), F.col("receiver_player_id").alias("player_id")).agg(
+        csum(t & fb.flag("shotgun")).alias("shotgun_targets"), csum(t & fb.flag("no_huddle")).alias("no_huddle_targets")))
+    total = per.groupBy(*team).agg(F.sum("shotgun_targets").alias("team_shotgun"),
+                                   F.sum("no_huddle_targets").alias("team_no_huddle"))
+    return null_safe_join(per, total, team, "inner").select(
+        *team, "player_id", "shotgun_targets", "no_huddle_targets",
+        share("shotgun_targets", "team_shotgun").alias("shotgun_target_share"),
+        share("no_huddle_targets", "team_no_huddle").alias("no_huddle_target_share"))
 
 
 def personnel_target_shares(pbp: DataFrame) -> DataFrame:

@@ -7,19 +7,54 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.columns import r6
 from gridmart.plans import adapters as ad
+from gridmart.plans import environment as env
 from gridmart.plans import driver as d
 from gridmart.plans import league as lg
 from gridmart.plans.registry import register
 from gridmart.sources.tables import table
 
-_Q = ("COALESCE(pass = 1, false) OR COALESCE(rush = 1, false)) AND NOT COALESCE(qb_spike = 1, false) "
-      "AND NOT COALESCE(qb_kneel = 1, false) AND NOT COALESCE(play_deleted = 1, false")
-QUAL = f"(({_Q}))"
+QUAL = ("((pass = 1 OR rush_attempt = 1) AND qb_spike <> 1 AND qb_kneel <> 1 AND play_deleted <> 1)")
 NEUTRAL = ("((CASE WHEN posteam = home_team THEN home_wp ELSE away_wp END) BETWEEN 0.35 AND 0.65 "
            "AND abs(score_differential) <= 7 AND down IN (1, 2) "
            "AND NOT COALESCE(qtr IN (2, 4) AND quarter_seconds_remaining <= 120, false))")
 TRUE_PLAY = "(play = 1 AND COALESCE(aborted_play, 0) = 0)"
-EXPLOSIVE = "((pass = 1 AND yards_gained >= 20) OR (rush = 1 AND yards_gained >= 10))"
+
+# Team-games of qualifying plays (g_...), the games' scores, and means at six decimals.
+_GAPS = f"""
+q AS (SELECT *, {NEUTRAL} AS is_neutral, rush_attempt = 1 AS is_rush, pass = 1 AS is_pass FROM plays WHERE {QUAL}),
+gaps AS (SELECT * REPLACE (CASE WHEN gap >= 0 THEN least(gap, 45) END AS gap) FROM (
+  SELECT *, lag(game_seconds_remaining) OVER (PARTITION BY season, week, game_id, posteam
+             ORDER BY order_sequence, game_seconds_remaining DESC, epa) - game_seconds_remaining AS gap FROM q)),
+scores AS (SELECT season, week, game_id, MAX(total_home_score) + MAX(total_away_score) AS points,
+                  COUNT(*) FILTER (touchdown = 1) AS tds FROM plays GROUP BY ALL)"""
+
+
+def _team_games(extra: str = "") -> str:
+    return f"""
+tg AS (
+  SELECT season, week, game_id, posteam{extra}, COUNT(*) AS plays, AVG(epa) AS epa_all,
+         AVG(epa) FILTER (is_pass) AS epa_pass, AVG(epa) FILTER (is_rush) AS epa_rush, AVG(no_huddle) AS no_huddle_rate,
+         AVG(shotgun) AS shotgun_rate, SUM(gap) / COUNT(gap) AS sec_per_play_all,
+         SUM(gap) FILTER (is_neutral) / NULLIF(COUNT(gap) FILTER (is_neutral), 0) AS sec_per_play_neutral,
+         AVG(pass) FILTER (is_neutral) - AVG(xpass) FILTER (is_neutral) AS proe,
+         COUNT(*) FILTER (is_pass) AS n_pass, COUNT(*) FILTER (is_rush) AS n_rush,
+         COUNT(*) FILTER (is_pass AND yards_gained >= 20) AS pass_20,
+         COUNT(*) FILTER (is_rush AND yards_gained >= 10) AS rush_10,
+         COUNT(*) FILTER (is_rush AND yards_gained >= 15) AS rush_15,
+         SUM(epa) FILTER (is_pass AND epa > 0) AS pass_gain, SUM(epa) FILTER (is_rush AND epa > 0) AS rush_gain,
+         SUM(epa) FILTER (is_pass AND epa > 0 AND yards_gained >= 20) AS pass_gain_20,
+         SUM(epa) FILTER (is_rush AND epa > 0 AND yards_gained >= 10) AS rush_gain_10
+  FROM gaps GROUP BY ALL)"""
+
+
+def _mean6(c: str, alias: str | None = None) -> str:
+    return f"round(CAST(SUM(CAST(round({c}, 6) AS DECIMAL(24,6))) AS DOUBLE) / COUNT({c}), 6) AS {alias or c}"
+
+
+_TEAM_RATES = ", ".join(map(_mean6, lg.TEAM_RATES))
+_EXPLOSIVE = ("round(CAST(SUM(pass_20) AS DOUBLE) / NULLIF(SUM(n_pass), 0), 6) AS explosive_pass_rate, "
+              "round(CAST(SUM(rush_10) AS DOUBLE) / NULLIF(SUM(n_rush), 0), 6) AS explosive_rush10_rate")
+_EXPLOSIVE_15 = "round(CAST(SUM(rush_15) AS DOUBLE) / NULLIF(SUM(n_rush), 0), 6) AS explosive_rush15_rate"
 
 
 def _sql(body: str) -> str:
@@ -31,74 +66,112 @@ def _rounded(df: DataFrame) -> DataFrame:
                        for f in df.schema.fields])
 
 
-@register("league_by_week", _sql(f"""
-q AS (SELECT * FROM plays WHERE {QUAL}),
-pl AS (SELECT season, week, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(epa) AS epa_per_play,
-              AVG(CASE WHEN {NEUTRAL} THEN pass END) AS neutral_pass_rate,
-              CAST(SUM(CASE WHEN {NEUTRAL} THEN 1 ELSE 0 END) AS BIGINT) AS neutral_plays
-       FROM q GROUP BY ALL),
-tw AS (SELECT season, week, posteam, AVG(pass) - AVG(xpass) AS proe FROM q GROUP BY ALL),
-pr AS (SELECT season, week, AVG(proe) AS proe_mean, quantile_disc(proe, 0.5) AS proe_median,
-              quantile_disc(proe, 0.75) - quantile_disc(proe, 0.25) AS proe_iqr FROM tw GROUP BY ALL),
-gp AS (SELECT season, week, game_id, MAX(total_home_score) + MAX(total_away_score) AS pts FROM plays GROUP BY ALL),
-gs AS (SELECT season, week, COUNT(*) AS games, AVG(pts) AS points_per_game FROM gp GROUP BY ALL)
-SELECT season, week, plays, round(pass_rate, 6) AS pass_rate, round(epa_per_play, 6) AS epa_per_play,
-       round(neutral_pass_rate, 6) AS neutral_pass_rate, neutral_plays, round(proe_mean, 6) AS proe_mean,
-       round(proe_median, 6) AS proe_median, round(proe_iqr, 6) AS proe_iqr, games,
-       round(points_per_game, 6) AS points_per_game
-FROM pl JOIN pr USING (season, week) JOIN gs USING (season, week)
+@register("league_by_week", _sql(f"""{_GAPS.strip()}, {_team_games()},
+a AS (SELECT season, week, round(AVG(plays), 6) AS plays_pg, {_mean6("sec_per_play_neutral")}, {_TEAM_RATES}, {_EXPLOSIVE},
+             {_EXPLOSIVE_15}, round(COALESCE(SUM(pass_gain_20), 0) / NULLIF(SUM(pass_gain), 0), 6) AS explosive_epa_share_pass,
+             round(COALESCE(SUM(rush_gain_10), 0) / NULLIF(SUM(rush_gain), 0), 6) AS explosive_epa_share_rush,
+             {_mean6("proe", "proe_mean")}, round(quantile_disc(proe, 0.75) - quantile_disc(proe, 0.25), 6) AS proe_iqr
+      FROM tg GROUP BY ALL),
+p AS (SELECT season, week, round(AVG(points), 6) AS ppg, round(AVG(tds), 6) AS tds_pg FROM scores GROUP BY ALL)
+SELECT * FROM a JOIN p USING (season, week)
 """))
 def league_by_week(spark: SparkSession, sf: str) -> DataFrame:
-    """D20 (P6, P8, W5-free, A9, A12, A13, J1)."""
+    """D20 (P6, P8, W5, X12, X13, A9, A12, A13, J1)."""
     return _rounded(lg.league_by_week(ad.plays_view(spark, sf)))
 
 
-@register("league_yoy", _sql(f"""
-q AS (SELECT * FROM plays WHERE {QUAL}),
-s AS (SELECT season, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(epa) AS epa_per_play,
-             AVG(CASE WHEN {EXPLOSIVE} THEN 1.0 ELSE 0.0 END) AS explosive_rate,
-             SUM(CASE WHEN {EXPLOSIVE} THEN epa ELSE 0.0 END) / NULLIF(SUM(epa), 0) AS explosive_epa_share
+@register("league_yoy", _sql(f"""{_GAPS.strip()}, {_team_games()},
+p AS (SELECT season, round(AVG(points), 6) AS ppg FROM (
+        SELECT season, game_id, MAX(total_home_score) + MAX(total_away_score) AS points FROM plays GROUP BY ALL) GROUP BY ALL),
+e AS (SELECT season, round(AVG(pass), 6) AS pass_rate, round(AVG(epa), 6) AS epa_all,
+             round(AVG(epa) FILTER (is_pass), 6) AS epa_pass, round(AVG(epa) FILTER (is_rush), 6) AS epa_rush
       FROM q GROUP BY ALL),
-gp AS (SELECT season, game_id, MAX(total_home_score) + MAX(total_away_score) AS pts FROM plays GROUP BY ALL),
-gs AS (SELECT season, COUNT(*) AS games, AVG(pts) AS points_per_game FROM gp GROUP BY ALL)
-SELECT season, plays, round(pass_rate, 6) AS pass_rate, round(epa_per_play, 6) AS epa_per_play,
-       round(explosive_rate, 6) AS explosive_rate, round(explosive_epa_share, 6) AS explosive_epa_share,
-       games, round(points_per_game, 6) AS points_per_game
-FROM s JOIN gs USING (season)
+x AS (SELECT season, {_EXPLOSIVE} FROM tg GROUP BY ALL)
+SELECT * FROM e JOIN x USING (season) JOIN p USING (season)
 """))
 def league_yoy(spark: SparkSession, sf: str) -> DataFrame:
     """D21 (P6, A4, A13, X13)."""
     return _rounded(lg.league_yoy(ad.plays_view(spark, sf)))
 
 
-@register("league_by_class", _sql(f"""
-c AS (SELECT *, CASE WHEN upper(roof) IN ('DOME', 'CLOSED') THEN 'INDOOR'
-                     WHEN upper(roof) IN ('OUTDOORS', 'OPEN') THEN 'OUTDOOR' ELSE 'UNKNOWN' END AS roof_class
-      FROM plays),
-mm AS (SELECT season, week, roof_class, COUNT(*) AS plays, AVG(epa) AS epa_per_play, AVG(pass) AS pass_rate
-       FROM c WHERE {QUAL} GROUP BY ALL),
-g AS (SELECT season, week, roof_class, COUNT(DISTINCT game_id) AS games FROM c GROUP BY ALL)
-SELECT season, week, roof_class, plays, round(epa_per_play, 6) AS epa_per_play, round(pass_rate, 6) AS pass_rate, games
-FROM mm JOIN g USING (season, week, roof_class)
+_CLASS = ("CASE WHEN upper(roof) IN ('DOME', 'CLOSED') THEN 'INDOOR' WHEN upper(roof) IN ('OUTDOORS', 'OPEN') THEN 'OUTDOOR' "
+          "ELSE 'UNKNOWN' END")
+
+
+@register("league_by_class", _sql(f"""{_GAPS.strip()}, {_team_games(f", {_CLASS} AS roof_class")},
+j AS (SELECT tg.*, s.points, s.tds FROM tg JOIN scores s USING (season, week, game_id))
+SELECT season, week, roof_class, round(AVG(plays), 6) AS plays_pg, round(AVG(points), 6) AS ppg, round(AVG(tds), 6) AS tds_pg,
+       {_TEAM_RATES}, {_EXPLOSIVE}, {_EXPLOSIVE_15}
+FROM j GROUP BY ALL
 """))
 def league_by_class(spark: SparkSession, sf: str) -> DataFrame:
-    """D19 (P11 policy 'open is outdoor', P6, A12, J1)."""
+    """D19 (P11 policy 'open is outdoor', P6, W5, A12, J1)."""
     return _rounded(lg.league_by_class(ad.plays_view(spark, sf), "open_is_outdoor"))
 
 
+_PER_GAME = ["team_plays", "pass_plays", "explosive_passes", "explosive_rushes", "team_tds", "home_points", "away_points",
+             "total_points", "points_dome", "points_outdoor", "pass_rate"]
+
+
+@register("league_per_game", _sql(f"""
+t AS (SELECT season, game_id, posteam, COUNT(*) AS team_plays, COUNT(*) FILTER (pass = 1) AS pass_plays,
+             COUNT(*) FILTER (pass = 1 AND yards_gained >= 20) AS explosive_passes,
+             COUNT(*) FILTER (rush = 1 AND yards_gained >= 10) AS explosive_rushes, COUNT(*) FILTER (touchdown = 1) AS team_tds
+      FROM plays WHERE {TRUE_PLAY} GROUP BY ALL),
+g AS (SELECT season, game_id, MAX(total_home_score) AS home_points, MAX(total_away_score) AS away_points,
+             lower(MAX(roof)) IN ('dome', 'closed') AS indoor
+      FROM plays WHERE {TRUE_PLAY} GROUP BY ALL),
+j AS (SELECT t.*, home_points, away_points, home_points + away_points AS total_points,
+             CASE WHEN indoor THEN home_points + away_points END AS points_dome,
+             CASE WHEN NOT indoor THEN home_points + away_points END AS points_outdoor,
+             CAST(pass_plays AS DOUBLE) / team_plays AS pass_rate,
+             CAST(explosive_passes AS DOUBLE) / team_plays AS explosive_play_rate,
+             CAST(explosive_rushes AS DOUBLE) / team_plays AS explosive_rush_rate
+      FROM t JOIN g USING (season, game_id))
+SELECT season, {", ".join(_mean6(c, f"avg_{c}") for c in (*_PER_GAME, "explosive_play_rate", "explosive_rush_rate"))},
+       {", ".join(f"round(CAST(MEDIAN({c}) AS DOUBLE), 6) AS med_{c}" for c in _PER_GAME)}
+FROM j GROUP BY season
+"""))
+def league_per_game(spark: SparkSession, sf: str) -> DataFrame:
+    """D22 (P7, A8, A12, J1): means and exact medians of team-games and games by season."""
+    return _rounded(lg.league_per_game(ad.plays_view(spark, sf)))
+
+
 @register("rate_over_expected", _sql(f"""
-dd AS (SELECT * FROM plays WHERE {QUAL} AND NOT COALESCE(half_seconds_remaining <= 120, false)),
-a AS (SELECT season, week, posteam, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(xpass) AS xpass_rate
-      FROM dd GROUP BY ALL)
-SELECT season, week, posteam, plays, round(pass_rate, 6) AS pass_rate, round(xpass_rate, 6) AS xpass_rate,
-       round(pass_rate - xpass_rate, 6) AS proe, round(1800.0 / plays, 6) AS sec_per_play_proxy
-FROM a
+SELECT season, posteam AS team, round(AVG(pass), 6) AS pass_rate, round(AVG(xpass), 6) AS exp_pass_rate,
+       round(AVG(pass_oe), 6) AS proe
+FROM plays WHERE {TRUE_PLAY} GROUP BY ALL
 """))
 def rate_over_expected(spark: SparkSession, sf: str) -> DataFrame:
-    """D33 / D75."""
+    """Pass rate over expected per team on true plays."""
     return _rounded(lg.rate_over_expected(ad.plays_view(spark, sf)))
 
 
+@register("team_proe_and_pace", _sql("""
+SELECT season, week, season_type, posteam AS team, round(AVG(pass) - AVG(xpass), 6) AS proe_neutral,
+       round(30.0::DOUBLE / COUNT(*) * 60.0, 6) AS sec_per_play_neutral
+FROM plays WHERE qb_dropback = 1 AND half_seconds_remaining > 120 GROUP BY ALL
+"""))
+def team_proe_and_pace(spark: SparkSession, sf: str) -> DataFrame:
+    """D75 (X9, X10): dropbacks outside the last two minutes of a half."""
+    return _rounded(lg.team_proe_and_pace(ad.plays_view(spark, sf)))
+
+
+@register("formation_target_shares", _sql("""
+p AS (SELECT season, week, season_type, posteam AS team, receiver_player_id AS player_id,
+             COUNT(*) FILTER (pass = 1 AND receiver_player_id IS NOT NULL AND shotgun = 1) AS sg,
+             COUNT(*) FILTER (pass = 1 AND receiver_player_id IS NOT NULL AND no_huddle = 1) AS nh
+      FROM plays GROUP BY ALL)
+SELECT season, week, season_type, team, player_id, sg AS shotgun_targets, nh AS no_huddle_targets,
+       round(sg / NULLIF(SUM(sg) OVER w, 0), 6) AS shotgun_target_share,
+       round(nh / NULLIF(SUM(nh) OVER w, 0), 6) AS no_huddle_target_share
+FROM p WINDOW w AS (PARTITION BY season, week, season_type, team)
+"""))
+def formation_target_shares(spark: SparkSession, sf: str) -> DataFrame:
+    """D64 (A14, X6): shotgun and no-huddle target shares."""
+    return _rounded(lg.formation_target_shares(ad.plays_view(spark, sf)))
+
+
 @register("opponent_adjusted", _sql(f"""
 q AS (SELECT * FROM plays WHERE {TRUE_PLAY}),
 al AS (SELECT season, defteam, CAST(round(AVG(epa), 6) AS DECIMAL(18,6)) AS opp_epa_allowed FROM q GROUP BY ALL)
@@ -133,17 +206,25 @@ def agg_coalesced_key(spark: SparkSession, sf: str) -> DataFrame:
     return lg.penalties_by_team(ad.plays_view(spark, sf))
 
 
-@register("team_context", _sql("""
-SELECT season, week, season_type, posteam AS team, COUNT(*) AS plays,
-       CAST(SUM(CASE WHEN pass_attempt = 1 AND NOT COALESCE(sack = 1, false) THEN 1 ELSE 0 END) AS BIGINT) AS team_pass_attempts,
-       CAST(SUM(CASE WHEN rush_attempt = 1 THEN 1 ELSE 0 END) AS BIGINT) AS team_rush_attempts,
-       CAST(SUM(CASE WHEN pass = 1 AND receiver_player_id IS NOT NULL THEN 1 ELSE 0 END) AS BIGINT) AS team_targets,
-       CAST(SUM(CASE WHEN pass = 1 THEN 1 ELSE 0 END) AS BIGINT) AS team_dropbacks
-FROM plays GROUP BY ALL
-"""))
+def _context_sql(passes: str, rushes: str) -> str:
+    return d.with_sql(*ad.SQL_FOOTBALL, ad.SQL_PLAYS, ad.SQL_SNAPS, f"""
+c AS (SELECT season, week, season_type, posteam AS team, COUNT(*) FILTER (qb_dropback = 1) AS team_dropbacks,
+             COUNT(*) FILTER ({passes}) AS team_pass_attempts, COUNT(*) FILTER ({rushes}) AS team_carries
+      FROM plays GROUP BY ALL)
+SELECT * FROM c LEFT JOIN (SELECT season, week, team, MAX(offense_snaps) AS team_offense_snaps FROM snap_counts GROUP BY ALL)
+  USING (season, week, team)""")
+
+
+@register("team_context", _context_sql("pass_attempt = 1 AND sack = 0", "rush_attempt = 1"))
 def team_context(spark: SparkSession, sf: str) -> DataFrame:
-    """D66 / D76 (X8): team denominators per week."""
-    return lg.team_context(ad.plays_view(spark, sf))
+    """D66 (X8, J2): team denominators per week with offense snaps."""
+    return lg.team_context(ad.plays_view(spark, sf), ad.snap_counts_view(spark, sf))
+
+
+@register("team_context_flags", _context_sql("pass = 1", "rush = 1"))
+def team_context_flags(spark: SparkSession, sf: str) -> DataFrame:
+    """As D66 from the plain pass and rush flags."""
+    return lg.team_context(ad.plays_view(spark, sf), ad.snap_counts_view(spark, sf), "flags")
 
 
 @register("share_conditional", _sql("""
@@ -189,6 +270,49 @@ def filtered_counts(spark: SparkSession, sf: str) -> DataFrame:
             .groupBy("season", "posteam").agg(F.countDistinct("game_id").alias("indoor_games")))
 
 
+_ROOFS = """
+later AS (SELECT * REPLACE (season + 29 AS season) FROM plays WHERE play = 1 AND season_type = 'REG'),
+spelled AS (SELECT season, game_id, upper(MAX(COALESCE(roof, ''))) AS roof FROM later GROUP BY ALL),
+placed AS (
+  SELECT s.season, s.week, s.game_id, s.home_team, s.away_team, p.roof IS NOT NULL AS from_plays,
+         CASE WHEN p.roof IS NOT NULL THEN p.roof ELSE upper(COALESCE(s.roof, '')) END AS roof
+  FROM schedules s LEFT JOIN spelled p USING (season, game_id)),
+sides AS (SELECT *, home_team AS team, 'HOME' AS side FROM placed
+          UNION ALL SELECT *, away_team, 'AWAY' FROM placed)"""
+
+
+def _roof_case(new_rule: bool) -> str:
+    from gridmart.functions.classify import ROOF_POLICIES
+
+    def branches(policy: str, season: str) -> str:
+        return " ".join(f"WHEN {season} AND roof IN ({', '.join(map(repr, members))}) THEN '{name}'"
+                        for name, members in ROOF_POLICIES[policy].items())
+
+    later = branches("retractable_is_indoor", "season >= 2025") if new_rule else ""
+    return f"CASE {later} {branches('open_is_retractable', 'season < 2025' if new_rule else 'true')} ELSE 'UNKNOWN' END"
+
+
+def _seasons_later(p: DataFrame) -> DataFrame:
+    return p.withColumn("season", F.col("season") + 29)
+
+
+@register("team_roof_games", d.with_sql(*ad.SQL_FOOTBALL, ad.SQL_PLAYS, ad.SQL_SCHEDULES, _ROOFS, f"""
+SELECT season, team, roof_class, COUNT(DISTINCT game_id) AS games
+FROM (SELECT season, team, game_id, {_roof_case(False)} AS roof_class FROM sides) GROUP BY ALL"""))
+def team_roof_games(spark: SparkSession, sf: str) -> DataFrame:
+    """D26 (J14, U1, P11): roof games of a team, the plays' roof before the schedule's."""
+    return env.team_roof_games(_seasons_later(ad.plays_view(spark, sf)), ad.schedules_view(spark, sf))
+
+
+@register("team_roof_games_by_week", d.with_sql(*ad.SQL_FOOTBALL, ad.SQL_PLAYS, ad.SQL_SCHEDULES, _ROOFS, f"""
+SELECT season, week, team, side, roof_class, COUNT(DISTINCT game_id) AS games,
+       COUNT(DISTINCT CASE WHEN from_plays THEN game_id END) AS games_from_plays
+FROM (SELECT season, week, team, side, game_id, from_plays, {_roof_case(True)} AS roof_class FROM sides) GROUP BY ALL"""))
+def team_roof_games_by_week(spark: SparkSession, sf: str) -> DataFrame:
+    """By week and side, with the 2025 rule and how many roofs the plays gave."""
+    return env.team_roof_games_by_week(_seasons_later(ad.plays_view(spark, sf)), ad.schedules_view(spark, sf))
+
+
 _REC_SUMS = ["targets", "end_zone_targets", "rz20_targets", "rz10_targets", "rz5_targets"]
 _REC_MEANS = ["target_share", "shotgun_target_share", "p11_target_share", "adot"]
 
