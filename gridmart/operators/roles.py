@@ -1,9 +1,10 @@
-"""One pass over events for measures at several grains (passer, receiver, rusher, team, ...).
+"""One pass over events for measures at several grains (receiver, rusher, drive, team, ...).
 
 An event counts for several parties. Instead of one scan and one aggregate per party, every
-event is exploded once into its roles and aggregated once on (keys, role, member): a role names
-the member column that its measures belong to. ``fold_roles`` then brings the roles of a member
-side by side, so no role tables are joined.
+event becomes one row per distinct member that it has (a player who is two of its parties is one
+row), and one aggregate on (keys, member) sums every role's measures where the member holds
+that role. Measures of the group itself are summed on an event's first row; ``group_totals``
+adds them up over the group's members, from the same aggregate.
 """
 
 from __future__ import annotations
@@ -16,50 +17,42 @@ from pyspark.sql import functions as F
 
 from gridmart.operators.once import pinned
 
-ROLE = "__role"
-
 
 @dataclass(frozen=True)
 class Role:
-    """``member``: whom the event's measures belong to (cast to text); events for which
-    ``where`` is not true have no such role. ``sums`` / ``maxima``: measure -> value per event."""
+    """``member``: whose measures these are (text, NULL: the event has no such role); ``sums`` /
+    ``maxima``: measure -> value per event."""
 
     member: Column
     sums: Mapping[str, Column] = field(default_factory=dict)
     maxima: Mapping[str, Column] = field(default_factory=dict)
-    where: Column | None = None
 
 
 def role_aggregate(events: DataFrame, keys: Sequence[str], roles: Mapping[str, Role],
-                   member: str = "member") -> DataFrame:
-    """``keys``, ``__role``, ``member`` and every role's measures (NULL for other roles). The
-    aggregate combines on the map side, so a member or team with a third of all events costs
-    one row per map task; measures that nobody reads are pruned."""
-    role = F.col(ROLE)
-    who, where = None, None
+                   group_sums: Mapping[str, Column], member: str = "member") -> DataFrame:
+    """One row per (``keys``, ``member``) with its measures (NULL for roles that it never held)
+    and its part of ``group_sums``; events without any member land in a NULL member's row.
+
+    Roles without a measure are left out. The aggregate combines on the map side, so a member or
+    group with a third of all events costs a row per map task. The result is pinned: members and
+    groups may be read apart without a second pass.
+    """
+    roles = {name: r for name, r in roles.items() if r.sums or r.maxima}
+    # The members stand beside the event before it is exploded, so each is computed once.
+    ids = {name: f"__id_{name}" for name in roles}
+    named = events.withColumns({ids[n]: r.member for n, r in roles.items()})
+    who = F.array_distinct(F.array_compact(F.array(*[F.col(c) for c in ids.values()])))
+    long = named.select("*", F.posexplode_outer(who).alias("__pos", "__who"))
+    first = F.coalesce(F.col("__pos") == 0, F.lit(True))
+    aggs = []
     for name, r in roles.items():
-        mine = role == name
-        who = F.when(mine, r.member) if who is None else who.when(mine, r.member)
-        if r.where is not None:
-            where = (~mine | r.where) if where is None else where & (~mine | r.where)
-    long = events.withColumn(ROLE, F.explode(F.array(*[F.lit(n) for n in roles])))
-    if where is not None:
-        long = long.filter(where)
-    aggs = [how(F.when(role == name, value)).alias(m)
-            for name, r in roles.items()
-            for how, measures in ((F.sum, r.sums), (F.max, r.maxima)) for m, value in measures.items()]
-    return long.withColumn(member, who).groupBy(*keys, ROLE, member).agg(*aggs)
+        mine = F.col("__who") == F.col(ids[name])
+        aggs += [F.sum(F.when(mine, v)).alias(m) for m, v in r.sums.items()]
+        aggs += [F.max(F.when(mine, v)).alias(m) for m, v in r.maxima.items()]
+    aggs += [F.sum(F.when(first, v)).alias(m) for m, v in group_sums.items()]
+    return pinned(long.groupBy(*keys, F.col("__who").alias(member)).agg(*aggs))
 
 
-def fold_roles(long: DataFrame, keys: Sequence[str], roles: Mapping[str, Role], of_group: Sequence[str] = (),
-               member: str = "member", extra: Mapping[str, Column] | None = None) -> DataFrame:
-    """One row per (keys, member) with all its roles' measures; roles in ``of_group`` are summed
-    into the row of the group itself (``member`` NULL, ``is_group`` true), so other roles must
-    leave out events without a member. ``extra``: further aggregates over a member's role rows.
-    Pinned, so members and groups may be read apart without a second pass over the events."""
-    group = F.col(ROLE).isin(list(of_group))
-    named = long.withColumns({member: F.when(~group, F.col(member)), "is_group": group})
-    aggs = [F.sum(m).alias(m) for r in roles.values() for m in r.sums]
-    aggs += [F.max(m).alias(m) for r in roles.values() for m in r.maxima]
-    return pinned(named.groupBy(*keys, member).agg(
-        F.max("is_group").alias("is_group"), *aggs, *[c.alias(n) for n, c in (extra or {}).items()]))
+def group_totals(rows: DataFrame, keys: Sequence[str], measures: Sequence[str]) -> DataFrame:
+    """``group_sums`` of whole groups, from :func:`role_aggregate`'s rows."""
+    return rows.groupBy(*keys).agg(*[F.sum(m).alias(m) for m in measures])

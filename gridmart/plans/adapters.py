@@ -15,13 +15,14 @@ Every view grows with lineitem; nothing is sampled or capped.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart.operators.once import with_rollup
-from gridmart.operators.roles import Role, fold_roles, role_aggregate
+from gridmart.operators.roles import Role, role_aggregate
 from gridmart.plans import driver as d
 from gridmart.sources.tables import table
 
@@ -122,7 +123,8 @@ WEEKLY_COLUMNS = ["source", "player_name", "position", "opponent_team", "complet
                   "receiving_2pt_conversions", "air_yards_share", "wopr", "receiving_air_yards", "target_share"]
 
 
-def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], drives: bool = False) -> DataFrame:
+def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], measures: Sequence[str],
+                drives: bool = False) -> DataFrame:
     """:func:`gridmart.plans.marts.player_rows` of the two views in one scan of the lines.
 
     A line is a play and a part of a weekly stat line, so the stat line is one more role of the
@@ -135,7 +137,8 @@ def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], drives: bo
     e = _lines_opp(spark, sf) if opponent else d.lines_team(spark, sf).withColumns(
         {"opp": F.lit(None).cast("string"), "opp_key": F.lit(None).cast("bigint")})
     e = e.withColumn("p_name", F.lit(None).cast("string"))
-    stats, fed = _stat_values(), F.col("l_returnflag") != "R"
+    stats = _stat_values() if set(columns) & {*WEEKLY_COLUMNS[4:]} else {}
+    fed = F.col("l_returnflag") != "R"
     wanted = {c: v for c, v in stats.items()
               if c in columns or c in ("receptions", "attempts") and {"air_yards_share", "wopr"} & {*columns}
               or c in ("passing_yards", "attempts") and "receiving_air_yards" in columns
@@ -144,20 +147,19 @@ def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], drives: bo
     line = Role(_pid(), {"n_fed": F.when(fed, 1).otherwise(0), "n_bare": F.when(fed, 0).otherwise(1),
                          **{f"{side}_{c}": F.when(which, v) for c, v in wanted.items() for side, which in sides.items()}},
                 {f"{side}_opp": F.when(which, F.col("opp_key")) for side, which in sides.items()} if opponent else {})
-    roles = {**m.event_roles(drives), "stat_line": line}
-    play = [c for c in _play_columns() if c is not None]
-    events = e.select(*[c for c in e.columns if c not in ("season", "week", "p_name")], *play)
-    long = role_aggregate(events.drop("team").withColumnRenamed("posteam", "team"), m.TEAM_KEY, roles, "player_id")
-    if drives:
-        long = m.with_drive_pace(long)
-    ev = fold_roles(long, m.TEAM_KEY, roles, ["team"], "player_id", {k: f(k) for k, f in m.PACE.items()} if drives else {})
+    roles = {**m.event_roles(measures, drives), "stat_line": line}
+    lines = [c for c in e.columns if c not in ("season", "week", "p_name", "team")]
+    events = e.selectExpr(*lines, *play_columns())
+    ev = role_aggregate(events.withColumnRenamed("posteam", "team"), m.TEAM_KEY, roles, m.team_sums(measures),
+                        "player_id")
     chosen = {c: F.when(F.col("n_fed") > 0, F.col(f"fed_{c}")).otherwise(F.col(f"bare_{c}"))
               for c in (*wanted, *(["opp"] if opponent else []))}
     # Weekly columns stand in for event measures of the same name where both are asked for.
-    skipped = {*roles["stat_line"].sums, *roles["stat_line"].maxima, *m.TEAM_MEASURES, *m.PACE, *columns, "is_group"}
-    measures = [c for c in ev.columns if c not in skipped]
+    team = set(m.TEAM_MEASURES)
+    skipped = {*line.sums, *line.maxima, *team, *m.DRIVE_MEASURES, *columns}
+    events_only = [c for c in ev.columns if c not in skipped]
     rows = ev.filter(F.col("n_fed") + F.col("n_bare") > 0).select(
-        *measures, F.when(F.col("n_fed") > 0, "feed").alias("source"), *[v.alias(f"w_{c}") for c, v in chosen.items()],
+        *events_only, F.when(F.col("n_fed") > 0, "feed").alias("source"), *[v.alias(f"w_{c}") for c, v in chosen.items()],
         F.substring("player_id", 2, 20).try_cast("bigint").alias("__part"))
     # Null-safe, so that a filter on the position infers nothing below the pinned aggregate.
     rows = m.with_team_context(rows, ev).join(_parts(spark, sf), F.col("__part").eqNullSafe(F.col("p_partkey")), "left")
@@ -171,7 +173,7 @@ def player_rows(spark: SparkSession, sf: str, columns: Sequence[str], drives: bo
               "wopr": lambda: F.col("w_receptions") / F.col("w_attempts") * 0.7,
               "receiving_air_yards": lambda: F.col("w_passing_yards") - F.col("w_attempts") * 10,
               "target_share": lambda: F.col("w_targets") / 50.0}
-    kept = [c for c in rows.columns if c in measures or c in m.TEAM_MEASURES or c in m.PACE]
+    kept = [c for c in rows.columns if c in events_only or c in team or c == "team_sec_per_play"]
     return rows.select(*kept, *[weekly[c]().alias(c) if c in weekly else F.col(f"w_{c}").alias(c) for c in columns])
 
 
@@ -212,11 +214,6 @@ weekly AS (
 )"""
 
 
-def _name_variant() -> F.Column:
-    """Play-by-play spelling of the player's name: upper case on some feeds."""
-    return F.when(F.col("l_returnflag") == "A", F.upper("p_name")).otherwise(F.col("p_name"))
-
-
 def rosters_seasonal_view(spark: SparkSession, sf: str) -> DataFrame:
     """Seasonal rosters; the name is missing (NULL) for parts above size 25."""
     p = table(spark, sf, "part", "p_partkey", "p_name", "p_size").withColumn(
@@ -258,81 +255,21 @@ snap_counts AS (
 
 def plays_view(spark: SparkSession, sf: str) -> DataFrame:
     """Play-by-play rows with the pbp columns the marts read."""
-    return _enriched(spark, sf).select(*_play_columns())
-
-
-def _play_columns() -> list[F.Column]:
-    is_pass = F.col("l_linestatus") == "O"
-    scramble = ~is_pass & (F.col("l_linenumber") == 6)
-    pid = F.concat(F.lit("P"), F.col("l_partkey").cast("string"))
-    personnel = (F.when(F.col("l_partkey") % 4 == 0, "11").when(F.col("l_partkey") % 4 == 1, "12")
-                 .when(F.col("l_partkey") % 4 == 2, "21").otherwise("22"))
-    return [
-        F.concat(F.lit("G"), F.col("l_orderkey").cast("string")).alias("game_id"),
-        F.col("l_linenumber").cast("bigint").alias("play_id"),
-        (F.col("l_linenumber").cast("bigint") * 1_000_000_000 + F.col("l_partkey")).alias("order_sequence"),
-        # The clock jumps back on some plays and by over 45 seconds on others.
-        (3600 - F.col("l_linenumber").cast("bigint") * 25 - F.col("l_suppkey") % 40).alias("game_seconds_remaining"),
-        F.col("season").alias("year"), "season", "week", F.lit("REG").alias("season_type"),
-        F.col("team").alias("posteam"), F.col("opp").alias("defteam"),
-        F.when(is_pass, 1.0).otherwise(0.0).alias("pass"), F.when(is_pass, 0.0).otherwise(1.0).alias("rush"),
-        F.when(is_pass, 1.0).otherwise(0.0).alias("pass_attempt"),
-        # Scrambles (a sixth line that runs) are dropbacks without a rush attempt; laterals (quantity
-        # 7) are pass attempts without the pass flag's context: no two flags are the same.
-        F.when(is_pass | scramble, 0.0).otherwise(1.0).alias("rush_attempt"),
-        F.when(is_pass & (F.col("l_quantity") <= 2), 1.0).otherwise(0.0).alias("sack"),
-        F.when(is_pass, pid).alias("receiver_player_id"),
-        F.when(~is_pass, pid).alias("rusher_player_id"),
-        F.when(is_pass, _name_variant()).alias("receiver_player_name"),
-        F.when(~is_pass, _name_variant()).alias("rusher_player_name"),
-        F.when(is_pass & (F.col("l_returnflag") != "A"), F.col("l_quantity") - 10).alias("air_yards"),
-        (F.col("l_partkey") % 99 + 1).alias("yardline_100"),
-        ((F.col("l_linenumber") - 1) % 4 + 1).alias("down"),
-        (F.col("l_suppkey") % 10 + 1).alias("ydstogo"),
-        (F.col("l_orderkey") % 1800).alias("half_seconds_remaining"),
-        F.when(F.col("l_discount") >= 0.05, 1.0).otherwise(0.0).alias("shotgun"),
-        F.when(F.col("l_tax") == 0, 1.0).otherwise(0.0).alias("no_huddle"),
-        personnel.alias("offense_personnel"),
-        (F.col("l_quantity") - 5).alias("yards_gained"),
-        # EPA and expected pass rate are exact binary fractions, so sums over plays do not
-        # depend on summation order in any engine.
-        ((F.col("l_quantity") - 25) / 8.0).alias("epa"),
-        F.when(F.col("l_returnflag") == "R", 1.0).otherwise(0.0).alias("touchdown"),
-        F.when(F.col("l_tax") == 0.08, 0.0).otherwise(1.0).alias("play"), F.when(F.col("l_quantity") == 3, 1.0).otherwise(0.0).alias("aborted_play"),
-        F.when((F.col("l_quantity") == 50) & (F.col("l_returnflag") == "A"), 1.0).otherwise(0.0).alias("play_deleted"),
-        F.when(is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_spike"),
-        F.when(~is_pass & (F.col("l_quantity") == 1), 1.0).otherwise(0.0).alias("qb_kneel"),
-        (F.col("l_orderkey") % 4 + 1).alias("qtr"),
-        (F.col("l_orderkey") % 900).alias("quarter_seconds_remaining"),
-        (F.col("l_quantity") - 25).alias("score_differential"),
-        F.col("opp").alias("home_team"), F.col("team").alias("away_team"),
-        (F.col("l_discount") * 5 + 0.25).alias("home_wp"),
-        (F.lit(1.0) - (F.col("l_discount") * 5 + 0.25)).alias("away_wp"),
-        (F.floor(F.col("l_tax") * 100 + 0.5) / 16.0).alias("xpass"),
-        ((F.when(is_pass, 1.0).otherwise(0.0) - F.floor(F.col("l_tax") * 100 + 0.5) / 16.0) * 100).alias("pass_oe"),
-        F.when(F.col("l_quantity") > 25, 1.0).otherwise(0.0).alias("success"),
-        (F.when(F.col("o_orderpriority") == "1-URGENT", "dome").when(F.col("o_orderpriority") == "2-HIGH", "closed")
-         .when(F.col("o_orderpriority") == "3-MEDIUM", "open").when(F.col("o_orderpriority") == "5-LOW", "outdoors"))
-        .alias("roof"),
-        (F.when(F.col("o_orderstatus") == "F", "grass").when(F.col("o_orderstatus") == "O", "fieldturf")
-         .otherwise("a_turf")).alias("surface"),
-        F.col("l_quantity").alias("total_home_score"), (F.col("l_linenumber") * 7).cast("double").alias("total_away_score"),
-        F.when(F.col("l_returnflag") == "A", F.col("opp")).alias("penalty_team"),
-        F.when(F.col("l_returnflag") == "A", 1.0).otherwise(0.0).alias("penalty"),
-        F.col("o_orderpriority").alias("penalty_type"),
-        F.when(F.col("l_linenumber") < 6, F.col("l_linenumber") * 5.0).alias("penalty_yards"),
-        F.when(F.col("l_returnflag") != "A", F.col("l_quantity") > 40).alias("was_pressure"),
-        F.when(F.col("l_suppkey") % 3 == 0, "MAN_COVERAGE").when(F.col("l_suppkey") % 3 == 1, "ZONE_COVERAGE")
-        .alias("defense_man_zone_type"),
-        F.to_date("o_orderdate").alias("game_date"),
-        F.floor((F.col("l_linenumber") + 1) / 3).cast("bigint").alias("drive"),
-        (F.col("l_linenumber") % 3 + 2).alias("drive_play_count"),
-        F.concat((F.col("l_quantity").cast("bigint") % 10).cast("string"), F.lit(":"),
-                 F.lpad((F.col("l_orderkey") % 60).cast("string"), 2, "0")).alias("drive_time_of_possession"),
-        F.when((is_pass & (F.col("l_quantity") != 7)) | scramble, 1.0).otherwise(0.0).alias("qb_dropback"),
-        F.when(F.col("l_quantity").isin(48, 49), 1.0).otherwise(0.0).alias("field_goal_attempt"),
-        F.when(F.col("l_quantity") == 49, "good").when(F.col("l_quantity") == 48, "missed").alias("field_goal_result"),
-    ]
+    return _enriched(spark, sf).selectExpr(*play_columns())
+
+
+def play_columns() -> list[str]:
+    """The select list of ``SQL_PLAYS`` in Spark's dialect: one text for both engines, and one call
+    instead of hundreds of column calls."""
+    text = SQL_PLAYS[SQL_PLAYS.index("SELECT") + 6:SQL_PLAYS.rindex("FROM enriched")]
+    text = re.sub(r"(\d+\.\d+)", r"\1D", text.replace("AS VARCHAR", "AS STRING").replace("//", "div"))
+    items, depth, at = [], 0, 0
+    for i, c in enumerate(text):
+        depth += (c == "(") - (c == ")")
+        if c == "," and not depth:
+            items.append(text[at:i].strip())
+            at = i + 1
+    return [*items, text[at:].strip()]
 
 
 SQL_PLAYS = """

@@ -7,7 +7,9 @@ columns, so the Parquet scan prunes partitions (P1).
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Collection, Mapping, Sequence
+from functools import partial, reduce
+from operator import and_
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,7 +19,7 @@ from gridmart.functions import scoring
 from gridmart.functions.columns import csum, mmss_to_seconds, round_half_up, share
 from gridmart.operators.dedupe import dedupe_first
 from gridmart.operators.once import left_join_pinned, pinned
-from gridmart.operators.roles import Role, fold_roles, role_aggregate
+from gridmart.operators.roles import Role, group_totals, role_aggregate
 from gridmart.operators.shares import null_safe_join
 from gridmart.operators.unpivot import sides_to_long
 
@@ -115,73 +117,97 @@ def _one(cond: F.Column) -> F.Column:
     return F.when(cond, 1).otherwise(0)
 
 
-def _receiver_sums() -> dict[str, F.Column]:
+Wanted = Collection[str]
+
+
+def _built(measures: Mapping[str, Callable[[], F.Column]], wanted: Wanted) -> dict[str, F.Column]:
+    """Only the wanted expressions (building a column costs calls into the JVM)."""
+    return {k: make() for k, make in measures.items() if k in wanted}
+
+
+def _receiver_sums(wanted: Wanted) -> dict[str, F.Column]:
     """X1-X7, the air-yard sums behind aDOT and expected points from targets (0.6 deep, from
     15 air yards, else 0.4)."""
-    t, is_pass = fb.is_target(), fb.flag("pass")
-    counts = {
-        "targets": t, "end_zone_targets": fb.is_end_zone_target(),
-        **{f"rz{y}_targets": fb.in_red_zone(y) & t for y in (20, 10, 5)},
-        "third_fourth_down_targets": fb.late_down() & t, "ldd_targets": fb.long_late_down() & t,
-        "sdd_targets": fb.short_yardage() & t, "two_minute_targets": fb.within_half_seconds(120) & t,
-        "four_minute_targets": fb.within_half_seconds(240) & t, "shotgun_targets": fb.flag("shotgun") & t,
-        "no_huddle_targets": fb.flag("no_huddle") & t,
-        **{f"p{c}_targets": fb.personnel(c) & t for c in ("11", "12", "21")},
-        "cnt_air_targets": fb.is_air_target()}
-    return {**{k: _one(v) for k, v in counts.items()},
-            "sum_air_yards": F.when(fb.is_air_target(), F.col("air_yards")).otherwise(0),
-            "xfp_rec": F.when(is_pass & (F.col("air_yards") >= 15), 0.6).when(is_pass, 0.4).otherwise(0.0)}
-
-
-def _rusher_sums() -> dict[str, F.Column]:
+    t, air = fb.is_target(), fb.is_air_target()
+
+    def count(cond: Callable[[], F.Column]) -> Callable[[], F.Column]:
+        return lambda: _one(cond() & t)
+
+    return _built({
+        "targets": lambda: _one(t), "end_zone_targets": lambda: _one(fb.is_end_zone_target()),
+        **{f"rz{y}_targets": count(partial(fb.in_red_zone, y)) for y in (20, 10, 5)},
+        "third_fourth_down_targets": count(fb.late_down), "ldd_targets": count(fb.long_late_down),
+        "sdd_targets": count(fb.short_yardage), "two_minute_targets": count(partial(fb.within_half_seconds, 120)),
+        "four_minute_targets": count(partial(fb.within_half_seconds, 240)),
+        "shotgun_targets": count(partial(fb.flag, "shotgun")), "no_huddle_targets": count(partial(fb.flag, "no_huddle")),
+        **{f"p{c}_targets": count(partial(fb.personnel, c)) for c in ("11", "12", "21")},
+        "cnt_air_targets": lambda: _one(air),
+        "sum_air_yards": lambda: F.when(air, F.col("air_yards")).otherwise(0),
+        "xfp_rec": lambda: F.when(fb.flag("pass") & (F.col("air_yards") >= 15), 0.6)
+        .when(fb.flag("pass"), 0.4).otherwise(0.0)}, wanted)
+
+
+def _rusher_sums(wanted: Wanted) -> dict[str, F.Column]:
     """Carries by field zone and down, and expected points by zone (0.8 / 0.5 / 0.3 / 0.15)."""
     yl = F.col("yardline_100")
-    return {"carries": F.lit(1), **{f"rz{y}_carries": _one(fb.in_red_zone(y)) for y in (20, 10, 5)},
-            "third_fourth_down_carries": _one(fb.late_down()),
-            "xfp_rush": F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)}
-
-
-def _team_sums() -> dict[str, F.Column]:
-    """Denominators of the shares and the parts of PROE (dropbacks outside the last two minutes
-    of a half, X9)."""
-    t, rush = fb.is_target(), fb.flag("rush_attempt")
-    base = fb.flag("qb_dropback") & F.coalesce(F.col("half_seconds_remaining") > 120, F.lit(False))
-    counts = {
-        "team_targets": t, "team_targets_shotgun": t & fb.flag("shotgun"),
-        "team_targets_no_huddle": t & fb.flag("no_huddle"),
-        **{f"team_targets_p{c}": t & fb.personnel(c) for c in ("11", "12", "21")},
-        **{f"team_targets_rz{y}": t & fb.in_red_zone(y) for y in (20, 10, 5)},
-        "team_end_zone_targets": fb.is_end_zone_target(), "team_pass_attempts": fb.is_pass_attempt_context(),
-        "team_dropbacks": fb.flag("qb_dropback"), "team_carries": rush,
-        **{f"team_rz{y}_carries": rush & fb.in_red_zone(y) for y in (20, 10, 5)}, "style_plays": base}
-    return {**{k: _one(v) for k, v in counts.items()}, "style_pass": F.when(base, F.col("pass").cast("int")),
-            "style_n_pass": _one(base & F.col("pass").isNotNull()), "style_xpass": F.when(base, F.col("xpass")),
-            "style_n_xpass": _one(base & F.col("xpass").isNotNull())}
-
-
-def event_roles(drives: bool = False) -> dict[str, Role]:
-    """The parties of a play: its receiver, its rusher (``rush`` plays) and its team, which
-    counts by drive where drive facts are wanted."""
-    team = Role(F.concat_ws("/", "game_id", F.col("drive").cast("string")) if drives else F.lit(""), _team_sums(),
-                {"drive_plays": F.col("drive_play_count"), "drive_seconds": mmss_to_seconds("drive_time_of_possession"),
-                 "drive_known": F.col("game_id").isNotNull() & F.col("drive").isNotNull()} if drives else {})
-    return {"team": team,
-            "receiver": Role(F.col("receiver_player_id"), _receiver_sums(), where=F.col("receiver_player_id").isNotNull()),
-            "rusher": Role(F.col("rusher_player_id"), _rusher_sums(),
-                           where=fb.flag("rush") & F.col("rusher_player_id").isNotNull())}
-
-
-def with_drive_pace(long: DataFrame) -> DataFrame:
-    """Seconds per play of each drive (X11) at microsecond precision, once for every counted
-    play: ``pace_sum`` / ``pace_n`` is the play-weighted average (Q4), summed exactly."""
-    spp = F.when((F.col("drive_plays") > 0) & F.col("drive_seconds").isNotNull() & F.col("drive_known")
-                 & (F.col("style_plays") > 0),
-                 round_half_up(F.col("drive_seconds") / F.col("drive_plays"), 6).cast("decimal(18,6)"))
-    return long.withColumns({"pace_sum": spp * F.col("style_plays").cast("decimal(18,0)"),
-                             "pace_n": F.when(spp.isNotNull(), F.col("style_plays"))})
+    return _built({
+        "carries": lambda: F.lit(1),
+        **{f"rz{y}_carries": partial(lambda y: _one(fb.in_red_zone(y)), y) for y in (20, 10, 5)},
+        "third_fourth_down_carries": lambda: _one(fb.late_down()),
+        "xfp_rush": lambda: F.when(yl <= 5, 0.8).when(yl <= 10, 0.5).when(yl <= 20, 0.3).otherwise(0.15)}, wanted)
+
+
+def _styled() -> F.Column:
+    """Dropbacks outside the last two minutes of a half."""
+    return fb.flag("qb_dropback") & F.coalesce(F.col("half_seconds_remaining") > 120, F.lit(False))
+
+
+def team_sums(wanted: Wanted) -> dict[str, F.Column]:
+    """Denominators of the shares and the parts of PROE."""
+    t, rush, base = fb.is_target(), fb.flag("rush_attempt"), _styled()
+
+    def count(*conds: F.Column | Callable[[], F.Column]) -> Callable[[], F.Column]:
+        return lambda: _one(reduce(and_, [c() if callable(c) and not isinstance(c, F.Column) else c for c in conds]))
 
+    return _built({
+        "team_targets": count(t), "team_targets_shotgun": count(t, partial(fb.flag, "shotgun")),
+        "team_targets_no_huddle": count(t, partial(fb.flag, "no_huddle")),
+        **{f"team_targets_p{c}": count(t, partial(fb.personnel, c)) for c in ("11", "12", "21")},
+        **{f"team_targets_rz{y}": count(t, partial(fb.in_red_zone, y)) for y in (20, 10, 5)},
+        "team_end_zone_targets": count(fb.is_end_zone_target), "team_pass_attempts": count(fb.is_pass_attempt_context),
+        "team_dropbacks": count(partial(fb.flag, "qb_dropback")), "team_carries": count(rush),
+        **{f"team_rz{y}_carries": count(rush, partial(fb.in_red_zone, y)) for y in (20, 10, 5)},
+        "style_plays": count(base), "style_pass": lambda: F.when(base, F.col("pass").cast("int")),
+        "style_n_pass": lambda: _one(base & F.col("pass").isNotNull()),
+        "style_xpass": lambda: F.when(base, F.col("xpass")),
+        "style_n_xpass": lambda: _one(base & F.col("xpass").isNotNull())}, wanted)
 
-PACE = {"pace_sum": F.sum, "pace_n": F.sum}
+
+DRIVE_MARK = "drive "  # drives are members beside the players; no player id starts so
+
+
+def event_roles(wanted: Wanted, drives: bool = False) -> dict[str, Role]:
+    """The parties of a play: its receiver, its rusher (``rush`` plays) and, where drive facts are
+    wanted, its drive."""
+    roles = {"receiver": Role(F.col("receiver_player_id"), _receiver_sums(wanted)),
+             "rusher": Role(F.when(fb.flag("rush"), F.col("rusher_player_id")), _rusher_sums(wanted))}
+    if drives:
+        styled = _styled()
+        roles["drive"] = Role(
+            F.concat(F.lit(DRIVE_MARK), F.col("game_id"), F.lit("/"), F.col("drive").cast("string")),
+            {"drive_dropbacks": _one(styled)},
+            {"drive_plays": F.col("drive_play_count"), "drive_seconds": mmss_to_seconds("drive_time_of_possession")})
+    return roles
+
+
+def drive_pace(events: DataFrame) -> DataFrame:
+    """Seconds per play of the drives (X11) at microsecond precision, weighted by their counted
+    dropbacks (Q4) and summed exactly, per team-week."""
+    spp = F.when((F.col("drive_plays") > 0) & F.col("drive_seconds").isNotNull() & (F.col("drive_dropbacks") > 0),
+                 round_half_up(F.col("drive_seconds") / F.col("drive_plays"), 6).cast("decimal(18,6)"))
+    n = F.when(spp.isNotNull(), F.col("drive_dropbacks"))
+    return events.groupBy(*TEAM_KEY).agg(
+        (F.sum(spp * n.cast("decimal(18,0)")).cast("double") / F.sum(n)).alias("team_sec_per_play"))
 
 
 #: Play columns behind the measures; a season's file that lacks one counts as NULL there.
@@ -193,15 +219,13 @@ PLAY_COLUMNS = {
                      "xpass"], "double")}
 
 
-def event_rows(pbp: DataFrame, drives: bool = False) -> DataFrame:
-    """One scan of the plays: a row per player-week with all receiving and rushing measures
-    and a row per team-week (``is_group``) with the denominators."""
-    roles = event_roles(drives)
-    pbp = pbp.withColumns({c: F.lit(None).cast(t) for c, t in PLAY_COLUMNS.items() if c not in pbp.columns})
-    long = role_aggregate(pbp.withColumnRenamed("posteam", "team"), TEAM_KEY, roles, "player_id")
-    if drives:
-        long = with_drive_pace(long)
-    return fold_roles(long, TEAM_KEY, roles, ["team"], "player_id", {k: f(k) for k, f in PACE.items()} if drives else {})
+def event_rows(pbp: DataFrame, measures: Sequence[str], drives: bool = False) -> DataFrame:
+    """One scan of the plays: a row per player-week (and drive) with the wanted ``measures`` and
+    its part of its team-week's denominators (:func:`role_aggregate`)."""
+    there = set(pbp.columns)
+    pbp = pbp.withColumns({c: F.lit(None).cast(t) for c, t in PLAY_COLUMNS.items() if c not in there})
+    return role_aggregate(pbp.withColumnRenamed("posteam", "team"), TEAM_KEY, event_roles(measures, drives),
+                          team_sums(measures), "player_id")
 
 
 TEAM_MEASURES = [
@@ -209,29 +233,58 @@ TEAM_MEASURES = [
     "team_targets_p21", "team_targets_rz20", "team_targets_rz10", "team_targets_rz5", "team_end_zone_targets",
     "team_pass_attempts", "team_dropbacks", "team_carries", "team_rz20_carries", "team_rz10_carries",
     "team_rz5_carries", "style_plays", "style_pass", "style_n_pass", "style_xpass", "style_n_xpass"]
+DRIVE_MEASURES = ["drive_dropbacks", "drive_plays", "drive_seconds"]
 
 
 def with_team_context(players: DataFrame, events: DataFrame) -> DataFrame:
-    """``players`` with their team-week's denominators, from the team rows of ``events``."""
-    team = [c for c in (*TEAM_MEASURES, *PACE) if c in events.columns]
-    return left_join_pinned(players.drop(*team), events.filter("is_group").select(*TEAM_KEY, *team), TEAM_KEY)
+    """``players`` with their team-week's denominators, and pace where ``events`` hold drives."""
+    there = events.columns
+    team = [c for c in TEAM_MEASURES if c in there]
+    out = players.drop(*team)
+    if team:
+        out = left_join_pinned(out, group_totals(events, TEAM_KEY, team), TEAM_KEY)
+    if DRIVE_MEASURES[0] in there:
+        out = left_join_pinned(out, drive_pace(events), TEAM_KEY)
+    return out
 
 
-def player_rows(weekly: DataFrame, pbp: DataFrame, columns: Sequence[str], season: int | None = None,
-                season_type: str | None = None, drives: bool = False) -> DataFrame:
-    """Deduped weekly rows with ``columns``, their events and their team-week's denominators.
-    Each table is scanned once. Columns that nobody needs are dropped before the dedupe (rows
-    equal in the rest cannot differ)."""
+def player_rows(weekly: DataFrame, pbp: DataFrame, columns: Sequence[str], measures: Sequence[str],
+                season: int | None = None, season_type: str | None = None, drives: bool = False) -> DataFrame:
+    """Deduped weekly rows with ``columns``, their event ``measures`` and their team-week's
+    denominators. Each table is scanned once. Columns that nobody needs are dropped before the
+    dedupe (rows equal in the rest cannot differ)."""
     w = _eq_filters(weekly, season=season, season_type=season_type)
     w = dedupe_weekly(w.select(*WEEK_KEY, "source", *[c for c in columns if c != "source"]))
     if "source" not in columns:
         w = w.drop("source")
-    ev = event_rows(_eq_filters(pbp, year=season, season_type=season_type), drives)
+    ev = event_rows(_eq_filters(pbp, year=season, season_type=season_type), measures, drives)
     # A weekly column stands in for an event measure of the same name where it is asked for.
-    mine = ev.filter(~F.col("is_group")).drop("is_group", *TEAM_MEASURES, *PACE, *columns)
+    mine = ev.drop(*TEAM_MEASURES, *DRIVE_MEASURES, *columns)
     return with_team_context(left_join_pinned(w, mine, WEEK_KEY), ev)
 
 
+#: What each mart reads of the events.
+STYLE = ["style_plays", "style_pass", "style_n_pass", "style_xpass", "style_n_xpass"]
+_SITUATIONS = ("third_fourth_down", "ldd", "sdd", "two_minute", "four_minute")
+_FORMATIONS = ("shotgun", "no_huddle", "p11", "p12", "p21")
+_RECEIVED = ["targets", "end_zone_targets", *[f"rz{y}_targets" for y in (20, 10, 5)], *[f"{c}_targets" for c in _FORMATIONS],
+             "sum_air_yards", "cnt_air_targets", *[f"team_targets_{c}" for c in _FORMATIONS]]
+_ZONES = [f"rz{y}_carries" for y in (20, 10, 5)]
+EVENTS_65 = ["targets", "end_zone_targets", *[f"rz{y}_targets" for y in (20, 10, 5)], *[f"{c}_targets" for c in _SITUATIONS],
+             "carries", *_ZONES]
+MEASURES = {
+    "receiving": [*_RECEIVED, *[f"{c}_targets" for c in _SITUATIONS], "team_targets"],
+    "rushing": ["carries", *_ZONES, "team_carries", *[f"team_{z}" for z in _ZONES]],
+    "stats": ["sum_air_yards", "cnt_air_targets", "xfp_rec", "xfp_rush"],
+    "wide": [*_RECEIVED, *[f"{c}_targets" for c in _SITUATIONS], "team_targets", "team_end_zone_targets",
+             *[f"team_targets_rz{y}" for y in (20, 10, 5)], "team_pass_attempts", *STYLE],
+    "rb": ["carries", *_ZONES, "third_fourth_down_carries", "targets", "two_minute_targets", "team_carries",
+           "team_pass_attempts", *STYLE],
+    "all": [*_RECEIVED, *[f"{c}_targets" for c in _SITUATIONS], "carries", *_ZONES, "xfp_rec", "xfp_rush",
+            "team_pass_attempts", "team_dropbacks", "team_carries", *STYLE],
+}
+
+
 def team_proe() -> F.Column:
     """Pass rate minus expected pass rate over the counted dropbacks."""
     return share("style_pass", "style_n_pass") - share("style_xpass", "style_n_xpass")
@@ -283,7 +336,8 @@ def receiving_shares(rows: DataFrame) -> DataFrame:
 def receiving_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                           season_type: str | None = None) -> DataFrame:
     """Receiving splits and shares for every player in the deduped weekly table."""
-    return receiving_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type))
+    return receiving_shares(player_rows(weekly, pbp, ["player_name", "position"], MEASURES["receiving"], season,
+                                        season_type))
 
 
 def rushing_shares(rows: DataFrame) -> DataFrame:
@@ -298,7 +352,7 @@ def rushing_shares(rows: DataFrame) -> DataFrame:
 def rushing_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                         season_type: str | None = None) -> DataFrame:
     """Carries and red-zone carry shares against team rush-attempt totals."""
-    return rushing_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type))
+    return rushing_shares(player_rows(weekly, pbp, ["player_name", "position"], MEASURES["rushing"], season, season_type))
 
 
 # --- D2 player-week stats -----------------------------------------------------------------------
@@ -331,7 +385,7 @@ def player_week_stats(weekly: DataFrame, pbp: DataFrame, season: int | None = No
     """Deduped weekly stats, PPR and DK points, aDOT and expected points from one pass over
     the plays, typed NULL placeholders for route metrics."""
     columns = [c for c in weekly.columns if c not in WEEK_KEY]
-    return scored_weeks(player_rows(weekly, pbp, columns, season, season_type), columns)
+    return scored_weeks(player_rows(weekly, pbp, columns, MEASURES["stats"], season, season_type), columns)
 
 
 def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
@@ -384,7 +438,7 @@ def wide_shares(rows: DataFrame, position: str = "WR", variant: str = "wr",
         *[_share_of(f"{c}_targets", "team_pass_attempts").alias(f"{c}_target_share") for c in situational],
         *play_action, *_formation_shares(_share0_of), adot().alias("adot"),
         team_proe().alias("team_proe_neutral"),
-        (F.col("pace_sum").cast("double") / F.col("pace_n")).alias("team_sec_per_play_neutral"))
+        F.col("team_sec_per_play").alias("team_sec_per_play_neutral"))
 
 
 def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", variant: str = "wr",
@@ -394,7 +448,7 @@ def wide_utilization(weekly: DataFrame, pbp: DataFrame, position: str = "WR", va
     shares): receiving volume, route-based rates (NULL until a routes source is given,
     X15), situational shares against team pass attempts, formation and personnel shares,
     aDOT, team PROE and play-weighted seconds per play (X9, X11, Q4)."""
-    rows = player_rows(weekly, pbp, WIDE_COLUMNS, season, season_type, drives=True)
+    rows = player_rows(weekly, pbp, WIDE_COLUMNS, MEASURES["wide"], season, season_type, drives=True)
     return wide_shares(rows, position, variant, routes)
 
 
@@ -417,7 +471,7 @@ def rb_utilization(weekly: DataFrame, pbp: DataFrame, season: int | None = None,
                    season_type: str | None = None, position: str = "RB") -> DataFrame:
     """D3: carries and red-zone carries vs team rush attempts, targets vs team pass
     attempts (X8), team PROE and the pace proxy ``30 / dropbacks * 60`` (X10)."""
-    return rb_shares(player_rows(weekly, pbp, ["player_name", "position"], season, season_type), position)
+    return rb_shares(player_rows(weekly, pbp, ["player_name", "position"], MEASURES["rb"], season, season_type), position)
 
 
 # --- D79 / D80 tier shares ----------------------------------------------------------------------
@@ -510,11 +564,11 @@ def player_week_utilization(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame,
     ctx = pt.groupBy(*TEAM_KEY).agg(csum(fb.flag("qb_dropback")).alias("team_dropbacks"),
                                     csum(pa).alias("team_pass_attempts"), csum(car).alias("team_carries"))
     ctx = ctx.join(team_snaps, ["season", "week", "team"], "left")
-    rec, rush = (pt.filter(r.where).withColumn("player_id", r.member).groupBy(*WEEK_KEY)
+    rec, rush = (pt.withColumn("player_id", r.member).filter("player_id IS NOT NULL").groupBy(*WEEK_KEY)
                  .agg(*[F.sum(v).alias(k) for k, v in r.sums.items()])
-                 for r in (event_roles()[k] for k in ("receiver", "rusher")))
+                 for r in (event_roles(EVENTS_65)[k] for k in ("receiver", "rusher")))
     rec = rec.withColumnsRenamed({"team": "rec_team", "targets": "rec_targets"})
-    rush = rush.drop("third_fourth_down_carries").withColumnsRenamed({"team": "rush_team", "carries": "ev_carries"})
+    rush = rush.withColumnsRenamed({"team": "rush_team", "carries": "ev_carries"})
     pw = ["season", "week", "season_type", "player_id"]
     j = (w.join(sc, ["season", "week", "player_id"], "left").join(rec, pw, "left").join(rush, pw, "left")
          .withColumn("team_c", F.coalesce(F.col("team"), F.col("rec_team"), F.col("rush_team"))))
@@ -583,4 +637,4 @@ def utilization_all(weekly: DataFrame, pbp: DataFrame, snaps: DataFrame, routes:
     team had no such targets), carries and carry shares, aDOT, expected points (A17),
     team PROE / pace proxy (X9, X10) and the team denominators themselves. Every table is
     read once."""
-    return all_shares(player_rows(weekly, pbp, ALL_COLUMNS, season, season_type), snaps, routes)
+    return all_shares(player_rows(weekly, pbp, ALL_COLUMNS, MEASURES["all"], season, season_type), snaps, routes)

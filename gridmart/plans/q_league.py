@@ -345,7 +345,7 @@ FROM per JOIN lg USING (season)"""
 def rollup_sum_mean(spark: SparkSession, sf: str) -> DataFrame:
     """Season roll-up of the receiving mart (sums for counts, means for shares)."""
     from gridmart.plans import marts as m
-    util = m.receiving_shares(ad.player_rows(spark, sf, ["player_name", "position"]))
+    util = m.receiving_shares(ad.player_rows(spark, sf, ["player_name", "position"], m.MEASURES["receiving"]))
     return _rounded(lg.season_rollup(util, _REC_SUMS, _REC_MEANS))
 
 

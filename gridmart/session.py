@@ -26,6 +26,8 @@ SCALE_CONF = {
     "spark.sql.adaptive.autoBroadcastJoinThreshold": "32m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.parquet.compression.codec": "zstd",
+    # Recording the Python call site of every column costs more than planning a mart.
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
 }

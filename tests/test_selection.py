@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from gridmart.operators.asof import asof_nearest
 from gridmart.operators.once import pinned, with_rollup
 from gridmart.operators.quantiles import exact_quantiles
-from gridmart.operators.roles import Role, fold_roles, role_aggregate
+from gridmart.operators.roles import Role, group_totals, role_aggregate
 from gridmart.operators.stats import correlation, delta_summary
 
 START = dt.datetime(2024, 1, 1)
@@ -95,21 +95,20 @@ def test_correlation_guards(spark):
     assert "gap" not in got
 
 
-def _roles():
-    return {"team": Role(F.lit(""), {"n": F.lit(1)}),
-            "from": Role(F.col("a"), {"sent": F.lit(1), "amount": F.col("x")}, where=F.col("a").isNotNull()),
-            "to": Role(F.col("b"), {"got": F.lit(1)}, {"most": F.col("x")}, where=F.col("b").isNotNull())}
-
-
 def test_role_aggregate(spark):
-    rows = [("t", "p", "q", 1), ("t", "p", "p", 2), ("t", None, "q", 3), ("u", "p", None, 4)]
+    rows = [("t", "p", "q", 1), ("t", "p", "p", 2), ("t", None, "q", 3), ("u", "p", None, 4), ("u", None, None, 5)]
     df = spark.createDataFrame(rows, "team STRING, a STRING, b STRING, x INT")
-    folded = fold_roles(role_aggregate(df, ["team"], _roles()), ["team"], _roles(), ["team"])
-    got = {(r.team, r.member): r for r in folded.collect()}
+    roles = {"from": Role(F.col("a"), {"sent": F.lit(1), "amount": F.col("x")}),
+             "to": Role(F.col("b"), {"got": F.lit(1)}, {"most": F.col("x")})}
+    out = role_aggregate(df, ["team"], roles, {"n": F.lit(1), "all": F.col("x")})
+    got = {(r.team, r.member): r for r in out.collect()}
     assert (got["t", "p"].sent, got["t", "p"].amount, got["t", "p"].got, got["t", "p"].most) == (2, 3, 1, 2)
     assert (got["t", "q"].sent, got["t", "q"].got, got["t", "q"].most) == (None, 2, 3)
-    assert (got["t", None].n, got["t", None].is_group, got["u", None].n) == (3, True, 1)
-    assert len(got) == 5
+    assert set(got) == {("t", "p"), ("t", "q"), ("u", "p"), ("u", None)}
+    totals = {r.team: (r.n, r["all"]) for r in group_totals(out, ["team"], ["n", "all"]).collect()}
+    assert totals == {"t": (3, 6), "u": (2, 9)}
+    few = role_aggregate(df, ["team"], {"from": roles["from"], "idle": Role(F.col("b"))}, {})
+    assert few.columns == ["team", "member", "sent", "amount"] and few.count() == 4
 
 
 def test_pinned_results_may_be_read_any_number_of_times(spark, tmp_dir):
