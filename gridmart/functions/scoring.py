@@ -6,6 +6,10 @@ bonuses and NULL handling; none is a parameterisation of another.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import add
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -77,3 +81,40 @@ def rb_season() -> Column:
     """season-level RB points (rushing and receiving only)."""
     return (F.lit(0.1) * _z("rushing_yards") + F.lit(6.0) * _z("rushing_tds") + _z("receptions")
             + F.lit(0.1) * _z("receiving_yards") + F.lit(6.0) * _z("receiving_tds"))
+
+
+# Touchdowns that F5 counts as returns.
+RETURN_TDS = ("kick_return_tds", "punt_return_tds", "field_goal_return_tds")
+
+
+def dk_returns(columns: Sequence[str]) -> Column:
+    """as F2, but return touchdowns by kind, one fumbles column, one two-point column and
+    offensive fumble recovery touchdowns; a stat that the table lacks counts as 0."""
+    def z(name: str) -> Column:
+        return _z(name) if name in columns else F.lit(0.0)
+
+    returns = reduce(add, [z(c) for c in RETURN_TDS])
+    bonus = [F.when(z(c) >= at, F.lit(DK_BONUS)).otherwise(F.lit(0.0))
+             for c, at in (("passing_yards", DK_PASS_BONUS_AT), ("rushing_yards", DK_RUSH_BONUS_AT),
+                           ("receiving_yards", DK_REC_BONUS_AT))]
+    return (F.lit(PASS_YD) * z("passing_yards") + F.lit(PASS_TD) * z("passing_tds") + F.lit(DK_INT) * z("interceptions")
+            + F.lit(RUSH_YD) * (z("rushing_yards") + z("receiving_yards"))
+            + F.lit(RUSH_TD) * (z("rushing_tds") + z("receiving_tds")) + F.lit(RECEPTION) * z("receptions")
+            + F.lit(DK_ST_TD) * (returns + z("offensive_fumble_recovery_tds"))
+            + F.lit(DK_FUMBLE) * z("fumbles_lost") + F.lit(DK_TWO_PT) * z("two_point_conversions") + reduce(add, bonus))
+
+
+# The passer rating's four parts, each between 0 and 2.375.
+RATING_MAX = 2.375
+
+
+def passer_rating(completions: str, attempts: str, yards: str, touchdowns: str, interceptions: str) -> Column:
+    """The passer rating with its clamps; NULL without an attempt."""
+    n = F.nullif(F.col(attempts).cast("double"), F.lit(0.0))
+
+    def clamp(x: Column) -> Column:
+        return F.greatest(F.lit(0.0), F.least(F.lit(RATING_MAX), x))
+
+    parts = [clamp((_z(completions) / n - 0.3) * 5), clamp((_z(yards) / n - 3) * 0.25), clamp(_z(touchdowns) / n * 20),
+             clamp(F.lit(RATING_MAX) - _z(interceptions) / n * 25)]
+    return F.when(n.isNotNull(), reduce(add, parts) / 6 * 100)

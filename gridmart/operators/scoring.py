@@ -12,12 +12,14 @@ Two plans for the same result:
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from types import SimpleNamespace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from gridmart.sources.rules import band, rules_rows
+
 
 def score_by_rules(stats: DataFrame, key: Sequence[str], rules: DataFrame,
                    metrics: Sequence[str], name: str = "points") -> DataFrame:
@@ -49,3 +51,49 @@ def score_with_rules(stats: DataFrame, rules: Sequence[tuple], name: str = "poin
             rate = r.per_yard if r.per_yard is not None else (r.points or 0.0)
             expr = expr + v * F.lit(rate)
     return stats.withColumn(name, expr)
+
+
+def step_points(value: F.Column, bands: Mapping[str, float]) -> F.Column:
+    """Points of the band that ``value`` falls into (``0``, ``1-6``, ..., ``35+``), 0 for NULL."""
+    expr = None
+    for label, points in bands.items():
+        low, high = band(label)
+        cond = F.lit(True)
+        if low is not None:
+            cond = cond & (value >= low)
+        if high is not None:
+            cond = cond & (value <= high)
+        expr = F.when(cond, F.lit(float(points))) if expr is None else expr.when(cond, F.lit(float(points)))
+    return F.coalesce(expr, F.lit(0.0))
+
+
+def section_points(section: Mapping[str, object], prefix: str) -> F.Column:
+    """A document section compiled into one expression over ``<prefix>_<item>`` columns: numbers
+    are points per unit, nested maps are step functions."""
+    total = F.lit(0.0)
+    for item, rule in section.items():
+        value = F.col(f"{prefix}_{item}").cast("double")
+        total = total + (step_points(value, rule) if isinstance(rule, Mapping)
+                         else F.coalesce(value, F.lit(0.0)) * F.lit(float(rule)))
+    return total
+
+
+def contest_points(stats: DataFrame, key: Sequence[str], document: Mapping, contest: str) -> DataFrame:
+    """``key``, contest, slot and points of every stat line whose position the contest scores:
+    kickers and defenses by their sections, others by the offense rules. With a captain
+    multiplier a line has one row per slot (``CPT``, ``FLEX``). A projection; no rules join."""
+    scoring, lineup = document["scoring"], document["lineup"]
+    own = {"K": "kicker", "DST": "dst"}
+    offense = {k: v for k, v in scoring.items() if k not in own.values()}
+    out = score_with_rules(stats, rules_rows(offense, {}, {}), "__offense")
+    points = F.col("__offense")
+    for position, section in own.items():
+        if section in scoring:
+            points = F.when(F.col("position") == position, section_points(scoring[section], section)).otherwise(points)
+        else:
+            out = out.filter(F.coalesce(F.col("position") != position, F.lit(True)))
+    captain = lineup.get("captain_multiplier")
+    slots = [("CPT", float(captain["points"])), ("FLEX", 1.0)] if captain else [(None, 1.0)]
+    each = F.explode(F.array(*[F.struct(F.lit(s).cast("string").alias("slot"), F.lit(f).alias("factor")) for s, f in slots]))
+    return out.select(*key, F.lit(contest).alias("contest"), points.alias("__p"), each.alias("__s")).select(
+        *key, "contest", "__s.slot", (F.col("__p") * F.col("__s.factor")).alias("points"))

@@ -24,10 +24,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gridmart import __version__
+from gridmart.operators.contracts import (SILVER_CONTRACTS, Contract, check_partitions, contract_rules,
+                                           passing_partitions, recorded)
 from gridmart.operators.dedupe import dedupe_latest, dedupe_most_complete, first_per_key, whole_row
 from gridmart.operators.quality import partition_stats
+from gridmart.operators.shares import null_safe_join
 from gridmart.operators.schema import normalise_common, union_harmonised
-from gridmart.sources.lake import list_partitions, read_dataset, write_partitions
+from gridmart.sources.lake import list_partitions, read_drifting_dataset, write_partitions
 from gridmart.sources.specs import DatasetSpec, SilverRule, required_keys, rule_for
 
 STAMP_COLUMNS = ("source", "pipeline_version", "run_id", "ingested_at")
@@ -143,33 +146,39 @@ def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec,
             on_violation: str = "raise") -> DataFrame:
     """Merge a landed batch into ``silver`` and rewrite only the touched partitions.
 
-    Returns the per-partition stats of what was written (M13), for the lineage log.
-    ``on_violation``: ``raise`` or ``skip`` (drop violating rows) (SURVEY Q11).
+    Returns the per-partition record of what was written (M13) with ``status``, ``violations`` and
+    the failing rules, for the lineage log. ``on_violation`` (SURVEY Q11): ``raise``, or ``skip``:
+    a partition with a violating row is not written, so its silver stays as it was, and it is
+    recorded with zero rows (M12).
     """
-    from gridmart.operators.quality import validate
     from gridmart.session import checkpoint_dir
 
     checkpoint_dir(spark)
     try:
-        existing = read_dataset(spark, root, "silver", spec.name)
+        existing = read_drifting_dataset(spark, root, "silver", spec.name)
     except FileNotFoundError:
         existing = None
     merged = merge_for_promotion(existing, batch, spec)
-    rules = validate_rows(merged, spec)
+    # Contract columns that are neither key nor partition of the spec need not be there.
+    needed = {*spec.key, *spec.partitions, *merged.columns}
+    contract = Contract({c: r for c, r in SILVER_CONTRACTS.get(spec.name, Contract()).columns.items() if c in needed})
+    rules = {**validate_rows(merged, spec), **contract_rules(merged, contract)}
     # Materialise the merged rows once under the shared checkpoint folder: the checks and the
-    # write read them, the write replaces what it reads, and the stats describe what was written.
+    # write read them, the write replaces what it reads, and the record describes what was written.
     merged = merged.checkpoint(eager=True)
+    parts = [p for p in spec.partitions if p in merged.columns]
+    report = check_partitions(merged, rules, parts)
     if on_violation == "raise":
-        bad = validate(merged, rules).filter(F.col("violations") > 0).limit(1).collect()
+        bad = report.filter("violations > 0").limit(1).collect()
         if bad:
-            raise ValueError(f"{spec.name}: rule {bad[0]['rule']} violated")
-    else:
-        ok = F.lit(True)
-        for cond in rules.values():
-            ok = ok & F.coalesce(cond, F.lit(False))
-        merged = merged.filter(ok)
-    write_partitions(merged, root, "silver", spec)
-    return partition_stats(merged, list(spec.partitions), [k for k in spec.key if k in merged.columns])
+            raise ValueError(f"{spec.name}: rules {sorted(bad[0]['failed'])} violated")
+    passing = passing_partitions(merged, report, parts) if parts else (
+        merged if report.filter("violations > 0").isEmpty() else merged.limit(0))
+    write_partitions(passing, root, "silver", spec)
+    stats = partition_stats(merged, parts, [k for k in spec.key if k in merged.columns]).drop("row_count")
+    log = recorded(report)
+    return null_safe_join(log, stats, parts, "left") if parts else log.withColumns(
+        {f.name: F.lit(v).cast(f.dataType) for f, v in zip(stats.schema.fields, stats.first(), strict=True)})
 
 
 def lineage_latest(log: DataFrame) -> DataFrame:

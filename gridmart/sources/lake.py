@@ -94,6 +94,16 @@ def read_drifting(spark: SparkSession, paths: Iterable[str], base_path: str | No
     return union_harmonised(frames)
 
 
+def read_drifting_dataset(spark: SparkSession, root: str, layer: str, dataset: str) -> DataFrame:
+    """S2 for a layer whose partitions were written at different times: one schema a partition
+    folder (its files come from one write), folders of one schema read together."""
+    base = dataset_path(root, layer, dataset)
+    if not _exists(spark, base):
+        raise FileNotFoundError(base)
+    folders = sorted({os.path.dirname(f) for f in spark.read.option("basePath", base).parquet(base).inputFiles()})
+    return read_drifting(spark, folders, base)
+
+
 def list_partitions(df: DataFrame, partitions: Sequence[str], first_level: object | None = None) -> DataFrame:
     """M4 / M3: distinct partition values (and the ``p=v/...`` path string) of a frame."""
     out = df.select(*partitions).distinct()
@@ -138,6 +148,8 @@ def read_precomputed(spark: SparkSession, path_without_ext: str) -> DataFrame:
 
 
 def save_dual(df: DataFrame, path_without_ext: str) -> None:
-    """K6: Parquet for machines plus one CSV file for people (the CSV is a small report)."""
+    """K6: Parquet for machines and a CSV folder for people, written from the Parquet (the mart is
+    computed once) by as many tasks as it has files."""
     df.write.mode("overwrite").parquet(path_without_ext + ".parquet")
-    df.coalesce(1).write.mode("overwrite").option("header", True).csv(path_without_ext + ".csv")
+    saved = df.sparkSession.read.schema(df.schema).parquet(path_without_ext + ".parquet")
+    saved.write.mode("overwrite").option("header", True).csv(path_without_ext + ".csv")

@@ -78,3 +78,28 @@ def _f(v):
 
 def rules_frame(spark: SparkSession, **kwargs) -> DataFrame:
     return spark.createDataFrame(rules_rows(**kwargs), RULES_SCHEMA)
+
+
+# Defense and kicker sections and line-ups of the Classic and Showdown documents.
+DST_SCORING = {
+    "sack": 1, "interception": 2, "fumble_recovery": 2, "safety": 2, "defensive_td": 6, "blocked_kick": 2,
+    "kick_punt_return_td": 6, "two_point_return": 2,
+    "points_allowed": {"0": 10, "1-6": 7, "7-13": 4, "14-20": 1, "21-27": 0, "28-34": -1, "35+": -4},
+}
+KICKER_SCORING = {"fg_0_39": 3, "fg_40_49": 4, "fg_50_plus": 5, "pat": 1}
+CLASSIC = {
+    "scoring": {**BESTBALL_SCORING, "dst": DST_SCORING},
+    "lineup": {"salary_cap": 50000, "slots": {"QB": 1, "RB": 2, "WR": 3, "TE": 1, "FLEX": 1, "DST": 1}},
+}
+SHOWDOWN = {
+    "scoring": {**BESTBALL_SCORING, "kicker": KICKER_SCORING, "dst": DST_SCORING},
+    "lineup": {"salary_cap": 50000, "captain_multiplier": {"points": 1.5, "salary": 1.5}, "slots": {"CPT": 1, "FLEX": 5}},
+}
+
+
+def band(label: str) -> tuple[float | None, float | None]:
+    """(least, most) of a band such as ``7-13``, ``35+`` or ``0`` (which takes in all below)."""
+    if label.endswith("+"):
+        return float(label[:-1]), None
+    low, _, high = label.partition("-")
+    return (float(low), float(high)) if high else (None, float(low))
