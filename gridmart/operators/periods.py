@@ -23,7 +23,8 @@ def next_period(df: DataFrame, key: Sequence[str], period: str, measures: Sequen
 def full_reconcile(left: DataFrame, right: DataFrame, key: Sequence[str], left_value: str,
                    right_value: str, diff: str = "diff") -> DataFrame:
     """FULL OUTER JOIN on ``key`` (keys coalesced by USING semantics); ``diff`` treats a
-    missing side as 0. Keys with NULL parts never match, as in SQL."""
+    missing side as 0. Keys with NULL parts never match, as in SQL. The largest differences
+    come first (T4: by ``ABS(diff)``, then by key; a range sort, split over all tasks)."""
     out = left.join(right, list(key), "full")
-    return out.withColumn(diff, F.coalesce(F.col(left_value), F.lit(0))
-                          - F.coalesce(F.col(right_value), F.lit(0)))
+    out = out.withColumn(diff, F.coalesce(F.col(left_value), F.lit(0)) - F.coalesce(F.col(right_value), F.lit(0)))
+    return out.orderBy(F.abs(diff).desc_nulls_last(), *[F.col(k).asc_nulls_first() for k in key])

@@ -301,7 +301,9 @@ plays AS (
          CASE WHEN l_quantity = 50 AND l_returnflag = 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS play_deleted,
          CASE WHEN l_linestatus = 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_spike,
          CASE WHEN l_linestatus <> 'O' AND l_quantity = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_kneel,
-         l_orderkey % 4 + 1 AS qtr, l_orderkey % 900 AS quarter_seconds_remaining,
+         CASE WHEN l_orderkey % 97 = 0 THEN 5 ELSE l_orderkey % 4 + 1 END AS qtr,
+         CASE l_orderkey % 50 WHEN 0 THEN 'Wembley Stadium' WHEN 1 THEN 'Allianz Arena' WHEN 2 THEN NULL ELSE 'Home Field' END
+           AS stadium, l_orderkey % 900 AS quarter_seconds_remaining,
          l_quantity - 25 AS score_differential, opp AS home_team, team AS away_team,
          l_discount * 5 + 0.25 AS home_wp, 1.0::DOUBLE - (l_discount * 5 + 0.25) AS away_wp,
          floor(l_tax * 100 + 0.5) / 16.0 AS xpass,
@@ -330,6 +332,29 @@ plays AS (
 SCHEDULE_ROOFS = ("outdoors", "RETRACTABLE_OPEN", "Dome", "retractable-roof-closed", "open", None, "indoors")
 
 
+def ngs_receiving_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly tracking rows of receivers (``stat_type`` receiving): a row per part, nation and
+    return flag, with the routes of its lines; other rows are passers'."""
+    e = d.lines_team(spark, sf).join(_parts(spark, sf), F.col("l_partkey") == F.col("p_partkey"))
+    kind = F.when(F.col("l_linestatus") == "O", "receiving").otherwise("passing")
+    return e.groupBy("season", "week", "team", _pid().alias("player_id"), kind.alias("stat_type"), "l_returnflag").agg(
+        F.max("p_name").alias("player_name"), F.max(_position("p_type")).alias("position"),
+        F.sum(F.when(F.col("l_returnflag") != "N", F.col("l_quantity").cast("bigint"))).alias("routes_run"))
+
+
+SQL_NGS = """
+ngs AS (
+  SELECT season, week, team, 'P' || CAST(l_partkey AS VARCHAR) AS player_id,
+         CASE WHEN l_linestatus = 'O' THEN 'receiving' ELSE 'passing' END AS stat_type, l_returnflag,
+         MAX(p_name) AS player_name, MAX(position) AS position,
+         SUM(CASE WHEN l_returnflag <> 'N' THEN CAST(l_quantity AS BIGINT) END) AS routes_run
+  FROM enriched GROUP BY ALL),
+routes AS (
+  SELECT season, week, player_id, MAX(player_name) AS player_name, MAX(team) AS team, MAX(position) AS position,
+         CAST(SUM(COALESCE(routes_run, 0)) AS BIGINT) AS routes_run
+  FROM ngs WHERE stat_type = 'receiving' GROUP BY season, week, player_id)"""
+
+
 def schedules_view(spark: SparkSession, sf: str) -> DataFrame:
     """Games: an order of a customer nation (home) with each supplier nation in it (away); the
     season runs from 2021 on, so that the roof rule of 2025 has seasons on both sides."""

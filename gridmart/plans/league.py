@@ -60,7 +60,7 @@ def team_games(pbp: DataFrame, *extra: str) -> DataFrame:
         "pass_20": q & is_pass & (gain >= 20), "rush_10": q & is_rush & (gain >= 10), "rush_15": q & is_rush & (gain >= 15)}
     sums = {
         "epa_pass_sum": (q & is_pass, "epa"), "epa_rush_sum": (q & is_rush, "epa"), "epa_sum": (q, "epa"),
-        "gap_sum": (q, "gap_sec"), "neutral_gap_sum": (neutral, "gap_sec"), "neutral_xpass_sum": (neutral, "xpass")}
+        "xpass_sum": (q, "xpass"), "gap_sum": (q, "gap_sec"), "neutral_gap_sum": (neutral, "gap_sec"), "neutral_xpass_sum": (neutral, "xpass")}
     return pinned(with_play_gaps(pbp).groupBy("season", "week", "game_id", "posteam", *extra).agg(
         *[csum(c).alias(n) for n, c in counts.items()],
         *[F.sum(F.when(c, F.col(v))).alias(n) for n, (c, v) in sums.items()],

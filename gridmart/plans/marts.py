@@ -412,6 +412,15 @@ def _with_routes(rows: DataFrame, routes: DataFrame | None) -> DataFrame:
                      ["season", "week", "team", "player_id"], "left")
 
 
+def routes_run(ngs: DataFrame, season: int | None = None) -> DataFrame:
+    """Routes run per player-week from the tracking rows of receivers, with the player's
+    largest team, name and position."""
+    r = _eq_filters(ngs, season=season, stat_type="receiving")
+    return r.groupBy("season", "week", "player_id").agg(
+        F.max("player_name").alias("player_name"), F.max("team").alias("team"), F.max("position").alias("position"),
+        F.sum(F.coalesce("routes_run", F.lit(0))).cast("bigint").alias("routes_run"))
+
+
 def route_rates(attempts: str) -> list[F.Column]:
     """Participation against the team's ``attempts``, yards and targets per route run."""
     run = F.col("routes_run")

@@ -131,20 +131,22 @@ def join_semi(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("next_period_compare", d.with_sql(d.SQL_LINES, """
-s AS (SELECT o_custkey, season, SUM(""" + d.SQL_REVENUE + """) AS spend, COUNT(*) AS n_lines
-      FROM lines GROUP BY ALL)
-SELECT a.o_custkey, a.season, CAST(a.spend AS DOUBLE) AS spend, a.n_lines,
+s AS (SELECT o_custkey, season, SUM(""" + d.SQL_REVENUE + """) AS spend, COUNT(*) AS n_lines,
+             MAX(o_orderpriority) AS any_priority FROM lines GROUP BY o_custkey, season)
+SELECT a.o_custkey, a.season, a.any_priority, CAST(a.spend AS DOUBLE) AS spend, a.n_lines,
        CAST(n.spend AS DOUBLE) AS spend_next, n.n_lines AS n_lines_next,
        CAST(n.spend - a.spend AS DOUBLE) AS spend_delta
 FROM s a LEFT JOIN s n ON n.o_custkey = a.o_custkey AND n.season = a.season + 1
 WHERE a.n_lines >= 10
 """))
 def next_period_compare(spark: SparkSession, sf: str, min_lines: int = 10) -> DataFrame:
-    """J6 + P3 (D53): heavy customer-seasons (``min_lines`` parameter) vs the next season."""
+    """J6 + P3 + A7 (D53): heavy customer-seasons (``min_lines`` parameter) vs the next season; any
+    value of a column that varies is its largest, so it does not depend on the row order."""
     s = d.lines(spark, sf).groupBy("o_custkey", "season").agg(
-        d.exact_sum(d.revenue_e4()).alias("spend_e4"), F.count(F.lit(1)).alias("n_lines"))
+        d.exact_sum(d.revenue_e4()).alias("spend_e4"), F.count(F.lit(1)).alias("n_lines"),
+        F.max("o_orderpriority").alias("any_priority"))
     out = next_period(s, ["o_custkey"], "season", ["spend_e4", "n_lines"]).filter(F.col("n_lines") >= min_lines)
-    return out.select("o_custkey", "season", (F.col("spend_e4") / 1e4).alias("spend"), "n_lines",
+    return out.select("o_custkey", "season", "any_priority", (F.col("spend_e4") / 1e4).alias("spend"), "n_lines",
                       (F.col("spend_e4_next") / 1e4).alias("spend_next"), "n_lines_next",
                       ((F.col("spend_e4_next") - F.col("spend_e4")) / 1e4).alias("spend_delta"))
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.columns import r6
 from gridmart.plans import adapters as ad
+from gridmart.plans import calendar as cal
 from gridmart.plans import environment as env
 from gridmart.plans import driver as d
 from gridmart.plans import league as lg
@@ -270,6 +271,35 @@ def filtered_counts(spark: SparkSession, sf: str) -> DataFrame:
             .groupBy("season", "posteam").agg(F.countDistinct("game_id").alias("indoor_games")))
 
 
+_OUTCOMES = ", ".join(cal.OUTCOMES)
+_ABROAD = " OR ".join(f"stadium LIKE '%{w}%'" for w in cal.ABROAD)
+
+
+@register("calendar_effects", _sql(f"""{_GAPS.strip()},
+mt AS (SELECT season, week, game_id, posteam AS team, AVG(epa) AS epa_all, AVG(epa) FILTER (is_pass) AS epa_pass,
+              AVG(epa) FILTER (is_rush) AS epa_rush, AVG(pass) - AVG(xpass) AS proe, SUM(gap) / COUNT(gap) AS sec_per_play
+       FROM gaps GROUP BY ALL),
+gm AS (SELECT season, week, game_id, game_date, home_team, away_team, upper(COALESCE(stadium, '')) AS stadium,
+              MAX(CASE WHEN qtr > 4 THEN 1 ELSE 0 END) AS had_ot FROM plays GROUP BY ALL),
+sd AS (SELECT *, home_team AS team FROM gm UNION ALL SELECT *, away_team FROM gm),
+rs AS (SELECT *, date_diff('day', lag(game_date) OVER w, game_date) AS rest, lag(had_ot) OVER w AS prev_had_ot FROM sd
+       WINDOW w AS (PARTITION BY season, team ORDER BY game_date, game_id, stadium)),
+ev AS (SELECT season, week, team, game_id, unnest(['post_bye', 'short_week', 'mini_bye', 'prev_ot', 'international']) AS event_type,
+              unnest([rest BETWEEN 13 AND 16, rest BETWEEN 3 AND 4, rest BETWEEN 9 AND 11, prev_had_ot = 1, {_ABROAD}]) AS on_
+       FROM rs),
+bs AS (SELECT season, team, {", ".join(_mean6(c, f"base_{c}") for c in cal.OUTCOMES)} FROM mt GROUP BY ALL),
+dl AS (SELECT event_type, {", ".join(f"round({c} - base_{c}, 6) AS {c}" for c in cal.OUTCOMES)}
+       FROM ev JOIN mt USING (season, week, team, game_id) JOIN bs USING (season, team) WHERE on_),
+lo AS (SELECT event_type, unnest([{", ".join(map(repr, cal.OUTCOMES))}]) AS outcome, unnest([{_OUTCOMES}]) AS delta FROM dl),
+ag AS (SELECT event_type, outcome, CAST(SUM(CAST(delta AS DECIMAL(24,6))) AS DOUBLE) / COUNT(delta) AS effect,
+              1.96::DOUBLE * stddev_samp(delta) / sqrt(COUNT(*)) AS half, COUNT(*) AS n FROM lo GROUP BY ALL)
+SELECT event_type, outcome, round(effect, 6) AS effect, round(effect - half, 6) AS ci_low, round(effect + half, 6) AS ci_high, n
+FROM ag"""))
+def calendar_effects(spark: SparkSession, sf: str) -> DataFrame:
+    """D9 (P6, W5, W6, U1, U2, A12, A15): five events, five outcomes."""
+    return _rounded(cal.calendar_effects(ad.plays_view(spark, sf)))
+
+
 _ROOFS = """
 later AS (SELECT * REPLACE (season + 29 AS season) FROM plays WHERE play = 1 AND season_type = 'REG'),
 spelled AS (SELECT season, game_id, upper(MAX(COALESCE(roof, ''))) AS roof FROM later GROUP BY ALL),

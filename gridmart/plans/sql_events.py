@@ -87,6 +87,14 @@ NO_ROUTES = "CAST(NULL AS BIGINT) AS routes_run, " + ", ".join(
     f"CAST(NULL AS DOUBLE) AS {c}" for c in ("route_participation", "yprr", "tprr"))
 
 
+def routes(attempts: str) -> str:
+    """X15 from a joined ``routes`` table."""
+    return listed(
+        "routes_run", f"round(CASE WHEN {attempts} > 0 THEN routes_run::DOUBLE / {attempts} END, 6) AS route_participation",
+        "round(CASE WHEN routes_run > 0 THEN COALESCE(receiving_yards, 0)::DOUBLE / routes_run END, 6) AS yprr",
+        "round(CASE WHEN routes_run > 0 THEN COALESCE(r_all, 0)::DOUBLE / routes_run END, 6) AS tprr")
+
+
 def formations(zero: bool) -> list[str]:
     return [over(f"r_{f}", f"t_{f}", f"{f}_target_share", zero) for f in FORMATIONS]
 
