@@ -344,20 +344,27 @@ def _windows_of(text: str) -> list[int]:
 def _model_spans(tagger: Tagger, texts: list[str], batch: int = 256) -> list[list[tuple[int, int, int]]]:
     """Spans of every text, reconciled over its overlapping windows."""
     jobs = [(d, a) for d, t in enumerate(texts) for a in _windows_of(t)]
-    tags: dict[int, dict[int, tuple[int, int]]] = {}
+    votes: dict[int, list[tuple[int, np.ndarray]]] = {}
     for k in range(0, len(jobs), batch):
         part = jobs[k:k + batch]
         paths = tagger.decode(_padded([_codes(texts[d][a:a + WINDOW]) for d, a in part]).T).T
         for (d, a), path in zip(part, paths, strict=True):
-            size = min(WINDOW, len(texts[d]) - a)
-            own = tags.setdefault(d, {})
-            for at in np.flatnonzero(path[:size]).tolist():
-                own.setdefault(a + at, (0, 0))
-            for at in range(size):
-                pos = a + at
-                depth = min(at if a else WINDOW, WINDOW - at)
-                if pos in own and depth > own[pos][0]:
-                    own[pos] = (depth, int(path[at]))
+            votes.setdefault(d, []).append((a, np.asarray(path[:len(texts[d]) - a], np.int64)))
+    tags: dict[int, dict[int, tuple[int, int]]] = {}
+    for d, windows in votes.items():
+        if not any(path.any() for _, path in windows):
+            continue
+        # Every window votes at every character that it covers, "outside" too; the one in which
+        # the character lies deepest decides (the earlier of two).
+        deepest = np.full(len(texts[d]), -1, np.int64)
+        chosen = np.zeros(len(texts[d]), np.int64)
+        for a, path in windows:
+            at = np.arange(len(path))
+            depth = np.minimum(at if a else WINDOW, WINDOW - at)
+            better = depth > deepest[a:a + len(path)]
+            deepest[a:a + len(path)][better] = depth[better]
+            chosen[a:a + len(path)][better] = path[better]
+        tags[d] = {pos: (0, int(chosen[pos])) for pos in np.flatnonzero(chosen).tolist()}
     out: list[list[tuple[int, int, int]]] = [[] for _ in texts]
     for d, own in tags.items():
         spans = out[d]
