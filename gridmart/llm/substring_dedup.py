@@ -18,6 +18,7 @@ from itertools import compress
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from gridmart.llm.exchange import combine, finish, grouped, plan_sizes, scatter
@@ -120,14 +121,18 @@ def repeated_spans(docs: DataFrame, width: int = WINDOW) -> DataFrame:
 def remove_repeats(docs: DataFrame, width: int = WINDOW) -> DataFrame:
     """``docs`` with the repeated words (and the white space after each) cut from ``text``;
     all other columns unchanged, a null text stays null."""
-    schema = docs.schema
     names = docs.columns
+    # Further columns travel under names of their own: none can meet a column of the exchange.
+    own = {c: c if c in ("doc_id", "text") else f"__column_{k}" for k, c in enumerate(names)}
+    docs = docs.select(*[F.col(f"`{c}`").alias(own[c]) for c in names])
+    schema, inner = docs.schema, docs.columns
 
     def close(table: pa.Table, keys, low) -> pa.Table:
         words, gone = _removed_words(table, keys, low, width)
         null = table["text"].is_null().to_pylist()
         texts = [None if null[d] else _cut(words, d, gone[words.first[d]:words.first[d + 1]])
                  for d in range(words.n_docs)]
-        return pa.table([pa.array(texts, pa.string()) if c == "text" else table[c] for c in names], names=names)
+        return pa.table([pa.array(texts, pa.string()) if c == "text" else table[c] for c in inner], names=inner)
 
-    return _run(docs, width, close, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    out = _run(docs, width, close, T.StructType([T.StructField(f.name, f.dataType) for f in schema]))
+    return out.select(*[F.col(own[c]).alias(c) for c in names])

@@ -365,3 +365,26 @@ def test_empty_tables(spark, documents):
                   pii.mask(empty), sentencepiece_viterbi.round_trip(empty), token_files.token_file_digest(empty),
                   packing.pack_documents(empty), quality_classifier.classify(empty, labels)):
         assert frame.count() == 0
+
+
+def test_remove_repeats_keeps_clashing_columns(spark, documents, corpus):
+    docs = documents(corpus).selectExpr("*", "doc_id * 7 AS grp", "'b' AS bucket", "'k' AS `keys`", "lang AS `a.b`")
+    plain = {r.doc_id: r.text for r in substring_dedup.remove_repeats(documents(corpus)).collect()}
+    got = substring_dedup.remove_repeats(docs)
+    assert got.columns == docs.columns
+    for r in got.collect():
+        assert (r.grp, r.bucket, r["keys"], r["a.b"], r.text) == (r.doc_id * 7, "b", "k", "en", plain[r.doc_id])
+
+
+def test_pii_deepest_window_decides():
+    """A window's "outside" counts as much as its tags."""
+    class Stub:
+        def decode(self, codes):
+            out = np.zeros(codes.shape, np.int64)
+            if codes.shape[1] > 1:
+                out[pii.STRIDE + 6 - pii.STRIDE, 1] = 1  # the second window tags a character near its start
+            return out
+
+    text = "1" * (pii.WINDOW + pii.STRIDE)
+    assert pii._windows_of(text)[:2] == [0, pii.STRIDE]
+    assert pii._model_spans(Stub(), [text]) == [[]]
