@@ -324,7 +324,37 @@ plays AS (
          CASE WHEN l_linestatus = 'O' AND l_quantity <> 7 OR l_linestatus <> 'O' AND l_linenumber = 6 THEN 1.0 ELSE 0.0 END::DOUBLE
            AS qb_dropback,
          CASE WHEN l_quantity IN (48, 49) THEN 1.0 ELSE 0.0 END::DOUBLE AS field_goal_attempt,
-         CASE WHEN l_quantity = 49 THEN 'good' WHEN l_quantity = 48 THEN 'missed' END AS field_goal_result
+         CASE WHEN l_quantity = 49 THEN 'good' WHEN l_quantity = 48 THEN 'missed' END AS field_goal_result,
+         CASE WHEN l_linestatus = 'O' OR l_linenumber = 6 THEN 'S' || CAST(l_suppkey % 20 AS VARCHAR) END AS passer_player_id,
+         CASE WHEN l_returnflag <> 'A' THEN 'Passer ' || CAST(l_suppkey % 20 AS VARCHAR) END AS passer_player_name,
+         'S. ' || CAST(l_suppkey % 20 AS VARCHAR) AS passer,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' THEN 1.0 ELSE 0.0 END::DOUBLE AS complete_pass,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' THEN l_quantity - 5 END AS passing_yards,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag <> 'A' THEN l_quantity - 5 END AS receiving_yards,
+         CASE WHEN l_linestatus <> 'O' THEN l_quantity - 5 END AS rushing_yards,
+         CASE WHEN l_linestatus = 'O' AND l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS pass_touchdown,
+         CASE WHEN l_linestatus <> 'O' AND l_returnflag = 'R' THEN 1.0 ELSE 0.0 END::DOUBLE AS rush_touchdown,
+         CASE WHEN l_linestatus = 'O' AND l_quantity = 9 THEN 1.0 ELSE 0.0 END::DOUBLE AS interception,
+         CASE WHEN l_quantity >= 30 THEN 1.0 ELSE 0.0 END::DOUBLE AS first_down,
+         CASE WHEN l_linestatus <> 'O' AND l_linenumber = 6 THEN 1.0 ELSE 0.0 END::DOUBLE AS qb_scramble,
+         (l_quantity - 25) / 4.0 AS cpoe, l_linenumber / 8.0 AS cp, (l_quantity - 20) / 16.0 AS air_epa,
+         CASE WHEN l_returnflag <> 'A' THEN l_linenumber / 4.0 END AS yac_epa,
+         CASE WHEN l_linestatus = 'O' THEN CAST(l_linenumber AS DOUBLE) END AS yards_after_catch,
+         CASE WHEN l_linestatus = 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS receiver_id,
+         CASE WHEN l_linestatus = 'O' THEN 'R. ' || CAST(l_partkey AS VARCHAR) END AS receiver,
+         CASE WHEN l_linestatus <> 'O' THEN 'P' || CAST(l_partkey AS VARCHAR) END AS rusher_id,
+         CASE WHEN l_linestatus <> 'O' THEN 'R. ' || CAST(l_partkey AS VARCHAR) END AS rusher,
+         CASE l_suppkey % 4 WHEN 0 THEN 'left' WHEN 1 THEN 'middle' WHEN 2 THEN 'right' END AS pass_location,
+         CASE WHEN l_quantity > 30 THEN 'deep' ELSE 'short' END AS pass_length,
+         CASE l_suppkey % 3 WHEN 0 THEN 'left' WHEN 1 THEN 'middle' ELSE 'right' END AS run_location,
+         CASE l_partkey % 4 WHEN 0 THEN 'end' WHEN 1 THEN 'guard' WHEN 2 THEN 'tackle' END AS run_gap,
+         CASE WHEN l_linenumber = 1 THEN 1.0 ELSE 0.0 END::DOUBLE AS kickoff_attempt,
+         CASE WHEN l_quantity > 20 THEN 1.0 ELSE 0.0 END::DOUBLE AS kickoff_in_endzone,
+         CASE WHEN l_quantity > 35 THEN 1.0 ELSE 0.0 END::DOUBLE AS touchback,
+         CASE WHEN l_linenumber = 4 THEN 1.0 ELSE 0.0 END::DOUBLE AS punt_attempt,
+         CASE WHEN l_quantity > 30 THEN 1.0 ELSE 0.0 END::DOUBLE AS punt_inside_twenty,
+         CASE WHEN l_quantity = 33 THEN 1.0 ELSE 0.0 END::DOUBLE AS punt_in_endzone,
+         CASE WHEN l_returnflag = 'R' THEN l_quantity - 10 END AS return_yards
   FROM enriched
 )"""
 

@@ -71,7 +71,7 @@ def register(name: str, sql: str | None = None) -> Callable[[QueryFn], QueryFn]:
 def _load_all() -> None:
     # Importing the modules runs their @register decorators.
     from gridmart.plans import (  # noqa: F401
-        q_core, q_gold, q_joins, q_windows, q_marts, q_lake, q_league)
+        q_core, q_gold, q_joins, q_windows, q_marts, q_lake, q_league, q_pbp)
 
 
 def queries() -> dict[str, QueryFn]:
