@@ -74,7 +74,7 @@ SQL_REVENUE = "CAST(l_extendedprice AS DECIMAL(18,2)) * (1 - CAST(l_discount AS
 
 def supplier_nation(spark: SparkSession, sf: str) -> DataFrame:
     """``s_suppkey -> team`` (supplier nation name). The 25-row nation table is broadcast;
-    the result is broadcast into fact joins only while its row count is under the bound."""
+    the result carries no hint, so Spark broadcasts it only where its measured size is small."""
     s = table(spark, sf, "supplier", "s_suppkey", "s_nationkey")
     n = table(spark, sf, "nation", "n_nationkey", "n_name")
     return (
