@@ -179,6 +179,65 @@ def league_per_game(pbp: DataFrame) -> DataFrame:
     return null_safe_join(j.groupBy("season").agg(*[mean6(c).alias(f"avg_{c}") for c in means]), wide, ["season"], "inner")
 
 
+def scheduled_plays(pbp: DataFrame) -> DataFrame:
+    """Regular-season plays that were run and not deleted."""
+    return pbp.filter((F.col("season_type") == "REG") & fb.flag("play") & ~fb.flag("play_deleted"))
+
+
+def _scored(pbp: DataFrame, by_game: DataFrame) -> DataFrame:
+    """``by_game`` with the points of the game, from all regular-season plays."""
+    points = pbp.filter(F.col("season_type") == "REG").groupBy("season", "game_id").agg(
+        (F.max("total_home_score") + F.max("total_away_score")).alias("total_points"))
+    return by_game.join(points, ["season", "game_id"], "left")
+
+
+def _by_kind(value: str, name: str) -> list[F.Column]:
+    """Means of ``value`` over passes and over rushes."""
+    return [F.avg(F.when(fb.flag(kind), F.col(value))).alias(name.format(kind)) for kind in ("pass", "rush")]
+
+
+def environment_splits(pbp: DataFrame) -> DataFrame:
+    """Seasons by roof (a game is a dome's if most of its plays name one) and surface, means
+    over games (P12, A12)."""
+    place = F.coalesce("roof", "stadium", F.lit(""))
+    dome = F.when(place.ilike("%dome%") | place.ilike("%closed%"), 1).otherwise(0)
+    turf = F.coalesce(F.col("surface").ilike("%turf%") | F.col("surface").ilike("%artificial%"), F.lit(False))
+    games = scheduled_plays(pbp).groupBy("season", "game_id", F.when(turf, "turf").otherwise("grass").alias("surface_class")).agg(
+        F.avg(dome).alias("__dome"), F.count(F.lit(1)).alias("plays"), F.avg("epa").alias("epa_play"), *_by_kind("epa", "epa_{}"),
+        F.avg("success").alias("success_rate"),
+        F.avg(F.when(F.col("yards_gained") >= 20, 1).otherwise(0)).alias("explosive_rate"))
+    return _scored(pbp, games).groupBy(
+        "season", F.when(F.col("__dome") >= 0.5, "dome").otherwise("outdoor").alias("roof_class"), "surface_class").agg(
+        F.count(F.lit(1)).alias("games"), F.avg("plays").alias("plays_per_game"),
+        *[mean6(c).alias(c) for c in ("epa_play", "epa_pass", "epa_rush", "success_rate", "explosive_rate")],
+        F.avg("total_points").alias("points_per_game"))
+
+
+TREND_RATES = ("shotgun_rate", "no_huddle_rate", "air_yards", "epa_play", "epa_pass", "epa_rush", "success_rate", "pass_success",
+               "rush_success", "xpass", "pass_oe", "explosive_rate", "median_sec_per_play", "mean_sec_per_play")
+
+
+def season_trends(pbp: DataFrame) -> DataFrame:
+    """Seasons as means over games: formation, efficiency and pace (gaps between plays of 0 to
+    45 seconds, their mean and median in each game). A game's plays are its window and buffer."""
+    order = Window.partitionBy("season", "game_id").orderBy(
+        F.col("order_sequence").asc_nulls_last(), F.col("game_seconds_remaining").desc_nulls_last())
+    gap = F.lag("game_seconds_remaining").over(order) - F.col("game_seconds_remaining")
+    p = scheduled_plays(pbp).withColumn("__gap", gap).withColumn(
+        "__gap", F.when(F.col("__gap").between(0, MAX_GAP), F.col("__gap")))
+    games = p.groupBy("season", "game_id").agg(
+        F.count(F.lit(1)).alias("plays"), F.sum(F.col("pass").cast("bigint")).alias("pass_plays"),
+        F.avg("shotgun").alias("shotgun_rate"), F.avg("no_huddle").alias("no_huddle_rate"), F.avg("air_yards").alias("air_yards"),
+        F.avg("epa").alias("epa_play"), *_by_kind("epa", "epa_{}"), F.avg("success").alias("success_rate"),
+        *_by_kind("success", "{}_success"), F.avg("xpass").alias("xpass"), F.avg("pass_oe").alias("pass_oe"),
+        F.avg(F.when(F.col("yards_gained") >= 20, 1).otherwise(0)).alias("explosive_rate"),
+        F.median("__gap").alias("median_sec_per_play"), F.avg("__gap").alias("mean_sec_per_play"))
+    return _scored(pbp, games).groupBy("season").agg(
+        F.count(F.lit(1)).alias("games"), F.avg("plays").alias("avg_plays_per_game"),
+        share(F.sum("pass_plays"), F.sum("plays")).alias("pass_rate"), *[mean6(c).alias(c) for c in TREND_RATES],
+        F.avg("total_points").alias("points_per_game"))
+
+
 def rate_over_expected(pbp: DataFrame) -> DataFrame:
     """Pass rate, expected pass rate and mean pass over expected per season and team, on
     true plays."""

@@ -399,6 +399,26 @@ def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
 
 
 
+WORK = {"rush_att": "carries", "rush_yds": "rushing_yards", "rush_td": "rushing_tds", "receptions": "receptions",
+        "rec_yds": "receiving_yards", "rec_td": "receiving_tds"}
+
+
+def workhorse_seasons(weekly: DataFrame, min_carries: int = 300, position: str = "RB") -> DataFrame:
+    """D53 (A7, J6, P3): seasons of players with ``min_carries`` or more and the same player's next
+    season, measure by measure. The season aggregate is computed once for both sides."""
+    w = weekly.filter(F.col("position") == position)
+    seasons = pinned(w.groupBy("season", "player_id").agg(
+        F.max("player_name").alias("player_name"), F.max("position").alias("pos"),
+        *[F.sum(F.coalesce(c, F.lit(0))).cast("double").alias(n) for n, c in WORK.items()])
+        .withColumn("td_total", F.col("rush_td") + F.col("rec_td")))
+    measures = [*WORK, "td_total"]
+    later = seasons.select((F.col("season") - 1).alias("season"), "player_id", F.col("season").alias("next_season"),
+                           *[F.col(c).alias(f"{c}_ny") for c in measures])
+    out = left_join_pinned(seasons.filter(F.col("rush_att") >= min_carries), later, ["season", "player_id"])
+    return out.select("season", "player_id", "player_name", *measures, "next_season", *[f"{c}_ny" for c in measures],
+                      *[(F.col(f"{c}_ny") - F.col(c)).alias(f"delta_{c}") for c in measures])
+
+
 # --- D6 / D7 wide utilization ---------------------------------------------------------------------
 
 WIDE_COLUMNS = ["player_name", "position", "receiving_yards", "air_yards_share", "wopr"]

@@ -138,6 +138,51 @@ def league_per_game(spark: SparkSession, sf: str) -> DataFrame:
     return _rounded(lg.league_per_game(ad.plays_view(spark, sf)))
 
 
+_RUN = "season_type = 'REG' AND play = 1 AND play_deleted = 0"
+_POINTS = """
+pt AS (SELECT season, game_id, MAX(total_home_score) + MAX(total_away_score) AS points FROM plays
+       WHERE season_type = 'REG' GROUP BY ALL)"""
+
+
+@register("environment_splits", _sql(f"""
+g AS (SELECT season, game_id,
+             CASE WHEN surface ILIKE '%turf%' OR surface ILIKE '%artificial%' THEN 'turf' ELSE 'grass' END AS surface_class,
+             AVG(CASE WHEN COALESCE(roof, stadium, '') ILIKE '%dome%' OR COALESCE(roof, stadium, '') ILIKE '%closed%' THEN 1 ELSE 0 END)
+               AS dome,
+             COUNT(*) AS plays, AVG(epa) AS epa_play, AVG(epa) FILTER (pass = 1) AS epa_pass, AVG(epa) FILTER (rush = 1) AS epa_rush,
+             AVG(success) AS success_rate, AVG(CASE WHEN yards_gained >= 20 THEN 1 ELSE 0 END) AS explosive_rate
+      FROM plays WHERE {_RUN} GROUP BY ALL), {_POINTS.strip()}
+SELECT season, CASE WHEN dome >= 0.5 THEN 'dome' ELSE 'outdoor' END AS roof_class, surface_class, COUNT(*) AS games,
+       round(AVG(plays), 6) AS plays_per_game, {", ".join(map(_mean6, ("epa_play", "epa_pass", "epa_rush", "success_rate", "explosive_rate")))},
+       round(AVG(points), 6) AS points_per_game
+FROM g LEFT JOIN pt USING (season, game_id) GROUP BY ALL
+"""))
+def environment_splits(spark: SparkSession, sf: str) -> DataFrame:
+    """D24 (P12, A12)."""
+    return _rounded(lg.environment_splits(ad.plays_view(spark, sf)))
+
+
+@register("season_trends", _sql(f"""
+r AS (SELECT *, lag(game_seconds_remaining) OVER (PARTITION BY season, game_id
+                  ORDER BY order_sequence, game_seconds_remaining DESC) - game_seconds_remaining AS delta
+      FROM plays WHERE {_RUN}),
+g AS (SELECT season, game_id, COUNT(*) AS plays, SUM(pass) AS pass_plays, AVG(shotgun) AS shotgun_rate,
+             AVG(no_huddle) AS no_huddle_rate, AVG(air_yards) AS air_yards, AVG(epa) AS epa_play,
+             AVG(epa) FILTER (pass = 1) AS epa_pass, AVG(epa) FILTER (rush = 1) AS epa_rush, AVG(success) AS success_rate,
+             AVG(success) FILTER (pass = 1) AS pass_success, AVG(success) FILTER (rush = 1) AS rush_success,
+             AVG(xpass) AS xpass, AVG(pass_oe) AS pass_oe, AVG(CASE WHEN yards_gained >= 20 THEN 1 ELSE 0 END) AS explosive_rate,
+             CAST(MEDIAN(delta) FILTER (delta BETWEEN 0 AND 45) AS DOUBLE) AS median_sec_per_play,
+             AVG(delta) FILTER (delta BETWEEN 0 AND 45) AS mean_sec_per_play
+      FROM r GROUP BY ALL), {_POINTS.strip()}
+SELECT season, COUNT(*) AS games, round(AVG(plays), 6) AS avg_plays_per_game, round(SUM(pass_plays) / SUM(plays), 6) AS pass_rate,
+       {", ".join(map(_mean6, lg.TREND_RATES))}, round(AVG(points), 6) AS points_per_game
+FROM g LEFT JOIN pt USING (season, game_id) GROUP BY season
+"""))
+def season_trends(spark: SparkSession, sf: str) -> DataFrame:
+    """D25 (W5, A4, A12)."""
+    return _rounded(lg.season_trends(ad.plays_view(spark, sf)))
+
+
 @register("rate_over_expected", _sql(f"""
 SELECT season, posteam AS team, round(AVG(pass), 6) AS pass_rate, round(AVG(xpass), 6) AS exp_pass_rate,
        round(AVG(pass_oe), 6) AS proe
