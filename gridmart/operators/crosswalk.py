@@ -31,14 +31,16 @@ def fill_id_fallbacks(df: DataFrame, fallbacks: Sequence[tuple[str, str]], targe
 
 
 def resolve_ids(df: DataFrame, lookup: DataFrame, candidates: Sequence[tuple[str, str]],
-                canonical: str = "gsis_id", target: str = "resolved_id") -> DataFrame:
+                canonical: str = "gsis_id", target: str = "resolved_id", source: str | None = None) -> DataFrame:
     """Try ``(source column, lookup column)`` pairs in order; a source already in the
-    canonical id space is taken as is, others map through ``lookup``; first non-null wins."""
+    canonical id space is taken as is, others map through ``lookup``; first non-null wins.
+    ``source`` names a column for the source column that won."""
     out = df
-    parts = []
+    parts, names = [], []
     for i, (src, look) in enumerate(candidates):
         if src not in df.columns:
             continue
+        names.append(src)
         if look == canonical:
             parts.append(_text(F.col(src)))
             continue
@@ -47,7 +49,32 @@ def resolve_ids(df: DataFrame, lookup: DataFrame, candidates: Sequence[tuple[str
         out = out.join(m, _text(out[src]) == m[f"__k{i}"], "left").drop(f"__k{i}")
         parts.append(F.col(f"__v{i}"))
     resolved = F.coalesce(*parts) if parts else F.lit(None).cast("string")
-    return out.withColumn(target, resolved).drop(*[c for c in out.columns if c.startswith("__v")])
+    new = {target: resolved}
+    if source:
+        new[source] = F.coalesce(*[F.when(v.isNotNull(), F.lit(n)) for v, n in zip(parts, names, strict=True)], F.lit(None))
+    return out.withColumns(new).drop(*[c for c in out.columns if c.startswith("__v")])
+
+
+def enrich_names(df: DataFrame, key: str, lookups: Sequence[tuple[str, DataFrame, str, str]], target: str = "player_name",
+                 source: str | None = None) -> DataFrame:
+    """The first non-null name of ``lookups`` ((label, table, key column, name column), best
+    first) for every row; a name that the row has already stays. Each lookup is reduced to one
+    row per key (the smallest name) before its join, so no row is multiplied. ``source`` names a
+    column for the label that won (NULL for the row's own name)."""
+    out = df
+    parts = [F.col(target)] if target in df.columns else []
+    labels: list[Column] = [F.when(F.col(target).isNotNull(), F.lit(None).cast("string"))] if parts else []
+    for i, (label, table, k, name) in enumerate(lookups):
+        one = table.filter(F.col(name).isNotNull()).groupBy(F.col(k).alias(f"__n{i}")).agg(F.min(name).alias(f"__name{i}"))
+        out = out.join(one, out[key] == one[f"__n{i}"], "left").drop(f"__n{i}")
+        parts.append(F.col(f"__name{i}"))
+    new = {target: F.coalesce(*parts)}
+    if source:
+        expr = F.when(parts[0].isNotNull(), F.lit(None)) if labels else None
+        for (label, *_), v in zip(lookups, parts[len(labels):], strict=True):
+            expr = F.when(v.isNotNull(), F.lit(label)) if expr is None else expr.when(v.isNotNull(), F.lit(label))
+        new[source] = expr.cast("string")
+    return out.withColumns(new).drop(*[f"__name{i}" for i in range(len(lookups))])
 
 
 def merge_id_tables(tables: Sequence[DataFrame], key: str) -> DataFrame:

@@ -18,7 +18,7 @@ from functools import reduce
 from operator import and_
 
 import datetime as _dt
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -142,14 +142,15 @@ def merge_for_promotion(existing: DataFrame | None, batch: DataFrame, spec: Data
     return dedupe_silver(silver, spec, rule, batch_col="__batch").drop("__batch")
 
 
-def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec,
-            on_violation: str = "raise") -> DataFrame:
+def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec, on_violation: str = "raise",
+            enrich: Callable[[DataFrame], DataFrame] | None = None) -> DataFrame:
     """Merge a landed batch into ``silver`` and rewrite only the touched partitions.
 
     Returns the per-partition record of what was written (M13) with ``status``, ``violations`` and
     the failing rules, for the lineage log. ``on_violation`` (SURVEY Q11): ``raise``, or ``skip``:
     a partition with a violating row is not written, so its silver stays as it was, and it is
-    recorded with zero rows (M12).
+    recorded with zero rows (M12). ``enrich`` is applied to the merged rows before the checks, such
+    as :func:`gridmart.operators.crosswalk.enrich_names` with the rosters (J13).
     """
     from gridmart.session import checkpoint_dir
 
@@ -159,6 +160,8 @@ def promote(spark: SparkSession, root: str, batch: DataFrame, spec: DatasetSpec,
     except FileNotFoundError:
         existing = None
     merged = merge_for_promotion(existing, batch, spec)
+    if enrich is not None:
+        merged = enrich(merged)
     # Contract columns that are neither key nor partition of the spec need not be there.
     needed = {*spec.key, *spec.partitions, *merged.columns}
     contract = Contract({c: r for c, r in SILVER_CONTRACTS.get(spec.name, Contract()).columns.items() if c in needed})

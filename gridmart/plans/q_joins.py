@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions.columns import csum, r6, share
 from gridmart.operators.asof import asof_nearest
+from gridmart.operators.crosswalk import enrich_names, fill_id_fallbacks, resolve_ids
 from gridmart.operators.dedupe import mode_per_key
 from gridmart.operators.grid import expand, grid_fill
 from gridmart.operators.lineup import best_lineup, lineup_scores, tie_break_chain
@@ -363,15 +364,16 @@ SELECT nation, resolved_by, COUNT(*) AS n_lines FROM r GROUP BY ALL
 def id_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Resolve a line's nation from candidate ids in order (verified supplier first,
     then customer); one left join per candidate on a key-unique lookup, first non-null wins."""
-    sup = (table(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal")
-           .select("s_suppkey", F.when(F.col("s_acctbal") >= 0, F.col("s_nationkey")).alias("n_sup")))
-    cus = table(spark, sf, "customer", "c_custkey", "c_nationkey").withColumnRenamed("c_nationkey", "n_cus")
+    sup = (table(spark, sf, "supplier", "s_suppkey", "s_nationkey", "s_acctbal").filter(F.col("s_acctbal") >= 0)
+           .select(F.col("s_suppkey").alias("supplier"), F.col("s_nationkey").alias("nation")))
+    cus = table(spark, sf, "customer", "c_custkey", "c_nationkey").select(
+        F.col("c_custkey").alias("customer"), F.col("c_nationkey").alias("nation"))
+    lookup = sup.unionByName(cus, allowMissingColumns=True)
     li = d.lines(spark, sf).select("l_suppkey", "o_custkey")
-    r = (li.join(sup, F.col("l_suppkey") == F.col("s_suppkey"), "left")
-         .join(cus, F.col("o_custkey") == F.col("c_custkey"), "left"))
-    r = r.select(F.coalesce("n_sup", "n_cus").alias("nation"),
-                 F.when(F.col("n_sup").isNotNull(), "supplier").otherwise("customer").alias("resolved_by"))
-    return r.groupBy("nation", "resolved_by").agg(F.count(F.lit(1)).alias("n_lines"))
+    r = resolve_ids(li, lookup, [("l_suppkey", "supplier"), ("o_custkey", "customer")], "nation", "nation", "by")
+    return r.groupBy(F.col("nation").cast(cus.schema["nation"].dataType).alias("nation"),
+                     F.when(F.col("by") == "l_suppkey", "supplier").otherwise("customer").alias("resolved_by")).agg(
+        F.count(F.lit(1)).alias("n_lines"))
 
 
 @register("id_fallback", """
@@ -381,9 +383,8 @@ SELECT CASE WHEN c_acctbal >= 0 THEN c_name ELSE 'cust_' || CAST(c_custkey AS VA
 def id_fallback(spark: SparkSession, sf: str) -> DataFrame:
     """``coalesce(id, prefix || other_id)`` when the primary id is missing."""
     c = table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal", "c_nationkey")
-    primary = F.when(F.col("c_acctbal") >= 0, F.col("c_name"))
-    return c.select(F.coalesce(primary, F.concat(F.lit("cust_"), F.col("c_custkey").cast("string"))).alias("player_id"),
-                    "c_nationkey")
+    c = c.withColumn("player_id", F.when(F.col("c_acctbal") >= 0, F.col("c_name")))
+    return fill_id_fallbacks(c, [("c_custkey", "cust_")]).select("player_id", "c_nationkey")
 
 
 @register("name_enrich", """
@@ -412,13 +413,8 @@ def name_enrich(spark: SparkSession, sf: str) -> DataFrame:
     s = table(spark, sf, "supplier", "s_suppkey", "s_name")
     tags = e.select("user_id", F.get_json_object("props", "$.k").alias("k"))
     m = mode_per_key(tags, ["user_id"], "k").select("user_id", F.concat(F.lit("k"), "k").alias("k_name"))
-    out = (users.join(c, F.col("user_id") == F.col("c_custkey"), "left")
-           .join(s, F.col("user_id") == F.col("s_suppkey"), "left")
-           .join(m, "user_id", "left"))
-    source = (F.when(F.col("c_name").isNotNull(), "customer").when(F.col("s_name").isNotNull(), "supplier")
-              .when(F.col("k_name").isNotNull(), "mode"))
-    return out.select("user_id", F.coalesce("c_name", "s_name", "k_name").alias("display_name"),
-                      source.alias("name_source"))
+    return enrich_names(users, "user_id", [("customer", c, "c_custkey", "c_name"), ("supplier", s, "s_suppkey", "s_name"),
+                                           ("mode", m, "user_id", "k_name")], "display_name", "name_source")
 
 
 @register("drive_pace", d.with_sql(*d.SQL_BASE, """

@@ -257,13 +257,14 @@ FROM customer
 def landing_cleanup(spark: SparkSession, sf: str) -> DataFrame:
     """M16 + M17: ids to text, a rename, numeric coercion of text, a constant
     ``stat_type`` column and a derived position code."""
-    from gridmart.functions.columns import safe_double
-    c = table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment")
-    return c.select(F.col("c_custkey").cast("string").alias("player_id"),
-                    F.col("c_name").alias("player_name"),
-                    safe_double(F.col("c_acctbal").cast("string")).alias("acctbal"),
-                    F.lit("basic").alias("stat_type"),
-                    F.upper(F.substring("c_mktsegment", 1, 3)).alias("position"))
+    from gridmart.sources import landing
+
+    c = table(spark, sf, "customer", "c_custkey", "c_name", "c_acctbal", "c_mktsegment").select(
+        F.col("c_custkey").alias("player_id"), F.col("c_name").alias("player_name"),
+        F.col("c_acctbal").cast("string").alias("acctbal"), F.lit(None).cast("string").alias("stat_type"),
+        F.upper(F.substring("c_mktsegment", 1, 3)).alias("pos_abb"))
+    out = landing.with_constant(landing.coerce_numeric(landing.ids_as_text(c), ["acctbal"]), "stat_type", "basic")
+    return landing.depth_chart_position(out).drop("pos_abb")
 
 
 @register("lineage_latest", """

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import scoring
 from gridmart.operators.contracts import ColumnRule, Contract, check_partitions, contract_rules, passing_partitions
+from gridmart.operators.crosswalk import enrich_names, resolve_ids
 from gridmart.operators.override import override_join
 from gridmart.operators.scoring import contest_points, step_points
 from gridmart.plans.environment import team_roof_games, team_roof_games_by_week
@@ -149,3 +150,22 @@ def test_passer_rating_clamps_and_return_touchdowns(spark):
     assert got[2] == pytest.approx(((20 / 30 - 0.3) * 5 + (7.5 - 3) * 0.25 + 2 / 30 * 20 + 2.375 - 25 / 30) / 6 * 100)
     lines = spark.createDataFrame([(1, 2, 1, 100)], "kick_return_tds INT, punt_return_tds INT, fumbles_lost INT, rushing_yards INT")
     assert lines.select(scoring.dk_returns(lines.columns).alias("p")).first().p == pytest.approx(18 - 1 + 10 + 3)
+
+
+def test_names_are_enriched_in_promotion(spark, tmp_dir):
+    batch = spark.createDataFrame([(2040, 1, "a", "T", None), (2040, 1, "b", "T", "own"), (2040, 1, "c", "T", None)],
+                                  "season INT, week INT, player_id STRING, team STRING, player_name STRING")
+    rosters = spark.createDataFrame([("a", "Zed"), ("a", "Abe"), ("b", "No")], "id STRING, n STRING")
+    players = spark.createDataFrame([("a", "Late"), ("c", "Cee"), ("c", None)], "id STRING, n STRING")
+    spec = DatasetSpec("weekly", ("season",), ("season", "week", "player_id", "team"))
+    promote(spark, tmp_dir, batch, spec, enrich=lambda df: enrich_names(
+        df, "player_id", [("rosters", rosters, "id", "n"), ("players", players, "id", "n")], source="name_source"))
+    got = {r.player_id: (r.player_name, r.name_source) for r in read_drifting_dataset(spark, tmp_dir, "silver", "weekly").collect()}
+    assert got == {"a": ("Abe", "rosters"), "b": ("own", None), "c": ("Cee", "players")}
+
+
+def test_crosswalk_says_what_resolved(spark):
+    rows = spark.createDataFrame([("g1", "p1"), (" ", "p1"), (None, "p9")], "gsis STRING, pfr STRING")
+    lookup = spark.createDataFrame([("g7", "p1"), ("g8", "p1")], "gsis_id STRING, pfr_id STRING")
+    got = resolve_ids(rows, lookup, [("gsis", "gsis_id"), ("pfr", "pfr_id")], source="by").collect()
+    assert sorted(((r.resolved_id, r.by) for r in got), key=str) == sorted([("g1", "gsis"), ("g7", "pfr"), (None, None)], key=str)
