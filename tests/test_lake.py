@@ -1,5 +1,4 @@
-"""Lake maintenance on temp directories (reference fixtures: FIXTURES.md 1, promotion and
-silver rules)."""
+"""Lake maintenance on temp directories."""
 
 from __future__ import annotations
 
@@ -19,30 +18,30 @@ WEEKLY_TEST = DatasetSpec("weekly", ("season", "week"), ("season", "week", "play
 SCHEMA = "season INT, week INT, player_id STRING, recent_team STRING, team STRING, targets INT, ingested_at STRING"
 
 
-def _batch(spark, targets, ts):
-    rows = [(2024, 1, "00-001", "BUF", "BUF", targets, ts)]
-    return spark.createDataFrame(rows, SCHEMA).withColumn("ingested_at", F.to_timestamp("ingested_at"))
+def _batch(spark, *rows):
+    """Rows (week, player, targets, day of September 2035)."""
+    return spark.createDataFrame([(2035, w, p, "ASH", "ASH", t, f"2035-09-{day:02d} 12:00:00") for w, p, t, day in rows],
+                                 SCHEMA).withColumn("ingested_at", F.to_timestamp("ingested_at"))
 
 
 def test_promote_newer_row_wins_and_only_touched_partitions_change(spark, tmp_dir):
     root = os.path.join(tmp_dir, "lake")
-    promote(spark, root, _batch(spark, 8, "2024-09-01T00:00:00Z"), WEEKLY_TEST)
-    other = spark.createDataFrame([(2024, 2, "00-002", "NYJ", "NYJ", 3, "2024-09-08T00:00:00Z")], SCHEMA) \
-        .withColumn("ingested_at", F.to_timestamp("ingested_at"))
-    promote(spark, root, other, WEEKLY_TEST)
-    stats = promote(spark, root, _batch(spark, 10, "2024-09-02T00:00:00Z"), WEEKLY_TEST)
+    promote(spark, root, _batch(spark, (3, "m1", 6, 10), (3, "m2", 2, 10), (4, "m1", 7, 17)), WEEKLY_TEST)
+    stats = promote(spark, root, _batch(spark, (3, "m1", 11, 12), (3, "m2", 99, 8), (3, "m3", 1, 12)), WEEKLY_TEST)
     silver = read_dataset(spark, root, "silver", "weekly")
     rows = {(r.week, r.player_id): r.targets for r in silver.collect()}
-    assert rows == {(1, "00-001"): 10, (2, "00-002"): 3}
-    assert [(r.season, r.week, r.row_count) for r in stats.collect()] == [(2024, 1, 1)]
+    # m2's second row is older than the one in silver.
+    assert rows == {(3, "m1"): 11, (3, "m2"): 2, (3, "m3"): 1, (4, "m1"): 7}
+    assert [(r.season, r.week, r.row_count) for r in stats.collect()] == [(2035, 3, 3)]
 
 
 def test_promote_twice_is_idempotent(spark, tmp_dir):
     root = os.path.join(tmp_dir, "lake")
-    b = _batch(spark, 8, "2024-09-01T00:00:00Z")
+    b = _batch(spark, (3, "m1", 6, 10), (5, "m1", 8, 24))
     promote(spark, root, b, WEEKLY_TEST)
+    before = sorted(map(str, read_dataset(spark, root, "silver", "weekly").collect()))
     promote(spark, root, b, WEEKLY_TEST)
-    assert read_dataset(spark, root, "silver", "weekly").count() == 1
+    assert sorted(map(str, read_dataset(spark, root, "silver", "weekly").collect())) == before
 
 
 def test_promote_raises_on_violation(spark, tmp_dir):
@@ -65,12 +64,13 @@ def test_bronze_counts_and_changed_partitions(spark):
 
 
 def test_weekly_rule_renames_and_keeps_newest(spark):
-    rows = [(2024, 1, "00-001", "BUF", 8, "2024-09-01 00:00:00"), (2024, 1, "00-001", "BUF", 10, "2024-09-02 00:00:00")]
+    rows = [(2033, 6, "m7", "OAK", 4, "2033-10-03 09:00:00"), (2033, 6, "m7", "OAK", 9, "2033-10-05 09:00:00"),
+            (2033, 6, "m7", "ELM", 1, "2033-10-09 09:00:00"), (2033, 6, "m7", "OAK", 5, None)]
     df = spark.createDataFrame(rows, "season INT, week INT, player_id STRING, recent_team STRING, targets INT, "
                                      "ingested_at STRING").withColumn("ingested_at", F.to_timestamp("ingested_at"))
     spec = CATALOG["weekly"]
-    out = dedupe_silver(apply_silver_rule(df, spec), spec).collect()
-    assert len(out) == 1 and out[0].targets == 10 and out[0].team == "BUF"
+    out = dedupe_silver(apply_silver_rule(df, spec), spec)
+    assert {(r.team, r.targets) for r in out.collect()} == {("OAK", 9), ("ELM", 1)} and "recent_team" not in out.columns
 
 
 def test_null_key_dropped_team_optional(spark):

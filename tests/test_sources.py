@@ -1,9 +1,10 @@
-"""Landing readers and id helpers (reference fixtures: FIXTURES.md ingest helpers)."""
+"""Landing readers, constants and id helpers on rows of their own."""
 
 from __future__ import annotations
 
 import os
 
+import pytest
 
 from gridmart.functions.football import leverage
 from gridmart.operators.crosswalk import fill_id_fallbacks, merge_id_tables, resolve_ids
@@ -12,31 +13,41 @@ from gridmart.sources.landing import parse_years, read_landing, with_constant
 from gridmart.sources.lake import read_precomputed
 
 
-def test_parse_years():
-    assert parse_years("2010-2012") == [2010, 2011, 2012]
-    assert parse_years("1999,2001,2003") == [1999, 2001, 2003]
-    assert parse_years(2024) == [2024]
+@pytest.mark.parametrize("spec,years", [
+    ("2031-2034", [2031, 2032, 2033, 2034]), ("2034-2032", [2032, 2033, 2034]), (" 2040 , 2038,,2040", [2038, 2040]),
+    ("2029,2031-2032", [2029, 2031, 2032]), (2050, [2050]), ([2041, 2039, 2041], [2039, 2041]), ("", [])])
+def test_year_lists(spec, years):
+    assert parse_years(spec) == years
 
 
-def test_with_constant(spark):
-    df = spark.createDataFrame([(1,), (2,)], "a INT")
-    assert [r.season for r in with_constant(df, "season", 2024).collect()] == [2024, 2024]
-    t = spark.createDataFrame([("BUF",), (None,)], "team STRING")
-    assert [r.team for r in with_constant(t, "team", "BUF").collect()] == ["BUF", "BUF"]
+def test_a_constant_fills_gaps_only(spark):
+    df = spark.createDataFrame([("kept",), (None,), ("",)], "label STRING")
+    assert [r.label for r in with_constant(df, "label", "new").collect()] == ["kept", "new", ""]
+    assert {(r.label, r.run) for r in with_constant(df, "run", 7).collect()} == {("kept", 7), (None, 7), ("", 7)}
 
 
-def test_id_fallbacks_and_crosswalk(spark):
-    df = spark.createDataFrame([(None, "A", None), ("abc", None, "PFR123")],
-                               "player_id STRING, gsis_id STRING, pfr_player_id STRING")
-    out = fill_id_fallbacks(df, [("gsis_id", ""), ("pfr_player_id", "pfr_")])
-    assert [r.player_id for r in out.collect()] == ["A", "abc"]
-    lookup = spark.createDataFrame([("00-001", "PFR123")], "gsis_id STRING, pfr_id STRING")
-    rows = spark.createDataFrame([(1, "00-001", None), (2, None, "PFR123")], "i INT, gsis_id STRING, pfr_player_id STRING")
-    res = resolve_ids(rows, lookup, [("gsis_id", "gsis_id"), ("pfr_player_id", "pfr_id")]).orderBy("i")
-    assert [r.resolved_id for r in res.collect()] == ["00-001", "00-001"]
-    a = spark.createDataFrame([("g1", "p1")], "gsis_id STRING, pfr_id STRING")
-    b = spark.createDataFrame([("g2", "e2")], "gsis_id STRING, espn_id STRING")
-    assert merge_id_tables([a, b], "gsis_id").count() == 2
+def test_fallback_ids_keep_their_order_and_prefix(spark):
+    df = spark.createDataFrame([("own", "b", 3), (None, "b", 3), (None, None, 3), (None, None, None)],
+                               "id STRING, second STRING, third INT")
+    out = fill_id_fallbacks(df, [("absent", "x_"), ("second", "s:"), ("third", "t:")], "id")
+    assert [r.id for r in out.collect()] == ["own", "s:b", "t:3", None]
+    assert fill_id_fallbacks(df.drop("id", "second", "third"), [("absent", "")], "id").columns == ["id"]
+
+
+def test_crosswalk_tries_candidates_and_never_multiplies(spark):
+    lookup = spark.createDataFrame([("c2", "k", None), ("c1", "k", None), (None, "m", "w"), ("c9", None, " w ")],
+                                   "canon STRING, alpha STRING, beta STRING")
+    rows = spark.createDataFrame([(1, " c5 ", "k", None), (2, "", "k", "w"), (3, None, "m", "w"), (4, None, None, "zz")],
+                                 "i INT, canon_id STRING, a STRING, b STRING")
+    got = resolve_ids(rows, lookup, [("canon_id", "canon"), ("a", "alpha"), ("b", "beta"), ("gone", "alpha")], "canon", "id")
+    assert {r.i: r.id for r in got.collect()} == {1: "c5", 2: "c1", 3: "c9", 4: None} and got.count() == 4
+
+
+def test_id_tables_meet_in_an_outer_merge(spark):
+    a, b, c = (spark.createDataFrame(rows, f"k INT, {n} STRING")
+               for n, rows in (("x", [(1, "x1"), (2, "x2")]), ("y", [(2, "y2"), (3, "y3")]), ("z", [(3, "z3")])))
+    got = {r.k: (r.x, r.y, r.z) for r in merge_id_tables([a, b, c], "k").collect()}
+    assert got == {1: ("x1", None, None), 2: ("x2", "y2", None), 3: (None, "y3", "z3")}
 
 
 def test_read_landing_and_reports(spark, tmp_dir):
