@@ -202,9 +202,11 @@ def train(docs: DataFrame, labels: DataFrame, vectors: np.ndarray) -> Network:
             yield pa.RecordBatch.from_pydict({"doc_id": b["doc_id"], "y": b["y"],
                                               "f": pa.array([r.tobytes() for r in f], pa.binary())})
 
-    # At most MAX_LABELLED ids, so the broadcast is bounded.
-    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id")
-    got = sorted(found.mapInArrow(rows, "doc_id long, y int, f binary").limit(2 * MAX_LABELLED).collect())
+    # At most MAX_LABELLED ids, so the broadcast is bounded; of rows that repeat an id the smallest
+    # text counts, so as many rows come back.
+    found = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").groupBy("doc_id").agg(
+        F.min("text").alias("text"), F.max("y").cast("int").alias("y"))
+    got = sorted(found.mapInArrow(rows, "doc_id long, y int, f binary").collect())
     if not got:
         return Network().fit(np.zeros((0, 1)), np.zeros(0))
     x = np.array([np.frombuffer(r.f) for r in got]).reshape(len(got), -1)

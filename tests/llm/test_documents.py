@@ -388,3 +388,14 @@ def test_pii_deepest_window_decides():
     text = "1" * (pii.WINDOW + pii.STRIDE)
     assert pii._windows_of(text)[:2] == [0, pii.STRIDE]
     assert pii._model_spans(Stub(), [text]) == [[]]
+
+
+def test_classifier_learns_one_row_of_a_repeated_id(spark, documents):
+    rng = random.Random(12)
+    rows = [(i, prose(rng, 30)) for i in range(40)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(40)], "doc_id long, quality int")
+    extra = [(7, "zzz " * 30)] * 50  # repeats of one id, all after its own text
+    a, b = (quality_classifier.train(documents(r), labels, quality_classifier.context_vectors(documents(rows)))
+            for r in (rows, rows + extra))
+    x = np.random.default_rng(1).normal(size=(5, len(a.mean)))
+    assert np.allclose(a.probability(x), b.probability(x))
