@@ -27,6 +27,7 @@ HEADLINE = [
     "mart_points_allowed", "mart_player_week", "mart_util_receiving", "mart_util_rushing",
     "tier_shares", "lag_gap_capped", "asof_nearest", "best_lineup", "dedupe_first",
     "agg_basic", "join_full_reconcile", "effect_ci", "promote_incremental", "rules_scoring",
+    "mart_util_all", "mart_util_wr", "league_by_week",
 ]
 
 
