@@ -231,6 +231,23 @@ rosters_seasonal AS (
 )"""
 
 
+def rosters_view(spark: SparkSession, sf: str) -> DataFrame:
+    """Weekly rosters: the full name is missing for parts above size 25, the first and last do for all."""
+    p = table(spark, sf, "part", "p_partkey", "p_name", "p_type", "p_size")
+    li = d.lines_team(spark, sf).select("season", "week", "team", "l_partkey").distinct()
+    j = li.join(p, F.col("l_partkey") == F.col("p_partkey"))
+    return j.select("season", "week", "team", _pid().alias("player_id"),
+                    F.when(F.col("p_size") <= 25, F.col("p_name")).alias("player_name"), F.lit("No").alias("first_name"),
+                    F.col("p_name").alias("last_name"), _position("p_type").alias("position"))
+
+
+SQL_ROSTERS = """
+rosters AS (
+  SELECT DISTINCT season, week, team, 'P' || CAST(l_partkey AS VARCHAR) AS player_id,
+         COALESCE(CASE WHEN p.p_size <= 25 THEN p.p_name END, 'No ' || p.p_name) AS player_name, e.position
+  FROM enriched e JOIN part p ON p.p_partkey = e.l_partkey)"""
+
+
 def snap_counts_view(spark: SparkSession, sf: str) -> DataFrame:
     """Snap counts per (season, week, team, player): ten snaps per line, and the share of
     the team-week's lines as ``offense_pct``."""

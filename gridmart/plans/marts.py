@@ -388,6 +388,47 @@ def player_week_stats(weekly: DataFrame, pbp: DataFrame, season: int | None = No
     return scored_weeks(player_rows(weekly, pbp, columns, MEASURES["stats"], season, season_type), columns)
 
 
+SEASON_STATS = ["completions", "attempts", "passing_yards", "passing_tds", "interceptions", "carries", "rushing_yards",
+                "rushing_tds", "receptions", "targets", "receiving_yards", "receiving_tds", "receiving_air_yards",
+                "receiving_yards_after_catch", "passing_epa", "rushing_epa", "receiving_epa", "dk_ppr_points"]
+
+
+def player_season_stats(week_stats: DataFrame, routes: DataFrame | None = None) -> DataFrame:
+    """Season totals of a player's weeks with routes (0 without a source) and yards per
+    route; a statistic that the weekly table lacks counts as 0."""
+    there = set(week_stats.columns)
+    w = _with_routes(week_stats.drop("routes_run"), routes)
+    total = {c: F.coalesce(F.col(c).cast("double"), F.lit(0.0)) if c in there else F.lit(0.0) for c in SEASON_STATS}
+    run = F.coalesce("routes_run", F.lit(0)).cast("bigint")
+    out = w.groupBy("season", "player_id").agg(
+        F.max("player_name").alias("player_name"), F.max("position").alias("position"), F.max("team").alias("primary_team"),
+        F.count(F.lit(1)).alias("games"), *[F.sum(v).alias(c) for c, v in total.items()], F.sum(run).alias("routes_run"))
+    return out.withColumnRenamed("receiving_yards_after_catch", "receiving_yac").withColumn(
+        "yprr", F.when(F.col("routes_run") > 0, share("receiving_yards", "routes_run")))
+
+
+def weekly_from_plays(pbp: DataFrame, rosters: DataFrame, season: int | None = None,
+                      season_type: str | None = None) -> DataFrame:
+    """D8 (S10): a minimal weekly table from receptions and roster names, for seasons whose weekly
+    file is missing. Roster rows are reduced to one per player-week and team before the join."""
+    p = _eq_filters(pbp, year=season, season_type=season_type)
+    rec = p.filter(fb.flag("pass") & F.col("receiver_player_id").isNotNull()).groupBy(
+        "season", "week", "season_type", F.col("posteam").alias("team"), F.col("receiver_player_id").alias("player_id")).agg(
+        F.count(F.lit(1)).alias("targets"), F.sum(F.coalesce("receiving_yards", "yards_gained")).alias("receiving_yards"),
+        F.sum(F.coalesce("air_yards", F.lit(0.0))).alias("receiving_air_yards"))
+    there = set(rosters.columns)
+    names = [F.col(c) for c in ("player_name", "football_name") if c in there]
+    if {"first_name", "last_name"} <= there:
+        names.append(F.concat("first_name", F.lit(" "), "last_name"))
+    key = ["season", "week", "team", "player_id"]
+    ro = _eq_filters(rosters, season=season).groupBy(*key).agg(
+        F.min(F.struct(F.coalesce(*names).alias("player_name"), "position")).alias("r"))
+    return rec.join(ro, key, "left").select(
+        "season", "week", "season_type", "team", "player_id", F.col("r.player_name").alias("player_name"),
+        F.col("r.position").alias("position"), "targets", "receiving_yards", "receiving_air_yards",
+        *[F.lit(None).cast("double").alias(c) for c in ("target_share", "air_yards_share", "wopr")])
+
+
 def player_season_fantasy(week_stats: DataFrame) -> DataFrame:
     """Season roll-up of weekly DK points and counting stats."""
     return week_stats.groupBy("season", "season_type", "player_id").agg(
