@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 
 from gridmart.functions import football as fb
 from gridmart.functions import scoring
+from gridmart.functions.classify import round_of_week
 from gridmart.functions.columns import csum, mmss_to_seconds, round_half_up, share
 from gridmart.operators.dedupe import dedupe_first
 from gridmart.operators.once import left_join_pinned, pinned
@@ -407,6 +408,18 @@ def player_season_stats(week_stats: DataFrame, routes: DataFrame | None = None)
         "yprr", F.when(F.col("routes_run") > 0, share("receiving_yards", "routes_run")))
 
 
+def player_rounds(weekly: DataFrame, points: F.Column, last_regular: int = 14,
+                  playoff_weeks: Sequence[int] = (15, 16, 17)) -> DataFrame:
+    """D86 (P21): per player and tournament round the points, best and mean week and the games;
+    weeks outside the rounds are left out. Points count in cents and are summed exactly."""
+    w = weekly.select("season", "player_id", F.col("position").alias("pos"), round_half_up(points, 2).alias("p"),
+                      round_of_week("week", last_regular, playoff_weeks).alias("round")).filter(F.col("round").isNotNull())
+    total, n = F.sum(F.col("p").cast("decimal(18,2)")).cast("double"), F.count(F.lit(1))
+    return w.groupBy("season", "round", "player_id", "pos").agg(
+        total.alias("round_points"), F.max("p").alias("best_week_in_round"), (total / n).alias("avg_week_in_round"),
+        n.alias("games_in_round"))
+
+
 def weekly_from_plays(pbp: DataFrame, rosters: DataFrame, season: int | None = None,
                       season_type: str | None = None) -> DataFrame:
     """D8 (S10): a minimal weekly table from receptions and roster names, for seasons whose weekly
