@@ -43,7 +43,7 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.components import components
 from gridmart.llm.exchange import combine, finish, grouped, lookup, plan_sizes, scatter, totals
-from gridmart.llm.scratch import written
+from gridmart.llm.scratch import temporary, written
 from gridmart.llm.textops import U64, Words, mix64, rolling_hashes, runs, small_batches, window_index
 
 SHINGLE, SIMILARITY = 5, 0.8
@@ -313,10 +313,12 @@ def keep_documents(docs: DataFrame) -> DataFrame:
     rows that repeat it, one. Rows of a null doc_id stay.
 
     Only the ids that go or repeat are joined, as tables of known size, so that the texts
-    are shuffled only where those ids are too many for a broadcast."""
-    ids = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
-        F.count("*").alias("n"), F.max("kept").alias("kept")).filter("n > 1 or not kept")
-    ids = written(ids, "gone-or-repeated")
+    are shuffled only where those ids are too many for a broadcast. The search's own tables are
+    deleted once those ids are written."""
+    with temporary(docs.sparkSession):
+        ids = near_duplicates(docs).filter("doc_id is not null").groupBy("doc_id").agg(
+            F.count("*").alias("n"), F.max("kept").alias("kept")).filter("n > 1 or not kept")
+        ids = written(ids, "gone-or-repeated")
     once = docs.join(ids.select("doc_id"), "doc_id", "left_anti")
     again = docs.join(ids.filter("kept").select("doc_id"), "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return once.select(docs.columns).unionByName(again.select(docs.columns))

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -20,22 +22,46 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+_OPEN: list[list[str]] = []
+
+
+@contextmanager
+def temporary(spark: SparkSession, keep: int = 1) -> Iterator[None]:
+    """Tables that ``written`` makes inside are deleted at the end, but for the last ``keep``: the
+    caller reads only those from then on."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        paths = _OPEN.pop()
+        gone, kept = (paths[:-keep], paths[-keep:]) if keep else (paths, [])
+        for path in gone:
+            _delete(spark, path)
+        if _OPEN:
+            _OPEN[-1].extend(kept)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back (cuts the lineage;
     a lost executor costs only the tasks that read the files)."""
     spark = df.sparkSession
     path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
     schema = df.schema
+    if _OPEN:
+        _OPEN[-1].append(path)
     df.write.parquet(path)
     return spark.read.schema(schema).parquet(path)
 
 
 def dropped(df: DataFrame) -> None:
     """Delete a table that ``written`` returned and that no later step reads."""
-    spark = df.sparkSession
     for file in df.inputFiles()[:1]:
-        path = spark._jvm.org.apache.hadoop.fs.Path(file).getParent()
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        _delete(df.sparkSession, file.rpartition("/")[0])
 
 
 def collected(spark: SparkSession) -> None:

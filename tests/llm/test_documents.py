@@ -399,3 +399,14 @@ def test_classifier_learns_one_row_of_a_repeated_id(spark, documents):
             for r in (rows, rows + extra))
     x = np.random.default_rng(1).normal(size=(5, len(a.mean)))
     assert np.allclose(a.probability(x), b.probability(x))
+
+
+def test_near_dedup_deletes_its_tables(spark, documents, corpus):
+    import glob
+
+    folder = shared_dir(spark).removeprefix("file:").rstrip("/")
+    before = set(glob.glob(f"{folder}/*"))
+    kept = minhash_dedup.keep_documents(documents(corpus))
+    new = set(glob.glob(f"{folder}/*")) - before
+    assert len(new) == 1 and "gone-or-repeated" in new.pop()
+    assert kept.count() == kept.select("doc_id").distinct().count() < len(corpus)
