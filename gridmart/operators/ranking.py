@@ -96,6 +96,23 @@ def previous_in_groups(df: DataFrame, group: Sequence[str], order: Sequence[Colu
     return out.withColumn(name, filled).drop(_PID, "__lag", "__pos", "__prevslice")
 
 
+def previous_by_day(df: DataFrame, group: Sequence[str], day: str, order: Sequence[Column], value: str,
+                    name: str) -> DataFrame:
+    """Add ``name`` = ``LAG(value)`` inside the group under (``day`` NULLS FIRST, ``order``), with one
+    shuffle by group and day and nothing written: the rows of a day see each other, and a day's
+    first row takes the last value of the group's day before from the small table of days."""
+    days = [*group, day]
+    within = Window.partitionBy(*days).orderBy(*order)
+    local = df.withColumns({"__lag": F.lag(value).over(within), "__pos": F.row_number().over(within),
+                            "__next": F.lead(F.lit(1)).over(within)})
+    last = local.filter(F.col("__next").isNull()).select(*days, F.col(value).alias("__last"))
+    prev = last.withColumn("__before", F.lag("__last").over(
+        Window.partitionBy(*group).orderBy(F.col(day).asc_nulls_first()))).drop("__last")
+    first = null_safe_join(local.filter(F.col("__pos") == 1), prev, days, "left").withColumn("__lag", F.col("__before"))
+    out = local.filter(F.col("__pos") > 1).unionByName(first.drop("__before"))
+    return out.withColumnRenamed("__lag", name).drop("__pos", "__next")
+
+
 def top_n(df: DataFrame, n: int, order: Sequence[Column]) -> DataFrame:
     """Global top-N (``ORDER BY ... LIMIT n``): planned as ``TakeOrderedAndProject``, each
     task keeps its own top n and the driver merges n x tasks rows. Add a unique key to

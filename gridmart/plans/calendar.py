@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from gridmart.functions import football as fb
 from gridmart.functions.classify import matches_any
 from gridmart.functions.columns import round_half_up, share
-from gridmart.operators.ranking import previous_in_groups
+from gridmart.operators.ranking import previous_by_day
 from gridmart.operators.shares import null_safe_join
 from gridmart.operators.stats import Z95
 from gridmart.operators.unpivot import flags_to_long, sides_to_long
@@ -35,7 +35,8 @@ def team_game_outcomes(pbp: DataFrame) -> DataFrame:
 
 def event_flags(pbp: DataFrame) -> DataFrame:
     """0/1 flags of every team-game: rest since the team's previous game of the season, whether that
-    one went to overtime, and a stadium abroad. A team's season may be split over many tasks."""
+    one went to overtime, and a stadium abroad. A team's games of one day are its window; of a day
+    only the last game goes on to the next, so a team's season is split over many tasks."""
     p = pbp.filter(F.col("season_type") == "REG")
     games = p.groupBy("season", "week", "game_id", F.to_date("game_date").alias("game_date"), "home_team", "away_team",
                       F.upper(F.coalesce("stadium", F.lit(""))).alias("stadium")).agg(
@@ -43,8 +44,8 @@ def event_flags(pbp: DataFrame) -> DataFrame:
     sides = sides_to_long(games, ["season", "week", "game_id", "game_date", "stadium", "had_ot"],
                           {"home": {"team": "home_team"}, "away": {"team": "away_team"}}).drop("side")
     sides = sides.withColumn("now", F.struct("game_date", "had_ot"))
-    order = [F.col("game_date").asc_nulls_first(), F.col("game_id").asc_nulls_first(), F.col("stadium").asc_nulls_first()]
-    seen = previous_in_groups(sides, ["season", "team"], order, "now", "prev", method="range")
+    order = [F.col("game_id").asc_nulls_first(), F.col("stadium").asc_nulls_first()]
+    seen = previous_by_day(sides, ["season", "team"], "game_date", order, "now", "prev")
     rest = F.datediff("game_date", "prev.game_date")
     flags = {name: rest.between(*days) for name, days in REST_DAYS.items()}
     flags |= {"prev_ot": F.col("prev.had_ot") == 1, "international": matches_any("stadium", ABROAD)}

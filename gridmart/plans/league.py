@@ -79,6 +79,11 @@ def _per_game(tg: DataFrame) -> DataFrame:
         (F.max("home") + F.max("away")).alias("points"), F.sum("tds").alias("tds"))
 
 
+def _of_game(value: F.Column, *game: str) -> F.Column:
+    """``value`` over a game's few grouped rows, which are together already."""
+    return value.over(Window.partitionBy(*game))
+
+
 def _rates(tg: DataFrame) -> DataFrame:
     """Per team-game rates; teams without a qualifying play have none."""
     return tg.filter(F.col("plays") > 0).withColumns({
@@ -89,18 +94,18 @@ def _rates(tg: DataFrame) -> DataFrame:
         "proe": share("neutral_pass_plays", "neutral_plays") - share("neutral_xpass_sum", "neutral_xpass_n")})
 
 
-def _explosive(group: Sequence[str], rates: DataFrame, epa_share: bool) -> DataFrame:
-    """Rates of explosive passes (20+) and rushes (10+, 15+) and, by kind, the share of the
-    positive EPA that they bring."""
-    names = ["pass_plays", "rush_plays", "pass_20", "rush_10", "rush_15", "pass_gain", "pass_gain_20", "rush_gain",
-             "rush_gain_10"]
-    total = rates.groupBy(*group).agg(*[F.sum(c).alias(c) for c in names])
-    out = {"explosive_pass_rate": share("pass_20", "pass_plays"), "explosive_rush10_rate": share("rush_10", "rush_plays"),
-           "explosive_rush15_rate": share("rush_15", "rush_plays")}
+def _explosive(epa_share: bool) -> list[F.Column]:
+    """X13, aggregates over :func:`_rates`: rates of explosive passes (20+) and rushes (10+, 15+)
+    and, by kind, the share of the positive EPA that they bring."""
+    def rate(part: str, whole: str) -> F.Column:
+        return share(F.sum(part), F.sum(whole))
+
+    out = {"explosive_pass_rate": rate("pass_20", "pass_plays"), "explosive_rush10_rate": rate("rush_10", "rush_plays"),
+           "explosive_rush15_rate": rate("rush_15", "rush_plays")}
     if epa_share:
-        out |= {"explosive_epa_share_pass": share(F.coalesce("pass_gain_20", F.lit(0.0)), "pass_gain"),
-                "explosive_epa_share_rush": share(F.coalesce("rush_gain_10", F.lit(0.0)), "rush_gain")}
-    return total.select(*group, *[v.alias(k) for k, v in out.items()])
+        out |= {f"explosive_epa_share_{kind}": share(F.coalesce(F.sum(part), F.lit(0.0)), F.sum(f"{kind}_gain"))
+                for kind, part in (("pass", "pass_gain_20"), ("rush", "rush_gain_10"))}
+    return [v.alias(k) for k, v in out.items()]
 
 
 TEAM_RATES = ("epa_all", "epa_pass", "epa_rush", "sec_per_play_all", "no_huddle_rate", "shotgun_rate")
@@ -116,9 +121,12 @@ def league_by_week(pbp: DataFrame) -> DataFrame:
     means = rates.groupBy(*week).agg(
         F.avg("plays").alias("plays_pg"), mean6("sec_per_play_neutral").alias("sec_per_play_neutral"),
         *[mean6(c).alias(c) for c in TEAM_RATES],
-        mean6("proe").alias("proe_mean"), (_disc("proe", 0.75) - _disc("proe", 0.25)).alias("proe_iqr"))
+        mean6("proe").alias("proe_mean"), (_disc("proe", 0.75) - _disc("proe", 0.25)).alias("proe_iqr"), *_explosive(True))
     games = _per_game(tg).groupBy(*week).agg(F.avg("points").alias("ppg"), F.avg("tds").alias("tds_pg"))
-    return null_safe_join(null_safe_join(means, games, week, "inner"), _explosive(week, rates, True), week, "inner")
+    return null_safe_join(means, games, week, "inner").select(
+        "season", "week", "plays_pg", "sec_per_play_neutral", *TEAM_RATES, "proe_mean", "proe_iqr", "ppg", "tds_pg",
+        "explosive_pass_rate", "explosive_rush10_rate", "explosive_rush15_rate", "explosive_epa_share_pass",
+        "explosive_epa_share_rush")
 
 
 def league_yoy(pbp: DataFrame) -> DataFrame:
@@ -142,11 +150,13 @@ def league_by_class(pbp: DataFrame, policy: str = "open_is_outdoor",
     means of the games' totals over the class's team-games."""
     group = ["season", "week", "roof_class"]
     tg = team_games(pbp.withColumn("roof_class", policy_classify("roof", policies, policy)), "roof_class")
-    rates = null_safe_join(_rates(tg), _per_game(tg).withColumnsRenamed({"tds": "game_tds"}),
-                           ["season", "week", "game_id"], "inner")
-    means = rates.groupBy(*group).agg(F.avg("plays").alias("plays_pg"), F.avg("points").alias("ppg"),
-                                      F.avg("game_tds").alias("tds_pg"), *[mean6(c).alias(c) for c in TEAM_RATES])
-    return null_safe_join(means, _explosive(group, rates, False), group, "inner")
+    game = ["season", "week", "game_id"]
+    rates = _rates(tg.withColumns({
+        "points": _of_game(F.max("home"), *game) + _of_game(F.max("away"), *game),
+        "game_tds": _of_game(F.sum("tds"), *game)}))
+    return rates.groupBy(*group).agg(F.avg("plays").alias("plays_pg"), F.avg("points").alias("ppg"),
+                                     F.avg("game_tds").alias("tds_pg"), *[mean6(c).alias(c) for c in TEAM_RATES],
+                                     *_explosive(False))
 
 
 def league_per_game(pbp: DataFrame) -> DataFrame:
@@ -161,11 +171,11 @@ def league_per_game(pbp: DataFrame) -> DataFrame:
         csum(is_pass & (gain >= 20)).alias("explosive_passes"), csum(is_rush & (gain >= 10)).alias("explosive_rushes"),
         csum(fb.flag("touchdown")).alias("team_tds"), F.max("total_home_score").alias("home"),
         F.max("total_away_score").alias("away"), F.max("roof").alias("roof")))
-    scores = teams.groupBy(*game).agg(F.max("home").alias("home_points"), F.max("away").alias("away_points"),
-                                      F.max("roof").alias("game_roof"))
+    scored = teams.withColumns({"home_points": _of_game(F.max("home"), *game), "away_points": _of_game(F.max("away"), *game),
+                                "game_roof": _of_game(F.max("roof"), *game)})
     indoor = F.lower("game_roof").isin("dome", "closed")
     total = F.col("home_points") + F.col("away_points")
-    j = null_safe_join(teams.drop("home", "away", "roof"), scores, game, "inner").withColumns({
+    j = scored.drop("home", "away", "roof").withColumns({
         "total_points": total, "points_dome": F.when(indoor, total), "points_outdoor": F.when(~indoor, total),
         "pass_rate": share("pass_plays", "team_plays"), "explosive_play_rate": share("explosive_passes", "team_plays"),
         "explosive_rush_rate": share("explosive_rushes", "team_plays")})
@@ -179,21 +189,31 @@ def league_per_game(pbp: DataFrame) -> DataFrame:
     return null_safe_join(j.groupBy("season").agg(*[mean6(c).alias(f"avg_{c}") for c in means]), wide, ["season"], "inner")
 
 
-def scheduled_plays(pbp: DataFrame) -> DataFrame:
-    """Regular-season plays that were run and not deleted."""
-    return pbp.filter((F.col("season_type") == "REG") & fb.flag("play") & ~fb.flag("play_deleted"))
+def regular_plays(pbp: DataFrame) -> DataFrame:
+    """Regular-season plays; ``__run`` marks those that were run and not deleted."""
+    return pbp.filter(F.col("season_type") == "REG").withColumn(
+        "__run", F.coalesce(fb.flag("play") & ~fb.flag("play_deleted"), F.lit(False)))
 
 
-def _scored(pbp: DataFrame, by_game: DataFrame) -> DataFrame:
-    """``by_game`` with the points of the game, from all regular-season plays."""
-    points = pbp.filter(F.col("season_type") == "REG").groupBy("season", "game_id").agg(
-        (F.max("total_home_score") + F.max("total_away_score")).alias("total_points"))
-    return by_game.join(points, ["season", "game_id"], "left")
+def _ran(value: str | F.Column) -> F.Column:
+    return F.when(F.col("__run"), F.col(value) if isinstance(value, str) else value)
+
+
+def _scored(plays: DataFrame, extra: Sequence[F.Column], aggs: Sequence[F.Column]) -> DataFrame:
+    """:func:`regular_plays` by game (and ``extra``) from one pass: ``aggs`` where a play was run, and
+    the points of the game, from all of its plays (none for an unknown season or game)."""
+    game = ["season", "game_id"]
+    rows = plays.groupBy(*game, *extra).agg(
+        F.count(_ran(F.lit(1))).alias("plays"), *aggs,
+        F.max("total_home_score").alias("__home"), F.max("total_away_score").alias("__away"))
+    points = _of_game(F.max("__home"), *game) + _of_game(F.max("__away"), *game)
+    known = F.col("season").isNotNull() & F.col("game_id").isNotNull()
+    return rows.withColumn("total_points", F.when(known, points)).filter(F.col("plays") > 0)
 
 
 def _by_kind(value: str, name: str) -> list[F.Column]:
-    """Means of ``value`` over passes and over rushes."""
-    return [F.avg(F.when(fb.flag(kind), F.col(value))).alias(name.format(kind)) for kind in ("pass", "rush")]
+    """Means of ``value`` over the passes and over the rushes that were run."""
+    return [F.avg(_ran(F.when(fb.flag(kind), F.col(value)))).alias(name.format(kind)) for kind in ("pass", "rush")]
 
 
 def environment_splits(pbp: DataFrame) -> DataFrame:
@@ -202,11 +222,11 @@ def environment_splits(pbp: DataFrame) -> DataFrame:
     place = F.coalesce("roof", "stadium", F.lit(""))
     dome = F.when(place.ilike("%dome%") | place.ilike("%closed%"), 1).otherwise(0)
     turf = F.coalesce(F.col("surface").ilike("%turf%") | F.col("surface").ilike("%artificial%"), F.lit(False))
-    games = scheduled_plays(pbp).groupBy("season", "game_id", F.when(turf, "turf").otherwise("grass").alias("surface_class")).agg(
-        F.avg(dome).alias("__dome"), F.count(F.lit(1)).alias("plays"), F.avg("epa").alias("epa_play"), *_by_kind("epa", "epa_{}"),
-        F.avg("success").alias("success_rate"),
-        F.avg(F.when(F.col("yards_gained") >= 20, 1).otherwise(0)).alias("explosive_rate"))
-    return _scored(pbp, games).groupBy(
+    games = _scored(regular_plays(pbp), [F.when(turf, "turf").otherwise("grass").alias("surface_class")], [
+        F.avg(_ran(dome)).alias("__dome"), F.avg(_ran("epa")).alias("epa_play"), *_by_kind("epa", "epa_{}"),
+        F.avg(_ran("success")).alias("success_rate"),
+        F.avg(_ran(F.when(F.col("yards_gained") >= 20, 1).otherwise(0))).alias("explosive_rate")])
+    return games.groupBy(
         "season", F.when(F.col("__dome") >= 0.5, "dome").otherwise("outdoor").alias("roof_class"), "surface_class").agg(
         F.count(F.lit(1)).alias("games"), F.avg("plays").alias("plays_per_game"),
         *[mean6(c).alias(c) for c in ("epa_play", "epa_pass", "epa_rush", "success_rate", "explosive_rate")],
@@ -220,19 +240,20 @@ TREND_RATES = ("shotgun_rate", "no_huddle_rate", "air_yards", "epa_play", "epa_p
 def season_trends(pbp: DataFrame) -> DataFrame:
     """Seasons as means over games: formation, efficiency and pace (gaps between plays of 0 to
     45 seconds, their mean and median in each game). A game's plays are its window and buffer."""
-    order = Window.partitionBy("season", "game_id").orderBy(
+    order = Window.partitionBy("season", "game_id", "__run").orderBy(
         F.col("order_sequence").asc_nulls_last(), F.col("game_seconds_remaining").desc_nulls_last())
     gap = F.lag("game_seconds_remaining").over(order) - F.col("game_seconds_remaining")
-    p = scheduled_plays(pbp).withColumn("__gap", gap).withColumn(
-        "__gap", F.when(F.col("__gap").between(0, MAX_GAP), F.col("__gap")))
-    games = p.groupBy("season", "game_id").agg(
-        F.count(F.lit(1)).alias("plays"), F.sum(F.col("pass").cast("bigint")).alias("pass_plays"),
-        F.avg("shotgun").alias("shotgun_rate"), F.avg("no_huddle").alias("no_huddle_rate"), F.avg("air_yards").alias("air_yards"),
-        F.avg("epa").alias("epa_play"), *_by_kind("epa", "epa_{}"), F.avg("success").alias("success_rate"),
-        *_by_kind("success", "{}_success"), F.avg("xpass").alias("xpass"), F.avg("pass_oe").alias("pass_oe"),
-        F.avg(F.when(F.col("yards_gained") >= 20, 1).otherwise(0)).alias("explosive_rate"),
-        F.median("__gap").alias("median_sec_per_play"), F.avg("__gap").alias("mean_sec_per_play"))
-    return _scored(pbp, games).groupBy("season").agg(
+    p = regular_plays(pbp).withColumn("__gap", gap).withColumn(
+        "__gap", _ran(F.when(F.col("__gap").between(0, MAX_GAP), F.col("__gap"))))
+    games = _scored(p, [], [
+        F.sum(_ran(F.col("pass").cast("bigint"))).alias("pass_plays"),
+        *[F.avg(_ran(c)).alias(n) for n, c in {
+            "shotgun_rate": "shotgun", "no_huddle_rate": "no_huddle", "air_yards": "air_yards", "epa_play": "epa",
+            "success_rate": "success", "xpass": "xpass", "pass_oe": "pass_oe"}.items()],
+        *_by_kind("epa", "epa_{}"), *_by_kind("success", "{}_success"),
+        F.avg(_ran(F.when(F.col("yards_gained") >= 20, 1).otherwise(0))).alias("explosive_rate"),
+        F.median("__gap").alias("median_sec_per_play"), F.avg("__gap").alias("mean_sec_per_play")])
+    return games.groupBy("season").agg(
         F.count(F.lit(1)).alias("games"), F.avg("plays").alias("avg_plays_per_game"),
         share(F.sum("pass_plays"), F.sum("plays")).alias("pass_rate"), *[mean6(c).alias(c) for c in TREND_RATES],
         F.avg("total_points").alias("points_per_game"))
