@@ -181,7 +181,7 @@ def team_share(pbp: DataFrame, member: str, name: str, count: str, measures: Map
         F.max(F.expr(name)).alias("player_name"), *[F.sum(F.expr(e)).alias(m) for m, e in measures.items()]))
     total = per.groupBy(*team).agg(*[F.sum(m).alias(f"__team_{m}") for m in measures])
     first = next(iter(measures))
-    out = null_safe_join(per.filter(F.col("player_id").isNotNull() & (F.col(first) >= least)), total, team, "inner")
+    out = null_safe_join(per.filter(F.col("player_id").isNotNull() & (F.col(first) >= least)), F.broadcast(total), team, "inner")
     out = out.select(*team, "player_id", "player_name", *measures,
                      *[share(m, f"__team_{m}").alias(f"{m}_share") for m in measures])
     if best is None:
