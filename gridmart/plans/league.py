@@ -260,10 +260,23 @@ def season_trends(pbp: DataFrame) -> DataFrame:
 
 
 def rate_over_expected(pbp: DataFrame) -> DataFrame:
-    """Pass rate, expected pass rate and mean pass over expected per season and team, on
-    true plays."""
-    return pbp.filter(fb.is_true_play()).groupBy("season", F.col("posteam").alias("team")).agg(
+    """Pass rate, expected pass rate and mean pass over expected per season and team, on true
+    plays; beside them every week's qualifying plays outside the last 120 seconds of a half: their
+    number, rates, PROE and the pace proxy ``30 * 60 / plays`` (X9, X10). A season without such
+    plays has one row without a week; a week without true plays in its season has no season rates."""
+    team = ["season", "team"]
+    p = pbp.withColumnRenamed("posteam", "team")
+    season = p.filter(fb.is_true_play()).groupBy(*team).agg(
         F.avg("pass").alias("pass_rate"), F.avg("xpass").alias("exp_pass_rate"), F.avg("pass_oe").alias("proe"))
+    weeks = p.filter(fb.is_qualifying() & ~fb.within_half_seconds(120)).groupBy("season", "week", "team").agg(
+        F.count(F.lit(1)).alias("plays"), F.avg("pass").alias("week_pass_rate"), F.avg("xpass").alias("week_xpass_rate"))
+    weeks = weeks.withColumns({"week_proe": F.col("week_pass_rate") - F.col("week_xpass_rate"),
+                               "sec_per_play_proxy": share(F.lit(1800.0), "plays")}).withColumnsRenamed(
+        {"season": "w_season", "team": "w_team"})
+    same = season["season"].eqNullSafe(weeks["w_season"]) & season["team"].eqNullSafe(weeks["w_team"])
+    return season.join(weeks, same, "full").select(
+        *[F.coalesce(c, f"w_{c}").alias(c) for c in team], "pass_rate", "exp_pass_rate", "proe", "week", "plays",
+        "week_pass_rate", "week_xpass_rate", "week_proe", "sec_per_play_proxy")
 
 
 def team_proe_and_pace(pbp: DataFrame) -> DataFrame:

@@ -184,12 +184,19 @@ def season_trends(spark: SparkSession, sf: str) -> DataFrame:
 
 
 @register("rate_over_expected", _sql(f"""
-SELECT season, posteam AS team, round(AVG(pass), 6) AS pass_rate, round(AVG(xpass), 6) AS exp_pass_rate,
-       round(AVG(pass_oe), 6) AS proe
-FROM plays WHERE {TRUE_PLAY} GROUP BY ALL
+s AS (SELECT season, posteam AS team, round(AVG(pass), 6) AS pass_rate, round(AVG(xpass), 6) AS exp_pass_rate,
+             round(AVG(pass_oe), 6) AS proe
+      FROM plays WHERE {TRUE_PLAY} GROUP BY ALL),
+w AS (SELECT season, week, posteam AS team, COUNT(*) AS plays, AVG(pass) AS pass_rate, AVG(xpass) AS xpass_rate
+      FROM plays WHERE {QUAL} AND NOT COALESCE(half_seconds_remaining <= 120, false) GROUP BY ALL)
+SELECT COALESCE(s.season, w.season) AS season, COALESCE(s.team, w.team) AS team, s.pass_rate, s.exp_pass_rate, s.proe,
+       w.week, w.plays, round(w.pass_rate, 6) AS week_pass_rate, round(w.xpass_rate, 6) AS week_xpass_rate,
+       round(w.pass_rate - w.xpass_rate, 6) AS week_proe, round(1800.0 / w.plays, 6) AS sec_per_play_proxy
+FROM s FULL JOIN w ON s.season IS NOT DISTINCT FROM w.season AND s.team IS NOT DISTINCT FROM w.team
 """))
 def rate_over_expected(spark: SparkSession, sf: str) -> DataFrame:
-    """Pass rate over expected per team on true plays."""
+    """Pass rate over expected per team and season on true plays, with the weeks' rates, PROE
+    and pace proxy (X9, X10)."""
     return _rounded(lg.rate_over_expected(ad.plays_view(spark, sf)))
 
 
