@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from gridmart.operators.ranking import previous_in_groups, row_number_in_groups
+from gridmart.operators.ranking import previous_by_day, previous_in_groups, row_number_in_groups
 
 
 def _data(spark):
@@ -28,3 +28,13 @@ def test_range_lag_equals_window(spark):
     b = previous_in_groups(df, ["g"], order, "id", "prev_id", method="range", partitions=5).collect()
     assert sorted(map(tuple, a), key=str) == sorted(map(tuple, b), key=str)
     assert sum(1 for r in b if r.prev_id is None) == 3
+
+
+def test_previous_by_day_is_the_lag_over_the_whole_group(spark):
+    rows = [("a", day, i, f"v{day}-{i}") for day in (None, 3, 7, 8) for i in range(4)]
+    rows += [("b", 5, i, f"b{i}") for i in range(30)] + [(None, 1, 0, "n0"), (None, 2, 0, None), (None, 4, 1, "n1")]
+    df = spark.createDataFrame(rows, "g string, day int, id int, v string")
+    order = [F.col("id").asc_nulls_first()]
+    found = previous_by_day(df, ["g"], "day", order, "v", "prev").collect()
+    expected = previous_in_groups(df, ["g"], [F.col("day").asc_nulls_first(), *order], "v", "prev", method="window").collect()
+    assert sorted(map(repr, found)) == sorted(map(repr, expected))
