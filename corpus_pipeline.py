@@ -11,44 +11,36 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from gridmart.llm import minhash_dedup, packing, pii, quality_rules, substring_dedup
-from gridmart.llm.scratch import written
-
-
-BATCH_BYTES = 4 << 20
-
-
-def _bounded(spark: SparkSession) -> None:
-    """Arrow batches by bytes: ten thousand whole texts in one batch are too much for a worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+from gridmart.llm.scratch import bounded_batches, written
 
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop the documents that fail the production policy."""
-    _bounded(spark)
+    bounded_batches(spark)
     return quality_rules.keep_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keep one document of each group of near duplicates."""
-    _bounded(spark)
+    bounded_batches(spark)
     return minhash_dedup.keep_documents(docs)
 
 
 def substrings(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Cut passages of 13 words or more that a smaller doc_id has too."""
-    _bounded(spark)
+    bounded_batches(spark)
     return substring_dedup.remove_repeats(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Replace personal data by its kind."""
-    _bounded(spark)
+    bounded_batches(spark)
     return pii.mask(docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Tokenize and place every document in sequences of 4096 tokens."""
-    _bounded(spark)
+    bounded_batches(spark)
     return packing.pack_documents(docs)
 
 

@@ -22,6 +22,14 @@ def shared_dir(spark: SparkSession) -> str:
     return path
 
 
+BATCH_BYTES = 4 << 20
+
+
+def bounded_batches(spark: SparkSession) -> None:
+    """Arrow batches by bytes: ten thousand whole texts in one batch are too much for a worker."""
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 _OPEN: list[list[str]] = []
 
 

@@ -91,12 +91,19 @@ class Words:
             data = np.where((data >= 65) & (data <= 90), data + 32, data).astype(np.uint8)
         return span_hashes(data, self.start, self.end)
 
+    def array(self) -> pa.Array:
+        """The words as one Arrow string column."""
+        offsets = np.concatenate([[0], np.cumsum(self.end - self.start)]).astype(np.int64)
+        kept = self.data[~_SPACE[self.data]]
+        return pa.Array.from_buffers(pa.large_string(), len(self.start), [None, pa.py_buffer(offsets), pa.py_buffer(kept)])
+
     def doc_bytes(self, d: int) -> bytes:
         return self.data[self.offsets[d]:self.offsets[d + 1]].tobytes()
 
 
-def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """A 64-bit hash of each byte span."""
+def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, by: int = 0xD6E8FEB86659FD93, shift: int = 32
+                ) -> np.ndarray:
+    """A 64-bit hash of each byte span; another odd ``by`` and ``shift`` give another hash."""
     padded = np.concatenate([data, np.zeros(8, np.uint8)])
     loads = np.ndarray((len(data) + 1,), "<u8", padded.data, strides=(1,))
     length = end - start
@@ -105,8 +112,8 @@ def span_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndar
     left = length
     while len(todo):
         part = loads[at] & _MASK[np.minimum(left, 8)]
-        step = (h[todo] ^ part) * U64(0xD6E8FEB86659FD93)
-        h[todo] = step ^ (step >> U64(32))
+        step = (h[todo] ^ part) * U64(by)
+        h[todo] = step ^ (step >> U64(shift))
         more = left > 8
         todo, at, left = todo[more], at[more] + 8, left[more] - 8
     return mix64(h)

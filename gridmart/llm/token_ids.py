@@ -3,21 +3,24 @@
 The vocabulary ``word_bpe_49k.json`` drops white space and never joins characters across
 it, so a text's ids are the ids of its white-space separated words in order. Each Python
 worker keeps a bounded cache word -> ids, and ids of a batch are gathered from it by numpy.
+The cache tells words apart by 128 bits of hash.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from tokenizers import Tokenizer
 
-from gridmart.llm.textops import Words
+from gridmart.llm.scratch import bounded_batches
+from gridmart.llm.textops import Words, binary_parts, small_batches, span_hashes
 
 END_ID = 1
-_END = b"\n"  # stands for the end of a document; no word can equal it
+SECOND = 0xA0761D6478BD642F, 29  # multiplier and shift of the second hash of a word
 
 
 def default_vocabulary() -> str:
@@ -61,87 +64,129 @@ class _Table:
     def __init__(self):
         self.ids = np.zeros(1 << 16, np.uint32)
         self.start = np.zeros(1 << 14, np.int64)
-        self.size = np.zeros(1 << 14, np.int64)
+        self.size = np.zeros(1 << 14, np.int32)
         self.rows = self.used = 0
 
-    def add(self, lists: list) -> None:
+    def add(self, lists: list) -> np.ndarray:
+        """Append ``lists``; the numbers of their rows."""
         n = np.fromiter(map(len, lists), np.int64, len(lists))
-        total = int(n.sum())
-        while self.used + total > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros_like(self.ids)])
-        while self.rows + len(lists) > len(self.start):
-            self.start = np.concatenate([self.start, np.zeros_like(self.start)])
-            self.size = np.concatenate([self.size, np.zeros_like(self.size)])
-        self.ids[self.used:self.used + total] = np.fromiter((i for x in lists for i in x), np.uint32, total)
-        rows = slice(self.rows, self.rows + len(lists))
-        self.size[rows], self.start[rows] = n, self.used + np.cumsum(n) - n
-        self.rows += len(lists)
-        self.used += total
+        total, rows = int(n.sum()), self.rows + len(lists)
+        self.ids = _grown(self.ids, self.used + total)
+        self.start, self.size = _grown(self.start, rows), _grown(self.size, rows)
+        self.ids[self.used:self.used + total] = np.fromiter(chain.from_iterable(lists), np.uint32, total)
+        self.size[self.rows:rows], self.start[self.rows:rows] = n, self.used + np.cumsum(n) - n
+        out = np.arange(self.rows, rows)
+        self.rows, self.used = rows, self.used + total
+        return out
+
+
+    def taken(self, rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The lists of ``rows`` one after the other, and their offsets."""
+        offsets = np.append(self.start[:self.rows], self.used)
+        lists = pa.LargeListArray.from_arrays(pa.array(offsets), pa.array(self.ids[:self.used]))
+        out = lists.take(pa.array(rows))
+        return out.flatten().to_numpy(), out.offsets.to_numpy()
+
+
+def _grown(array: np.ndarray, size: int) -> np.ndarray:
+    """``array`` with room for ``size`` values."""
+    if size <= len(array):
+        return array
+    out = np.zeros(max(size, len(array) + (len(array) >> 1)), array.dtype)
+    out[:len(array)] = array
+    return out
 
 
 class WordEncoder:
-    """Batch encoder with a cache of at most ``max_words`` words between batches."""
+    """Batch encoder with a cache of at most ``max_words`` words between batches.
+
+    Arrow finds the distinct words of a batch; the cache is a sorted array of their 64-bit
+    hashes with a second 64-bit hash beside each, so a cached word takes some fifty bytes."""
 
-    def __init__(self, vocabulary: str, max_words: int = 500_000):
+    def __init__(self, vocabulary: str, max_words: int = 1_200_000):
         self.tokenizer = Tokenizer.from_str(vocabulary)
         self.max_words = max_words
-        self.letters = _byte_letters()
+        self.letters = {b: x for b, x in enumerate(_byte_letters()) if x != chr(b)}
+        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
         self.clear()
 
     def clear(self) -> None:
-        self.index, self.table, self.cores = _Index(), _Table(), {}
-        self.index[_END] = 0
-        self.table.add([[END_ID]])
-        self.marks = {m: self.tokenizer.encode(m, add_special_tokens=False).ids for m in ".,"}
+        self.keys, self.checks, self.rows = np.zeros(0, np.uint64), np.zeros(0, np.uint64), np.zeros(0, np.int32)
+        self.table = _Table()
+        self.table.add([[END_ID]])  # row 0
 
-    def _core(self, core: str) -> list[int]:
-        """Ids of a run of Latin letters: one piece for the pre-tokenizer, so the model's
+    def _cores(self, cores: list[str]) -> np.ndarray:
+        """Rows of runs of Latin letters: each is one piece for the pre-tokenizer, so the model's
         merges apply to its bytes directly."""
-        ids = self.cores.get(core)
-        if ids is None:
-            text = core if core.isascii() else "".join(self.letters[b] for b in core.encode())
-            ids = self.cores[core] = [t.id for t in self.tokenizer.model.tokenize(text)]
-        return ids
-
-    def _learn(self) -> None:
-        lists, other = [], []
-        for raw in self.index.new:
-            word = raw.decode()
-            mark = word[-1] if word[-1] in self.marks else ""
-            core = word[:-1] if mark else word
-            low = core.lower()
-            if low.isalpha() and max(low) < "ɐ":
-                ids = self._core(low)
-                lists.append(ids + self.marks[mark] if mark else ids)
+        model, letters = self.tokenizer.model, self.letters
+        texts = (c if c.isascii() else c.encode().decode("latin-1").translate(letters) for c in cores)
+        return self.table.add([[t.id for t in model.tokenize(x)] for x in texts])
+
+    def _learn(self, words: list[str]) -> np.ndarray:
+        """The table's rows of new distinct words; a word takes its ids from its run of letters,
+        which is cached in lower case."""
+        rows, cores, of_core, marked, other = np.zeros(len(words), np.int64), {}, [], [], []
+        for k, word in enumerate(words):
+            mark = self.marks.get(word[-1])
+            low = (word[:-1] if mark else word).lower()
+            if low.isalpha() and (low.isascii() or max(low) < "ɐ"):
+                of_core.append((k, cores.setdefault(low, len(cores))))
+                if mark:
+                    marked.append((k, mark))
             else:
-                other.append((len(lists), word))
-                lists.append(None)
+                other.append(k)
+        if cores:
+            at, core = np.array(of_core).T
+            rows[at] = self._rows(pa.array(list(cores), pa.large_string()), self._cores)[core]
+        if marked:
+            ids, start, size = self.table.ids, self.table.start, self.table.size
+            at = np.array([k for k, _ in marked])
+            first = start[rows[at]].tolist()
+            last = (start[rows[at]] + size[rows[at]]).tolist()
+            rows[at] = self.table.add([ids[a:b].tolist() + mark for a, b, (_, mark) in zip(first, last, marked, strict=True)])
         if other:
-            found = self.tokenizer.encode_batch_fast([w for _, w in other], add_special_tokens=False)
-            for (at, _), e in zip(other, found, strict=True):
-                lists[at] = e.ids
-        self.index.new = []
-        self.table.add(lists)
+            found = self.tokenizer.encode_batch_fast([words[k] for k in other], add_special_tokens=False)
+            rows[other] = self.table.add([e.ids for e in found])
+        return rows
+
+    def _found(self, keys: np.ndarray, checks: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(where each key belongs, whether it is there); ``keys`` ascend."""
+        at = np.searchsorted(self.keys, keys)
+        if not len(self.keys):
+            return at, np.zeros(len(keys), bool)
+        here = np.minimum(at, len(self.keys) - 1)
+        return at, (self.keys[here] == keys) & (self.checks[here] == checks)
+
+    def _rows(self, distinct: pa.Array, learn: Callable[[list[str]], np.ndarray]) -> np.ndarray:
+        """The table's row of each of the ``distinct`` words."""
+        raw, off = binary_parts(distinct)
+        keys, checks = span_hashes(raw, off[:-1], off[1:]), span_hashes(raw, off[:-1], off[1:], *SECOND)
+        order = np.argsort(keys)
+        keys, checks = keys[order], checks[order]
+        at, known = self._found(keys, checks)
+        rows, new = np.zeros(len(keys), np.int64), order[~known]
+        rows[order[known]] = self.rows[at[known]]
+        if len(new):
+            rows[new] = learn(distinct.take(pa.array(new)).to_pylist())
+            keys, checks = keys[~known], checks[~known]
+            at, known = self._found(keys, checks)  # learning adds runs of letters
+            at, fresh = at[~known], (keys[~known], checks[~known], rows[new[~known]])
+            self.keys, self.checks, self.rows = (
+                np.insert(old, at, x) for old, x in zip((self.keys, self.checks, self.rows), fresh, strict=True))
+        return rows
 
     def encode(self, texts) -> tuple[np.ndarray, np.ndarray]:
         """(ids, offsets): document d has ``ids[offsets[d]:offsets[d + 1]]``, its end id
         included. A null text counts as empty and has the end id alone."""
-        if len(self.index) > self.max_words:
+        if len(self.keys) > self.max_words:
             self.clear()
         words = Words(texts)
-        parts: list[bytes] = []
-        for d in range(words.n_docs):
-            parts += words.doc_bytes(d).split()
-            parts.append(_END)
-        row = np.fromiter(map(self.index.__getitem__, parts), np.int64, len(parts))
-        if self.index.new:
-            self._learn()
-        size = self.table.size[row]
-        ends = np.cumsum(size)
-        total = int(ends[-1]) if len(ends) else 0
-        at = np.arange(total) + np.repeat(self.table.start[row] - (ends - size), size)
-        last = np.cumsum(words.count + 1) - 1
-        return self.table.ids[at], np.concatenate([[0], ends[last]]).astype(np.int64)
+        coded = words.array().dictionary_encode()
+        row = np.zeros(len(coded) + words.n_docs, np.int64)
+        row[np.arange(len(coded)) + words.doc()] = self._rows(coded.dictionary, self._learn)[coded.indices.to_numpy()]
+        ids, ends = self.table.taken(row)
+        last = np.cumsum(words.count + 1)
+        return ids, ends[np.concatenate([[0], last])]
 
 
 _ENCODERS: dict[int, WordEncoder] = {}
@@ -159,12 +204,11 @@ def encoder(vocabulary: str) -> WordEncoder:
 def map_ids(docs: DataFrame, vocabulary, rows: Callable[[object, np.ndarray, np.ndarray], dict], schema: str
             ) -> DataFrame:
     """``rows(doc_id column, ids, offsets) -> columns`` over batches of a few MB of text."""
-    from gridmart.llm.textops import small_batches
-
     def run(batches):
         enc = encoder(vocabulary.value)
-        for b in small_batches(batches):
+        for b in small_batches(batches, limit=2 << 20):
             ids, offsets = enc.encode(b["text"])
             yield pa.RecordBatch.from_pydict(rows(b["doc_id"], ids, offsets))
 
+    bounded_batches(docs.sparkSession)
     return docs.select("doc_id", "text").mapInArrow(run, schema)

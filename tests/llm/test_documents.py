@@ -5,6 +5,7 @@ from __future__ import annotations
 import hashlib
 import random
 import re
+import tracemalloc
 import zlib
 from collections import Counter
 from math import log10
@@ -14,7 +15,7 @@ import pyarrow as pa
 import pytest
 
 from gridmart.llm import (hmm_lm, minhash_dedup, packing, pii, quality_classifier, quality_rules,
-                          sentencepiece_viterbi, substring_dedup, token_files)
+                          sentencepiece_viterbi, substring_dedup, token_files, token_ids)
 from gridmart.llm.scratch import shared_dir
 
 WORD = re.compile("[^\x20\x09-\x0D]+")
@@ -410,3 +411,31 @@ def test_near_dedup_deletes_its_tables(spark, documents, corpus):
     new = set(glob.glob(f"{folder}/*")) - before
     assert len(new) == 1 and "gone-or-repeated" in new.pop()
     assert kept.count() == kept.select("doc_id").distinct().count() < len(corpus)
+
+
+def test_word_encoder_cache_takes_few_bytes_a_word_and_keeps_words_apart(monkeypatch):
+    """The cache held Python objects of some 300 bytes a word; ids stay the library's, also
+    where first hashes collide and after the cache is cleared."""
+    text = " ".join(f"kep{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}{chr(97 + k // 676 % 26)}{chr(97 + k // 17576)}"
+                    for k in range(40_000))
+    with open(token_ids.default_vocabulary(), encoding="utf-8") as f:
+        vocabulary = f.read()
+    enc = token_ids.WordEncoder(vocabulary)
+    enc.encode(pa.array(["a"]))
+    tracemalloc.start()
+    for k in range(0, len(text), 8_000 * 8):
+        enc.encode(pa.array([text[k:k + 8_000 * 8]]))
+    held = tracemalloc.get_traced_memory()[0]
+    tracemalloc.stop()
+    assert held < 40_000 * 120
+
+    texts = ["one two two. Two, \tone", None, "", "don't ÀÉ. 日本 😀 </s> <|endoftext|> İstanbul " + text[:80], " two\n"]
+    expect = [[*(enc.tokenizer.encode(t or "", add_special_tokens=False).ids), 1] for t in texts]
+    for hashes in (token_ids.span_hashes, lambda raw, a, b, *second: real(raw, a, b, *second) * np.uint64(bool(second))):
+        real = token_ids.span_hashes
+        monkeypatch.setattr(token_ids, "span_hashes", hashes)
+        enc = token_ids.WordEncoder(vocabulary, max_words=6)
+        for _ in range(3):
+            ids, off = enc.encode(pa.array(texts))
+            assert [ids[a:b].tolist() for a, b in zip(off[:-1], off[1:], strict=True)] == expect
+        monkeypatch.setattr(token_ids, "span_hashes", real)
