@@ -43,25 +43,22 @@ def profile(df: DataFrame, key: Sequence[str], partitions: Sequence[str] = (),
             range_cols: Sequence[str] = ("season", "year", "week")) -> DataFrame:
     """Per partition: rows, columns, key-null rows, unique and duplicate key rows, ratio,
     min/max of season/year/week. A NULL composite key counts as one value (as in the
-    reference's tests). Uniqueness is a two-level aggregate (count per key, then sums),
-    so it distributes; no key set is collected."""
-    per_key = df.groupBy(*partitions, *key).agg(F.count(F.lit(1)).alias("__c"))
+    reference's tests). Everything is one two-level aggregate (count and ends per key, then
+    sums), so the rows are read once and it distributes; no key set is collected."""
+    present = [c for c in range_cols if c in df.columns and c not in partitions]
+    ends = [(f, c, f"{n}_{c}") for c in present for f, n in ((F.min, "min"), (F.max, "max"))]
+    per_key = df.groupBy(*partitions, *key).agg(
+        F.count(F.lit(1)).alias("__c"), *[f(c).alias(f"__{name}") for f, c, name in ends])
     any_null = F.lit(False)
     for k in key:
         any_null = any_null | F.col(k).isNull()
-    keys = per_key.groupBy(*partitions).agg(
+    for p in partitions:  # rows without a partition belong to none
+        per_key = per_key.filter(F.col(p).isNotNull())
+    out = per_key.groupBy(*partitions).agg(
+        F.coalesce(F.sum("__c"), F.lit(0)).alias("rows"), *[f(f"__{name}").alias(name) for f, _, name in ends],
         F.count(F.lit(1)).alias("key_unique_rows"),
         F.sum(F.col("__c") - 1).alias("key_duplicate_rows"),
         F.sum(F.when(any_null, F.col("__c")).otherwise(0)).alias("key_null_rows"))
-    present = [c for c in range_cols if c in df.columns and c not in partitions]
-    rng = [f(c).alias(f"{n}_{c}") for c in present for f, n in ((F.min, "min"), (F.max, "max"))]
-    base = df.groupBy(*partitions).agg(F.count(F.lit(1)).alias("rows"), *rng)
-    if partitions:
-        out = base.join(keys, list(partitions), "inner")
-    else:  # both sides are one row: attach the key figures as literals, no cross product
-        k = keys.first()
-        out = base.withColumns({n: F.lit(k[n]).cast(t) for n, t in
-                                ((f.name, f.dataType) for f in keys.schema.fields)})
     return out.withColumns({
         "columns": F.lit(len(df.columns)),
         "key_duplicate_ratio": F.try_divide(F.col("key_duplicate_rows").cast("double"), F.col("rows").cast("double")),
