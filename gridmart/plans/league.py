@@ -48,9 +48,14 @@ def with_play_gaps(pbp: DataFrame) -> DataFrame:
 
 
 def team_games(pbp: DataFrame, *extra: str) -> DataFrame:
+    """:func:`_team_games`, pinned: games, teams and the league read it."""
+    return pinned(_team_games(pbp, *extra))
+
+
+def _team_games(pbp: DataFrame, *extra: str) -> DataFrame:
     """One row per game and team (and ``extra``) from one pass over the plays: counts, sums and
     pace of its qualifying plays, all and neutral ones, explosive plays (X13), touchdowns and
-    scores of all its plays. Pinned: games, teams and the league read it."""
+    scores of all its plays."""
     q, neutral = F.col("qualifies"), F.col("qualifies") & fb.is_neutral()
     is_pass, is_rush = fb.flag("pass"), fb.flag("rush_attempt")
     gain, gain_epa = F.col("yards_gained"), F.when(F.col("epa") > 0, F.col("epa")).otherwise(0.0)
@@ -61,7 +66,7 @@ def team_games(pbp: DataFrame, *extra: str) -> DataFrame:
     sums = {
         "epa_pass_sum": (q & is_pass, "epa"), "epa_rush_sum": (q & is_rush, "epa"), "epa_sum": (q, "epa"),
         "xpass_sum": (q, "xpass"), "gap_sum": (q, "gap_sec"), "neutral_gap_sum": (neutral, "gap_sec"), "neutral_xpass_sum": (neutral, "xpass")}
-    return pinned(with_play_gaps(pbp).groupBy("season", "week", "game_id", "posteam", *extra).agg(
+    return with_play_gaps(pbp).groupBy("season", "week", "game_id", "posteam", *extra).agg(
         *[csum(c).alias(n) for n, c in counts.items()],
         *[F.sum(F.when(c, F.col(v))).alias(n) for n, (c, v) in sums.items()],
         *[F.count(F.when(c, F.col(v))).alias(n.replace("_sum", "_n")) for n, (c, v) in sums.items()],
@@ -70,7 +75,7 @@ def team_games(pbp: DataFrame, *extra: str) -> DataFrame:
         F.sum(F.when(q & is_rush, gain_epa)).alias("rush_gain"),
         F.sum(F.when(q & is_rush & (gain >= 10), gain_epa)).alias("rush_gain_10"),
         csum(fb.flag("touchdown")).alias("tds"), F.max("total_home_score").alias("home"),
-        F.max("total_away_score").alias("away")))
+        F.max("total_away_score").alias("away"))
 
 
 def _per_game(tg: DataFrame) -> DataFrame:
@@ -147,9 +152,10 @@ def league_yoy(pbp: DataFrame) -> DataFrame:
 def league_by_class(pbp: DataFrame, policy: str = "open_is_outdoor",
                     policies: Mapping[str, Mapping[str, Sequence[str]]] = ROOF_POLICIES) -> DataFrame:
     """Weekly league metrics per roof class under a named policy; points and touchdowns are
-    means of the games' totals over the class's team-games."""
+    means of the games' totals over the class's team-games. One reader, so nothing is pinned and
+    measures that it does not read are not computed."""
     group = ["season", "week", "roof_class"]
-    tg = team_games(pbp.withColumn("roof_class", policy_classify("roof", policies, policy)), "roof_class")
+    tg = _team_games(pbp.withColumn("roof_class", policy_classify("roof", policies, policy)), "roof_class")
     game = ["season", "week", "game_id"]
     rates = _rates(tg.withColumns({
         "points": _of_game(F.max("home"), *game) + _of_game(F.max("away"), *game),
