@@ -19,25 +19,28 @@ the end have probability 1.
 
 from __future__ import annotations
 
+import uuid
+
 import numpy as np
 import pyarrow as pa
-from pyspark import StorageLevel
+import pyarrow.compute as pc
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.exchange import _packed, _unpacked, grouped, plan_sizes
-from gridmart.llm.scratch import collected, dropped, written
+from gridmart.llm.exchange import _packed, _unpacked, plan_sizes
+from gridmart.llm.scratch import bounded_batches, collected, dropped, shared_path, written
 from gridmart.llm.textops import U64, Words, mix64
 
 STATES, SEGMENT = 6, 256
 CLASSES = 1024  # symbols of a start model without a vocabulary
 SETTLED = 1e-4
 HELD_MOD, HELD_REST = 7, 2
-GROUP_BYTES, LEAST_GROUPS, BATCH = 8 << 20, 24, 1 << 18
+GROUP_BYTES, LEAST_GROUPS, BATCH = 8 << 20, 24, 1 << 19
 UNIT = 1 << 12
-ENCODED = "grp int, keys binary, seq binary, size binary, counts binary"
-SENT = "bucket int, grp int, keys binary, vals binary, stats binary"
-ANSWER = "bucket int, grp int, vals binary"
+ENCODED = "grp long, ids array<bigint>, held array<boolean>, size binary, keys binary, rank binary, seq binary, counts binary"
+SENT = "bucket int, grp long, keys binary, vals binary, stats binary"
+ANSWER = "bucket int, grp long, vals binary"
 
 
 def held_out(mod: int, rest: int):
@@ -68,13 +71,17 @@ class Model:
 
 
 def _by_length(classes: np.ndarray, offsets: np.ndarray):
-    """(order, padded time x sequence matrix, active sequences per step), longest first."""
+    """(order, symbols step by step, first column of each step), longest sequence first: a step's
+    columns are the sequences that reach it."""
     size = np.diff(offsets)
     order = np.argsort(-size, kind="stable")
-    size = size[order]
+    size, begin = size[order], offsets[:-1][order]
     steps = int(size[0]) if len(size) else 0
     active = np.searchsorted(-size, -np.arange(steps), side="left")
-    return order, offsets[:-1][order], active
+    cols = np.concatenate([[0], np.cumsum(active)]).astype(np.int64)
+    step = np.repeat(np.arange(steps), active)
+    at = begin[np.arange(cols[-1]) - cols[:-1][step]] + step
+    return order, classes[at], cols
 
 
 def expected_counts(model: Model, classes: np.ndarray, offsets: np.ndarray, opens: np.ndarray) -> np.ndarray:
@@ -83,58 +90,65 @@ def expected_counts(model: Model, classes: np.ndarray, offsets: np.ndarray, open
 
 
 def _expected(model: Model, classes: np.ndarray, offsets: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, float]:
-    """``expected_counts`` and the log10 likelihood of the sequences."""
-    order, begin, active = _by_length(classes, offsets)
-    steps, k = len(active), STATES
-    cells = model.emit.shape[1]
+    """``expected_counts`` and the log10 likelihood of the sequences. States are rows and tokens
+    columns, so that every step works on long contiguous runs."""
+    order, x, cols = _by_length(classes, offsets)
+    k, cells, last = STATES, model.emit.shape[1], len(cols) - 2
     total = np.zeros(k + k * k + k * cells)
-    if not steps:
+    if last < 0:
         return total, 0.0
-    one = np.ones(k)  # a product with it is faster than a sum over few columns
-    emit = np.ascontiguousarray(model.emit.T)
-    alpha, scale, seen = [], [], []
-    for t in range(steps):
-        n = int(active[t])
-        x = classes[begin[:n] + t]
-        a = (model.start if t == 0 else alpha[-1][:n] @ model.move) * emit[x]
-        s = a @ one
-        alpha.append(a / s[:, None])
-        scale.append(s)
-        seen.append(x)
-    beta = np.ones((int(active[-1]), k))
-    gamma = [None] * steps
+    emit = _emitted(model, x)
+    alpha, beta, scale = np.empty_like(emit), np.ones_like(emit), np.empty(len(x))
+    forward, back = np.ascontiguousarray(model.move.T), np.ascontiguousarray(model.move)
+    bounds = cols.tolist()
+    for t in range(last + 1):
+        a, b = bounds[t], bounds[t + 1]
+        now, e = alpha[:, a:b], emit[:, a:b]
+        if t:
+            p = bounds[t - 1]
+            np.multiply(forward @ alpha[:, p:p + b - a], e, out=now)
+        else:
+            np.multiply(model.start[:, None], e, out=now)
+        s = np.add.reduce(now, axis=0, out=scale[a:b])
+        r = 1 / s
+        now *= r
+        e *= r
     moves = np.zeros((k, k))
-    for t in range(steps - 1, -1, -1):
-        n = int(active[t])
-        if t < steps - 1:
-            m = int(active[t + 1])
-            after = emit[seen[t + 1]] * beta / scale[t + 1][:, None]
-            moves += alpha[t][:m].T @ after
-            back = np.ones((n, k))
-            back[:m] = after @ model.move.T
-            beta = back
-        gamma[t] = alpha[t] * beta
-    first = gamma[0][opens[order]]
-    total[:k] = first.sum(0)
+    for t in range(last, 0, -1):
+        a, b, p = bounds[t], bounds[t + 1], bounds[t - 1]
+        after = emit[:, a:b]
+        after *= beta[:, a:b]
+        moves += alpha[:, p:p + b - a] @ after.T
+        beta[:, p:p + b - a] = back @ after
+    alpha *= beta
+    total[:k] = alpha[:, :bounds[1]][:, opens[order]].sum(1)
     total[k:k + k * k] = (moves * model.move).ravel()
-    x, g = np.concatenate(seen), np.concatenate(gamma)
-    emitted = [np.bincount(x, g[:, s], cells) for s in range(k)]
-    total[k + k * k:] = np.concatenate(emitted)
-    return total, float(np.log10(np.concatenate(scale)).sum())
+    total[k + k * k:] = np.concatenate([np.bincount(x, alpha[s], cells) for s in range(k)])
+    return total, float(np.log10(scale).sum())
+
+
+def _emitted(model: Model, x: np.ndarray) -> np.ndarray:
+    """Emission probabilities of the symbols ``x``, a row per state."""
+    out = np.empty((STATES, len(x)))
+    for s in range(STATES):
+        np.take(model.emit[s], x, out=out[s], mode="clip")
+    return out
 
 
 def log10_likelihood(model: Model, classes: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     """log10 probability of each sequence, by the scaled forward recursion."""
-    order, begin, active = _by_length(classes, offsets)
-    emit = np.ascontiguousarray(model.emit.T)
+    order, x, cols = _by_length(classes, offsets)
+    emit, scale = _emitted(model, x), np.empty(len(x))
+    forward = np.ascontiguousarray(model.move.T)
+    bounds = cols.tolist()
+    alpha = model.start[:, None]
+    for t, (a, b) in enumerate(zip(bounds[:-1], bounds[1:], strict=True)):
+        alpha = (forward @ alpha[:, :b - a] if t else alpha) * emit[:, a:b]
+        s = np.add.reduce(alpha, axis=0, out=scale[a:b])
+        alpha *= 1 / s
     out = np.zeros(len(offsets) - 1)
-    alpha = None
-    for t in range(len(active)):
-        n = int(active[t])
-        alpha = (model.start if t == 0 else alpha[:n] @ model.move) * emit[classes[begin[:n] + t]]
-        s = alpha.sum(1)
-        alpha /= s[:, None]
-        out[order[:n]] += np.log10(s)
+    column = np.arange(len(x)) - np.repeat(cols[:-1], np.diff(cols))
+    out[order] = np.bincount(column, np.log10(scale), len(out))
     return out
 
 
@@ -175,7 +189,7 @@ class Sums:
         emit = np.concatenate([counts, self.end[None, :]]) / UNIT + 1 / STATES
         emit /= self.tokens / UNIT + (self.v + 1) / STATES
         start, move = start + 1e-2, move + 1e-2
-        return Model(start / start.sum(), move / move.sum(1, keepdims=True), emit.T)
+        return Model(start / start.sum(), move / move.sum(1, keepdims=True), np.ascontiguousarray(emit.T))
 
 
 def _whole(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -199,23 +213,76 @@ def _unpacked_rows(column) -> np.ndarray:
     return np.concatenate(parts) if parts else np.zeros((0, STATES), np.int64)
 
 
-def _encoded(dealt: DataFrame) -> DataFrame:
-    """One row per group: its distinct words, the training texts as numbers of words (the end
-    last), their sizes, and how often each word and the end occur in them."""
+def _planes(numbers: np.ndarray) -> pa.Array:
+    """One binary value of 4-byte numbers, byte planes apart (see ``exchange._packed``)."""
+    return pa.array([np.ascontiguousarray(numbers, "<i4").view(np.uint8).reshape(-1, 4).T.tobytes()], pa.binary())
+
 
-    def encode(key, table):
-        words = Words(table["text"])
-        own, symbols = np.unique(words.hashes(fold_case=True), return_inverse=True)
-        seq, offsets = _sequences(words, symbols, len(own))
-        trains = ~np.asarray(table["held_out"].combine_chunks().to_numpy(zero_copy_only=False), bool)
-        seq = seq[np.repeat(trains, np.diff(offsets))]
-        one = np.zeros(2, np.int64)
-        columns = [own, np.diff(offsets)[trains], np.bincount(seq, minlength=len(own) + 1)]
-        keys, size, counts = (_packed([x], one + [0, len(x)])[0] for x in columns)
-        return pa.table({"grp": pa.array([key[0].as_py()], pa.int32()), "keys": keys,
-                         "seq": pa.array([seq.astype("<i4").tobytes()], pa.binary()), "size": size, "counts": counts})
+def _numbers(column) -> np.ndarray:
+    raw = np.frombuffer(column.combine_chunks()[0].as_buffer(), np.uint8)
+    return np.ascontiguousarray(raw.reshape(4, -1).T).view("<i4").reshape(-1)
 
-    return dealt.groupBy("grp").applyInArrow(encode, ENCODED)
+
+def _group(grp: int, table: pa.Table) -> pa.Table:
+    """One row: the texts as numbers of words (the group's most frequent first, the end last) with
+    their ids and sizes, the distinct words in the order of their hashes, the number of each, and
+    how often each word and the end occur in the training texts."""
+    words = Words(table["text"])
+    own, symbols = np.unique(words.hashes(fold_case=True), return_inverse=True)
+    rank = np.empty(len(own), np.int64)
+    rank[np.argsort(-np.bincount(symbols, minlength=len(own)), kind="stable")] = np.arange(len(own))
+    seq, offsets = _sequences(words, rank[symbols], len(own))
+    size = np.diff(offsets)
+    held = table["held_out"].combine_chunks()
+    trains = ~np.asarray(held.to_numpy(zero_copy_only=False), bool)
+    counts = np.bincount(seq[np.repeat(trains, size)], minlength=len(own) + 1)[np.append(rank, len(own))]
+    whole = pa.array([0, table.num_rows], pa.int32())
+    one = np.zeros(2, np.int64)
+    keys, counts = (_packed([x], one + [0, len(x)])[0] for x in (own, counts))
+    return pa.table({
+        "grp": pa.array([grp], pa.int64()), "ids": pa.ListArray.from_arrays(whole, table["doc_id"].combine_chunks()),
+        "held": pa.ListArray.from_arrays(whole, held), "size": _planes(size), "keys": keys, "rank": _planes(rank),
+        "seq": _planes(seq), "counts": counts})
+
+
+def _encoded(docs: DataFrame) -> DataFrame:
+    """``docs`` in groups of about GROUP_BYTES of text, coded where they are read."""
+
+    def encode(batches):
+        task, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
+        for batch in batches:
+            for a, b in _pieces(batch["text"]):
+                held.append(batch.slice(a, b - a))
+                size += held[-1]["text"].nbytes
+                if size >= GROUP_BYTES:
+                    yield from _group(task + n, pa.Table.from_batches(held)).to_batches()
+                    n, held, size = n + 1, [], 0
+        if held:
+            yield from _group(task + n, pa.Table.from_batches(held)).to_batches()
+
+    return docs.select("doc_id", "held_out", "text").mapInArrow(encode, ENCODED)
+
+
+def _pieces(texts) -> list[tuple[int, int]]:
+    """Slices of a batch with about GROUP_BYTES of text each."""
+    if not len(texts):
+        return []
+    end = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    cuts = np.flatnonzero(np.diff(end // GROUP_BYTES, prepend=0)).tolist()
+    bounds = [0, *[c for c in cuts if c], len(texts)]
+    return list(zip(bounds[:-1], bounds[1:], strict=True))
+
+
+def _kept(encoded: DataFrame, n_groups: int) -> DataFrame:
+    """``encoded`` as a table in the shared folder, in buckets by group: the answers of every round
+    come to the groups, which are not shuffled themselves."""
+    spark = encoded.sparkSession
+    name = f"hmm_groups_{uuid.uuid4().hex}"
+    (encoded.write.option("path", shared_path(spark, name)).option("compression", "zstd")
+     .bucketBy(n_groups, "grp").saveAsTable(name))
+    kept = spark.table(name)
+    spark.sql(f"DROP TABLE {name}")  # the name only: the files are outside of the warehouse
+    return kept
 
 
 def _sent(table, counts: np.ndarray, stats: np.ndarray, shift: int) -> pa.Table:
@@ -227,7 +294,7 @@ def _sent(table, counts: np.ndarray, stats: np.ndarray, shift: int) -> pa.Table:
     if not len(keys):  # the sums of empty texts still count
         at, cuts = np.array([grp % (1 << (64 - shift))]), np.zeros(2, np.int64)
     k, = _packed([keys], cuts)
-    return pa.table({"bucket": at.astype(np.int32), "grp": np.full(len(at), grp, np.int32), "keys": k,
+    return pa.table({"bucket": at.astype(np.int32), "grp": np.full(len(at), grp, np.int64), "keys": k,
                      "vals": _packed_rows(counts, cuts),
                      "stats": pa.array([stats.tobytes()] + [None] * (len(at) - 1), pa.binary())})
 
@@ -259,11 +326,11 @@ def _iteration(encoded: DataFrame, answers: DataFrame, sums: Sums, shift: int) -
     def step(key, left, right):
         if not left.num_rows:
             return pa.table({c.split()[0]: [] for c in SENT.split(", ")})
-        counts, size = _unpacked(left["counts"], np.int64)[0], _unpacked(left["size"], np.int64)[0]
-        model = sums.model(_own(right))
-        raw = left["seq"].combine_chunks()[0].as_buffer()
-        seq = np.frombuffer(raw, "<i4")
-        cuts, opens = _segments(np.concatenate([[0], np.cumsum(size)]))
+        counts, rank = _unpacked(left["counts"], np.int64)[0], _numbers(left["rank"])
+        model, seq, size = _coded(left, right, sums)
+        trains = ~np.asarray(left["held"].combine_chunks().flatten().to_numpy(zero_copy_only=False), bool)
+        seq = seq[np.repeat(trains, size)]
+        cuts, opens = _segments(np.concatenate([[0], np.cumsum(size[trains])]))
         total, likelihood = np.zeros(STATES * (STATES + 1 + len(counts))), 0.0
         parts = np.searchsorted(cuts, np.append(np.arange(0, len(seq), BATCH), len(seq)))
         for a, b in zip(parts[:-1], parts[1:], strict=True):
@@ -272,7 +339,7 @@ def _iteration(encoded: DataFrame, answers: DataFrame, sums: Sums, shift: int) -
             total += found[0]
             likelihood += found[1]
         k = STATES
-        rows = _whole(total[k + k * k:].reshape(k, -1).T, counts)
+        rows = _whole(total[k + k * k:].reshape(k, -1).T[np.append(rank, len(rank))], counts)
         small = np.append(total[:k + k * k], likelihood) * UNIT
         stats = np.concatenate([np.round(small[:-1]), rows[-1], rows.sum(0), np.round(small[-1:]), [0]])
         return _sent(left, rows[:-1], stats.astype(np.int64), shift)
@@ -281,6 +348,14 @@ def _iteration(encoded: DataFrame, answers: DataFrame, sums: Sums, shift: int) -
     return encoded.groupBy("grp").cogroup(right).applyInArrow(step, SENT)
 
 
+def _coded(group: pa.Table, answers: pa.Table, sums: Sums) -> tuple[Model, np.ndarray, np.ndarray]:
+    """The model of a group's words by their numbers, its texts as numbers, and their sizes."""
+    own, rank = _own(answers), _numbers(group["rank"])
+    counts = np.empty_like(own)
+    counts[rank] = own
+    return sums.model(counts), _numbers(group["seq"]), _numbers(group["size"]).astype(np.int64)
+
+
 def _own(answers: pa.Table) -> np.ndarray:
     """A group's answers as expected counts of its words, in the order of their hashes."""
     return _unpacked_rows(answers.sort_by("bucket")["vals"])
@@ -304,7 +379,7 @@ def _answered(sent: DataFrame) -> DataFrame:
         stats[-1] = np.count_nonzero(total.sum(1))
         bucket = key[0].as_py()
         return pa.table({"bucket": pa.array([bucket] * (len(size) + 1), pa.int32()),
-                         "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int32()),
+                         "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int64()),
                          "vals": pa.concat_arrays([_packed_rows(total[at], cuts), pa.array([stats.tobytes()], pa.binary())])})
 
     return sent.groupBy("bucket").applyInArrow(reduce, ANSWER)
@@ -327,58 +402,49 @@ def _sums(answers: DataFrame) -> Sums:
     return Sums(out)
 
 
-def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame]:
+def train(docs: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame, DataFrame]:
     """Baum-Welch iterations over all training texts until the likelihood settles: the last
-    sums, and every group's words with their expected counts."""
+    sums, the coded groups, and every group's words with their expected counts."""
     shift = 64 - int(np.log2(n_buckets))
-    encoded = _encoded(dealt).repartition(n_groups, "grp").persist(StorageLevel.DISK_ONLY)
-    answers = written(_answered(_start(encoded, shift)), "expected-counts")
+    encoded = _kept(_encoded(docs), n_groups)
+    answers = written(_answered(_start(encoded, shift)), "expected-counts", "zstd")
     sums = _sums(answers)
     # The first sums have no moves yet: the next state follows with 0.7, or else any.
     sums.start, sums.move = np.ones(STATES), 0.3 / STATES + np.roll(np.eye(STATES), 1, axis=1) * 0.7
     before = None
     while sums.n:
         collected(encoded.sparkSession)
-        last, answers = answers, written(_answered(_iteration(encoded, answers, sums, shift)), "expected-counts")
+        last, answers = answers, written(_answered(_iteration(encoded, answers, sums, shift)), "expected-counts", "zstd")
         dropped(last)
         sums = _sums(answers)
         if before is not None and sums.likelihood - before <= SETTLED * abs(before):
             break
         before = sums.likelihood
-    encoded.unpersist()
-    return sums, answers
+    return sums, encoded, answers
 
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
+    bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(HELD_MOD, HELD_REST))
-    n_groups, n_buckets = plan_sizes(docs, GROUP_BYTES, LEAST_GROUPS)
-    dealt = grouped(docs, n_groups)
-    sums, answers = train(dealt, n_groups, n_buckets)
+    sums, encoded, answers = train(docs, *plan_sizes(docs, GROUP_BYTES, LEAST_GROUPS))
     log_base = np.log10(sums.n + sums.v + 1)
 
-    def close(key, table, right):
-        words = Words(table["text"])
-        own, symbols = np.unique(words.hashes(fold_case=True), return_inverse=True)
-        counts = _own(right)
-        c = (counts.sum(1) // UNIT)[symbols]
-        logs = np.log10(c + 1.0)
-
-        def per_doc(x):
-            s = np.concatenate([np.zeros(1, x.dtype), np.cumsum(x)])
-            return s[words.first[1:]] - s[words.first[:-1]]
-
-        n_tokens = words.count + 1
-        seq, offsets = _sequences(words, symbols, len(own))
-        end = np.log10(sums.n_train + 1.0)
+    def close(key, left, right):
+        model, seq, size = _coded(left, right, sums)
+        seq = seq.astype(np.int64)
+        c = np.empty(model.emit.shape[1], np.int64)
+        c[_numbers(left["rank"])], c[-1] = _own(right).sum(1) // UNIT, sums.n_train
+        offsets = np.concatenate([[0], np.cumsum(size)])
+        known, logs = ((v[seq]) for v in ((c > 0).astype(np.int64), np.log10(c + 1.0)))
         return pa.table({
-            "doc_id": table["doc_id"], "held_out": table["held_out"], "n_tokens": n_tokens,
-            "n_known": per_doc((c > 0).astype(np.int64)) + (sums.n_train > 0),
-            "train_tokens": np.full(words.n_docs, sums.n, np.int64),
-            "base_score": per_doc(logs) + end - n_tokens * log_base,
-            "score": log10_likelihood(sums.model(counts), seq, offsets)})
+            "doc_id": left["ids"].combine_chunks().flatten(), "held_out": left["held"].combine_chunks().flatten(),
+            "n_tokens": size, "n_known": np.add.reduceat(known, offsets[:-1]),
+            "train_tokens": np.full(len(size), sums.n, np.int64),
+            "base_score": np.add.reduceat(logs, offsets[:-1]) - size * log_base,
+            "score": log10_likelihood(model, seq, offsets)})
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
     right = answers.filter("grp >= 0").groupBy("grp")
-    return dealt.groupBy("grp").cogroup(right).applyInArrow(close, schema)
+    return encoded.groupBy("grp").cogroup(right).applyInArrow(close, schema)

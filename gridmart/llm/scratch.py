@@ -54,15 +54,21 @@ def _delete(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def shared_path(spark: SparkSession, name: str) -> str:
+    """A path in the shared folder for an intermediate table."""
+    path = f"{shared_dir(spark).rstrip('/')}/{name}"
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return path
+
+
+def written(df: DataFrame, name: str, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back (cuts the lineage;
     a lost executor costs only the tasks that read the files)."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    path = shared_path(spark, f"{name}-{uuid.uuid4().hex}")
     schema = df.schema
-    if _OPEN:
-        _OPEN[-1].append(path)
-    df.write.parquet(path)
+    df.write.parquet(path, compression=compression)
     return spark.read.schema(schema).parquet(path)
 
 

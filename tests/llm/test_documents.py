@@ -129,6 +129,35 @@ def test_baum_welch_never_lowers_the_likelihood():
         model = hmm_lm.Model.from_counts(hmm_lm.expected_counts(model, flat, off, np.ones(60, bool)))
 
 
+def test_expected_counts_equal_brute_force():
+    rng = np.random.default_rng(3)
+    model = hmm_lm.Model.initial(2)
+    seqs = [rng.integers(0, 9, n) for n in (3, 1, 4)]
+    flat, off = np.concatenate(seqs), np.array([0, 3, 4, 8])
+    k, cells = hmm_lm.STATES, model.emit.shape[1]
+    want, like = np.zeros(k + k * k + k * cells), 0.0
+    for i, seq in enumerate(seqs):
+        paths = np.array(list(np.ndindex(*([k] * len(seq)))))
+        p = model.start[paths[:, 0]] * model.emit[paths, seq].prod(1) * model.move[paths[:, :-1], paths[:, 1:]].prod(1)
+        like, p = like + np.log10(p.sum()), p / p.sum()
+        if i != 1:  # the second sequence does not open its text
+            np.add.at(want, paths[:, 0], p)
+        for t in range(len(seq)):
+            np.add.at(want, k + k * k + paths[:, t] * cells + seq[t], p)
+            if t:
+                np.add.at(want, k + paths[:, t - 1] * k + paths[:, t], p)
+    got = hmm_lm._expected(model, flat, off, np.array([True, False, True]))
+    assert np.allclose(got[0], want) and np.isclose(got[1], like)
+
+
+def test_hmm_groups_are_coded_where_they_are_read_and_never_shuffled(documents):
+    rows = [(i, f"a{i % 7} b c{i}") for i in range(40)]
+    got = hmm_lm.score(documents(rows))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(") == 1 and "text#" not in plan  # only the answers move
+    assert sorted(r.doc_id for r in got.collect()) == list(range(40))
+
+
 def alternating(rng, n, vocabulary):
     """Words of two sets in turn, the first of each set the most frequent."""
     return " ".join(f"{'ab'[k % 2]}{int(vocabulary * rng.random() ** 2)}" for k in range(n))
