@@ -23,13 +23,11 @@ import uuid
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gridmart.llm.exchange import _packed, _unpacked, plan_sizes
-from gridmart.llm.scratch import bounded_batches, collected, dropped, shared_path, written
+from gridmart.llm.exchange import _packed, _unpacked, grouped, plan_sizes
+from gridmart.llm.scratch import collected, dropped, shared_path, written
 from gridmart.llm.textops import U64, Words, mix64
 
 STATES, SEGMENT = 6, 256
@@ -38,9 +36,9 @@ SETTLED = 1e-4
 HELD_MOD, HELD_REST = 7, 2
 GROUP_BYTES, LEAST_GROUPS, BATCH = 8 << 20, 24, 1 << 19
 UNIT = 1 << 12
-ENCODED = "grp long, ids array<bigint>, held array<boolean>, size binary, keys binary, rank binary, seq binary, counts binary"
-SENT = "bucket int, grp long, keys binary, vals binary, stats binary"
-ANSWER = "bucket int, grp long, vals binary"
+ENCODED = "grp int, ids array<bigint>, held array<boolean>, size binary, keys binary, rank binary, seq binary, counts binary"
+SENT = "bucket int, grp int, keys binary, vals binary, stats binary"
+ANSWER = "bucket int, grp int, vals binary"
 
 
 def held_out(mod: int, rest: int):
@@ -240,37 +238,13 @@ def _group(grp: int, table: pa.Table) -> pa.Table:
     one = np.zeros(2, np.int64)
     keys, counts = (_packed([x], one + [0, len(x)])[0] for x in (own, counts))
     return pa.table({
-        "grp": pa.array([grp], pa.int64()), "ids": pa.ListArray.from_arrays(whole, table["doc_id"].combine_chunks()),
+        "grp": pa.array([grp], pa.int32()), "ids": pa.ListArray.from_arrays(whole, table["doc_id"].combine_chunks()),
         "held": pa.ListArray.from_arrays(whole, held), "size": _planes(size), "keys": keys, "rank": _planes(rank),
         "seq": _planes(seq), "counts": counts})
 
 
-def _encoded(docs: DataFrame) -> DataFrame:
-    """``docs`` in groups of about GROUP_BYTES of text, coded where they are read."""
-
-    def encode(batches):
-        task, n, held, size = TaskContext.get().partitionId() << 32, 0, [], 0
-        for batch in batches:
-            for a, b in _pieces(batch["text"]):
-                held.append(batch.slice(a, b - a))
-                size += held[-1]["text"].nbytes
-                if size >= GROUP_BYTES:
-                    yield from _group(task + n, pa.Table.from_batches(held)).to_batches()
-                    n, held, size = n + 1, [], 0
-        if held:
-            yield from _group(task + n, pa.Table.from_batches(held)).to_batches()
-
-    return docs.select("doc_id", "held_out", "text").mapInArrow(encode, ENCODED)
-
-
-def _pieces(texts) -> list[tuple[int, int]]:
-    """Slices of a batch with about GROUP_BYTES of text each."""
-    if not len(texts):
-        return []
-    end = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64))
-    cuts = np.flatnonzero(np.diff(end // GROUP_BYTES, prepend=0)).tolist()
-    bounds = [0, *[c for c in cuts if c], len(texts)]
-    return list(zip(bounds[:-1], bounds[1:], strict=True))
+def _encoded(dealt: DataFrame) -> DataFrame:
+    return dealt.groupBy("grp").applyInArrow(lambda key, table: _group(key[0].as_py(), table), ENCODED)
 
 
 def _kept(encoded: DataFrame, n_groups: int) -> DataFrame:
@@ -294,7 +268,7 @@ def _sent(table, counts: np.ndarray, stats: np.ndarray, shift: int) -> pa.Table:
     if not len(keys):  # the sums of empty texts still count
         at, cuts = np.array([grp % (1 << (64 - shift))]), np.zeros(2, np.int64)
     k, = _packed([keys], cuts)
-    return pa.table({"bucket": at.astype(np.int32), "grp": np.full(len(at), grp, np.int64), "keys": k,
+    return pa.table({"bucket": at.astype(np.int32), "grp": np.full(len(at), grp, np.int32), "keys": k,
                      "vals": _packed_rows(counts, cuts),
                      "stats": pa.array([stats.tobytes()] + [None] * (len(at) - 1), pa.binary())})
 
@@ -379,7 +353,7 @@ def _answered(sent: DataFrame) -> DataFrame:
         stats[-1] = np.count_nonzero(total.sum(1))
         bucket = key[0].as_py()
         return pa.table({"bucket": pa.array([bucket] * (len(size) + 1), pa.int32()),
-                         "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int64()),
+                         "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int32()),
                          "vals": pa.concat_arrays([_packed_rows(total[at], cuts), pa.array([stats.tobytes()], pa.binary())])})
 
     return sent.groupBy("bucket").applyInArrow(reduce, ANSWER)
@@ -402,11 +376,12 @@ def _sums(answers: DataFrame) -> Sums:
     return Sums(out)
 
 
-def train(docs: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame, DataFrame]:
+def train(dealt: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFrame, DataFrame]:
     """Baum-Welch iterations over all training texts until the likelihood settles: the last
     sums, the coded groups, and every group's words with their expected counts."""
     shift = 64 - int(np.log2(n_buckets))
-    encoded = _kept(_encoded(docs), n_groups)
+    encoded = _kept(_encoded(dealt), n_groups)
+    collected(encoded.sparkSession)  # the texts' shuffle: from here on only the coded groups are read
     answers = written(_answered(_start(encoded, shift)), "expected-counts", "zstd")
     sums = _sums(answers)
     # The first sums have no moves yet: the next state follows with 0.7, or else any.
@@ -425,9 +400,9 @@ def train(docs: DataFrame, n_groups: int, n_buckets: int) -> tuple[Sums, DataFra
 
 def score(docs: DataFrame) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score per document."""
-    bounded_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text").withColumn("held_out", held_out(HELD_MOD, HELD_REST))
-    sums, encoded, answers = train(docs, *plan_sizes(docs, GROUP_BYTES, LEAST_GROUPS))
+    n_groups, n_buckets = plan_sizes(docs, GROUP_BYTES, LEAST_GROUPS)
+    sums, encoded, answers = train(grouped(docs, n_groups), n_groups, n_buckets)
     log_base = np.log10(sums.n + sums.v + 1)
 
     def close(key, left, right):

@@ -150,7 +150,7 @@ def test_expected_counts_equal_brute_force():
     assert np.allclose(got[0], want) and np.isclose(got[1], like)
 
 
-def test_hmm_groups_are_coded_where_they_are_read_and_never_shuffled(documents):
+def test_hmm_groups_are_coded_once_and_never_shuffled_again(documents):
     rows = [(i, f"a{i % 7} b c{i}") for i in range(40)]
     got = hmm_lm.score(documents(rows))
     plan = got._jdf.queryExecution().executedPlan().toString()
