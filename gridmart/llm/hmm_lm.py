@@ -28,9 +28,10 @@ from pyspark.sql import functions as F
 
 from gridmart.llm.exchange import _packed, _unpacked, grouped, plan_sizes
 from gridmart.llm.scratch import collected, dropped, shared_path, written
-from gridmart.llm.textops import U64, Words, mix64
+from gridmart.llm.textops import U64, Words, binary_parts, mix64
 
 STATES, SEGMENT = 6, 256
+RESCALED = 8  # steps whose probabilities stay within a double together
 CLASSES = 1024  # symbols of a start model without a vocabulary
 SETTLED = 1e-4
 HELD_MOD, HELD_REST = 7, 2
@@ -38,7 +39,7 @@ GROUP_BYTES, LEAST_GROUPS, BATCH = 8 << 20, 24, 1 << 19
 UNIT = 1 << 12
 ENCODED = "grp int, ids array<bigint>, held array<boolean>, size binary, keys binary, rank binary, seq binary, counts binary"
 SENT = "bucket int, grp int, keys binary, vals binary, stats binary"
-ANSWER = "bucket int, grp int, vals binary"
+ANSWER = "bucket int, grp int, vals binary, stats binary"
 
 
 def held_out(mod: int, rest: int):
@@ -89,40 +90,45 @@ def expected_counts(model: Model, classes: np.ndarray, offsets: np.ndarray, open
 
 def _expected(model: Model, classes: np.ndarray, offsets: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, float]:
     """``expected_counts`` and the log10 likelihood of the sequences. States are rows and tokens
-    columns, so that every step works on long contiguous runs."""
+    columns, so that every step works on long contiguous runs. Columns are scaled to sum 1 in each
+    ``RESCALED``-th step and in a sequence's last one."""
     order, x, cols = _by_length(classes, offsets)
     k, cells, last = STATES, model.emit.shape[1], len(cols) - 2
     total = np.zeros(k + k * k + k * cells)
     if last < 0:
         return total, 0.0
-    emit = _emitted(model, x)
-    alpha, beta, scale = np.empty_like(emit), np.ones_like(emit), np.empty(len(x))
+    emit, likelihood = _emitted(model, x), 0.0
+    alpha = np.empty_like(emit)
     forward, back = np.ascontiguousarray(model.move.T), np.ascontiguousarray(model.move)
     bounds = cols.tolist()
     for t in range(last + 1):
         a, b = bounds[t], bounds[t + 1]
-        now, e = alpha[:, a:b], emit[:, a:b]
         if t:
             p = bounds[t - 1]
-            np.multiply(forward @ alpha[:, p:p + b - a], e, out=now)
+            np.matmul(forward, alpha[:, p:p + b - a], out=alpha[:, a:b])
+            alpha[:, a:b] *= emit[:, a:b]
         else:
-            np.multiply(model.start[:, None], e, out=now)
-        s = np.add.reduce(now, axis=0, out=scale[a:b])
-        r = 1 / s
-        now *= r
-        e *= r
-    moves = np.zeros((k, k))
+            np.multiply(model.start[:, None], emit[:, :b], out=alpha[:, :b])
+        if t % RESCALED != RESCALED - 1:  # only what ends here
+            a += bounds[t + 2] - b if t < last else 0
+        if a < b:
+            s = np.add.reduce(alpha[:, a:b], axis=0)
+            likelihood += float(np.log10(s).sum())
+            r = 1 / s
+            alpha[:, a:b] *= r
+            emit[:, a:b] *= r
+    moves, beta = np.zeros((k, k)), np.ones((k, bounds[1]))
     for t in range(last, 0, -1):
         a, b, p = bounds[t], bounds[t + 1], bounds[t - 1]
-        after = emit[:, a:b]
-        after *= beta[:, a:b]
-        moves += alpha[:, p:p + b - a] @ after.T
-        beta[:, p:p + b - a] = back @ after
-    alpha *= beta
+        after, before = emit[:, a:b], alpha[:, p:p + b - a]
+        after *= beta[:, :b - a]
+        moves += before @ after.T
+        np.matmul(back, after, out=beta[:, :b - a])
+        before *= beta[:, :b - a]
     total[:k] = alpha[:, :bounds[1]][:, opens[order]].sum(1)
     total[k:k + k * k] = (moves * model.move).ravel()
     total[k + k * k:] = np.concatenate([np.bincount(x, alpha[s], cells) for s in range(k)])
-    return total, float(np.log10(scale).sum())
+    return total, likelihood
 
 
 def _emitted(model: Model, x: np.ndarray) -> np.ndarray:
@@ -199,16 +205,25 @@ def _whole(counts: np.ndarray, total: np.ndarray) -> np.ndarray:
 
 
 def _packed_rows(rows: np.ndarray, cuts: np.ndarray) -> pa.Array:
-    """``_packed`` for rows of STATES numbers, one state after the other."""
-    flat = [rows[a:b].T.ravel() for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True)]
-    return _packed([np.concatenate(flat) if flat else np.zeros(0, np.int64)], cuts * STATES)[0]
+    """Rows of STATES numbers, one binary value per slice: a byte says how many byte planes the
+    slice's largest number needs, then these planes, one state after the other."""
+    out = []
+    for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
+        flat = np.ascontiguousarray(rows[a:b].T).view(np.uint64).reshape(-1)
+        planes = max(1, -(-int(flat.max(initial=0)).bit_length() // 8))
+        out.append(bytes([planes]) + flat.view(np.uint8).reshape(-1, 8)[:, :planes].T.tobytes())
+    return pa.array(out, pa.binary())
 
 
 def _unpacked_rows(column) -> np.ndarray:
-    flat, size = _unpacked(column, np.int64)
-    cuts = np.concatenate([[0], np.cumsum(size)]).tolist()
-    parts = [flat[a:b].reshape(STATES, -1).T for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-    return np.concatenate(parts) if parts else np.zeros((0, STATES), np.int64)
+    raw, off = binary_parts(column)
+    parts = [np.zeros((0, STATES), np.int64)]
+    for a, b in zip(off[:-1].tolist(), off[1:].tolist(), strict=True):
+        planes = raw[a + 1:b].reshape(raw[a], -1)
+        flat = np.zeros((planes.shape[1], 8), np.uint8)
+        flat[:, :len(planes)] = planes.T
+        parts.append(flat.view(np.int64).reshape(STATES, -1).T)
+    return np.concatenate(parts)
 
 
 def _planes(numbers: np.ndarray) -> pa.Array:
@@ -318,7 +333,7 @@ def _iteration(encoded: DataFrame, answers: DataFrame, sums: Sums, shift: int) -
         stats = np.concatenate([np.round(small[:-1]), rows[-1], rows.sum(0), np.round(small[-1:]), [0]])
         return _sent(left, rows[:-1], stats.astype(np.int64), shift)
 
-    right = answers.filter("grp >= 0").groupBy("grp")
+    right = answers.filter("grp >= 0").drop("stats").groupBy("grp")
     return encoded.groupBy("grp").cogroup(right).applyInArrow(step, SENT)
 
 
@@ -354,7 +369,8 @@ def _answered(sent: DataFrame) -> DataFrame:
         bucket = key[0].as_py()
         return pa.table({"bucket": pa.array([bucket] * (len(size) + 1), pa.int32()),
                          "grp": pa.array([*table["grp"].to_pylist(), -1], pa.int32()),
-                         "vals": pa.concat_arrays([_packed_rows(total[at], cuts), pa.array([stats.tobytes()], pa.binary())])})
+                         "vals": pa.concat_arrays([_packed_rows(total[at], cuts), pa.nulls(1, pa.binary())]),
+                         "stats": pa.array([None] * len(size) + [stats.tobytes()], pa.binary())})
 
     return sent.groupBy("bucket").applyInArrow(reduce, ANSWER)
 
@@ -364,11 +380,11 @@ def _sums(answers: DataFrame) -> Sums:
     def run(batches):
         out = np.zeros(Sums.SIZE, np.int64)
         for b in batches:
-            for s in b["vals"]:
+            for s in b["stats"]:
                 out += np.frombuffer(s.as_buffer(), np.int64)
         yield pa.RecordBatch.from_pydict({"cell": np.arange(Sums.SIZE), "n": out})
 
-    rows = (answers.filter("grp = -1").select("vals").mapInArrow(run, "cell long, n long")
+    rows = (answers.filter("grp = -1").select("stats").mapInArrow(run, "cell long, n long")
             .groupBy("cell").agg(F.sum("n").alias("n")).collect())
     out = np.zeros(Sums.SIZE, np.int64)
     for r in rows:
@@ -421,5 +437,5 @@ def score(docs: DataFrame) -> DataFrame:
 
     schema = ("doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, "
               "base_score double, score double")
-    right = answers.filter("grp >= 0").groupBy("grp")
+    right = answers.filter("grp >= 0").drop("stats").groupBy("grp")
     return encoded.groupBy("grp").cogroup(right).applyInArrow(close, schema)

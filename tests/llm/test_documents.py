@@ -150,6 +150,43 @@ def test_expected_counts_equal_brute_force():
     assert np.allclose(got[0], want) and np.isclose(got[1], like)
 
 
+def test_expected_counts_of_long_sequences_of_unlikely_words():
+    rng = np.random.default_rng(4)
+    model = hmm_lm.Model.initial(3)
+    model.emit[:, :40] *= 1e-20
+    seqs = [rng.integers(0, 60, n) for n in (100, 17, 16, 15, 9, 8, 7, 1, 100)]
+    flat, off = np.concatenate(seqs), np.concatenate([[0], np.cumsum([len(s) for s in seqs])])
+    k, cells = hmm_lm.STATES, model.emit.shape[1]
+    want = np.zeros(k + k * k + k * cells)
+    for seq in seqs:  # every step scaled
+        alpha, scale = [], []
+        for t, x in enumerate(seq):
+            now = (alpha[-1] @ model.move if t else model.start) * model.emit[:, x]
+            scale.append(now.sum())
+            alpha.append(now / scale[-1])
+        beta = np.ones(k)
+        for t in range(len(seq) - 1, -1, -1):
+            want[k + k * k + np.arange(k) * cells + seq[t]] += alpha[t] * beta
+            if t:
+                after = model.emit[:, seq[t]] * beta / scale[t]
+                want[k:k + k * k] += (alpha[t - 1][:, None] * model.move * after).ravel()
+                beta = model.move @ after
+        want[:k] += alpha[0] * beta
+    got = hmm_lm._expected(model, flat, off, np.ones(len(seqs), bool))
+    assert np.allclose(got[0], want, rtol=1e-10, atol=1e-12)
+    assert np.isclose(got[1], hmm_lm.log10_likelihood(model, flat, off).sum(), rtol=1e-12)
+
+
+def test_hmm_counts_travel_in_the_bytes_that_they_need():
+    rng = np.random.default_rng(5)
+    rows = rng.integers(0, 1 << 16, (3000, hmm_lm.STATES))
+    rows[2500, 3] = 1 << 50  # one slice needs all its bytes
+    cuts = np.array([0, 1000, 1000, 2000, 3000])
+    packed = hmm_lm._packed_rows(rows, cuts)
+    assert np.array_equal(hmm_lm._unpacked_rows(pa.chunked_array([packed])), rows)
+    assert [len(v.as_py()) for v in packed] == [1 + hmm_lm.STATES * n for n in (2000, 0, 2000, 7000)]
+
+
 def test_hmm_groups_are_coded_once_and_never_shuffled_again(documents):
     rows = [(i, f"a{i % 7} b c{i}") for i in range(40)]
     got = hmm_lm.score(documents(rows))
