@@ -167,6 +167,10 @@ def test_views_of_lines_by_player_are_the_views(spark, tmp_dir):
     assert _bag(plays, there) == _bag(ad.plays_view(spark, sf), there) != []
     rows, usual = (ad.player_rows(spark, sf, m.ALL_COLUMNS, m.MEASURES["all"], lines=x) for x in (own, None))
     assert _bag(rows, usual.columns) == _bag(usual) != []
+    for context in ("attempts", "flags"):
+        found = [m.player_week_utilization(ad.weekly_view(spark, sf, x), ad.plays_view(spark, sf, x),
+                                           ad.snap_counts_view(spark, sf), context=context) for x in (met, None)]
+        assert _bag(found[0]) == _bag(found[1]) != []
 
 
 def test_lines_by_player_have_no_opponent_rows_or_drives(spark, tmp_dir):
