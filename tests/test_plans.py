@@ -137,7 +137,7 @@ def test_one_reader_computes_only_what_it_reads(spark):
     assert "plays_pg" in plan and "neutral_xpass_sum" not in plan
 
 
-UTILIZATION = ["player_season_utilization", "mart_util_player_week_flags", "mart_util_player_week"]
+UTILIZATION = ["player_season_utilization", "mart_util_player_week_flags", "mart_util_player_week", "mart_util_all"]
 
 
 @pytest.mark.parametrize("name", UTILIZATION)
